@@ -1,0 +1,136 @@
+"""Streaming form of the precursor alerts.
+
+Micro-batches deliver a machine's rows in no particular order, so rows wait in
+the machine's state until the watermark has passed them and are then judged in
+event-time order by the same neighbour rule as in batch. Only faults and arming
+readings enter the state, for as long as the watermark lags; the one row that
+is kept beyond that is the last one judged, for the length of the pattern.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from millwright import schemas
+from millwright.operators.precursors import alert_columns, signal_rows
+
+_ALERTS = (
+    "us bigint, equipment_id string, line_id string, temperature_c double, "
+    "fault_code string, event_id string"
+)
+_FIELDS = ["us", "event_key", "event_id", "line_id", "is_fault", "temperature_c", "fault_code"]
+_STATE = (
+    "waiting array<struct<us:bigint,event_key:bigint,event_id:string,line_id:string,"
+    "is_fault:boolean,temperature_c:double,fault_code:string>>, "
+    "last_us bigint, last_fault boolean, last_temperature double"
+)
+
+
+def _judge(within_us: int):
+    def step(
+        key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
+    ) -> Iterator[pd.DataFrame]:
+        waiting, last_us, last_fault, last_temperature = (
+            state.get if state.exists else ([], None, None, None)
+        )
+        held = [pd.DataFrame([tuple(r) for r in waiting], columns=_FIELDS)] if waiting else []
+        held += [frame[_FIELDS] for frame in frames if len(frame)]
+        watermark_us = state.getCurrentWatermarkMs() * 1000
+        rows = pd.concat(held, ignore_index=True) if held else pd.DataFrame(columns=_FIELDS)
+        rows = rows.sort_values(["us", "event_key", "event_id"], kind="stable", ignore_index=True)
+        cut = int(rows["us"].searchsorted(watermark_us, side="left")) if len(rows) else 0
+        ready, rest = rows.iloc[:cut], rows.iloc[cut:]
+
+        if len(ready):
+            before_us = ready["us"].shift(1)
+            before_fault = ready["is_fault"].shift(1)
+            before_temperature = ready["temperature_c"].shift(1)
+            if last_us is not None:
+                first = ready.index[0]
+                before_us.loc[first] = last_us
+                before_fault.loc[first] = last_fault
+                before_temperature.loc[first] = last_temperature
+            hit = (
+                ready["is_fault"].astype(bool)
+                & before_us.notna()
+                & (before_fault == False)  # noqa: E712
+                & (ready["us"] - before_us <= within_us)
+            )
+            found = ready[hit]
+            if len(found):
+                yield pd.DataFrame(
+                    {
+                        "us": found["us"].astype("int64"),
+                        "equipment_id": key[0],
+                        "line_id": found["line_id"],
+                        "temperature_c": before_temperature[hit].astype("float64"),
+                        "fault_code": found["fault_code"],
+                        "event_id": found["event_id"],
+                    }
+                )
+            newest = ready.iloc[-1]
+            last_us = int(newest["us"])
+            last_fault = bool(newest["is_fault"])
+            last_temperature = float(newest["temperature_c"])
+
+        armed = last_us is not None and not last_fault and last_us + within_us >= watermark_us
+        if not armed:
+            last_us = last_fault = last_temperature = None
+        if len(rest) == 0 and not armed:
+            if state.exists:
+                state.remove()
+            return
+        state.update(
+            (
+                [
+                    (int(r[0]), int(r[1]), r[2], r[3], bool(r[4]), float(r[5]), r[6])
+                    for r in rest[_FIELDS].itertuples(index=False)
+                ],
+                last_us,
+                last_fault,
+                last_temperature,
+            )
+        )
+        wake_us = int(rest["us"].iloc[0]) if len(rest) else last_us + within_us
+        state.setTimeoutTimestamp(max(wake_us // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+
+    return step
+
+
+def precursor_stream(
+    status: DataFrame,
+    *,
+    high_temperature: float = schemas.HIGH_TEMPERATURE_C,
+    high_vibration: float = schemas.HIGH_VIBRATION_HZ,
+    within_s: int = schemas.PRECURSOR_WINDOW_S,
+    delay: str = f"{schemas.WATERMARK_S} seconds",
+) -> DataFrame:
+    """Alerts of a status stream, in the columns of the batch operator."""
+    rows = signal_rows(
+        status.withWatermark("ts", delay),
+        high_temperature=high_temperature,
+        high_vibration=high_vibration,
+    )
+    numeric = F.col("event_id").try_cast("bigint")
+    keyed = rows.select(
+        "equipment_id",
+        "ts",
+        F.unix_micros("ts").alias("us"),
+        F.coalesce(numeric, F.lit(0)).alias("event_key"),
+        F.col("event_id").cast("string").alias("event_id"),
+        "line_id",
+        "is_fault",
+        "temperature_c",
+        "fault_code",
+    )
+    found = keyed.groupBy("equipment_id").applyInPandasWithState(
+        _judge(within_s * 1_000_000), _ALERTS, _STATE, "append", GroupStateTimeout.EventTimeTimeout
+    )
+    return found.withColumn("ts", F.timestamp_micros("us")).select(
+        *alert_columns(F.col("temperature_c"))
+    )
