@@ -21,6 +21,7 @@ from millwright.sinks import folders
 HOUR = "hour"
 _HOUR_FORMAT = "yyyy-MM-dd-HH"
 KEYS = ("time", "line_id")
+_HOURLY = T.StructType([T.StructField("time", T.TimestampType())] + schemas.OEE_HOURLY.fields[1:])
 
 
 def hour_of(ts: Column) -> Column:
@@ -97,8 +98,8 @@ def upsert(
     ``version`` names the column that decides between several updates of one
     key. Repeating a batch leaves the table as it was.
 
-    The updates are computed once, into the staging folder. Its partition
-    folders then name the touched hours, and of the table only those are read.
+    The updates are computed once, into the staging folder. The hours they
+    touch are taken from there, and of the table only those are read.
     """
     spark = updates.sparkSession
     staged = f"{path}__staged/batch={batch}"
@@ -106,19 +107,21 @@ def upsert(
         keep = () if version is None else (version,)
         latest_per_key(fit(updates, layout, *keep), keys, version).filter(
             F.col("time").isNotNull()
-        ).withColumn(HOUR, hour_of(F.col("time"))).write.mode("overwrite").partitionBy(HOUR).parquet(
-            f"{staged}/fresh"
-        )
-        hours = folders.partition_values(spark, f"{staged}/fresh", HOUR)
+        ).withColumn(HOUR, hour_of(F.col("time"))).write.mode("overwrite").parquet(f"{staged}/fresh")
         columns = [f.name for f in layout.fields] + [HOUR]
-        fresh = _read_hours(spark, f"{staged}/fresh", layout, hours).select(*columns)
-        current = _read_hours(spark, path, layout, hours).select(*columns)
+        fresh = spark.read.schema(_stored(layout)).parquet(f"{staged}/fresh").select(*columns)
+        current = _read_hours(spark, path, layout, _hours(fresh)).select(*columns)
         kept = current.join(fresh.select(*keys), list(keys), "left_anti").select(*columns)
-        kept.unionByName(fresh).write.mode("overwrite").partitionBy(HOUR).parquet(f"{staged}/merged")
+        kept.unionByName(fresh).write.mode("overwrite").parquet(f"{staged}/merged")
     publish(spark, f"{staged}/merged", path, layout)
     folders.drop(spark, staged)
 
 
+def _hours(rows: DataFrame) -> list[str]:
+    """Names of the hour partitions some rows belong to: one per folder to be written."""
+    return [row[0] for row in rows.select(HOUR).distinct().collect()]
+
+
 def _read_hours(spark: SparkSession, path: str, layout: T.StructType, hours: list[str]) -> DataFrame:
     """The given hour partitions of a table, without listing any other."""
     present = set(folders.partition_values(spark, path, HOUR)).intersection(hours)
@@ -133,14 +136,11 @@ def _read_hours(spark: SparkSession, path: str, layout: T.StructType, hours: lis
 
 def publish(spark: SparkSession, staged: str, path: str, layout: T.StructType) -> None:
     """Replaces the table's hour partitions that the staged copy contains."""
-    hours = folders.partition_values(spark, staged, HOUR)
-    if not hours:
-        return
     columns = [f.name for f in layout.fields] + [HOUR]
+    rows = spark.read.schema(_stored(layout)).parquet(staged).select(*columns)
+    tasks = min(len(_hours(rows)), spark.sparkContext.defaultParallelism)
     (
-        _read_hours(spark, staged, layout, hours)
-        .select(*columns)
-        .repartition(HOUR)
+        rows.repartition(max(tasks, 1), HOUR)
         .sortWithinPartitions(HOUR, "line_id", "time")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -159,10 +159,11 @@ def upsert_quality_stats(path: str, updates: DataFrame, *, batch: str | int) ->
 
 def upsert_hourly(path: str, updates: DataFrame, *, batch: str | int) -> None:
     """Hourly rollup rows, keyed by bucket and line."""
-    layout = T.StructType(
-        [T.StructField("time", T.TimestampType())] + schemas.OEE_HOURLY.fields[1:]
-    )
-    upsert(path, updates.withColumnRenamed("bucket", "time"), layout, batch=batch)
+    upsert(path, updates.withColumnRenamed("bucket", "time"), _HOURLY, batch=batch)
+
+
+def read_hourly(spark: SparkSession, path: str) -> DataFrame:
+    return read_table(spark, path, _HOURLY).drop(HOUR).withColumnRenamed("time", "bucket")
 
 
 def alert_rows(found: DataFrame) -> DataFrame:

@@ -11,197 +11,158 @@ become three hours, dense enough for 60-second windows. Shift-based queries use
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from millwright.functions.clock import shift_of
+from pyspark.sql import DataFrame, SparkSession
 
 EPOCH_US = 1_704_067_200_000_000  # 2024-01-01T00:00:00Z
 DENSE = 240
 
-_STOPS = ("START", "STOP", "CHANGEOVER", "PLANNED_STOP")
-_PAUSES = ("IDLE", "MAINTENANCE", "CHANGEOVER", "STARTUP")
-_REASONS = (
-    "MECHANICAL_FAILURE",
-    "ELECTRICAL_FAULT",
-    "MATERIAL_SHORTAGE",
-    "OPERATOR_ABSENCE",
-    "QUALITY_HOLD",
-)
-_CODES = (
-    "E-042",
-    "E-043",
-    "E-101",
-    "E-102",
-    "E-201",
-    "E-202",
-    "E-250",
-    "E-301",
-    "E-401",
-    "E-501",
-    "E-502",
-    "E-999",
+EVENT_LOG = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 )
-_DEFECTS = ("DIMENSIONAL", "SURFACE_FINISH", "ASSEMBLY_ERROR", "WEIGHT", "COSMETIC", "SCRATCH")
+
+_SHIFT = """CASE WHEN hour(ts) >= 6 AND hour(ts) < 14 THEN 'MORNING'
+    WHEN hour(ts) >= 14 AND hour(ts) < 22 THEN 'AFTERNOON' ELSE 'NIGHT' END AS shift"""
+_IDEAL_MS = "decode(line_id, 'LINE-A', 4800, 'LINE-B', 6200, 'LINE-C', 3500, 5000)"
 
 
-def _pick(names: tuple[str, ...], index: Column) -> Column:
-    """One of a few names by position."""
-    choice = F.lit(names[-1])
-    for position, name in list(enumerate(names))[-2::-1]:
-        choice = F.when(index == position, F.lit(name)).otherwise(choice)
-    return choice
+def _pick(*names: str, by: str) -> str:
+    """One of a few names by position, as a SQL expression."""
+    cases = "".join(f" WHEN {i} THEN '{name}'" for i, name in enumerate(names))
+    return f"CASE {by}{cases} END"
 
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENT_LOG).parquet(f"{sf_dir}/events.parquet")
 
 
 def _base(events: DataFrame, pace: int) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("int")
-    v = F.round(F.col("value") * 100).cast("bigint")
-    us = F.expr(f"{EPOCH_US} + (unix_micros(cast(ts AS timestamp)) - {EPOCH_US}) div {pace}")
-    u = F.col("user_id")
-    return events.select(
+    us = f"{EPOCH_US} + (unix_micros(cast(ts AS timestamp)) - {EPOCH_US}) div {pace}"
+    return events.selectExpr(
         "event_id",
-        F.timestamp_micros(us).alias("ts"),
-        F.col("event_type").alias("kind"),
-        k.alias("k"),
-        v.alias("v"),
-        _pick(("LINE-A", "LINE-B", "LINE-C", "LINE-D"), u % 4).alias("line_id"),
-        F.concat(F.lit("WU-0"), F.expr("cast((user_id div 4) % 5 + 1 AS string)")).alias("work_unit_id"),
-    )
-
-
-def _ideal_ms() -> Column:
-    line = F.col("line_id")
-    return (
-        F.when(line == "LINE-A", 4800)
-        .when(line == "LINE-B", 6200)
-        .when(line == "LINE-C", 3500)
-        .otherwise(5000)
+        f"timestamp_micros({us}) AS ts",
+        "event_type AS kind",
+        "event_type NOT IN ('error', 'signup') AS is_cycle",
+        "cast(get_json_object(props, '$.k') AS int) AS k",
+        "cast(round(value * 100) AS bigint) AS v",
+        _pick("LINE-A", "LINE-B", "LINE-C", "LINE-D", by="user_id % 4") + " AS line_id",
+        "concat('WU-0', cast((user_id div 4) % 5 + 1 AS string)) AS work_unit_id",
     )
 
 
 def line_events(events: DataFrame, pace: int = DENSE) -> DataFrame:
-    k, v = F.col("k"), F.col("v")
-    is_cycle = ~F.col("kind").isin("error", "signup")
-    return _base(events, pace).select(
+    stop = _pick("START", "STOP", "CHANGEOVER", "PLANNED_STOP", by="k % 4")
+    return _base(events, pace).selectExpr(
         "event_id",
         "ts",
-        F.timestamp_micros(F.unix_micros("ts") + (v * 37) % 5000 * 1000).alias("ingested_at"),
-        F.lit("1.0").alias("schema_version"),
-        F.lit("PLANT-1").alias("site_id"),
-        F.lit("ASSEMBLY").alias("area_id"),
+        "timestamp_micros(unix_micros(ts) + (v * 37) % 5000 * 1000) AS ingested_at",
+        "'1.0' AS schema_version",
+        "'PLANT-1' AS site_id",
+        "'ASSEMBLY' AS area_id",
         "line_id",
         "work_unit_id",
-        shift_of(F.col("ts")).alias("shift"),
-        F.when(F.col("kind") == "error", "FAULT")
-        .when(F.col("kind") == "signup", _pick(_STOPS, k % 4))
-        .otherwise("CYCLE_COMPLETE")
-        .alias("event_type"),
-        F.when(is_cycle, v % 16).otherwise(0).cast("int").alias("units_produced"),
-        F.when(is_cycle, F.least(v % 16, (k % 3).cast("bigint")))
-        .otherwise(0)
-        .cast("int")
-        .alias("units_rejected"),
-        _ideal_ms().alias("ideal_cycle_time_ms"),
-        (_ideal_ms() + v % 1201 - 600).cast("int").alias("actual_cycle_time_ms"),
-        F.lit(27000).alias("planned_production_time_s"),
-        F.when(is_cycle, k).otherwise(v % 120).cast("int").alias("downtime_s"),
+        _SHIFT,
+        f"CASE kind WHEN 'error' THEN 'FAULT' WHEN 'signup' THEN {stop} ELSE 'CYCLE_COMPLETE' END "
+        "AS event_type",
+        "cast(if(is_cycle, v % 16, 0) AS int) AS units_produced",
+        "cast(if(is_cycle, least(v % 16, k % 3), 0) AS int) AS units_rejected",
+        f"{_IDEAL_MS} AS ideal_cycle_time_ms",
+        f"cast({_IDEAL_MS} + v % 1201 - 600 AS int) AS actual_cycle_time_ms",
+        "27000 AS planned_production_time_s",
+        "cast(if(is_cycle, k, v % 120) AS int) AS downtime_s",
     )
 
 
 def equipment_status(events: DataFrame, pace: int = DENSE) -> DataFrame:
-    k, v = F.col("k"), F.col("v")
-    status = (
-        F.when(F.col("kind") == "error", "FAULT")
-        .when(F.col("kind") == "signup", _pick(_PAUSES, k % 4))
-        .otherwise("RUNNING")
+    pause = _pick("IDLE", "MAINTENANCE", "CHANGEOVER", "STARTUP", by="k % 4")
+    reason = _pick(
+        "MECHANICAL_FAILURE",
+        "ELECTRICAL_FAULT",
+        "MATERIAL_SHORTAGE",
+        "OPERATOR_ABSENCE",
+        "QUALITY_HOLD",
+        by="k % 5",
     )
-    reason = (
-        F.when(F.col("status") == "FAULT", _pick(_REASONS, k % 5))
-        .when(F.col("status") == "MAINTENANCE", "PLANNED_MAINTENANCE")
-        .when(F.col("status") == "CHANGEOVER", "CHANGEOVER")
-        .otherwise("NONE")
+    code = _pick(
+        "E-042",
+        "E-043",
+        "E-101",
+        "E-102",
+        "E-201",
+        "E-202",
+        "E-250",
+        "E-301",
+        "E-401",
+        "E-501",
+        "E-502",
+        "E-999",
+        by="k % 12",
     )
-    return (
-        _base(events, pace)
-        .withColumn("status", status)
-        .withColumn("downtime_reason", reason)
-        .select(
-            "event_id",
-            "ts",
-            F.lit("1.0").alias("schema_version"),
-            F.concat_ws("-", "line_id", "work_unit_id").alias("equipment_id"),
-            "line_id",
-            "work_unit_id",
-            "status",
-            F.when(k % 19 == 0, "OFFLINE")
-            .otherwise(_pick(("RUNNING", "IDLE", "UNKNOWN"), k % 3))
-            .alias("previous_status"),
-            "downtime_reason",
-            F.col("downtime_reason")
-            .isin("PLANNED_MAINTENANCE", "CHANGEOVER")
-            .alias("planned_downtime"),
-            F.when(k % 17 != 0, (v % 4500 + 5500) / F.lit(100.0)).alias("temperature_c"),
-            ((v * 7 % 12000 + 3000) / F.lit(100.0)).alias("vibration_hz"),
-            ((v * 3 % 500 + 800) / F.lit(100.0)).alias("power_kw"),
-            F.when(F.col("status") == "FAULT", _pick(_CODES, k % 12)).alias("fault_code"),
-            (k > 50).alias("acknowledged"),
-        )
+    with_status = _base(events, pace).selectExpr(
+        "*", f"CASE kind WHEN 'error' THEN 'FAULT' WHEN 'signup' THEN {pause} ELSE 'RUNNING' END AS status"
+    )
+    return with_status.selectExpr(
+        "event_id",
+        "ts",
+        "'1.0' AS schema_version",
+        "concat_ws('-', line_id, work_unit_id) AS equipment_id",
+        "line_id",
+        "work_unit_id",
+        "status",
+        f"if(k % 19 = 0, 'OFFLINE', {_pick('RUNNING', 'IDLE', 'UNKNOWN', by='k % 3')}) AS previous_status",
+        f"""CASE status WHEN 'FAULT' THEN {reason} WHEN 'MAINTENANCE' THEN 'PLANNED_MAINTENANCE'
+            WHEN 'CHANGEOVER' THEN 'CHANGEOVER' ELSE 'NONE' END AS downtime_reason""",
+        "status IN ('MAINTENANCE', 'CHANGEOVER') AS planned_downtime",
+        "if(k % 17 <> 0, (v % 4500 + 5500) / 100D, null) AS temperature_c",
+        "(v * 7 % 12000 + 3000) / 100D AS vibration_hz",
+        "(v * 3 % 500 + 800) / 100D AS power_kw",
+        f"CASE WHEN status = 'FAULT' THEN {code} END AS fault_code",
     )
 
 
 def quality_metrics(events: DataFrame, pace: int = DENSE) -> DataFrame:
-    k, v, line = F.col("k"), F.col("v"), F.col("line_id")
-    nominal = F.when(line == "LINE-B", 250000).when(line == "LINE-C", 50000).otherwise(100000)
-    upper = F.when(line == "LINE-B", 25.10).when(line == "LINE-C", 5.025).otherwise(10.05)
-    lower = F.when(line == "LINE-B", 24.90).when(line == "LINE-C", 4.975).otherwise(9.95)
-    inspected, failed = F.col("units_inspected"), F.col("units_failed")
-    three_sigma = F.lit(3.0) * F.col("measured_stddev")
-    own_cpk = F.when(
-        F.col("measured_stddev") > 0,
-        F.least(
-            (F.col("spec_upper") - F.col("measured_mean")) / three_sigma,
-            (F.col("measured_mean") - F.col("spec_lower")) / three_sigma,
-        ),
-    ).otherwise(0.0)
-
-    def rounded(x: Column, places: int) -> Column:
-        scale = F.lit(10.0**places)
-        return F.floor(x * scale + F.lit(0.5)) / scale
-
-    def percent(part: Column) -> Column:
-        return F.when(inspected > 0, rounded(part / inspected * 100, 2)).otherwise(0.0)
-
-    return (
+    defect = _pick(
+        "DIMENSIONAL", "SURFACE_FINISH", "ASSEMBLY_ERROR", "WEIGHT", "COSMETIC", "SCRATCH", by="k % 6"
+    )
+
+    def percent(part: str) -> str:
+        return f"if(units_inspected > 0, floor({part} / units_inspected * 100 * 100D + 0.5D) / 100D, 0D)"
+
+    measured = (
         _base(events, pace)
-        .filter(F.col("kind").isin("purchase", "view"))
-        .withColumn("units_inspected", F.when(k % 23 == 0, 0).otherwise(k % 20 + 50).cast("int"))
-        .withColumn("units_failed", F.least(v % 4, F.col("units_inspected").cast("bigint")).cast("int"))
-        .withColumn("measured_mean", (nominal + v % 1001 - 500) / F.lit(10000.0))
-        .withColumn("measured_stddev", (v * 3 % 400) / F.lit(10000.0))
-        .withColumn("spec_upper", upper)
-        .withColumn("spec_lower", lower)
-        .select(
-            "event_id",
-            "ts",
-            F.lit("1.0").alias("schema_version"),
-            F.concat(F.lit("BATCH-"), F.col("event_id").cast("string")).alias("batch_id"),
-            "line_id",
-            "work_unit_id",
-            shift_of(F.col("ts")).alias("shift"),
-            "units_inspected",
-            (inspected - failed).alias("units_passed"),
-            "units_failed",
-            (percent(failed) + F.when(k % 29 == 0, 1.0).otherwise(0.0)).alias("defect_rate_pct"),
-            F.when(failed == 0, "NONE").otherwise(_pick(_DEFECTS, k % 6)).alias("defect_type"),
-            percent(inspected - failed).alias("yield_pct"),
-            "spec_upper",
-            "spec_lower",
-            "measured_mean",
-            "measured_stddev",
-            (rounded(own_cpk, 3) + F.when(k % 31 == 0, 0.5).otherwise(0.0)).alias("cpk"),
+        .filter("kind IN ('purchase', 'view')")
+        .selectExpr(
+            "*",
+            "if(k % 23 = 0, 0, k % 20 + 50) AS units_inspected",
+            "(decode(line_id, 'LINE-B', 250000, 'LINE-C', 50000, 100000) + v % 1001 - 500) / 10000D "
+            "AS measured_mean",
+            "(v * 3 % 400) / 10000D AS measured_stddev",
+            "decode(line_id, 'LINE-B', 25.10D, 'LINE-C', 5.025D, 10.05D) AS spec_upper",
+            "decode(line_id, 'LINE-B', 24.90D, 'LINE-C', 4.975D, 9.95D) AS spec_lower",
+        )
+        .selectExpr(
+            "*",
+            "cast(least(v % 4, units_inspected) AS int) AS units_failed",
+            """if(measured_stddev > 0, least((spec_upper - measured_mean) / (3D * measured_stddev),
+                (measured_mean - spec_lower) / (3D * measured_stddev)), 0D) AS own_cpk""",
         )
     )
+    return measured.selectExpr(
+        "event_id",
+        "ts",
+        "'1.0' AS schema_version",
+        "concat('BATCH-', cast(event_id AS string)) AS batch_id",
+        "line_id",
+        "work_unit_id",
+        _SHIFT,
+        "units_inspected",
+        "units_inspected - units_failed AS units_passed",
+        "units_failed",
+        f"{percent('units_failed')} + if(k % 29 = 0, 1D, 0D) AS defect_rate_pct",
+        f"if(units_failed = 0, 'NONE', {defect}) AS defect_type",
+        f"{percent('(units_inspected - units_failed)')} AS yield_pct",
+        "spec_upper",
+        "spec_lower",
+        "measured_mean",
+        "measured_stddev",
+        "floor(own_cpk * 1000D + 0.5D) / 1000D + if(k % 31 = 0, 0.5D, 0D) AS cpk",
+    )

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from millwright import schemas
@@ -116,12 +117,13 @@ def precursor_stream(
         high_temperature=high_temperature,
         high_vibration=high_vibration,
     )
-    numeric = F.col("event_id").try_cast("bigint")
+    whole = isinstance(status.schema["event_id"].dataType, T.IntegralType)
+    event_key = F.col("event_id").cast("bigint") if whole else F.lit(0).cast("bigint")
     keyed = rows.select(
         "equipment_id",
         "ts",
         F.unix_micros("ts").alias("us"),
-        F.coalesce(numeric, F.lit(0)).alias("event_key"),
+        event_key.alias("event_key"),
         F.col("event_id").cast("string").alias("event_id"),
         "line_id",
         "is_fault",
