@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -52,17 +54,25 @@ def in_shift_startup(ts: Column, minutes: int = 15) -> Column:
     return F.unix_seconds(ts) - F.unix_seconds(shift_start(ts)) < minutes * 60
 
 
-def time_between(ts: Column, start, end) -> Column:
-    """Closed time range; either bound may be a column, a literal or None."""
+def instant(moment: Column | datetime | None) -> Column:
+    """A moment as a column: now if None; a datetime without a zone is UTC."""
+    if moment is None:
+        return F.current_timestamp()
+    if isinstance(moment, datetime):
+        return F.lit(moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc))
+    return moment
+
+
+def time_between(ts: Column, start=None, end=None) -> Column:
+    """Closed time range; a bound that is None is left open."""
     condition = F.lit(True)
     if start is not None:
-        condition = condition & (ts >= start)
+        condition = condition & (ts >= instant(start))
     if end is not None:
-        condition = condition & (ts <= end)
+        condition = condition & (ts <= instant(end))
     return condition
 
 
 def newer_than(ts: Column, as_of, interval: str) -> Column:
     """``ts`` lies strictly inside the interval that ends at ``as_of``."""
-    moment = F.current_timestamp() if as_of is None else as_of
-    return ts > moment - F.expr(f"INTERVAL {interval}")
+    return ts > instant(as_of) - F.expr(f"INTERVAL {interval}")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwright.functions.clock import shift_of, shift_start
+from millwright.functions.clock import instant, shift_of, shift_start
 from millwright.functions.numeric import round_metric, scaled, share
 from millwright.operators.bounded import join_summary
 
@@ -104,6 +104,7 @@ def cpk_against_limits(stats: DataFrame) -> DataFrame:
 
 def shift_yield(batches: DataFrame, as_of) -> DataFrame:
     """Share of passed units per line in the shift that is running at ``as_of``."""
+    as_of = instant(as_of)
     start = shift_start(as_of)
     return (
         batches.filter((F.col("ts") >= start) & (F.col("ts") <= as_of))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millwright import schemas
-from millwright.functions.clock import newer_than
+from millwright.functions.clock import instant, newer_than
 from millwright.functions.numeric import exact_mean, round_metric, share
 
 
@@ -32,6 +32,7 @@ def oee_hourly(metrics: DataFrame) -> DataFrame:
 def complete_hours(metrics: DataFrame, as_of, start: str = "3 HOURS", end: str = "1 MINUTE") -> DataFrame:
     """Rows of the hours that lie wholly between ``as_of - start`` and ``as_of - end``."""
     hour = F.date_trunc("HOUR", "time")
+    as_of = instant(as_of)
     return metrics.filter(
         (hour >= as_of - F.expr(f"INTERVAL {start}"))
         & (hour + F.expr("INTERVAL 1 HOUR") <= as_of - F.expr(f"INTERVAL {end}"))
@@ -55,6 +56,7 @@ def daily_oee(metrics: DataFrame) -> DataFrame:
 def average_by_line(metrics: DataFrame, day=None) -> DataFrame:
     """Average effectiveness per line, of one day if given (a timestamp at its start)."""
     if day is not None:
+        day = instant(day)
         metrics = metrics.filter(
             (F.col("time") >= day) & (F.col("time") < day + F.expr("INTERVAL 1 DAY"))
         )

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millwright import schemas
+from millwright.functions.clock import instant
 from millwright.sinks import folders, tables
 from millwright.sources.feeds import normalize
 
@@ -134,7 +135,7 @@ def newest_snapshot(
     """Id of the newest snapshot, or of the newest one committed by ``as_of``."""
     log = snapshots(spark, root, table)
     if as_of is not None:
-        log = log.filter(F.col("committed_at") <= F.lit(as_of))
+        log = log.filter(F.col("committed_at") <= instant(as_of))
     return log.agg(F.max("snapshot_id")).first()[0]
 
 

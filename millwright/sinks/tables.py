@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millwright import schemas
-from millwright.functions.clock import newer_than
+from millwright.functions.clock import instant, newer_than
 from millwright.sinks import folders
 
 HOUR = "hour"
@@ -67,7 +67,7 @@ def in_hours(table: DataFrame, start: datetime | None, end: datetime | None) ->
     for bound, keep in ((start, lambda c, b: c >= b), (end, lambda c, b: c <= b)):
         if bound is not None:
             table = table.filter(
-                keep(F.col(HOUR), F.lit(bound.strftime("%Y-%m-%d-%H"))) & keep(F.col("time"), F.lit(bound))
+                keep(F.col(HOUR), F.lit(bound.strftime("%Y-%m-%d-%H"))) & keep(F.col("time"), instant(bound))
             )
     return table
 
