@@ -33,10 +33,12 @@ def signal_rows(
     *,
     high_temperature: float = schemas.HIGH_TEMPERATURE_C,
     high_vibration: float = schemas.HIGH_VIBRATION_HZ,
+    or_else: Column | None = None,
 ) -> DataFrame:
     """Faults and arming readings with just the columns an alert needs."""
     fault = F.coalesce(F.col("status"), F.lit("")) == schemas.FAULT
-    return status.filter(fault | above_limits(high_temperature, high_vibration)).select(
+    wanted = fault | above_limits(high_temperature, high_vibration)
+    return status.filter(wanted if or_else is None else wanted | or_else).select(
         F.coalesce("equipment_id", F.lit(schemas.UNKNOWN)).alias("equipment_id"),
         F.coalesce("line_id", F.lit("")).alias("line_id"),
         "ts",

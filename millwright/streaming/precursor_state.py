@@ -111,11 +111,18 @@ def precursor_stream(
     within_s: int = schemas.PRECURSOR_WINDOW_S,
     delay: str = f"{schemas.WATERMARK_S} seconds",
 ) -> DataFrame:
-    """Alerts of a status stream, in the columns of the batch operator."""
+    """Alerts of a status stream, in the columns of the batch operator.
+
+    Benign readings must advance the watermark too, or a quiet machine would
+    hold back the alerts of all others. The optimizer would move the signal
+    filter below the watermark; a term on the event time, never true, keeps it
+    above.
+    """
     rows = signal_rows(
         status.withWatermark("ts", delay),
         high_temperature=high_temperature,
         high_vibration=high_vibration,
+        or_else=F.col("ts") < F.lit("0001-01-01 00:00:00").cast("timestamp"),
     )
     whole = isinstance(status.schema["event_id"].dataType, T.IntegralType)
     event_key = F.col("event_id").cast("bigint") if whole else F.lit(0).cast("bigint")
