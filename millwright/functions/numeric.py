@@ -18,8 +18,11 @@ def round_metric(x: Column, places: int) -> Column:
 
 
 def scaled(x: Column, places: int) -> Column:
-    """``x`` as a whole number of ``10**-places`` steps."""
-    return F.round(x.cast("double") * F.lit(10.0**places)).cast("bigint")
+    """``x`` as a whole number of ``10**-places`` steps.
+
+    ``rint`` stays in primitive arithmetic; ``round`` builds a decimal per row.
+    """
+    return F.rint(x.cast("double") * F.lit(10.0**places)).cast("bigint")
 
 
 def mean_of_scaled(total: Column, count: Column, places: int) -> Column:

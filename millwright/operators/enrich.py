@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,21 +68,20 @@ def with_batch_quality(batches: DataFrame) -> DataFrame:
 
 
 def quality_mismatches(batches: DataFrame, tolerance: float = 0.005) -> DataFrame:
-    """Batches whose stored figures differ from the recomputed ones."""
-    checked = with_batch_quality(batches)
-    differs = [
-        F.abs(F.col(stored).cast("double") - F.col(f"computed_{stored}")) > tolerance
-        for stored in ("defect_rate_pct", "yield_pct", "cpk")
-    ]
-    return checked.filter(reduce(lambda a, b: a | b, differs)).select(
-        "batch_id",
-        "line_id",
-        "defect_rate_pct",
-        "computed_defect_rate_pct",
-        "yield_pct",
-        "computed_yield_pct",
-        "cpk",
-        "computed_cpk",
+    """Stored figures that differ from the recomputed ones, one row per figure.
+
+    The figures are listed and unpacked instead of filtered: a filter would be
+    moved below the computation and repeat it.
+    """
+    differing = []
+    for figure in ("defect_rate_pct", "yield_pct", "cpk"):
+        stored, computed = F.col(figure).cast("double"), F.col(f"computed_{figure}")
+        entry = F.struct(
+            F.lit(figure).alias("figure"), stored.alias("stored"), computed.alias("computed")
+        )
+        differing.append(F.when(F.abs(stored - computed) > tolerance, entry))
+    return with_batch_quality(batches).select(
+        "batch_id", "line_id", F.inline(F.array_compact(F.array(*differing)))
     )
 
 
@@ -135,21 +132,14 @@ def with_expected_repair(frame: DataFrame) -> DataFrame:
     )
 
 
-def repair_against_expected(status: DataFrame, intervals: DataFrame) -> DataFrame:
+def repair_against_expected(intervals: DataFrame) -> DataFrame:
     """Actual against expected repair time per downtime reason.
 
-    The reason is the one given by the event that opened the fault interval;
-    both sides meet on machine and start time.
+    ``intervals`` must carry the ``downtime_reason`` of the event that opened each.
     """
-    opening = status.filter(F.col("status") == schemas.FAULT).select(
-        "equipment_id", F.col("ts").alias("started"), "downtime_reason"
-    )
-    finished = intervals.filter(
-        (F.col("status") == schemas.FAULT) & F.col("ended").isNotNull()
-    ).select("equipment_id", "started", "ended")
-    spent = (F.unix_micros("ended") - F.unix_micros("started")).alias("us")
+    spent = F.unix_micros("ended") - F.unix_micros("started")
     actual = (
-        finished.join(opening, ["equipment_id", "started"])
+        intervals.filter((F.col("status") == schemas.FAULT) & F.col("ended").isNotNull())
         .groupBy("downtime_reason")
         .agg(F.count(F.lit(1)).alias("repairs"), F.sum(spent).alias("us"))
     )

@@ -10,6 +10,8 @@ machine.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ from millwright.session import materialize
 _SLOT_KEY = ["equipment_id", "slot"]
 
 
-def slot_changes(status: DataFrame, slot_s: int) -> DataFrame:
+def slot_changes(status: DataFrame, slot_s: int, carry: Sequence[str] = ()) -> DataFrame:
     """Each slot's first row and the rows that change the status inside the slot.
 
     This is the only step that sorts the full history. All later steps depend on
@@ -33,6 +35,7 @@ def slot_changes(status: DataFrame, slot_s: int) -> DataFrame:
         "event_id",
         F.coalesce("status", F.lit("")).alias("status"),
         F.expr(f"unix_seconds(ts) div {slot_s}").alias("slot"),
+        *carry,
     )
     order = Window.partitionBy(*_SLOT_KEY).orderBy("ts", "event_id")
     changes = (
@@ -45,6 +48,7 @@ def slot_changes(status: DataFrame, slot_s: int) -> DataFrame:
             "status",
             F.col("before").isNull().alias("opens"),
             F.lead("ts").over(order).alias("next_inside"),
+            *carry,
         )
     )
     return materialize(changes)
@@ -82,9 +86,14 @@ def slot_borders(changes: DataFrame) -> DataFrame:
     )
 
 
-def status_intervals(status: DataFrame, slot_s: int = 86_400) -> DataFrame:
-    """One row per uninterrupted status; the current one has no end yet."""
-    changes = slot_changes(status, slot_s)
+def status_intervals(
+    status: DataFrame, slot_s: int = 86_400, carry: Sequence[str] = ()
+) -> DataFrame:
+    """One row per uninterrupted status; the current one has no end yet.
+
+    ``carry`` names columns to take over from the event that opened the interval.
+    """
+    changes = slot_changes(status, slot_s, carry)
     ended = F.coalesce("next_inside", "next_outside")
     return (
         changes.join(slot_borders(changes), _SLOT_KEY)
@@ -96,6 +105,7 @@ def status_intervals(status: DataFrame, slot_s: int = 86_400) -> DataFrame:
             F.col("ts").alias("started"),
             ended.alias("ended"),
             seconds_between(F.col("ts"), ended).alias("seconds"),
+            *carry,
         )
     )
 

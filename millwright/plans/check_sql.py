@@ -361,9 +361,9 @@ FROM metrics GROUP BY 1, 2"""
 FROM line_events WHERE us > (SELECT us FROM now) - 30 * 24 * {_HOURS} GROUP BY 1, 2"""
         ),
         "batch_quality_mismatches": _dense(
-            """SELECT batch_id, line_id, defect_rate_pct, true_defect_rate AS computed_defect_rate_pct,
-       true_yield AS yield_pct, true_yield AS computed_yield_pct, cpk, true_cpk AS computed_cpk
-FROM quality_metrics WHERE k % 29 = 0 OR k % 31 = 0"""
+            """SELECT batch_id, line_id, 'defect_rate_pct' AS figure, defect_rate_pct AS stored,
+       true_defect_rate AS computed FROM quality_metrics WHERE k % 29 = 0
+UNION ALL SELECT batch_id, line_id, 'cpk', cpk, true_cpk FROM quality_metrics WHERE k % 31 = 0"""
         ),
         "planned_downtime_split": _dense(
             """SELECT line_id,

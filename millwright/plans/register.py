@@ -271,7 +271,9 @@ def mttr_by_line(spark, sf_dir):
 
 def repair_against_expected(spark, sf_dir):
     status = _calendar(spark, sf_dir).equipment_status
-    return enrich.repair_against_expected(status, intervals.status_intervals(status))
+    return enrich.repair_against_expected(
+        intervals.status_intervals(status, carry=("downtime_reason",))
+    )
 
 
 def invalid_fault_codes(spark, sf_dir):

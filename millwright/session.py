@@ -20,6 +20,7 @@ def build_session(app: str = "millwright", **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # column call sites cost a round trip each and help only when debugging
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )

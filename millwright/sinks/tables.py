@@ -110,7 +110,11 @@ def upsert(
         ).withColumn(HOUR, hour_of(F.col("time"))).write.mode("overwrite").parquet(f"{staged}/fresh")
         columns = [f.name for f in layout.fields] + [HOUR]
         fresh = spark.read.schema(_stored(layout)).parquet(f"{staged}/fresh").select(*columns)
-        current = _read_hours(spark, path, layout, _hours(fresh)).select(*columns)
+        hours = _hours(fresh)
+        if not hours:
+            folders.drop(spark, staged)
+            return
+        current = _read_hours(spark, path, layout, hours).select(*columns)
         kept = current.join(fresh.select(*keys), list(keys), "left_anti").select(*columns)
         kept.unionByName(fresh).write.mode("overwrite").parquet(f"{staged}/merged")
     publish(spark, f"{staged}/merged", path, layout)

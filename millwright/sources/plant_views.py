@@ -43,7 +43,7 @@ def _base(events: DataFrame, pace: int) -> DataFrame:
         "event_type AS kind",
         "event_type NOT IN ('error', 'signup') AS is_cycle",
         "cast(get_json_object(props, '$.k') AS int) AS k",
-        "cast(round(value * 100) AS bigint) AS v",
+        "cast(floor(value * 100 + 0.5D) AS bigint) AS v",
         _pick("LINE-A", "LINE-B", "LINE-C", "LINE-D", by="user_id % 4") + " AS line_id",
         "concat('WU-0', cast((user_id div 4) % 5 + 1 AS string)) AS work_unit_id",
     )

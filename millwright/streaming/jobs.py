@@ -43,9 +43,15 @@ def run(
     """Starts a query that hands each micro-batch to an idempotent sink."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # The batch inside is an ordinary query; let it adapt to its own sizes.
-        batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
-        sink(batch, batch_id)
+        # Streaming turns adaptive execution off for its own, stateful plans. What
+        # the sink runs are ordinary queries, which may adapt to the batch's size.
+        conf = batch.sparkSession.conf
+        before = conf.get("spark.sql.adaptive.enabled")
+        conf.set("spark.sql.adaptive.enabled", "true")
+        try:
+            sink(batch, batch_id)
+        finally:
+            conf.set("spark.sql.adaptive.enabled", before)
 
     writer = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if name:

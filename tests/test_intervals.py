@@ -71,7 +71,7 @@ def test_repair_against_expected(spark):
         status(760),
     ]
     frame = status_frame(spark, rows)
-    found = repair_against_expected(frame, status_intervals(frame)).collect()
+    found = repair_against_expected(status_intervals(frame, carry=["downtime_reason"])).collect()
     assert {(r.downtime_reason, r.actual_minutes, r.expected_minutes) for r in found} == {
         ("QUALITY_HOLD", 10.0, 60),
         ("SOMETHING_NEW", 1.0, 30),

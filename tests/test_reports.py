@@ -141,7 +141,7 @@ def test_batch_mismatches(spark):
     bad = batch(1, batch_id="BAD", yield_pct=90.0)
     empty = batch(2, batch_id="EMPTY", units_inspected=0, units_failed=0, defect_rate_pct=0.0, yield_pct=0.0)
     found = enrich.quality_mismatches(batch_frame(spark, [good, bad, empty])).collect()
-    assert [r.batch_id for r in found] == ["BAD"]
+    assert [tuple(r) for r in found] == [("BAD", "LINE-A", "yield_pct", 90.0, 96.0)]
 
 
 def test_fault_codes_and_domains(spark):
