@@ -17,6 +17,18 @@ def round_metric(x: Column, places: int) -> Column:
     return F.floor(x * scale + F.lit(0.5)) / scale
 
 
+def round_text(x: str, places: int) -> str:
+    """``round_metric`` as SQL text."""
+    scale = f"{10**places}D"
+    return f"floor(({x}) * {scale} + 0.5D) / {scale}"
+
+
+def text_literal(value: str) -> str:
+    """A SQL string literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def scaled(x: Column, places: int) -> Column:
     """``x`` as a whole number of ``10**-places`` steps.
 

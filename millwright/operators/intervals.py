@@ -57,7 +57,8 @@ def slot_changes(status: DataFrame, slot_s: int, carry: Sequence[str] = ()) -> D
 def slot_borders(changes: DataFrame) -> DataFrame:
     """Per slot: whether its first row is a change, and when the next slots first change."""
     opening, closing = F.col("opens"), F.col("next_inside").isNull()
-    slots = changes.groupBy(*_SLOT_KEY).agg(
+    # at most two rows of a slot matter here, whatever its size
+    slots = changes.filter(opening | closing).groupBy(*_SLOT_KEY).agg(
         F.max(F.when(opening, F.col("status"))).alias("opening_status"),
         F.max(F.when(opening, F.col("ts"))).alias("opening_ts"),
         F.max(F.when(opening, F.col("next_inside"))).alias("second_ts"),
@@ -87,7 +88,7 @@ def slot_borders(changes: DataFrame) -> DataFrame:
 
 
 def status_intervals(
-    status: DataFrame, slot_s: int = 86_400, carry: Sequence[str] = ()
+    status: DataFrame, slot_s: int = 900, carry: Sequence[str] = ()
 ) -> DataFrame:
     """One row per uninterrupted status; the current one has no end yet.
 

@@ -13,24 +13,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millwright import schemas
-from millwright.functions.numeric import count_if, round_metric, share, sum_if
+from millwright.functions.numeric import round_metric, round_text, text_literal
 
 
 def production_totals(downtime_types: Sequence[str] = schemas.DOWNTIME_EVENT_TYPES) -> list[Column]:
-    """Aggregates: seconds down, units made, units good and number of cycles.
+    """Aggregates: seconds down, units made and units good.
 
     Cycle events never count as downtime, and only cycle events make units;
     groups without any cycle keep their row.
     """
-    kind = F.col("event_type")
-    cycle = kind == schemas.CYCLE
-    made = F.coalesce(F.col("units_produced"), F.lit(0))
-    lost = F.coalesce(F.col("units_rejected"), F.lit(0))
+    stops = ", ".join(text_literal(kind) for kind in downtime_types)
+    cycle = f"event_type = {text_literal(schemas.CYCLE)}"
+    made, lost = "coalesce(units_produced, 0)", "coalesce(units_rejected, 0)"
     return [
-        sum_if(kind.isin(*downtime_types), F.col("downtime_s")).alias("down_s"),
-        sum_if(cycle, made).alias("total_units"),
-        sum_if(cycle, made - lost).alias("good_units"),
-        count_if(cycle).alias("cycles"),
+        F.expr(f"sum(if(event_type IN ({stops}), coalesce(downtime_s, 0), 0)) AS down_s"),
+        F.expr(f"sum(if({cycle}, {made}, 0)) AS total_units"),
+        F.expr(f"sum(if({cycle}, {made} - {lost}, 0)) AS good_units"),
     ]
 
 
@@ -47,28 +45,21 @@ def rate_totals(
     totals: DataFrame, keys: Sequence[str], planned_time_s: int = schemas.PLANNED_TIME_S
 ) -> DataFrame:
     """Availability, performance, quality and their product from production totals."""
-    planned = F.lit(planned_time_s)
-    up_s = planned - F.col("down_s")
-    made, good = F.col("total_units"), F.col("good_units")
-    rated = totals.select(
+    up_s = f"({int(planned_time_s)} - down_s)"
+    rated = totals.selectExpr(
         *keys,
-        F.greatest(F.lit(0.0), up_s / planned).alias("a"),
-        F.when(
-            made > 0,
-            F.least(F.lit(1.0), made * F.col("ideal_ms") / F.greatest(F.lit(1), up_s * 1000)),
-        )
-        .otherwise(0.0)
-        .alias("p"),
-        share(good, made).alias("q"),
+        f"greatest(0D, {up_s} / {int(planned_time_s)}) AS a",
+        f"if(total_units > 0, least(1D, total_units * ideal_ms / greatest(1, {up_s} * 1000)), 0D) AS p",
+        "if(total_units > 0, good_units / total_units, 0D) AS q",
         "total_units",
         "good_units",
     )
-    return rated.select(
+    return rated.selectExpr(
         *keys,
-        round_metric(F.col("a"), 4).alias("availability"),
-        round_metric(F.col("p"), 4).alias("performance"),
-        round_metric(F.col("q"), 4).alias("quality"),
-        round_metric(F.col("a") * F.col("p") * F.col("q"), 4).alias("oee"),
+        f"{round_text('a', 4)} AS availability",
+        f"{round_text('p', 4)} AS performance",
+        f"{round_text('q', 4)} AS quality",
+        f"{round_text('a * p * q', 4)} AS oee",
         "total_units",
         "good_units",
     )

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from millwright import schemas
 from millwright.functions.clock import instant, newer_than
+from millwright.operators.rollups import refreshed_hours
 from millwright.sinks import folders
 
 HOUR = "hour"
@@ -170,6 +171,20 @@ def read_hourly(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, _HOURLY).drop(HOUR).withColumnRenamed("time", "bucket")
 
 
+def refresh_hourly(
+    spark: SparkSession, metrics_path: str, hourly_path: str, as_of: datetime, *, batch: str | int
+) -> None:
+    """One run of the scheduled rollup refresh over the stored metric table.
+
+    Reads the last three hours of partitions only, recomputes the hours that are
+    complete and upserts them.
+    """
+    recent = in_hours(
+        read_table(spark, metrics_path, schemas.OEE_METRICS), as_of - timedelta(hours=3), as_of
+    )
+    upsert_hourly(hourly_path, refreshed_hours(recent, as_of), batch=batch)
+
+
 def alert_rows(found: DataFrame) -> DataFrame:
     """Alerts in the table's layout, with its defaults filled in.
 

@@ -119,6 +119,17 @@ def test_time_range_prunes_hours(spark, tmp_path):
     assert len(some.inputFiles()) == 5 and some.select("hour").distinct().count() == 2
 
 
+def test_scheduled_refresh_of_the_hourly_table(spark, tmp_path):
+    metrics, hourly = str(tmp_path / "metrics"), str(tmp_path / "hourly")
+    rows = [(h * 3600 + 60 * m, "LINE-A", h / 10) for h in range(5) for m in (1, 2)]
+    tables.upsert_oee_metrics(metrics, metric_rows(spark, *rows), batch=1)
+    for run, minute in enumerate((30, 59)):
+        as_of = datetime(2024, 3, 15, 12, minute)
+        tables.refresh_hourly(spark, metrics, hourly, as_of, batch=run)
+    found = tables.read_hourly(spark, hourly).orderBy("bucket").collect()
+    assert [(r.bucket.hour, r.avg_oee) for r in found] == [(10, 0.2), (11, 0.3)]
+
+
 def test_missing_tables_are_created_once(spark, tmp_path):
     root = str(tmp_path / "archive")
     assert archive.ensure_tables(spark, root) == ["line_events", "equipment_status", "quality_metrics"]
