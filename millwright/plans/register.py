@@ -29,7 +29,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # built once per session and data folder: (application, folder) -> archive root
 _ARCHIVES: dict[tuple[str, str], str] = {}
 
-_SNAPSHOT_STARTS = ("2024-01-01 00:00:00", "2024-01-11 00:00:00", "2024-01-21 00:00:00")
+# the second and the third snapshot start here
+_SNAPSHOT_BOUNDS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
 _OPERATOR_ID = T.StructType([T.StructField("operator_id", T.StringType())])
 
 
@@ -399,7 +400,7 @@ def append_alerts(spark, sf_dir):
     tables.append_alerts(path, plant.alerts.filter(~late), batch=0)
     for _ in range(2):
         tables.append_alerts(path, plant.alerts.filter(late), batch=1)
-    return tables.read_alerts(spark, path).drop("id", "created_at", "batch")
+    return tables.read_alerts(spark, path).drop("id", "created_at", "alert_date", "batch")
 
 
 def hot_retention(spark, sf_dir):
@@ -431,13 +432,15 @@ def _archive(spark: SparkSession, sf_dir: str) -> str:
     plant = _calendar(spark, sf_dir)
     root = scratch_path(spark, "archive")
     archive.ensure_tables(spark, root)
-    bounds = [F.lit(b).cast("timestamp") for b in _SNAPSHOT_STARTS]
+    bounds = [F.lit(b).cast("timestamp") for b in _SNAPSHOT_BOUNDS]
     for table in schemas.EVENT_TABLES:
         rows = getattr(plant, table)
-        for number, start in enumerate(bounds, 1):
-            part = rows.filter(F.col("ts") >= start)
-            if number < len(bounds):
-                part = part.filter(F.col("ts") < bounds[number])
+        for number in range(1, len(bounds) + 2):
+            part = rows
+            if number > 1:
+                part = part.filter(F.col("ts") >= bounds[number - 2])
+            if number <= len(bounds):
+                part = part.filter(F.col("ts") < bounds[number - 1])
             archive.append_snapshot(
                 root, table, part, number, committed_at=F.lit(f"2024-02-0{number} 00:00:00").cast("timestamp")
             )
@@ -505,7 +508,7 @@ def archive_added_column(spark, sf_dir):
     """A column added between two snapshots; older rows read as null."""
     plant = _calendar(spark, sf_dir)
     root = scratch_path(spark, "evolution")
-    change = F.lit(_SNAPSHOT_STARTS[1]).cast("timestamp")
+    change = F.lit(_SNAPSHOT_BOUNDS[0]).cast("timestamp")
     archive.append_snapshot(root, "line_events", plant.line_events.filter(F.col("ts") < change), 1)
     later = plant.line_events.filter(F.col("ts") >= change)
     named = later.withColumn("operator_id", F.concat(F.lit("OP-"), F.col("work_unit_id")))
@@ -559,7 +562,7 @@ def stream_precursors(spark, sf_dir):
     path = scratch_path(spark, "stream-alerts")
     status = plant_views.equipment_status(_event_stream(spark, sf_dir))
     _finish(jobs.run_alerts(status, f"{path}/table", f"{path}/checkpoint", once=True))
-    return tables.read_alerts(spark, f"{path}/table").drop("id", "created_at", "batch")
+    return tables.read_alerts(spark, f"{path}/table").drop("id", "created_at", "alert_date", "batch")
 
 
 def stream_archive(spark, sf_dir):

@@ -65,7 +65,7 @@ def append_snapshot(
     committed_at: Column | None = None,
     extra: T.StructType | None = None,
 ) -> None:
-    """Appends one batch as one snapshot.
+    """Appends one batch as one snapshot; a batch without rows leaves no trace.
 
     Rows are gathered by day and line before writing, which bounds the number
     of files; ``rebalance`` lets adaptive execution split a line that is too
@@ -93,11 +93,14 @@ def append_snapshot(
         .partitionBy(*PARTITIONS)
         .parquet(_data(root, table))
     )
+    added = written.get.get("rows", 0)
+    if added == 0:
+        return
     entry = spark.range(1).select(
         F.lit(snapshot_id).cast("bigint").alias("snapshot_id"),
         (F.current_timestamp() if committed_at is None else committed_at).alias("committed_at"),
         F.lit("append").alias("operation"),
-        F.lit(written.get["rows"]).cast("bigint").alias("added_records"),
+        F.lit(added).cast("bigint").alias("added_records"),
     )
     entry.write.mode("overwrite").parquet(f"{_log(root, table)}/snapshot={snapshot_id}")
 

@@ -205,15 +205,36 @@ def alert_rows(found: DataFrame) -> DataFrame:
     )
 
 
-def append_alerts(path: str, found: DataFrame, *, batch: str | int) -> None:
-    """Adds a batch of alerts; a repeated batch replaces its own earlier rows only."""
-    alert_rows(found).write.mode("overwrite").parquet(f"{path}/batch={batch}")
+def append_alerts(path: str, found: DataFrame, *, batch: int) -> None:
+    """Adds a batch of alerts; a repeated batch replaces its own earlier rows only.
+
+    Alerts are kept for good, so the table is partitioned by day; a batch without
+    alerts writes no file.
+    """
+    (
+        alert_rows(found)
+        .withColumns({"alert_date": F.to_date("timestamp"), "batch": F.lit(batch).cast("bigint")})
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("alert_date", "batch")
+        .parquet(path)
+    )
 
 
-def read_alerts(spark: SparkSession, path: str) -> DataFrame:
+def read_alerts(spark: SparkSession, path: str, since: datetime | None = None) -> DataFrame:
+    """The alert table, optionally from a moment on; earlier days are not read."""
+    layout = T.StructType(
+        schemas.ALERTS.fields
+        + [T.StructField("alert_date", T.DateType()), T.StructField("batch", T.LongType())]
+    )
     if not folders.has_data(spark, path):
-        return spark.createDataFrame([], schemas.ALERTS)
-    return spark.read.schema(schemas.ALERTS).parquet(path)
+        return spark.createDataFrame([], layout)
+    alerts = spark.read.schema(layout).parquet(path)
+    if since is None:
+        return alerts
+    return alerts.filter(
+        (F.col("alert_date") >= F.to_date(instant(since))) & (F.col("timestamp") >= instant(since))
+    )
 
 
 def apply_retention(

@@ -79,6 +79,7 @@ def decode(messages: DataFrame, table: str, *, payload: str = "payload") -> Data
     )
     broken = F.col("r").isNull() | F.col(f"r.{_BROKEN}").isNotNull()
     misfit = any_of([uncastable(F.col(f"r.{f.name}"), f.dataType) for f in contract.fields])
+    misfit = misfit | (F.col("r.timestamp").isNotNull() & parse_time(F.col("r.timestamp")).isNull())
     counted = parsed.observe(
         f"decode_{table}",
         F.count(F.lit(1)).alias("records"),

@@ -101,8 +101,10 @@ def run_archive(
 ) -> StreamingQuery:
     """Archives one topic; each micro-batch with rows becomes one snapshot."""
 
-    def append(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            archive.append_snapshot(root, table, batch, batch_id)
-
-    return run(events, append, checkpoint, every_s=every_s, **options)
+    return run(
+        events,
+        lambda batch, n: archive.append_snapshot(root, table, batch, n),
+        checkpoint,
+        every_s=every_s,
+        **options,
+    )

@@ -91,7 +91,10 @@ def test_alert_batches_are_idempotent(spark, tmp_path):
     found = fault_precursors(status_frame(spark, [status(0, temperature_c=90.0), fault(5)]))
     for _ in range(2):
         tables.append_alerts(path, found, batch=3)
-    (row,) = tables.read_alerts(spark, path).drop("batch").collect()
+    tables.append_alerts(path, found.filter("false"), batch=4)
+    (row,) = tables.read_alerts(spark, path).collect()
+    assert tables.read_alerts(spark, path, since=datetime(2024, 3, 16)).count() == 0
+    assert tables.read_alerts(spark, path, since=datetime(2024, 3, 15)).count() == 1
     assert row.acknowledged is False and row.created_at is not None
     assert float(row.temperature_c) == 90.0
 
@@ -191,6 +194,14 @@ def test_repeated_snapshot_replaces_itself(spark, tmp_path):
     assert archive.snapshots(spark, root, "quality_metrics").count() == 1
 
 
+def test_empty_batch_makes_no_snapshot(spark, tmp_path):
+    root = str(tmp_path)
+    archive.append_snapshot(root, "line_events", line_frame(spark, []), 0)
+    archive.append_snapshot(root, "line_events", line_frame(spark, [cycle()]).filter("line_id = 'X'"), 1)
+    assert archive.snapshots(spark, root, "line_events").count() == 0
+    assert archive.scan(spark, root, "line_events").count() == 0
+
+
 def test_unfinished_snapshot_is_invisible(spark, tmp_path):
     root = str(tmp_path)
     archive.append_snapshot(root, "line_events", line_frame(spark, [cycle()]), 0)
