@@ -22,10 +22,6 @@ def coerce(x: Column, kind: T.DataType) -> Column:
     return x.try_cast(kind.simpleString())
 
 
-def uncastable(x: Column, kind: T.DataType) -> Column:
-    return x.isNotNull() & coerce(x, kind).isNull()
-
-
 def parse_time(text: Column) -> Column:
     """ISO-8601 text, with or without offset, as an instant; null if unreadable."""
     return F.try_to_timestamp(text)

@@ -6,12 +6,12 @@ streaming reads return the same columns, so every operator runs on both.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millwright import schemas
-from millwright.functions.coerce import all_text, any_of, coerce, parse_time, uncastable
+from millwright.functions.coerce import all_text, any_of, coerce, parse_time
 
 _BROKEN = "_broken_record"
 
@@ -61,14 +61,20 @@ def text_feed(spark: SparkSession, path: str, *, streaming: bool = True, **optio
     return file_feed(spark, path, "payload string", kind="text", streaming=streaming, **options)
 
 
-def decode(messages: DataFrame, table: str, *, payload: str = "payload") -> DataFrame:
+def decode(
+    messages: DataFrame,
+    table: str,
+    *,
+    payload: str = "payload",
+    counts: Observation | str | None = None,
+) -> DataFrame:
     """JSON payloads to contract columns plus the event time ``ts``.
 
     Each field is read as text and then cast on its own, because a typed JSON
     read turns a number written as a string into null. Unreadable messages are
-    skipped. Under the observation name ``decode_<table>`` the query reports how
-    many messages were read, how many were skipped and in how many a field did
-    not fit its type.
+    skipped. Under the observation ``counts``, by default named
+    ``decode_<table>``, the query reports how many messages were read, how many
+    were skipped and in how many a field did not fit its type.
     """
     contract = schemas.EVENT_TABLES[table]
     text = T.StructType(all_text(contract).fields + [T.StructField(_BROKEN, T.StringType())])
@@ -78,18 +84,25 @@ def decode(messages: DataFrame, table: str, *, payload: str = "payload") -> Data
         ).alias("r")
     )
     broken = F.col("r").isNull() | F.col(f"r.{_BROKEN}").isNotNull()
-    misfit = any_of([uncastable(F.col(f"r.{f.name}"), f.dataType) for f in contract.fields])
-    misfit = misfit | (F.col("r.timestamp").isNotNull() & parse_time(F.col("r.timestamp")).isNull())
-    counted = parsed.observe(
-        f"decode_{table}",
-        F.count(F.lit(1)).alias("records"),
-        F.count(F.when(broken, 1)).alias("malformed"),
-        F.count(F.when(~broken & misfit, 1)).alias("misfits"),
-    )
-    return counted.filter(~broken).select(
+    # every field is cast once; counting misfits only compares the two sides
+    cast = parsed.select(
+        "r",
+        broken.alias("broken"),
         *[coerce(F.col(f"r.{f.name}"), _computing(f.dataType)).alias(f.name) for f in contract.fields],
         parse_time(F.col("r.timestamp")).alias("ts"),
     )
+    lost = [F.col(f"r.{f.name}").isNotNull() & F.col(f.name).isNull() for f in contract.fields]
+    lost.append(F.col("r.timestamp").isNotNull() & F.col("ts").isNull())
+    return (
+        cast.observe(
+            f"decode_{table}" if counts is None else counts,
+            F.count(F.lit(1)).alias("records"),
+            F.count(F.when(F.col("broken"), 1)).alias("malformed"),
+            F.count(F.when(~F.col("broken") & any_of(lost), 1)).alias("misfits"),
+        )
+        .filter(~F.col("broken"))
+        .drop("r", "broken")
+    )
 
 
 def _computing(kind: T.DataType) -> T.DataType:

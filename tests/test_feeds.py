@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 
 from conftest import cycle, line_frame
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from millwright.plans.check_sql import statements
@@ -36,6 +37,19 @@ def test_malformed_messages_are_skipped(spark):
     assert [r.event_id for r in found.collect()] == ["a"]
 
 
+def test_skipped_messages_and_misfits_are_counted(spark):
+    payloads = [
+        "{",
+        json.dumps({"event_id": "a", "downtime_s": "x"}),
+        json.dumps({"event_id": "b"}),
+        json.dumps({"event_id": "c", "timestamp": "yesterday", "units_produced": "1"}),
+    ]
+    messages = spark.createDataFrame([(p,) for p in payloads], "payload string")
+    counts = Observation()
+    assert len(decode(messages, "line_events", counts=counts).collect()) == 3
+    assert counts.get == {"records": 4, "malformed": 1, "misfits": 2}
+
+
 def test_booleans_and_measurements(spark):
     payload = {"event_id": "a", "planned_downtime": "false", "temperature_c": "85.1", "vibration_hz": None}
     (row,) = decoded(spark, "equipment_status", json.dumps(payload)).collect()
