@@ -54,13 +54,16 @@ def in_shift_startup(ts: Column, minutes: int = 15) -> Column:
     return F.unix_seconds(ts) - F.unix_seconds(shift_start(ts)) < minutes * 60
 
 
+def in_utc(moment: datetime) -> datetime:
+    """The moment with UTC as its zone; without a zone it already is UTC."""
+    return moment.astimezone(timezone.utc) if moment.tzinfo else moment.replace(tzinfo=timezone.utc)
+
+
 def instant(moment: Column | datetime | None) -> Column:
-    """A moment as a column: now if None; a datetime without a zone is UTC."""
+    """A moment as a column; None is now."""
     if moment is None:
         return F.current_timestamp()
-    if isinstance(moment, datetime):
-        return F.lit(moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc))
-    return moment
+    return F.lit(in_utc(moment)) if isinstance(moment, datetime) else moment
 
 
 def time_between(ts: Column, start=None, end=None) -> Column:

@@ -30,9 +30,8 @@ def _recency(event_id: T.DataType, pane_start: Column) -> Column:
     """
     offset = F.unix_micros("ts") - F.unix_micros(pane_start)
     number = F.col("event_id") if isinstance(event_id, T.IntegralType) else F.xxhash64("event_id")
-    return F.shiftleft(offset, _TIE_BITS).bitwiseOR(
-        number.cast("bigint").bitwiseAND(F.lit((1 << _TIE_BITS) - 1))
-    )
+    tie = F.coalesce(number.cast("bigint"), F.lit(0)).bitwiseAND(F.lit((1 << _TIE_BITS) - 1))
+    return F.shiftleft(offset, _TIE_BITS).bitwiseOR(tie)
 
 
 def capability_panes(batches: DataFrame, pane_s: int) -> DataFrame:

@@ -545,6 +545,12 @@ FROM line_events WHERE event_type = 'CYCLE_COMPLETE' AND line_id IN ('LINE-A', '
             _METRIC_ROWS
             + f"({_oee(f'(SELECT * FROM line_events WHERE {_SNAPSHOT} <= 2)', 3_600_000_000)})"
         ),
+        "archive_daily_quality": _calendar(
+            f"""SELECT {_ts('us // 86400000000 * 86400000000')} AS day, line_id,
+       (CAST(sum(units_produced - units_rejected) AS DOUBLE) / count(*))
+       / nullif(CAST(sum(units_produced) AS DOUBLE) / count(*), 0) AS avg_quality
+FROM line_events WHERE us > 1704499200000000 AND us <= 1707091200000000 GROUP BY 1, 2"""
+        ),
         "archive_added_column": _calendar(
             """SELECT CASE WHEN us >= 1704931200000000 THEN 'OP-' || work_unit_id END AS operator_id,
        CAST(CASE WHEN us >= 1704931200000000 THEN 2 ELSE 1 END AS BIGINT) AS snapshot_id, count(*) AS "rows"

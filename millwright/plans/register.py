@@ -8,7 +8,7 @@ event time of the table.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -504,6 +504,15 @@ def archive_oee_as_of(spark, sf_dir):
     return oee.oee_by_window(rows, window="1 hour")
 
 
+def archive_daily_quality(spark, sf_dir):
+    """Thirty days of daily quality from the archive; older days are pruned."""
+    as_of = datetime(2024, 2, 5)
+    rows = archive.scan(
+        spark, _archive(spark, sf_dir), "line_events", since=as_of - timedelta(days=30), until=as_of
+    )
+    return rollups.daily_quality(rows, as_of)
+
+
 def archive_added_column(spark, sf_dir):
     """A column added between two snapshots; older rows read as null."""
     plant = _calendar(spark, sf_dir)
@@ -640,6 +649,7 @@ _NAMED: tuple[Query, ...] = (
     archive_day_scan,
     archive_quality_summary,
     archive_oee_as_of,
+    archive_daily_quality,
     archive_added_column,
     archive_retention,
     stream_oee,

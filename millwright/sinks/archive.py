@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millwright import schemas
-from millwright.functions.clock import instant
+from millwright.functions.clock import in_utc, instant
 from millwright.sinks import folders, tables
 from millwright.sources.feeds import normalize
 
@@ -135,10 +135,15 @@ def snapshots(spark: SparkSession, root: str, table: str) -> DataFrame:
 def newest_snapshot(
     spark: SparkSession, root: str, table: str, as_of: datetime | None = None
 ) -> int | None:
-    """Id of the newest snapshot, or of the newest one committed by ``as_of``."""
-    log = snapshots(spark, root, table)
-    if as_of is not None:
-        log = log.filter(F.col("committed_at") <= instant(as_of))
+    """Id of the newest snapshot, or of the newest one committed by ``as_of``.
+
+    The current one is found from folder names, without reading the log.
+    """
+    path = _log(root, table)
+    if as_of is None:
+        ids = sorted((int(v) for v in folders.partition_values(spark, path, "snapshot")), reverse=True)
+        return next((n for n in ids if folders.exists(spark, f"{path}/snapshot={n}/_SUCCESS")), None)
+    log = snapshots(spark, root, table).filter(F.col("committed_at") <= instant(as_of))
     return log.agg(F.max("snapshot_id")).first()[0]
 
 
@@ -149,6 +154,8 @@ def scan(
     *,
     as_of_snapshot: int | None = None,
     as_of_time: datetime | None = None,
+    since: datetime | None = None,
+    until: datetime | None = None,
     where: Column | str | None = None,
     limit: int | None = None,
     extra: T.StructType | None = None,
@@ -156,13 +163,20 @@ def scan(
     """The table as it was after a snapshot, or at a time; by default as it is now.
 
     The snapshot bound is a literal on a partition column, so newer files are
-    pruned before anything is read.
+    pruned before anything is read. ``since`` and ``until`` bound the event time
+    and prune whole days.
     """
     newest = newest_snapshot(spark, root, table, as_of_time)
     bound = newest if as_of_snapshot is None else min(as_of_snapshot, -1 if newest is None else newest)
     rows = read_data(spark, root, table, extra=extra).filter(
         F.col("snapshot_id") <= (-1 if bound is None else bound)
     )
+    for moment, inside in ((since, lambda c, m: c >= m), (until, lambda c, m: c <= m)):
+        if moment is not None:
+            rows = rows.filter(
+                inside(F.col("ts"), instant(moment))
+                & inside(F.col("event_date"), F.lit(in_utc(moment).date()))
+            )
     if where is not None:
         rows = rows.filter(where)
     return rows if limit is None else rows.limit(limit)

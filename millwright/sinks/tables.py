@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millwright import schemas
-from millwright.functions.clock import instant, newer_than
+from millwright.functions.clock import in_utc, instant, newer_than
 from millwright.operators.rollups import refreshed_hours
 from millwright.sinks import folders
 
@@ -68,7 +68,7 @@ def in_hours(table: DataFrame, start: datetime | None, end: datetime | None) ->
     for bound, keep in ((start, lambda c, b: c >= b), (end, lambda c, b: c <= b)):
         if bound is not None:
             table = table.filter(
-                keep(F.col(HOUR), F.lit(bound.strftime("%Y-%m-%d-%H"))) & keep(F.col("time"), instant(bound))
+                keep(F.col(HOUR), F.lit(in_utc(bound).strftime("%Y-%m-%d-%H"))) & keep(F.col("time"), instant(bound))
             )
     return table
 
@@ -251,7 +251,7 @@ def apply_retention(
     Works on folder names; no data is read. The partition that contains the
     cutoff is kept. Returns the dropped partition values.
     """
-    cutoff = (as_of - timedelta(days=days)).strftime(fmt)
+    cutoff = (in_utc(as_of) - timedelta(days=days)).strftime(fmt)
     expired = [v for v in folders.partition_values(spark, path, column) if v < cutoff]
     for value in expired:
         folders.drop(spark, f"{path}/{column}={value}")

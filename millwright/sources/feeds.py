@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millwright import schemas
-from millwright.functions.coerce import all_text, any_of, coerce, parse_time
+from millwright.functions.coerce import all_text, any_of, coerce, iso_time, parse_time
 
 _BROKEN = "_broken_record"
 
@@ -118,17 +118,22 @@ def normalize(
     ``keep`` names further columns to carry along unchanged.
     """
     contract = schemas.EVENT_TABLES[table]
-    present = set(events.columns)
+    present = {f.name: f.dataType for f in events.schema.fields}
 
     def column(field: T.StructField):
+        if field.name == "timestamp" and "ts" in present:
+            written = iso_time(F.col("ts"))
+            return F.coalesce(F.col("timestamp"), written) if "timestamp" in present else written
         if field.name not in present:
             return F.lit(None).cast(field.dataType)
-        if field.name == "timestamp" and "ts" in present:
-            return F.coalesce(F.col("timestamp"), F.col("ts").cast("string"))
         source = F.col(field.name)
+        if present[field.name] == field.dataType:
+            return source
         if isinstance(field.dataType, T.StringType):
             return source.cast("string")
-        return coerce(source.cast("string"), field.dataType)
+        if isinstance(present[field.name], T.StringType):
+            return coerce(source, field.dataType)
+        return source.try_cast(field.dataType.simpleString())
 
     ts = F.col("ts") if "ts" in present else parse_time(F.col("timestamp"))
     stamp = F.current_timestamp() if ingested_at is None else ingested_at

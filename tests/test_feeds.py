@@ -63,6 +63,8 @@ def test_normalize_keeps_the_contract_only(spark):
     row = found.first()
     assert row.units_rejected is None and row.units_produced == 10 and row.ingested_at is not None
     assert found.select("ingested_at").distinct().count() == 1
+    assert row.timestamp == "2024-03-15T08:00:00.000000+00:00"
+    assert normalize(found, "line_events").first().timestamp == row.timestamp
 
 
 def test_text_feed_reads_lines(spark, tmp_path):

@@ -185,6 +185,14 @@ def test_day_and_line_prune_partitions(spark, history):
     assert "GreaterThan(units_produced,1)" in plan
 
 
+def test_time_bounds_prune_days(spark, history):
+    start, end = datetime(2024, 3, 17, 8, 0, 2), datetime(2024, 3, 17, 23)
+    rows = archive.scan(spark, history, "line_events", since=start, until=end)
+    assert rows.count() == 4
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("PartitionFilters: [")[1].split("]")[0].count("event_date") >= 2
+
+
 def test_repeated_snapshot_replaces_itself(spark, tmp_path):
     root = str(tmp_path)
     rows = batch_frame(spark, [batch(i, event_id=str(i)) for i in range(6)])
