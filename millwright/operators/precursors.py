@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 from millwright import schemas
 
 
+SLOT_S = 300
+
+
 def reading(name: str) -> Column:
     return F.coalesce(F.col(name).cast("double"), F.lit(0.0))
 
@@ -62,33 +65,39 @@ def alert_columns(temperature: Column) -> list[Column]:
     ]
 
 
+def in_slots(rows: DataFrame, within_s: int, slot_s: int) -> DataFrame:
+    """Adds the time slot; a row near a slot's end also appears in the next one.
+
+    ``home`` is the slot the row belongs to. A row at the end of its slot is
+    copied once, as history for the rows that follow.
+    """
+    if slot_s < within_s:
+        raise ValueError("a slot must be at least as long as the pattern window")
+    within, width = within_s * 1_000_000, slot_s * 1_000_000
+    return (
+        rows.withColumn("us", F.unix_micros("ts"))
+        .withColumn("home", F.expr(f"us div {width}"))
+        .withColumn(
+            "slot",
+            F.explode(
+                F.expr(f"if((home + 1) * {width} - us <= {within}, array(home, home + 1), array(home))")
+            ),
+        )
+    )
+
+
 def fault_precursors(
     status: DataFrame,
     *,
     high_temperature: float = schemas.HIGH_TEMPERATURE_C,
     high_vibration: float = schemas.HIGH_VIBRATION_HZ,
     within_s: int = schemas.PRECURSOR_WINDOW_S,
-    slot_s: int = 300,
+    slot_s: int = SLOT_S,
 ) -> DataFrame:
     """One row per fault that followed an arming reading; ``event_id`` is the fault's."""
-    if slot_s < within_s:
-        raise ValueError("a slot must be at least as long as the pattern window")
-    within, width = within_s * 1_000_000, slot_s * 1_000_000
-    rows = signal_rows(
-        status, high_temperature=high_temperature, high_vibration=high_vibration
-    ).withColumn("us", F.unix_micros("ts"))
-    home = F.expr(f"us div {width}")
-    near_end = (F.col("home") + 1) * width - F.col("us") <= within
-    slotted = rows.withColumn("home", home).withColumn(
-        "slot",
-        F.explode(
-            F.when(near_end, F.array(F.col("home"), F.col("home") + 1)).otherwise(
-                F.array(F.col("home"))
-            )
-        ),
-    )
+    rows = signal_rows(status, high_temperature=high_temperature, high_vibration=high_vibration)
     order = Window.partitionBy("equipment_id", "slot").orderBy("us", "event_id")
-    paired = slotted.select(
+    paired = in_slots(rows, within_s, slot_s).select(
         "*",
         F.lag("is_fault").over(order).alias("before_is_fault"),
         F.lag("us").over(order).alias("before_us"),
@@ -98,5 +107,5 @@ def fault_precursors(
         F.col("is_fault")
         & (F.col("slot") == F.col("home"))
         & ~F.col("before_is_fault")
-        & (F.col("us") - F.col("before_us") <= within)
+        & (F.col("us") - F.col("before_us") <= within_s * 1_000_000)
     ).select(*alert_columns(F.col("before_temperature")))

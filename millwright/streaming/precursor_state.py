@@ -1,10 +1,13 @@
 """Streaming form of the precursor alerts.
 
 Micro-batches deliver a machine's rows in no particular order, so rows wait in
-the machine's state until the watermark has passed them and are then judged in
-event-time order by the same neighbour rule as in batch. Only faults and arming
-readings enter the state, for as long as the watermark lags; the one row that
-is kept beyond that is the last one judged, for the length of the pattern.
+state until the watermark has passed them and are then judged in event-time
+order by the same neighbour rule as in batch. As in batch, state is kept per
+machine and time slot, so one busy machine, or the backlog of a first run,
+spreads over as many groups as it has slots. Only faults and arming readings
+enter the state, as one compact column block per group; the one row that is
+kept beyond the watermark is the last one judged, for the length of the
+pattern.
 """
 
 from __future__ import annotations
@@ -12,55 +15,74 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from millwright import schemas
-from millwright.operators.precursors import alert_columns, signal_rows
+from millwright.operators.precursors import SLOT_S, alert_columns, in_slots, signal_rows
 
 _ALERTS = (
     "us bigint, equipment_id string, line_id string, temperature_c double, "
     "fault_code string, event_id string"
 )
-_FIELDS = ["us", "event_key", "event_id", "line_id", "is_fault", "temperature_c", "fault_code"]
-_STATE = (
-    "waiting array<struct<us:bigint,event_key:bigint,event_id:string,line_id:string,"
-    "is_fault:boolean,temperature_c:double,fault_code:string>>, "
-    "last_us bigint, last_fault boolean, last_temperature double"
-)
+_STATE = "waiting binary, last_us bigint, last_fault boolean, last_temperature double"
 
 
 def _judge(within_us: int):
+    """The state function; it is shipped to the workers whole, helpers included."""
+    layout = pa.schema(
+        [
+            ("us", pa.int64()),
+            ("event_key", pa.int64()),
+            ("event_id", pa.string()),
+            ("line_id", pa.string()),
+            ("is_fault", pa.bool_()),
+            ("temperature_c", pa.float64()),
+            ("fault_code", pa.string()),
+            ("at_home", pa.bool_()),
+        ]
+    )
+
+    def pack(rows: pd.DataFrame) -> bytes:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, layout) as writer:
+            writer.write_table(pa.Table.from_pandas(rows, layout, preserve_index=False))
+        return sink.getvalue().to_pybytes()
+
+    def unpack(block: bytes) -> pd.DataFrame:
+        return pa.ipc.open_stream(pa.py_buffer(bytes(block))).read_all().to_pandas()
+
     def step(
         key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        waiting, last_us, last_fault, last_temperature = (
-            state.get if state.exists else ([], None, None, None)
+        block, last_us, last_fault, last_temperature = (
+            state.get if state.exists else (None, None, None, None)
         )
-        held = [pd.DataFrame([tuple(r) for r in waiting], columns=_FIELDS)] if waiting else []
-        held += [frame[_FIELDS] for frame in frames if len(frame)]
+        held = [unpack(block)] if block else []
+        held += [frame[layout.names] for frame in frames if len(frame)]
+        rows = pd.concat(held, ignore_index=True) if held else None
         watermark_us = state.getCurrentWatermarkMs() * 1000
-        rows = pd.concat(held, ignore_index=True) if held else pd.DataFrame(columns=_FIELDS)
-        rows = rows.sort_values(["us", "event_key", "event_id"], kind="stable", ignore_index=True)
-        cut = int(rows["us"].searchsorted(watermark_us, side="left")) if len(rows) else 0
-        ready, rest = rows.iloc[:cut], rows.iloc[cut:]
-
-        if len(ready):
-            before_us = ready["us"].shift(1)
-            before_fault = ready["is_fault"].shift(1)
-            before_temperature = ready["temperature_c"].shift(1)
+        due = None if rows is None else (rows["us"] < watermark_us).to_numpy()
+        ready = rest = None
+        if rows is not None and due.any():
+            ready = rows[due].sort_values(["us", "event_key", "event_id"], kind="stable")
+            rest = None if due.all() else rows[~due]
+        elif rows is not None:
+            rest = rows
+
+        if ready is not None:
+            before = ready[["us", "is_fault", "temperature_c"]].shift(1)
             if last_us is not None:
-                first = ready.index[0]
-                before_us.loc[first] = last_us
-                before_fault.loc[first] = last_fault
-                before_temperature.loc[first] = last_temperature
+                before.iloc[0] = [last_us, last_fault, last_temperature]
             hit = (
                 ready["is_fault"].astype(bool)
-                & before_us.notna()
-                & (before_fault == False)  # noqa: E712
-                & (ready["us"] - before_us <= within_us)
+                & ready["at_home"].astype(bool)
+                & before["us"].notna()
+                & (before["is_fault"] == False)  # noqa: E712
+                & (ready["us"] - before["us"].astype("float64") <= within_us)
             )
             found = ready[hit]
             if len(found):
@@ -69,7 +91,7 @@ def _judge(within_us: int):
                         "us": found["us"].astype("int64"),
                         "equipment_id": key[0],
                         "line_id": found["line_id"],
-                        "temperature_c": before_temperature[hit].astype("float64"),
+                        "temperature_c": before["temperature_c"][hit].astype("float64"),
                         "fault_code": found["fault_code"],
                         "event_id": found["event_id"],
                     }
@@ -82,22 +104,13 @@ def _judge(within_us: int):
         armed = last_us is not None and not last_fault and last_us + within_us >= watermark_us
         if not armed:
             last_us = last_fault = last_temperature = None
-        if len(rest) == 0 and not armed:
+        if rest is None and not armed:
             if state.exists:
                 state.remove()
             return
-        state.update(
-            (
-                [
-                    (int(r[0]), int(r[1]), r[2], r[3], bool(r[4]), float(r[5]), r[6])
-                    for r in rest[_FIELDS].itertuples(index=False)
-                ],
-                last_us,
-                last_fault,
-                last_temperature,
-            )
-        )
-        wake_us = int(rest["us"].iloc[0]) if len(rest) else last_us + within_us
+        block = None if rest is None else pack(rest)
+        state.update((block, last_us, last_fault, last_temperature))
+        wake_us = last_us + within_us if rest is None else int(rest["us"].min())
         state.setTimeoutTimestamp(max(wake_us // 1000 + 1, state.getCurrentWatermarkMs() + 1))
 
     return step
@@ -109,6 +122,7 @@ def precursor_stream(
     high_temperature: float = schemas.HIGH_TEMPERATURE_C,
     high_vibration: float = schemas.HIGH_VIBRATION_HZ,
     within_s: int = schemas.PRECURSOR_WINDOW_S,
+    slot_s: int = SLOT_S,
     delay: str = f"{schemas.WATERMARK_S} seconds",
 ) -> DataFrame:
     """Alerts of a status stream, in the columns of the batch operator.
@@ -125,19 +139,20 @@ def precursor_stream(
         or_else=F.col("ts") < F.lit("0001-01-01 00:00:00").cast("timestamp"),
     )
     whole = isinstance(status.schema["event_id"].dataType, T.IntegralType)
-    event_key = F.col("event_id").cast("bigint") if whole else F.lit(0).cast("bigint")
-    keyed = rows.select(
+    keyed = in_slots(rows, within_s, slot_s).select(
         "equipment_id",
+        "slot",
         "ts",
-        F.unix_micros("ts").alias("us"),
-        event_key.alias("event_key"),
+        "us",
+        (F.col("event_id").cast("bigint") if whole else F.lit(0).cast("bigint")).alias("event_key"),
         F.col("event_id").cast("string").alias("event_id"),
         "line_id",
         "is_fault",
         "temperature_c",
         "fault_code",
+        (F.col("slot") == F.col("home")).alias("at_home"),
     )
-    found = keyed.groupBy("equipment_id").applyInPandasWithState(
+    found = keyed.groupBy("equipment_id", "slot").applyInPandasWithState(
         _judge(within_s * 1_000_000), _ALERTS, _STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
     return found.withColumn("ts", F.timestamp_micros("us")).select(
