@@ -25,6 +25,8 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # plans are searched for pushed filters, which are cut short by default
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
