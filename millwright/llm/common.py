@@ -2,6 +2,7 @@
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,9 @@ from millwright.session import scratch_path
 
 #: texts handed to Python at a time, in bytes; one longer text comes alone
 BATCH_BYTES = 8 << 20
+#: bits of the filters sent to tasks; a full filter lets everything pass and only costs time
+FILTER_BITS = 1 << 25
+_BITMAP = 1 << 15
 
 Work = Callable[[list[bytes]], dict[str, Sequence]]
 
@@ -51,3 +55,24 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bit_filter(rows: DataFrame, column: str) -> np.ndarray:
+    """A filter of fixed size that holds a long column, put together in Spark as bitmaps."""
+    slot = F.pmod(F.col(column), F.lit(FILTER_BITS)).alias("slot")
+    parts = (
+        rows.select(slot)
+        .groupBy(F.floor(F.col("slot") / _BITMAP).alias("part"))
+        .agg(F.bitmap_construct_agg(F.pmod("slot", F.lit(_BITMAP))).alias("bits"))
+    )
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    # at most FILTER_BITS / 2^15 rows of 4 KB
+    for row in parts.toLocalIterator():
+        bits[row["part"] * _BITMAP // 8 :][: _BITMAP // 8] = np.frombuffer(row["bits"], np.uint8)
+    return bits
+
+
+def in_filter(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which longs the filter may hold; those it holds are always among them."""
+    slot = values.astype(np.int64) % FILTER_BITS
+    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
