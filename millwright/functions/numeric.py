@@ -1,9 +1,11 @@
 """Rounding and order-independent averages.
 
 Floating sums depend on the order partial results are merged in, so two runs
-of one distributed query may differ in the last bit. The measured values have
-a fixed number of decimals; summing them as scaled integers is exact, stays in
-hash aggregation with 8-byte buffers, and needs one division at the end.
+of one distributed query may differ in the last bit. Sums are therefore taken
+of whole numbers, which stay in hash aggregation and need one division at the
+end: of eight bytes where a stored figure has a fixed number of decimals, and
+of decimals in steps of 10**-12 for measurements, whose precision is kept up
+to 16 digits.
 """
 
 from __future__ import annotations
@@ -46,6 +48,20 @@ def exact_mean(x: Column, places: int) -> Column:
     return mean_of_scaled(F.sum(scaled(x, places)), F.count(x), places)
 
 
+def fine(x: Column) -> Column:
+    """A measurement as a whole number of 10**-12 steps, wide enough for sums over any number of rows."""
+    return F.rint(x.cast("double") * F.lit(1e12)).cast("decimal(26,0)")
+
+
+def mean_of_fine(total: Column, count: Column) -> Column:
+    return total.cast("double") / (count * F.lit(1e12))
+
+
+def fine_mean(x: Column) -> Column:
+    """Aggregate: average of a measurement; nulls are skipped."""
+    return mean_of_fine(F.sum(fine(x)), F.count(x))
+
+
 def count_if(condition: Column) -> Column:
     """Aggregate: rows where the condition holds."""
     return F.count(F.when(condition, F.lit(1)))

@@ -8,6 +8,7 @@ copied, so the copied data no longer grows with the event rate.
 from __future__ import annotations
 
 import math
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,36 +16,32 @@ from pyspark.sql import types as T
 
 from millwright import schemas
 from millwright.functions.capability import cpk
-from millwright.functions.numeric import mean_of_scaled, round_metric, scaled
-
-_PLACES = 4
-_TIE_BITS = 37
+from millwright.functions.numeric import fine, mean_of_fine, round_metric
 
 
 def _recency(event_id: T.DataType, pane_start: Column) -> Column:
-    """An eight-byte key that orders the rows of one pane by (ts, event_id).
+    """A key that orders the rows of one pane by (ts, event_id).
 
-    The offset inside the pane fills the high bits and the id the low ones. A
-    fixed-width key keeps ``max_by`` in hash aggregation; a struct key would
-    force Spark to sort every input row first.
+    For whole-number ids it is one decimal, the offset inside the pane before
+    all 64 bits of the id; its fixed width keeps ``max_by`` in hash
+    aggregation. Text ids are compared as they are.
     """
     offset = F.unix_micros("ts") - F.unix_micros(pane_start)
-    number = F.col("event_id") if isinstance(event_id, T.IntegralType) else F.xxhash64("event_id")
-    tie = F.coalesce(number.cast("bigint"), F.lit(0)).bitwiseAND(F.lit((1 << _TIE_BITS) - 1))
-    return F.shiftleft(offset, _TIE_BITS).bitwiseOR(tie)
+    if not isinstance(event_id, T.IntegralType):
+        return F.struct(offset, F.coalesce(F.col("event_id").cast("string"), F.lit("")))
+    number = F.coalesce(F.col("event_id").cast("decimal(20,0)"), F.lit(0))
+    return (offset.cast("decimal(10,0)") * F.lit(Decimal(1 << 64)) + number).cast("decimal(38,0)")
 
 
 def capability_panes(batches: DataFrame, pane_s: int) -> DataFrame:
     """Additive parts of the capability of one line over one pane."""
-    if pane_s > 67:
-        raise ValueError("a pane may be at most 67 s long")
     sigma = F.col("measured_stddev")
     keyed = batches.select(
         F.coalesce("line_id", F.lit(schemas.UNKNOWN)).alias("line_id"),
         "ts",
         F.window("ts", f"{pane_s} seconds").alias("pane"),
-        F.coalesce(scaled(F.col("measured_mean"), _PLACES), F.lit(0)).alias("mean_steps"),
-        F.when(sigma > 0, scaled(sigma, _PLACES)).alias("sigma_steps"),
+        F.coalesce(fine(F.col("measured_mean")), F.lit(0)).alias("mean_steps"),
+        F.when(sigma > 0, fine(sigma)).alias("sigma_steps"),
         F.coalesce(F.col("spec_upper").cast("double"), F.lit(0.0)).alias("spec_upper"),
         F.coalesce(F.col("spec_lower").cast("double"), F.lit(0.0)).alias("spec_lower"),
         "event_id",
@@ -73,8 +70,6 @@ def rolling_cpk(
     watermarked stream.
     """
     pane_s = math.gcd(window_s, slide_s)
-    while pane_s > 67:
-        pane_s //= next(d for d in range(2, pane_s + 1) if pane_s % d == 0)
     panes = capability_panes(batches, pane_s)
     rolled = panes.groupBy(
         F.window(F.window_time("pane"), f"{window_s} seconds", f"{slide_s} seconds").alias("span"),
@@ -90,8 +85,8 @@ def rolling_cpk(
     rated = rolled.filter((F.col("window_batches") >= 2) & (F.col("sigma_n") > 0)).select(
         F.col("span.end").alias("time"),
         "line_id",
-        mean_of_scaled(F.col("mean_sum"), F.col("window_batches"), _PLACES).alias("m"),
-        mean_of_scaled(F.col("sigma_sum"), F.col("sigma_n"), _PLACES).alias("s"),
+        mean_of_fine(F.col("mean_sum"), F.col("window_batches")).alias("m"),
+        mean_of_fine(F.col("sigma_sum"), F.col("sigma_n")).alias("s"),
         "upper",
         "lower",
         "window_batches",

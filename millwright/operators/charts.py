@@ -1,8 +1,9 @@
 """Control limits for quality measurements.
 
-Mean and spread come from exact sums of the scaled values and of their
-squares, so each line's limits need one hash aggregation and do not depend on
-the order of rows.
+The centre is an exact average. The spread is Spark's sample deviation, which
+merges counts, means and squared distances, so it neither overflows nor
+cancels; each line's limits need one hash aggregation, combined on the map
+side.
 """
 
 from __future__ import annotations
@@ -11,39 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millwright.functions.clock import instant, shift_of, shift_start
-from millwright.functions.numeric import round_metric, scaled, share
+from millwright.functions.numeric import fine_mean, round_metric, share
 from millwright.operators.bounded import join_summary
 
 
-def sigma_limits(batches: DataFrame, column: str, places: int) -> DataFrame:
-    """Per line: mean, sample standard deviation and mean plus and minus three sigma."""
-    steps = scaled(F.col(column), places)
-    # eight-byte sums per line and hour, combined as decimals: wide arithmetic
-    # runs once per hour instead of once per row
-    hourly = (
-        batches.select("line_id", F.date_trunc("HOUR", "ts").alias("hour"), steps.alias("x"))
-        .groupBy("line_id", "hour")
-        .agg(
-            F.count("x").alias("n"),
-            F.sum("x").alias("s1"),
-            F.sum(F.col("x") * F.col("x")).alias("s2"),
-        )
-    )
-    sums = hourly.groupBy("line_id").agg(
-        F.sum("n").alias("n"),
-        F.sum("s1").alias("s1"),
-        F.sum(F.col("s2").cast("decimal(19,0)")).alias("s2"),
-    )
-    n, s1, s2 = F.col("n"), F.col("s1"), F.col("s2")
-    unit = F.lit(10.0**places)
-    mean = s1.cast("double") / (n * unit)
-    # n * s2 - s1 * s1 is a whole number; taken exactly it cannot cancel
-    numerator = n.cast("decimal(12,0)") * s2.cast("decimal(26,0)") - s1.cast(
-        "decimal(19,0)"
-    ) * s1.cast("decimal(19,0)")
-    variance = numerator.cast("double") / (n.cast("double") * (n - 1).cast("double"))
-    sigma = F.when(n > 1, F.sqrt(variance) / unit)
-    return sums.select("line_id", mean.alias("center"), sigma.alias("sigma")).select(
+def sigma_limits(batches: DataFrame, column: str) -> DataFrame:
+    """Per line: mean and mean plus and minus three sample standard deviations."""
+    x = F.col(column).cast("double")
+    sums = batches.groupBy("line_id").agg(fine_mean(x).alias("center"), F.stddev_samp(x).alias("sigma"))
+    return sums.select(
         "line_id",
         round_metric(F.col("center"), 4).alias("center"),
         round_metric(F.col("center") + 3 * F.col("sigma"), 4).alias("ucl"),
@@ -53,7 +30,7 @@ def sigma_limits(batches: DataFrame, column: str, places: int) -> DataFrame:
 
 def defect_rate_chart(batches: DataFrame) -> DataFrame:
     """Defect rate of every batch with its line's control limits."""
-    limits = sigma_limits(batches, "defect_rate_pct", 2)
+    limits = sigma_limits(batches, "defect_rate_pct")
     rate = F.col("defect_rate_pct").cast("double")
     return join_summary(
         batches.select("batch_id", "line_id", "ts", "defect_rate_pct"), limits, ["line_id"]
@@ -71,7 +48,7 @@ def defect_rate_chart(batches: DataFrame) -> DataFrame:
 
 def xbar_chart(batches: DataFrame) -> DataFrame:
     """Measured mean of every batch with spec limits and its line's control limits."""
-    limits = sigma_limits(batches, "measured_mean", 4)
+    limits = sigma_limits(batches, "measured_mean")
     mean = F.col("measured_mean").cast("double")
     return join_summary(
         batches.select("batch_id", "line_id", "ts", "measured_mean", "spec_upper", "spec_lower"),

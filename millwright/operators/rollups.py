@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from millwright import schemas
 from millwright.functions.clock import instant, newer_than
-from millwright.functions.numeric import exact_mean, round_metric, share
+from millwright.functions.numeric import exact_mean, fine_mean, round_metric, share
 
 
 
@@ -175,7 +175,7 @@ def sensor_trend(status: DataFrame, window: str = "1 minute") -> DataFrame:
     return (
         status.groupBy(F.window("ts", window).alias("span"), "equipment_id")
         .agg(
-            *[exact_mean(F.col(c), 2).alias(f"avg_{c}") for c in _SENSORS],
+            *[fine_mean(F.col(c)).alias(f"avg_{c}") for c in _SENSORS],
             *[F.max(F.col(c).cast("double")).alias(f"max_{c}") for c in _SENSORS],
         )
         .select(F.col("span.end").alias("time"), "equipment_id", *_sensor_columns())

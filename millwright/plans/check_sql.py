@@ -15,9 +15,15 @@ def _round(x: str, places: int) -> str:
 
 
 def _mean(x: str, places: int) -> str:
+    """The average of a stored figure, which has so many decimals by its type."""
     return f"CAST(sum(CAST(round({x} * 1e{places}) AS BIGINT)) AS DOUBLE) / (count({x}) * 1e{places})"
 
 
+def _fine_mean(x: str) -> str:
+    """The average of a measurement; its sum is taken in decimals, so that it depends on no order."""
+    return f"CAST(sum(CAST({x} AS DECIMAL(38, 12))) * 1000000000000 AS DOUBLE) / (count({x}) * 1e12)"
+
+
 def _ts(us: str) -> str:
     return f"make_timestamp(CAST({us} AS BIGINT))"
 
@@ -108,6 +114,21 @@ FROM (SELECT *,
     }
 
 
+def _capability(batches: str, mean) -> str:
+    return f"""
+SELECT time_us, line_id, {_round('''CASE WHEN upper > lower
+          THEN least((upper - m) / (3e0 * s), (m - lower) / (3e0 * s)) ELSE 0e0 END''', 3)} AS rolling_cpk,
+       {_round('m', 4)} AS rolling_mean, {_round('s', 4)} AS rolling_stddev, n AS window_batches
+FROM (SELECT time_us, line_id, count(*) AS n, {mean('measured_mean')} AS m, {mean('positive')} AS s,
+             last(spec_upper ORDER BY us, event_id) AS upper,
+             last(spec_lower ORDER BY us, event_id) AS lower
+      FROM (SELECT *, (us // 60000000 + i) * 60000000 AS time_us,
+                   CASE WHEN measured_stddev > 0 THEN measured_stddev END AS positive
+            FROM {batches}, unnest(range(1, 11)) AS r(i))
+      GROUP BY 1, 2)
+WHERE n >= 2 AND s IS NOT NULL"""
+
+
 def _oee(events: str, width_us: int, planned: int = 3600, kinds: str | None = None) -> str:
     kinds = kinds or "'FAULT', 'STOP', 'PLANNED_STOP', 'CHANGEOVER'"
     return f"""
@@ -130,19 +151,7 @@ _DERIVED = {
     "now": "SELECT max(us) AS us FROM base",
     "closed": "SELECT us // 1000 * 1000 - 45000000 AS us FROM now",
     "metrics": _oee("line_events", 60_000_000),
-    "stats": f"""
-SELECT time_us, line_id, {_round('''CASE WHEN upper > lower
-           THEN least((upper - m) / (3e0 * s), (m - lower) / (3e0 * s)) ELSE 0e0 END''', 3)} AS rolling_cpk,
-       {_round('m', 4)} AS rolling_mean, {_round('s', 4)} AS rolling_stddev, n AS window_batches
-FROM (SELECT time_us, line_id, count(*) AS n, {_mean('measured_mean', 4)} AS m,
-             {_mean('positive', 4)} AS s,
-             last(spec_upper ORDER BY us, event_id) AS upper,
-             last(spec_lower ORDER BY us, event_id) AS lower
-      FROM (SELECT *, (us // 60000000 + i) * 60000000 AS time_us,
-                   CASE WHEN measured_stddev > 0 THEN measured_stddev END AS positive
-            FROM quality_metrics, unnest(range(1, 11)) AS r(i))
-      GROUP BY 1, 2)
-WHERE n >= 2 AND s IS NOT NULL""",
+    "stats": _capability("quality_metrics", _fine_mean),
     "alerts": """
 SELECT us, equipment_id, line_id, 'THERMAL_FAULT_PRECURSOR' AS alert_type, 'HIGH' AS severity,
        before_temperature AS temperature_c, fault_code, event_id, fault_code < 'E-200' AS acknowledged
@@ -211,6 +220,9 @@ _HOURLY_ROWS = (
     "avg_performance, avg_quality FROM hourly"
 )
 _HOURS = "3600000000"
+_FINE = """(SELECT us, event_id, line_id, spec_upper, spec_lower,
+       measured_mean + (event_id % 9973) / 1e7 AS measured_mean,
+       measured_stddev / 1024 + (event_id % 9973) / 1e8 AS measured_stddev FROM quality_metrics)"""
 _SNAPSHOT = "CASE WHEN us < 1704931200000000 THEN 1 WHEN us < 1705795200000000 THEN 2 ELSE 3 END"
 _ARCHIVED = (
     f"SELECT CAST(event_id AS VARCHAR) AS event_id, {_ts('us')} AS ts, line_id, event_type, "
@@ -227,18 +239,12 @@ FROM {table} WHERE {tag} % 13 <> 0"""
     )
 
 
-def _limits(value: str, places: int) -> str:
-    """Per line: center and three-sigma limits, from whole-number sums."""
+def _limits(value: str) -> str:
+    """Per line: center and three-sigma limits."""
     return f"""
 limits AS (
   SELECT line_id, {_round('c', 4)} AS center, {_round('c + 3 * s', 4)} AS ucl, {_round('c - 3 * s', 4)} AS lcl
-  FROM (SELECT line_id, CAST(s1 AS DOUBLE) / (n * 1e{places}) AS c,
-               CASE WHEN n > 1 THEN sqrt(CAST(n * s2 - s1 * s1 AS DOUBLE)
-                    / (CAST(n AS DOUBLE) * CAST(n - 1 AS DOUBLE))) / 1e{places} END AS s
-        FROM (SELECT line_id, CAST(count(*) AS HUGEINT) AS n, CAST(sum(x) AS HUGEINT) AS s1,
-                     CAST(sum(x * x) AS HUGEINT) AS s2
-              FROM (SELECT line_id, CAST(round({value} * 1e{places}) AS BIGINT) AS x FROM quality_metrics)
-              GROUP BY 1)))"""
+  FROM (SELECT line_id, {_fine_mean(value)} AS c, stddev_samp({value}) AS s FROM quality_metrics GROUP BY 1))"""
 
 
 def statements() -> dict[str, str]:
@@ -249,6 +255,10 @@ def statements() -> dict[str, str]:
             _METRIC_ROWS + f"({_oee('line_events', 60_000_000, 1800, chr(39) + 'FAULT' + chr(39))})"
         ),
         "rolling_cpk": _dense(_STAT_ROWS),
+        "rolling_cpk_fine": _dense(
+            f"""SELECT {_ts('time_us')} AS time, line_id, rolling_cpk, rolling_mean, rolling_stddev, window_batches
+FROM ({_capability(_FINE, 'avg({})'.format)})"""
+        ),
         "fault_precursors": _dense(
             f"SELECT {_ts('us')} AS timestamp, equipment_id, line_id, alert_type, severity, "
             "temperature_c, fault_code, event_id FROM alerts"
@@ -478,11 +488,11 @@ FROM quality_metrics, (SELECT {_shift_start('us')} AS start_us FROM now) WHERE u
        rolling_cpk >= 1.33e0 AS well_capable FROM stats"""
         ),
         "defect_rate_chart": _dense("").rstrip()
-        + f""",{_limits('defect_rate_pct', 2)}
+        + f""",{_limits('defect_rate_pct')}
 SELECT batch_id, line_id, {_ts('us')} AS time, defect_rate_pct, center, ucl, greatest(0e0, lcl) AS lcl,
        defect_rate_pct > ucl AS out_of_control FROM quality_metrics JOIN limits USING (line_id)""",
         "xbar_chart": _dense("").rstrip()
-        + f""",{_limits('measured_mean', 4)}
+        + f""",{_limits('measured_mean')}
 SELECT batch_id, line_id, {_ts('us')} AS time, measured_mean, spec_upper, spec_lower, center, ucl, lcl,
        measured_mean > ucl OR measured_mean < lcl AS out_of_control
 FROM quality_metrics JOIN limits USING (line_id)""",
@@ -497,7 +507,7 @@ FROM quality_metrics JOIN limits USING (line_id)""",
         "sensor_trend": _dense(
             f"SELECT {_ts('(us // 60000000 + 1) * 60000000')} AS time, equipment_id, "
             + ", ".join(
-                f"{_mean(c, 2)} AS avg_{c}, max({c}) AS max_{c}"
+                f"{_fine_mean(c)} AS avg_{c}, max({c}) AS max_{c}"
                 for c in ("temperature_c", "vibration_hz", "power_kw")
             )
             + " FROM equipment_status GROUP BY 1, 2"
@@ -510,6 +520,23 @@ FROM line_events WHERE event_type = 'CYCLE_COMPLETE'"""
         "upsert_oee_metrics": _dense(_METRIC_ROWS + "metrics"),
         "upsert_quality_stats": _dense(_STAT_ROWS),
         "append_alerts": _dense(_ALERT_ROWS),
+        "upsert_after_restart": _dense(_METRIC_ROWS + "metrics"),
+        "alerts_after_restart": _dense(_ALERT_ROWS),
+        "archive_after_restart": _calendar(
+            f"""SELECT CAST(event_id AS VARCHAR) AS event_id, {_ts('us')} AS ts, line_id, event_type,
+       CAST(units_produced AS INTEGER) AS units_produced,
+       CAST(CASE WHEN us < 1704931200000000 THEN 0 ELSE 1 END AS BIGINT) AS snapshot_id FROM line_events"""
+        ),
+        "archive_gap": _calendar(
+            f"""SELECT CAST(dayofmonth({_ts('us')}) % 3 AS BIGINT) AS snapshot_id, line_id, count(*) AS "rows"
+FROM line_events WHERE dayofmonth({_ts('us')}) % 3 <> 1 GROUP BY 1, 2"""
+        ),
+        "archive_tables_after_retention": _calendar(
+            """SELECT 'line_events' AS "table", 1 AS snapshots, count(*) AS "rows" FROM line_events
+UNION ALL SELECT 'equipment_status', 1, count(*) FROM equipment_status
+UNION ALL SELECT 'quality_metrics', 2, count(*) FROM quality_metrics WHERE us >= 1704931200000000"""
+        ),
+        "archive_first_rows": _calendar('SELECT least(100, count(*)) AS "rows" FROM line_events'),
         "hot_retention": _calendar(
             _METRIC_ROWS + f"({_oee('line_events', 3_600_000_000)}) WHERE time_us >= 1706054400000000"
         ),

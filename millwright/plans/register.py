@@ -111,6 +111,19 @@ def rolling_cpk(spark, sf_dir):
     return Plant(spark, sf_dir).stats
 
 
+def rolling_cpk_fine(spark, sf_dir):
+    """Capability over readings with seven decimals and spreads of a few thousandths."""
+    plant = Plant(spark, sf_dir)
+    steps = F.col("event_id") % 9973
+    fine = plant.quality_metrics.withColumns(
+        {
+            "measured_mean": F.col("measured_mean") + steps / 10000000,
+            "measured_stddev": F.col("measured_stddev") / 1024 + steps / 100000000,
+        }
+    )
+    return capability.rolling_cpk(fine)
+
+
 def fault_precursors(spark, sf_dir):
     return Plant(spark, sf_dir).alerts.drop("acknowledged")
 
@@ -397,10 +410,30 @@ def append_alerts(spark, sf_dir):
     plant = Plant(spark, sf_dir)
     path = scratch_path(plant.spark, "alerts")
     late = F.hour("timestamp") > 0
-    tables.append_alerts(path, plant.alerts.filter(~late), batch=0)
+    tables.append_alerts(path, plant.alerts.filter(~late), batch=0, run="r")
     for _ in range(2):
-        tables.append_alerts(path, plant.alerts.filter(late), batch=1)
-    return tables.read_alerts(spark, path).drop("id", "created_at", "alert_date", "batch")
+        tables.append_alerts(path, plant.alerts.filter(late), batch=1, run="r")
+    return tables.read_alerts(spark, path).drop("id", "created_at", "alert_date", "run", "batch")
+
+
+def upsert_after_restart(spark, sf_dir):
+    """Two runs whose batches have the same numbers, and a repetition of the first; the odd minutes come second."""
+    plant = Plant(spark, sf_dir)
+    path = scratch_path(plant.spark, "oee-restart")
+    for rest in (0, 1, 0):
+        part = plant.metrics.filter(F.minute("time") % 2 == rest)
+        tables.upsert_oee_metrics(path, part, batch=0)
+    return tables.read_table(spark, path, schemas.OEE_METRICS).drop(tables.HOUR)
+
+
+def alerts_after_restart(spark, sf_dir):
+    """Two runs append their alerts, both as batch 0, the second twice."""
+    plant = Plant(spark, sf_dir)
+    path = scratch_path(plant.spark, "alerts-restart")
+    odd = F.minute("timestamp") % 2 == 1
+    for run, part in (("first", ~odd), ("second", odd), ("second", odd)):
+        tables.append_alerts(path, plant.alerts.filter(part), batch=0, run=run)
+    return tables.read_alerts(spark, path).drop("id", "created_at", "alert_date", "run", "batch")
 
 
 def hot_retention(spark, sf_dir):
@@ -442,7 +475,7 @@ def _archive(spark: SparkSession, sf_dir: str) -> str:
             if number <= len(bounds):
                 part = part.filter(F.col("ts") < bounds[number - 1])
             archive.append_snapshot(
-                root, table, part, number, committed_at=F.lit(f"2024-02-0{number} 00:00:00").cast("timestamp")
+                root, table, part, number, run="r", committed_at=F.lit(f"2024-02-0{number} 00:00:00").cast("timestamp")
             )
     _ARCHIVES[key] = root
     return root
@@ -518,10 +551,10 @@ def archive_added_column(spark, sf_dir):
     plant = _calendar(spark, sf_dir)
     root = scratch_path(spark, "evolution")
     change = F.lit(_SNAPSHOT_BOUNDS[0]).cast("timestamp")
-    archive.append_snapshot(root, "line_events", plant.line_events.filter(F.col("ts") < change), 1)
+    archive.append_snapshot(root, "line_events", plant.line_events.filter(F.col("ts") < change), 1, run="r")
     later = plant.line_events.filter(F.col("ts") >= change)
     named = later.withColumn("operator_id", F.concat(F.lit("OP-"), F.col("work_unit_id")))
-    archive.append_snapshot(root, "line_events", named, 2, extra=_OPERATOR_ID)
+    archive.append_snapshot(root, "line_events", named, 2, run="r", extra=_OPERATOR_ID)
     rows = archive.scan(spark, root, "line_events", extra=_OPERATOR_ID)
     return rows.groupBy("operator_id", "snapshot_id").agg(F.count(F.lit(1)).alias("rows"))
 
@@ -530,7 +563,7 @@ def archive_retention(spark, sf_dir):
     """Quality batches left after keeping the last twenty days."""
     plant = _calendar(spark, sf_dir)
     root = scratch_path(spark, "archive-retention")
-    archive.append_snapshot(root, "quality_metrics", plant.quality_metrics, 1)
+    archive.append_snapshot(root, "quality_metrics", plant.quality_metrics, 1, run="r")
     archive.apply_archive_retention(spark, root, "quality_metrics", datetime(2024, 1, 31), 20)
     left = archive.scan(spark, root, "quality_metrics")
     return left.groupBy("line_id").agg(
@@ -538,6 +571,46 @@ def archive_retention(spark, sf_dir):
     )
 
 
+def archive_after_restart(spark, sf_dir):
+    """Two runs archive different rows, both as batch 0, the first twice; each keeps its own snapshot."""
+    plant = _calendar(spark, sf_dir)
+    root = scratch_path(spark, "archive-restart")
+    late = F.col("ts") >= F.lit(_SNAPSHOT_BOUNDS[0]).cast("timestamp")
+    for run, part in (("first", ~late), ("second", late), ("first", ~late)):
+        archive.append_snapshot(root, "line_events", plant.line_events.filter(part), 0, run=run)
+    return archive.scan(spark, root, "line_events").select(*_SHOWN)
+
+
+def archive_gap(spark, sf_dir):
+    """Rows per snapshot after the entry of the second of three has been lost from the log."""
+    plant = _calendar(spark, sf_dir)
+    root = scratch_path(spark, "archive-gap")
+    for number in range(3):
+        part = plant.line_events.filter(F.dayofmonth("ts") % 3 == number)
+        archive.append_snapshot(root, "line_events", part, number, run="r")
+    log = f"{root}/line_events/snapshots"
+    folders.drop(spark, f"{log}/snapshot={folders.partition_values(spark, log, 'snapshot')[1]}")
+    rows = archive.scan(spark, root, "line_events")
+    return rows.groupBy("snapshot_id", "line_id").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def archive_tables_after_retention(spark, sf_dir):
+    """The listing after all days but the last twenty were dropped from one table."""
+    plant = _calendar(spark, sf_dir)
+    root = scratch_path(spark, "archive-listing")
+    for table in schemas.EVENT_TABLES:
+        archive.append_snapshot(root, table, getattr(plant, table), 1, run="r")
+    archive.apply_archive_retention(spark, root, "quality_metrics", datetime(2024, 1, 31), 20)
+    return archive.list_tables(spark, root)
+
+
+def archive_first_rows(spark, sf_dir):
+    """A limited scan: as many rows as asked for, all of them of the table."""
+    rows = archive.scan(spark, _archive(spark, sf_dir), "line_events", limit=100)
+    known = archive.scan(spark, _archive(spark, sf_dir), "line_events").select("event_id").distinct()
+    return rows.join(known, "event_id").agg(F.count(F.lit(1)).alias("rows"))
+
+
 # --- streaming ---------------------------------------------------------------
 
 
@@ -571,7 +644,7 @@ def stream_precursors(spark, sf_dir):
     path = scratch_path(spark, "stream-alerts")
     status = plant_views.equipment_status(_event_stream(spark, sf_dir))
     _finish(jobs.run_alerts(status, f"{path}/table", f"{path}/checkpoint", once=True))
-    return tables.read_alerts(spark, f"{path}/table").drop("id", "created_at", "alert_date", "batch")
+    return tables.read_alerts(spark, f"{path}/table").drop("id", "created_at", "alert_date", "run", "batch")
 
 
 def stream_archive(spark, sf_dir):
@@ -590,6 +663,7 @@ _NAMED: tuple[Query, ...] = (
     oee_by_hour_window,
     oee_fault_downtime_only,
     rolling_cpk,
+    rolling_cpk_fine,
     fault_precursors,
     oee_against_target,
     oee_hourly_rollup,
@@ -638,6 +712,12 @@ _NAMED: tuple[Query, ...] = (
     upsert_oee_metrics,
     upsert_quality_stats,
     append_alerts,
+    upsert_after_restart,
+    alerts_after_restart,
+    archive_after_restart,
+    archive_gap,
+    archive_tables_after_retention,
+    archive_first_rows,
     hot_retention,
     hourly_rollup_table,
     archive_tables,

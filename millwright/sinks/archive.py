@@ -1,14 +1,17 @@
 """The append-only event archive with snapshots.
 
-Each micro-batch is one snapshot. Data files are partitioned by day, line and
-snapshot; a log table gets one row per snapshot after its data is complete.
-Readers only see snapshots that are in the log, so a half-written batch is
-invisible, and repeating a batch replaces its own files only.
+Each micro-batch is one snapshot, and a table has one writer at a time. A
+batch first claims the next free snapshot id, then writes its data files,
+partitioned by day, line and snapshot, and at last renames its log entry into
+place. Readers only see the ids in the log, so a half-written batch is
+invisible. Claim and entry carry the run and the number of the batch: a
+repeated batch finds its entry and adds nothing, or finds its claim and
+replaces its own files, and an id that was claimed is never given to another.
 """
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -56,22 +59,75 @@ def stored_layout(table: str, extra: T.StructType | None = None) -> T.StructType
     return T.StructType(own + times + added + last)
 
 
+def _entries(spark: SparkSession, root: str, table: str) -> dict[tuple[str, str], int]:
+    """Committed snapshots: (run, batch) -> id, from names alone."""
+    return _named(folders.partition_values(spark, _log(root, table), "snapshot"))
+
+
+def _claims(root: str, table: str) -> str:
+    return f"{root}/{table}/claims"
+
+
+def _named(names: list[str]) -> dict[tuple[str, str], int]:
+    split = [name.split(".", 2) for name in names]
+    return {(run, batch): int(number) for number, batch, run in split}
+
+
+def _name(number: int, batch: int | str, run: str) -> str:
+    return f"{number:09d}.{batch}.{run}"
+
+
+def _claim(spark: SparkSession, root: str, table: str, batch: int, run: str) -> int | None:
+    """The snapshot id for a batch, or none if the batch is in the log."""
+    done, claimed = _entries(spark, root, table), _named(folders.names(spark, _claims(root, table)))
+    key = (run, str(batch))
+    if key in done:
+        return None
+    if key not in claimed:
+        claimed[key] = max(batch, 1 + max([*done.values(), *claimed.values()], default=-1))
+        folders.touch(spark, f"{_claims(root, table)}/{_name(claimed[key], batch, run)}")
+    return claimed[key]
+
+
+def _commit(
+    spark: SparkSession, root: str, table: str, number: int, batch: int | str, run: str,
+    operation: str, added: int, committed_at: Column | None = None,
+) -> None:
+    entry = spark.range(1).select(
+        F.lit(number).cast("bigint").alias("snapshot_id"),
+        (F.current_timestamp() if committed_at is None else committed_at).alias("committed_at"),
+        F.lit(operation).alias("operation"),
+        F.lit(added).cast("bigint").alias("added_records"),
+    )
+    name = _name(number, batch, run)
+    entry.coalesce(1).write.mode("overwrite").parquet(f"{root}/{table}/unfinished/{name}")
+    folders.make(spark, _log(root, table))
+    folders.rename(spark, f"{root}/{table}/unfinished/{name}", f"{_log(root, table)}/snapshot={name}")
+    folders.drop(spark, f"{_claims(root, table)}/{name}")
+
+
 def append_snapshot(
     root: str,
     table: str,
     events: DataFrame,
-    snapshot_id: int,
+    batch: int,
     *,
+    run: str,
     committed_at: Column | None = None,
     extra: T.StructType | None = None,
 ) -> None:
     """Appends one batch as one snapshot; a batch without rows leaves no trace.
 
-    Rows are gathered by day and line before writing, which bounds the number
-    of files; ``rebalance`` lets adaptive execution split a line that is too
-    large for one task and merge those that are small.
+    ``run`` tells apart the batches of different runs, whose numbers all begin
+    at 0. The id of the snapshot is the batch number if that is still free, or
+    else the next one. Rows are gathered by day and line before writing, which
+    bounds the number of files; ``rebalance`` lets adaptive execution split a
+    line that is too large for one task and merge those that are small.
     """
     spark = events.sparkSession
+    snapshot_id = _claim(spark, root, table, batch, run)
+    if snapshot_id is None:
+        return
     kept = () if extra is None else extra.fieldNames()
     rows = normalize(events, table, keep=tuple(kept))
     layout = stored_layout(table, extra)
@@ -95,14 +151,9 @@ def append_snapshot(
     )
     added = written.get.get("rows", 0)
     if added == 0:
+        folders.drop(spark, f"{_claims(root, table)}/{_name(snapshot_id, batch, run)}")
         return
-    entry = spark.range(1).select(
-        F.lit(snapshot_id).cast("bigint").alias("snapshot_id"),
-        (F.current_timestamp() if committed_at is None else committed_at).alias("committed_at"),
-        F.lit("append").alias("operation"),
-        F.lit(added).cast("bigint").alias("added_records"),
-    )
-    entry.write.mode("overwrite").parquet(f"{_log(root, table)}/snapshot={snapshot_id}")
+    _commit(spark, root, table, snapshot_id, batch, run, "append", added, committed_at)
 
 
 def ensure_tables(spark: SparkSession, root: str) -> list[str]:
@@ -115,13 +166,27 @@ def ensure_tables(spark: SparkSession, root: str) -> list[str]:
 
 
 def read_data(
-    spark: SparkSession, root: str, table: str, *, extra: T.StructType | None = None
+    spark: SparkSession,
+    root: str,
+    table: str,
+    *,
+    days: tuple[str | None, str | None] = (None, None),
+    extra: T.StructType | None = None,
 ) -> DataFrame:
-    """All files of a table, committed or not."""
-    layout = stored_layout(table, extra)
-    if not folders.has_data(spark, _data(root, table)):
+    """All files of a table, committed or not; with ``days`` only the folders of those are opened."""
+    layout, path = stored_layout(table, extra), _data(root, table)
+    low, high = days
+    if low is None and high is None:
+        found = [path] if folders.has_data(spark, path) else []
+    else:
+        found = [
+            f"{path}/event_date={day}"
+            for day in folders.partition_values(spark, path, "event_date")
+            if (low is None or day >= low) and (high is None or day <= high)
+        ]
+    if not found:
         return spark.createDataFrame([], layout)
-    return spark.read.schema(layout).parquet(_data(root, table))
+    return spark.read.schema(layout).option("basePath", path).parquet(*found)
 
 
 def snapshots(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -132,19 +197,29 @@ def snapshots(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.schema(_LOG).option("recursiveFileLookup", "true").parquet(path)
 
 
-def newest_snapshot(
-    spark: SparkSession, root: str, table: str, as_of: datetime | None = None
-) -> int | None:
-    """Id of the newest snapshot, or of the newest one committed by ``as_of``.
+def committed(spark: SparkSession, root: str, table: str, as_of: datetime | None = None) -> list[int]:
+    """Ids in the log in order, or those committed by ``as_of``.
 
-    The current one is found from folder names, without reading the log.
+    The current ones are found from folder names, without reading the log.
     """
-    path = _log(root, table)
     if as_of is None:
-        ids = sorted((int(v) for v in folders.partition_values(spark, path, "snapshot")), reverse=True)
-        return next((n for n in ids if folders.exists(spark, f"{path}/snapshot={n}/_SUCCESS")), None)
+        return sorted(_entries(spark, root, table).values())
     log = snapshots(spark, root, table).filter(F.col("committed_at") <= instant(as_of))
-    return log.agg(F.max("snapshot_id")).first()[0]
+    return sorted(row[0] for row in log.select("snapshot_id").toLocalIterator())
+
+
+def _in_ranges(column: Column, ids: list[int]) -> Column:
+    """Membership as a few ranges: literals, so that partitions are pruned by them."""
+    ranges: list[list[int]] = []
+    for number in ids:
+        if ranges and number == ranges[-1][1] + 1:
+            ranges[-1][1] = number
+        else:
+            ranges.append([number, number])
+    inside = F.lit(False)
+    for low, high in ranges:
+        inside = inside | column.between(low, high)
+    return inside
 
 
 def scan(
@@ -162,15 +237,17 @@ def scan(
 ) -> DataFrame:
     """The table as it was after a snapshot, or at a time; by default as it is now.
 
-    The snapshot bound is a literal on a partition column, so newer files are
-    pruned before anything is read. ``since`` and ``until`` bound the event time
-    and prune whole days.
+    An id that is not in the log is an error. The ids to read are literals on a
+    partition column, so other files are pruned before anything is read.
+    ``since`` and ``until`` bound the event time; only days between are opened.
     """
-    newest = newest_snapshot(spark, root, table, as_of_time)
-    bound = newest if as_of_snapshot is None else min(as_of_snapshot, -1 if newest is None else newest)
-    rows = read_data(spark, root, table, extra=extra).filter(
-        F.col("snapshot_id") <= (-1 if bound is None else bound)
-    )
+    ids = committed(spark, root, table, as_of_time)
+    if as_of_snapshot is not None:
+        if as_of_snapshot not in ids:
+            raise ValueError(f"{table} has no snapshot {as_of_snapshot}")
+        ids = [number for number in ids if number <= as_of_snapshot]
+    days = tuple(None if t is None else in_utc(t).strftime("%Y-%m-%d") for t in (since, until))
+    rows = read_data(spark, root, table, days=days, extra=extra).filter(_in_ranges(F.col("snapshot_id"), ids))
     for moment, inside in ((since, lambda c, m: c >= m), (until, lambda c, m: c <= m)):
         if moment is not None:
             rows = rows.filter(
@@ -197,7 +274,13 @@ def list_tables(spark: SparkSession, root: str) -> DataFrame:
 def apply_archive_retention(
     spark: SparkSession, root: str, table: str, as_of: datetime, days: int = schemas.ARCHIVE_RETENTION_DAYS
 ) -> list[str]:
-    """Drops the days that lie wholly before ``as_of - days``."""
-    return tables.apply_retention(
+    """Drops the days that lie wholly before ``as_of - days``; the log gets an entry with the rows removed."""
+    cutoff = (in_utc(as_of) - timedelta(days=days)).strftime("%Y-%m-%d")
+    before = scan(spark, root, table, where=F.col("event_date") < F.lit(cutoff).cast("date")).count()
+    dropped = tables.apply_retention(
         spark, _data(root, table), as_of, days, column="event_date", fmt="%Y-%m-%d"
     )
+    if before:
+        taken = [*_entries(spark, root, table).values(), *_named(folders.names(spark, _claims(root, table))).values()]
+        _commit(spark, root, table, 1 + max(taken, default=-1), cutoff, "retention", "delete", -before)
+    return dropped

@@ -1,13 +1,16 @@
 """Metric tables with upsert, the alert table, and retention.
 
-Metric tables are Parquet, partitioned by the hour of ``time``. An upsert
-rewrites only the hours it touches. Its result is first written to a staging
-folder named after the batch and only then published into the table, so a
-driver that dies while publishing can repeat the step from the staged copy.
+Metric tables are Parquet, partitioned by the hour of ``time``, and have one
+writer at a time. An upsert rewrites only the hours it touches. Its result is
+first written to a staging folder of its own and only then published into the
+table. A driver that dies while publishing leaves that copy behind, and the
+next upsert, whosever it is, publishes it before it reads the table. So no
+copy is ever published over rows that were not in the table when it was made.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millwright import schemas
-from millwright.functions.clock import in_utc, instant, newer_than
+from millwright.functions.clock import in_utc, instant
 from millwright.operators.rollups import refreshed_hours
 from millwright.sinks import folders
 
@@ -64,7 +67,7 @@ def read_table(spark: SparkSession, path: str, layout: T.StructType) -> DataFram
 
 
 def in_hours(table: DataFrame, start: datetime | None, end: datetime | None) -> DataFrame:
-    """Rows of a closed time range; whole hour partitions outside it are never listed."""
+    """Rows of a closed time range; hour partitions outside it are pruned before they are read."""
     for bound, keep in ((start, lambda c, b: c >= b), (end, lambda c, b: c <= b)):
         if bound is not None:
             table = table.filter(
@@ -97,48 +100,70 @@ def upsert(
     """Inserts rows or overwrites those with the same key.
 
     ``version`` names the column that decides between several updates of one
-    key. Repeating a batch leaves the table as it was.
+    key. Repeating a batch leaves the table as it was; ``batch`` only labels
+    the staged copy.
 
     The updates are computed once, into the staging folder. The hours they
     touch are taken from there, and of the table only those are read.
     """
     spark = updates.sparkSession
-    staged = f"{path}__staged/batch={batch}"
-    if not folders.exists(spark, f"{staged}/merged/_SUCCESS"):
-        keep = () if version is None else (version,)
-        latest_per_key(fit(updates, layout, *keep), keys, version).filter(
-            F.col("time").isNotNull()
-        ).withColumn(HOUR, hour_of(F.col("time"))).write.mode("overwrite").parquet(f"{staged}/fresh")
-        columns = [f.name for f in layout.fields] + [HOUR]
-        fresh = spark.read.schema(_stored(layout)).parquet(f"{staged}/fresh").select(*columns)
-        hours = _hours(fresh)
-        if not hours:
-            folders.drop(spark, staged)
-            return
-        current = _read_hours(spark, path, layout, hours).select(*columns)
-        kept = current.join(fresh.select(*keys), list(keys), "left_anti").select(*columns)
-        kept.unionByName(fresh).write.mode("overwrite").parquet(f"{staged}/merged")
-    publish(spark, f"{staged}/merged", path, layout)
+    finish_interrupted(spark, path, layout)
+    staged = f"{path}__staged/batch={batch}-{uuid.uuid4().hex}"
+    keep = () if version is None else (version,)
+    latest_per_key(fit(updates, layout, *keep), keys, version).filter(F.col("time").isNotNull()).withColumn(
+        HOUR, hour_of(F.col("time"))
+    ).write.parquet(f"{staged}/fresh")
+    columns = [f.name for f in layout.fields] + [HOUR]
+    fresh = spark.read.schema(_stored(layout)).parquet(f"{staged}/fresh").select(*columns)
+    hours = _hours(fresh)
+    if hours:
+        present = sorted(set(folders.partition_values(spark, path, HOUR)).intersection(hours))
+        merged = fresh
+        if present:
+            current = _read_hours(spark, path, layout, present).select(*columns)
+            kept = current.join(fresh.select(*keys), list(keys), "left_anti").select(*columns)
+            merged = kept.unionByName(fresh)
+        merged.write.parquet(f"{staged}/merged")
+        publish(spark, f"{staged}/merged", path, layout)
     folders.drop(spark, staged)
 
 
+def finish_interrupted(spark: SparkSession, path: str, layout: T.StructType) -> None:
+    """Publishes a complete staged copy that a lost driver left behind; drops an incomplete one."""
+    for name in folders.names(spark, f"{path}__staged"):
+        staged = f"{path}__staged/{name}"
+        if folders.exists(spark, f"{staged}/merged/_SUCCESS"):
+            publish(spark, f"{staged}/merged", path, layout)
+        folders.drop(spark, staged)
+
+
 def _hours(rows: DataFrame) -> list[str]:
     """Names of the hour partitions some rows belong to: one per folder to be written."""
     return [row[0] for row in rows.select(HOUR).distinct().collect()]
 
 
-def _read_hours(spark: SparkSession, path: str, layout: T.StructType, hours: list[str]) -> DataFrame:
-    """The given hour partitions of a table, without listing any other."""
-    present = set(folders.partition_values(spark, path, HOUR)).intersection(hours)
+def _read_hours(spark: SparkSession, path: str, layout: T.StructType, present: list[str]) -> DataFrame:
+    """Hour partitions of a table that exist; no other is listed."""
     if not present:
         return spark.createDataFrame([], _stored(layout))
     return (
-        spark.read.schema(_stored(layout))
-        .option("basePath", path)
-        .parquet(*[f"{path}/{HOUR}={h}" for h in sorted(present)])
+        spark.read.schema(_stored(layout)).option("basePath", path).parquet(*[f"{path}/{HOUR}={h}" for h in present])
     )
 
 
+def read_between(
+    spark: SparkSession, path: str, layout: T.StructType, start: datetime | None, end: datetime | None
+) -> DataFrame:
+    """Rows of a closed time range. Of the table's folders only the hours in it are opened."""
+    low, high = (None if t is None else in_utc(t).strftime("%Y-%m-%d-%H") for t in (start, end))
+    present = [
+        h
+        for h in folders.partition_values(spark, path, HOUR)
+        if (low is None or h >= low) and (high is None or h <= high)
+    ]
+    return in_hours(_read_hours(spark, path, layout, present), start, end)
+
+
 def publish(spark: SparkSession, staged: str, path: str, layout: T.StructType) -> None:
     """Replaces the table's hour partitions that the staged copy contains."""
     columns = [f.name for f in layout.fields] + [HOUR]
@@ -179,9 +204,7 @@ def refresh_hourly(
     Reads the last three hours of partitions only, recomputes the hours that are
     complete and upserts them.
     """
-    recent = in_hours(
-        read_table(spark, metrics_path, schemas.OEE_METRICS), as_of - timedelta(hours=3), as_of
-    )
+    recent = read_between(spark, metrics_path, schemas.OEE_METRICS, as_of - timedelta(hours=3), as_of)
     upsert_hourly(hourly_path, refreshed_hours(recent, as_of), batch=batch)
 
 
@@ -205,18 +228,22 @@ def alert_rows(found: DataFrame) -> DataFrame:
     )
 
 
-def append_alerts(path: str, found: DataFrame, *, batch: int) -> None:
+def append_alerts(path: str, found: DataFrame, *, batch: int, run: str) -> None:
     """Adds a batch of alerts; a repeated batch replaces its own earlier rows only.
 
-    Alerts are kept for good, so the table is partitioned by day; a batch without
-    alerts writes no file.
+    ``run`` tells apart the batches of different runs, whose numbers all begin
+    at 0. Alerts are kept for good, so the table is partitioned by day; a batch
+    writes one file per day of ordinary size, and none without alerts.
     """
     (
         alert_rows(found)
-        .withColumns({"alert_date": F.to_date("timestamp"), "batch": F.lit(batch).cast("bigint")})
+        .withColumns(
+            {"alert_date": F.to_date("timestamp"), "run": F.lit(run), "batch": F.lit(batch).cast("bigint")}
+        )
+        .hint("rebalance", "alert_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("alert_date", "batch")
+        .partitionBy("alert_date", "run", "batch")
         .parquet(path)
     )
 
@@ -225,7 +252,11 @@ def read_alerts(spark: SparkSession, path: str, since: datetime | None = None) -
     """The alert table, optionally from a moment on; earlier days are not read."""
     layout = T.StructType(
         schemas.ALERTS.fields
-        + [T.StructField("alert_date", T.DateType()), T.StructField("batch", T.LongType())]
+        + [
+            T.StructField("alert_date", T.DateType()),
+            T.StructField("run", T.StringType()),
+            T.StructField("batch", T.LongType()),
+        ]
     )
     if not folders.has_data(spark, path):
         return spark.createDataFrame([], layout)
@@ -256,8 +287,3 @@ def apply_retention(
     for value in expired:
         folders.drop(spark, f"{path}/{column}={value}")
     return expired
-
-
-def retained(rows: DataFrame, as_of, days: int = schemas.HOT_RETENTION_DAYS) -> DataFrame:
-    """The rows a retention run at ``as_of`` keeps, at row precision."""
-    return rows.filter(newer_than(F.col("time"), as_of, f"{days} DAYS"))

@@ -1,7 +1,8 @@
 """The four continuous jobs: effectiveness, capability, alerts and archive.
 
 Each job is the batch operator on a watermarked stream plus an idempotent
-sink, so a restarted query repeats its last micro-batch without effect. A run
+sink, so a restarted query repeats its last micro-batch without effect. A new
+checkpoint is a new run: its batches are added to those of earlier runs. A run
 with ``once=True`` processes what is there and stops.
 """
 
@@ -33,14 +34,17 @@ def cpk_stream(batches: DataFrame, *, delay: str = DELAY, **options) -> DataFram
 
 def run(
     rows: DataFrame,
-    sink: Callable[[DataFrame, int], None],
+    sink: Callable[[DataFrame, str, int], None],
     checkpoint: str,
     *,
     name: str | None = None,
     every_s: int | None = None,
     once: bool = False,
 ) -> StreamingQuery:
-    """Starts a query that hands each micro-batch to an idempotent sink."""
+    """Starts a query that hands each micro-batch to an idempotent sink, with the run and its number.
+
+    The run is the query's id, which its checkpoint keeps over restarts.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # Streaming turns adaptive execution off for its own, stateful plans. What
@@ -49,7 +53,7 @@ def run(
         before = conf.get("spark.sql.adaptive.enabled")
         conf.set("spark.sql.adaptive.enabled", "true")
         try:
-            sink(batch, batch_id)
+            sink(batch, batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId"), batch_id)
         finally:
             conf.set("spark.sql.adaptive.enabled", before)
 
@@ -66,7 +70,7 @@ def run(
 def run_oee(events: DataFrame, table: str, checkpoint: str, **options) -> StreamingQuery:
     return run(
         oee_stream(events),
-        lambda batch, n: tables.upsert_oee_metrics(table, batch, batch=n),
+        lambda batch, run, n: tables.upsert_oee_metrics(table, batch, batch=n),
         checkpoint,
         **options,
     )
@@ -75,7 +79,7 @@ def run_oee(events: DataFrame, table: str, checkpoint: str, **options) -> Stream
 def run_cpk(batches: DataFrame, table: str, checkpoint: str, **options) -> StreamingQuery:
     return run(
         cpk_stream(batches),
-        lambda batch, n: tables.upsert_quality_stats(table, batch, batch=n),
+        lambda batch, run, n: tables.upsert_quality_stats(table, batch, batch=n),
         checkpoint,
         **options,
     )
@@ -84,7 +88,7 @@ def run_cpk(batches: DataFrame, table: str, checkpoint: str, **options) -> Strea
 def run_alerts(status: DataFrame, table: str, checkpoint: str, **options) -> StreamingQuery:
     return run(
         precursor_stream(status),
-        lambda batch, n: tables.append_alerts(table, batch, batch=n),
+        lambda batch, run, n: tables.append_alerts(table, batch, batch=n, run=run),
         checkpoint,
         **options,
     )
@@ -103,7 +107,7 @@ def run_archive(
 
     return run(
         events,
-        lambda batch, n: archive.append_snapshot(root, table, batch, n),
+        lambda batch, run, n: archive.append_snapshot(root, table, batch, n, run=run),
         checkpoint,
         every_s=every_s,
         **options,

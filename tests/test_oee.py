@@ -23,63 +23,52 @@ def rate(spark, *rows, **options):
     return found[0]
 
 
-def test_perfect_line(spark):
-    row = rate(spark, cycle(units_produced=750))
-    assert (row.availability, row.quality, row.oee) == (1.0, 1.0, 1.0)
-
-
-def test_fault_lowers_availability(spark):
-    row = rate(
-        spark,
-        cycle(event_type="FAULT", units_produced=5, downtime_s=600),
-        cycle(units_produced=5),
-    )
-    assert row.availability == pytest.approx(3000 / 3600, abs=1e-3)
-
-
-def test_rejects_lower_quality(spark):
-    assert rate(spark, cycle(units_produced=100, units_rejected=10)).quality == 0.9
-
-
-def test_oee_is_the_product(spark):
-    row = rate(spark, cycle(units_produced=50, units_rejected=5, downtime_s=360))
-    assert row.oee == pytest.approx(row.availability * row.performance * row.quality, abs=1e-3)
-
-
-def test_no_units(spark):
-    row = rate(spark, cycle(units_produced=0))
-    assert (row.performance, row.oee) == (0.0, 0.0)
-
-
-def test_totals(spark):
-    row = rate(
-        spark,
-        cycle(units_produced=30, units_rejected=3),
-        cycle(units_produced=20, units_rejected=2),
-    )
-    assert (row.total_units, row.good_units) == (50, 45)
-
-
-def test_performance_is_capped(spark):
-    assert rate(spark, cycle(units_produced=10_000)).performance <= 1.0
-
-
-def test_downtime_counts_on_faults_only(spark):
-    assert rate(spark, cycle(event_type="FAULT", downtime_s=600)).availability < 1.0
-    assert rate(spark, cycle(downtime_s=600)).availability == 1.0
-
-
-@pytest.mark.parametrize("line", ["LINE-A", "LINE-B", "LINE-C"])
-def test_line_is_passed_through(spark, line):
-    assert rate(spark, cycle(line_id=line)).line_id == line
-
-
-def test_columns(spark):
-    assert oee_by_window(line_frame(spark, [cycle()])).columns == COLUMNS
-
-
-def test_world_class_line(spark):
-    assert rate(spark, cycle(units_produced=700, units_rejected=7, downtime_s=180)).oee >= 0.85
+def stop(seconds, kind="STOP", **changes):
+    return cycle(event_type=kind, units_produced=0, downtime_s=seconds, **changes)
+
+
+# rows, then availability, performance, quality, effectiveness, units and good units, worked out by hand
+CASES = {
+    "line A at its rate for part of the hour": (
+        [cycle(units_produced=200, units_rejected=4), cycle(units_produced=160, units_rejected=5)],
+        (1.0, 0.48, 0.975, 0.468, 360, 351),
+    ),
+    "line B stopped for a quarter of the hour": (
+        [cycle(line_id="LINE-B", units_produced=290, units_rejected=29), stop(900, line_id="LINE-B")],
+        (0.75, 0.6659, 0.9, 0.4495, 290, 261),
+    ),
+    "line C faster than it can run": (
+        [cycle(line_id="LINE-C", units_produced=600)]
+        + [stop(n, kind, line_id="LINE-C") for n, kind in ((1200, "CHANGEOVER"), (600, "PLANNED_STOP"))],
+        (0.5, 1.0, 1.0, 0.5, 600, 600),
+    ),
+    "a fault and nothing made": ([stop(36, "FAULT")], (0.99, 0.0, 0.0, 0.0, 0, 0)),
+    "units noted on a fault do not count": (
+        [cycle(event_type="FAULT", units_produced=1, downtime_s=1440), cycle(units_produced=224)],
+        (0.6, 0.4978, 1.0, 0.2987, 224, 224),
+    ),
+    "downtime noted on other events": (
+        [cycle(units_produced=75, units_rejected=30, downtime_s=500), stop(700, "START")],
+        (1.0, 0.1, 0.6, 0.06, 75, 45),
+    ),
+    "everything rejected": ([cycle(units_produced=15, units_rejected=15)], (1.0, 0.02, 0.0, 0.0, 15, 0)),
+}
+
+
+@pytest.mark.parametrize("rows, want", CASES.values(), ids=list(CASES))
+def test_rates(spark, rows, want):
+    row = rate(spark, *rows)
+    assert (row.availability, row.performance, row.quality, row.oee, row.total_units, row.good_units) == want
+    assert list(row.asDict()) == COLUMNS
+
+
+def test_lines_and_windows_do_not_mix(spark):
+    rows = [
+        cycle(second, line_id=line, units_produced=units)
+        for second, line, units in ((0, "LINE-B", 3), (59, "LINE-B", 4), (60, "LINE-B", 5), (1, "LINE-C", 6))
+    ]
+    found = oee_by_window(line_frame(spark, rows)).orderBy("line_id", "time").collect()
+    assert [(r.line_id, r.total_units) for r in found] == [("LINE-B", 7), ("LINE-B", 5), ("LINE-C", 6)]
 
 
 def test_downtime_beyond_planned_time(spark):

@@ -12,46 +12,30 @@ def alerts(spark, *rows, **options):
     return fault_precursors(status_frame(spark, list(rows)), **options).orderBy("timestamp").collect()
 
 
-HOT = {"temperature_c": 90.0}
-
-
-def test_hot_then_fault(spark):
-    (row,) = alerts(spark, status(0, **HOT), fault(10))
-    assert row.temperature_c == 90.0
-    assert (row.alert_type, row.severity) == ("THERMAL_FAULT_PRECURSOR", "HIGH")
-    assert row.fault_code == "E-042"
-    assert row.timestamp.timestamp() == at(10).timestamp()
-
-
-def test_vibration_then_fault(spark):
-    assert len(alerts(spark, status(0, vibration_hz=130.0), fault(5))) == 1
-
-
-def test_fault_alone(spark):
-    assert alerts(spark, fault(0)) == []
-
-
-def test_too_late(spark):
-    assert alerts(spark, status(0, **HOT), fault(35)) == []
-
-
-def test_thirty_seconds_still_count(spark):
-    assert len(alerts(spark, status(0, **HOT), fault(30))) == 1
-    assert alerts(spark, status(0, **HOT), fault(30.001)) == []
-
-
-def test_limits_are_strict(spark):
-    assert alerts(spark, status(0, temperature_c=85.0, vibration_hz=120.0), fault(5)) == []
-
-
-def test_machines_are_independent(spark):
-    found = alerts(
-        spark,
-        status(0, equipment_id="EQ-A", **HOT),
-        fault(5, equipment_id="EQ-B"),
-        fault(10, equipment_id="EQ-A"),
-    )
-    assert [r.equipment_id for r in found] == ["EQ-A"]
+HOT = {"temperature_c": 97.5}
+
+# readings and faults, then the seconds at which an alert is due
+CASES = {
+    "hot, then a fault": ([status(3, **HOT), fault(21)], [21]),
+    "shaking, then a fault": ([status(3, vibration_hz=120.5), fault(4)], [4]),
+    "at the limits, not above": ([status(3, temperature_c=85.0), status(4, vibration_hz=120.0), fault(8)], []),
+    "half a minute before": ([status(1, **HOT), fault(31)], [31]),
+    "a moment more than that": ([status(1, **HOT), fault(31.001)], []),
+    "calm before the fault": ([status(1), fault(2)], []),
+    "two machines, each its own": (
+        [status(0, equipment_id="M1", **HOT), fault(2, equipment_id="M2"), status(3, equipment_id="M2", **HOT),
+         fault(9, equipment_id="M1"), fault(12, equipment_id="M2")],
+        [9, 12],
+    ),
+    "calm in between": ([status(0, **HOT), status(6), fault(14)], [14]),
+}
+
+
+@pytest.mark.parametrize("rows, due", CASES.values(), ids=list(CASES))
+def test_due_alerts(spark, rows, due):
+    found = alerts(spark, *rows)
+    assert [r.timestamp.timestamp() for r in found] == [at(second).timestamp() for second in due]
+    assert {(r.alert_type, r.severity) for r in found} <= {("THERMAL_FAULT_PRECURSOR", "HIGH")}
 
 
 def test_alert_uses_up_the_reading(spark):

@@ -141,7 +141,7 @@ def test_batch_mismatches(spark):
     bad = batch(1, batch_id="BAD", yield_pct=90.0)
     empty = batch(2, batch_id="EMPTY", units_inspected=0, units_failed=0, defect_rate_pct=0.0, yield_pct=0.0)
     found = enrich.quality_mismatches(batch_frame(spark, [good, bad, empty])).collect()
-    assert [tuple(r) for r in found] == [("BAD", "LINE-A", "yield_pct", 90.0, 96.0)]
+    assert [tuple(r) for r in found] == [("BAD", "LINE-A", "yield_pct", 90.0, 97.5)]
 
 
 def test_fault_codes_and_domains(spark):
@@ -195,4 +195,4 @@ def test_shift_reports(spark):
         ("AFTERNOON", 100), ("MORNING", 200), ("NIGHT", 100), }  | {("NIGHT", 100)}
     assert enrich.last_shifts(by_shift, 2).count() == 2
     passed = charts.shift_yield(batch_frame(spark, [batch(0), batch(-3 * 3600)]), AS_OF).collect()
-    assert [(r.line_id, r["shift"], r.yield_pct) for r in passed] == [("LINE-A", "MORNING", 96.0)]
+    assert [(r.line_id, r["shift"], r.yield_pct) for r in passed] == [("LINE-A", "MORNING", 97.5)]

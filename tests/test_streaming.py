@@ -46,7 +46,7 @@ def collect(stream_df, path):
     spark = stream_df.sparkSession
     query = jobs.run(
         stream_df,
-        lambda rows, n: rows.write.mode("overwrite").parquet(f"{path}/out/batch={n}"),
+        lambda rows, run, n: rows.write.mode("overwrite").parquet(f"{path}/out/batch={n}"),
         f"{path}/checkpoint",
         once=True,
     )
