@@ -177,11 +177,12 @@ def _signed(number: int) -> int:
     return number - (1 << 64) if number >> 63 else number
 
 
-def _below(codes: DataFrame, masks: list[int]) -> DataFrame:
-    fixed = F.explode(F.array(*[F.lit(_signed(mask)) for mask in masks]))
-    return codes.select("code", fixed.alias("mask")).select(
-        "mask", F.col("code").bitwiseAND(F.col("mask")).alias("value"), "code"
-    )
+def _below(codes: DataFrame, finer: dict[int, list[int]]) -> DataFrame:
+    """Index rows of codes under the masks that refine the mask they are ``of``."""
+    pairs = [(_signed(mask), _signed(split)) for mask, splits in finer.items() for split in splits]
+    # the masks follow from the distance and the depth alone
+    table = F.broadcast(codes.sparkSession.createDataFrame(pairs, "of long, mask long"))
+    return codes.join(table, "of").select("mask", F.col("code").bitwiseAND(F.col("mask")).alias("value"), "code")
 
 
 def code_links(codes: DataFrame, distance: int = DISTANCE) -> DataFrame:
@@ -193,26 +194,19 @@ def code_links(codes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """
     spark = codes.sparkSession
     masks = _split_bits(0, distance + 1)
-    nodes = stored(_below(codes, masks), "codes")
+    nodes = stored(_below(codes.withColumn("of", F.lit(0).cast("long")), {0: masks}), "codes")
     ready = []
     while True:
         sizes = nodes.groupBy("mask", "value").agg(F.count("*").alias("n"))
         full = stored(sizes.filter(F.col("n") > NODE_CODES).select("mask", "value"), "full-nodes")
-        if full.isEmpty() or all(mask == (1 << 64) - 1 for mask in masks):
+        if full.isEmpty():
             ready.append(nodes)
             break
         ready.append(nodes.join(full, ["mask", "value"], "left_anti"))
-        deeper = []
-        for mask in masks:
-            finer = _split_bits(mask, distance + 1)
-            mine = F.col("mask") == F.lit(_signed(mask))
-            crowd = nodes.filter(mine).join(full.filter(mine), ["mask", "value"], "left_semi")
-            deeper.append(_below(crowd.select("code"), finer))
-        masks = sorted({finer for mask in masks for finer in _split_bits(mask, distance + 1)})
-        whole = deeper[0]
-        for part in deeper[1:]:
-            whole = whole.unionByName(part)
-        nodes = stored(whole.distinct(), "codes")
+        crowd = nodes.join(full, ["mask", "value"], "left_semi").select("code", F.col("mask").alias("of"))
+        finer = {mask: _split_bits(mask, distance + 1) for mask in masks}
+        nodes = stored(_below(crowd, finer).distinct(), "codes")
+        masks = sorted({mask for split in finer.values() for mask in split})
     index = ready[0]
     for part in ready[1:]:
         index = index.unionByName(part)
