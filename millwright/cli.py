@@ -1,4 +1,4 @@
-"""Command line: archive queries and the continuous jobs.
+"""Command line: archive queries, dashboards, the continuous jobs and the scheduled ones.
 
     python -m millwright.cli archive ROOT                        list the tables
     python -m millwright.cli archive ROOT --table line_events    first rows of a table
@@ -6,6 +6,9 @@
     python -m millwright.cli archive ROOT --table T --as-of-snapshot 3
     python -m millwright.cli archive ROOT --oee
     python -m millwright.cli job oee --servers HOST:9092 --out PATH --checkpoint PATH
+    python -m millwright.cli refresh --metrics PATH --hourly PATH          hourly rollup, run it every half hour
+    python -m millwright.cli retention --metrics PATH --archive ROOT       drop what is past its time
+    python -m millwright.cli dashboard current --metrics PATH              panels over the stored tables
 
 Submit with spark-submit to run on a cluster.
 """
@@ -13,13 +16,15 @@ Submit with spark-submit to run on a cluster.
 from __future__ import annotations
 
 import argparse
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
 from millwright import schemas
 from millwright.operators.rollups import production_quality
+from millwright.plans import serving
 from millwright.session import build_session
-from millwright.sinks import archive
+from millwright.sinks import archive, tables
 from millwright.sources import feeds
 from millwright.streaming import jobs
 
@@ -48,13 +53,15 @@ def archive_query(spark: SparkSession, options: argparse.Namespace) -> DataFrame
 
 def start_job(spark: SparkSession, options: argparse.Namespace):
     """Starts one continuous job; the archive job starts one query per topic."""
+    bound = "maxOffsetsPerTrigger" if options.servers else "maxFilesPerTrigger"
+    limits = {} if options.at_most is None else {bound: str(options.at_most)}
 
     def events(topic: str) -> DataFrame:
         table = schemas.TOPICS[topic][0]
         messages = (
-            feeds.topic_feed(spark, topic, options.servers)
+            feeds.topic_feed(spark, topic, options.servers, **limits)
             if options.servers
-            else feeds.text_feed(spark, f"{options.folder}/{topic}")
+            else feeds.text_feed(spark, f"{options.folder}/{topic}", **limits)
         )
         return feeds.decode(messages, table)
 
@@ -72,6 +79,40 @@ def start_job(spark: SparkSession, options: argparse.Namespace):
     return [start(rows, options.out, options.checkpoint, once=options.once)]
 
 
+def refresh(spark: SparkSession, options: argparse.Namespace) -> None:
+    """One run of the scheduled rollup over the stored windows."""
+    as_of = options.as_of
+    tables.refresh_hourly(spark, options.metrics, options.hourly, as_of, batch=f"{as_of:%Y%m%d%H%M%S}")
+
+
+def retention(spark: SparkSession, options: argparse.Namespace) -> list[str]:
+    """Drops expired hours of a metric table and expired days of the archive; returns what was dropped."""
+    dropped = []
+    if options.metrics:
+        dropped += tables.apply_retention(spark, options.metrics, options.as_of)
+    if options.archive:
+        for table in schemas.EVENT_TABLES:
+            dropped += archive.apply_archive_retention(spark, options.archive, table, options.as_of)
+    return dropped
+
+
+def dashboard(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
+    """A panel over the stored windows; only the hours it shows are opened."""
+    start = options.as_of - timedelta(hours=options.hours)
+    rows = tables.read_between(spark, options.metrics, schemas.OEE_METRICS, start, options.as_of)
+    panels = {
+        "current": lambda: serving.current_oee(rows),
+        "trend": lambda: serving.trend(rows, "oee", factor=100),
+        "worst": lambda: serving.worst_windows(rows),
+        "daily": lambda: serving.daily_trend(rows),
+    }
+    return panels[options.panel]()
+
+
+def _moment(text: str) -> datetime:
+    return datetime.fromisoformat(text)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="millwright")
     commands = top.add_subparsers(dest="command", required=True)
@@ -92,6 +133,21 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--out", required=True)
     job.add_argument("--checkpoint", required=True)
     job.add_argument("--once", action="store_true", help="process what is there, then stop")
+    job.add_argument("--at-most", type=int, help="messages, or files, per micro-batch: bounds a backlog")
+
+    now = datetime.now(UTC).replace(tzinfo=None)
+    rollup = commands.add_parser("refresh", help="refresh the hourly rollup")
+    rollup.add_argument("--metrics", required=True)
+    rollup.add_argument("--hourly", required=True)
+    expiry = commands.add_parser("retention", help="drop data past its time")
+    expiry.add_argument("--metrics")
+    expiry.add_argument("--archive")
+    panel = commands.add_parser("dashboard", help="show a panel")
+    panel.add_argument("panel", choices=["current", "trend", "worst", "daily"])
+    panel.add_argument("--metrics", required=True)
+    panel.add_argument("--hours", type=float, default=3.0)
+    for command in (rollup, expiry, panel):
+        command.add_argument("--as-of", type=_moment, default=now, help="UTC, by default now")
     return top
 
 
@@ -107,8 +163,15 @@ def main(arguments: list[str] | None = None) -> None:
             print(f"total rows: {total}")
         found.show(options.limit, truncate=False)
         return
-    for query in start_job(spark, options):
-        query.awaitTermination()
+    if options.command == "refresh":
+        refresh(spark, options)
+    elif options.command == "retention":
+        print("\n".join(retention(spark, options)))
+    elif options.command == "dashboard":
+        dashboard(spark, options).show(1000, truncate=False)
+    else:
+        for query in start_job(spark, options):
+            query.awaitTermination()
 
 
 if __name__ == "__main__":

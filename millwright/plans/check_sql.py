@@ -520,6 +520,12 @@ FROM line_events WHERE event_type = 'CYCLE_COMPLETE'"""
         "upsert_oee_metrics": _dense(_METRIC_ROWS + "metrics"),
         "upsert_quality_stats": _dense(_STAT_ROWS),
         "append_alerts": _dense(_ALERT_ROWS),
+        "decode_rejects": _dense(
+            """SELECT CASE WHEN event_id % 13 = 0 THEN '-' ELSE line_id END AS line_id,
+       CASE WHEN event_id % 13 = 0 THEN 'malformed' WHEN event_id % 11 = 0 THEN 'no time'
+            ELSE 'unreadable time' END AS reason, count(*) AS messages
+FROM line_events WHERE event_id % 13 = 0 OR event_id % 11 = 0 OR event_id % 17 = 0 GROUP BY 1, 2"""
+        ),
         "upsert_after_restart": _dense(_METRIC_ROWS + "metrics"),
         "alerts_after_restart": _dense(_ALERT_ROWS),
         "archive_after_restart": _calendar(
@@ -591,6 +597,9 @@ FROM quality_metrics WHERE us >= 1704931200000000 GROUP BY 1"""
         "stream_oee": _dense(_METRIC_ROWS + "metrics WHERE time_us <= (SELECT us FROM closed)"),
         "stream_cpk": _dense(_STAT_ROWS + " WHERE time_us <= (SELECT us FROM closed)"),
         "stream_precursors": _dense(_ALERT_ROWS + " WHERE us < (SELECT us FROM closed)"),
+        "stream_oee_finished": _dense(_METRIC_ROWS + "metrics"),
+        "stream_cpk_finished": _dense(_STAT_ROWS),
+        "stream_precursors_finished": _dense(_ALERT_ROWS),
         "stream_archive": _dense(
             """SELECT 'line_events' AS "table", 1 AS snapshots, count(*) AS "rows" FROM line_events
 UNION ALL SELECT 'equipment_status', 1, count(*) FROM equipment_status

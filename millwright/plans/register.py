@@ -29,6 +29,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 # built once per session and data folder: (application, folder) -> archive root
 _ARCHIVES: dict[tuple[str, str], str] = {}
 
+# (application, folder, pace) -> root of the tables and the newest event time
+_BOARDS: dict[tuple[str, str, int], tuple[str, datetime]] = {}
+
 # the second and the third snapshot start here
 _SNAPSHOT_BOUNDS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
 _OPERATOR_ID = T.StructType([T.StructField("operator_id", T.StringType())])
@@ -78,6 +81,34 @@ def _calendar(spark: SparkSession, sf_dir: str) -> Plant:
     return Plant(spark, sf_dir, pace=1)
 
 
+class Board:
+    """The stored metric tables that dashboards read, filled once per session and data folder."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, pace: int = plant_views.DENSE):
+        self.spark = use_utc(spark)
+        key = (spark.sparkContext.applicationId, sf_dir, pace)
+        if key not in _BOARDS or not folders.exists(spark, _BOARDS[key][0]):
+            plant = Plant(spark, sf_dir, pace)
+            root = scratch_path(spark, "board")
+            tables.upsert_oee_metrics(f"{root}/oee", plant.metrics, batch=0)
+            tables.upsert_quality_stats(f"{root}/quality", plant.stats, batch=0)
+            tables.upsert_hourly(
+                f"{root}/hourly", rollups.oee_hourly(tables.read_table(spark, f"{root}/oee", schemas.OEE_METRICS)), batch=0
+            )
+            newest = plant.line_events.agg(F.unix_micros(F.max("ts"))).first()[0]
+            _BOARDS[key] = (root, datetime(1970, 1, 1) + timedelta(microseconds=newest or 0))
+        self.root, self.now = _BOARDS[key]
+
+    def metrics(self, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
+        return tables.read_between(self.spark, f"{self.root}/oee", schemas.OEE_METRICS, start, end)
+
+    def stats(self, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
+        return tables.read_between(self.spark, f"{self.root}/quality", schemas.QUALITY_STATS, start, end)
+
+    def hourly(self) -> DataFrame:
+        return tables.read_hourly(self.spark, f"{self.root}/hourly")
+
+
 def _plain(df: DataFrame) -> DataFrame:
     """Instants as zone-free timestamps and decimals as doubles, for comparison elsewhere."""
     casts = {
@@ -145,7 +176,7 @@ def oee_hourly_refresh(spark, sf_dir):
 
 
 def daily_oee(spark, sf_dir):
-    return serving.daily_trend(_calendar(spark, sf_dir).metrics)
+    return serving.daily_trend(Board(spark, sf_dir, pace=1).metrics())
 
 
 def alerts_per_hour(spark, sf_dir):
@@ -175,32 +206,31 @@ def mtbf_by_line(spark, sf_dir):
 
 
 def current_oee(spark, sf_dir):
-    return serving.current_oee(Plant(spark, sf_dir).metrics)
+    return serving.current_oee(Board(spark, sf_dir).metrics())
 
 
 def current_oee_class(spark, sf_dir):
-    return serving.current_oee_class(Plant(spark, sf_dir).metrics)
+    return serving.current_oee_class(Board(spark, sf_dir).metrics())
 
 
 def _rate_trend(value: str) -> Query:
     def query(spark, sf_dir):
-        plant = Plant(spark, sf_dir)
-        return serving.trend(
-            plant.metrics, value, factor=100, start=plant.now - F.expr("INTERVAL 3 HOURS"), end=plant.now
-        )
+        board = Board(spark, sf_dir)
+        start = board.now - timedelta(hours=3)
+        return serving.trend(board.metrics(start, board.now), value, factor=100, start=start, end=board.now)
 
     return query
 
 
 def _stat_trend(value: str) -> Query:
     def query(spark, sf_dir):
-        return serving.trend(Plant(spark, sf_dir).stats, value)
+        return serving.trend(Board(spark, sf_dir).stats(), value)
 
     return query
 
 
 def oee_trend_wide(spark, sf_dir):
-    series = serving.trend(Plant(spark, sf_dir).metrics, "oee", factor=100)
+    series = serving.trend(Board(spark, sf_dir).metrics(), "oee", factor=100)
     return serving.wide(series, "oee", [line[0] for line in schemas.LINES])
 
 
@@ -209,25 +239,25 @@ def active_alerts(spark, sf_dir):
 
 
 def current_cpk(spark, sf_dir):
-    return serving.current_cpk(Plant(spark, sf_dir).stats)
+    return serving.current_cpk(Board(spark, sf_dir).stats())
 
 
 def hourly_oee_trend(spark, sf_dir):
-    return serving.hourly_trend(rollups.oee_hourly(Plant(spark, sf_dir).metrics))
+    return serving.hourly_trend(Board(spark, sf_dir).hourly())
 
 
 def worst_windows(spark, sf_dir):
-    return serving.worst_windows(Plant(spark, sf_dir).metrics)
+    return serving.worst_windows(Board(spark, sf_dir).metrics())
 
 
 def recent_oee_trend(spark, sf_dir):
-    plant = Plant(spark, sf_dir)
-    return serving.recent_trend(plant.metrics, plant.now)
+    board = Board(spark, sf_dir)
+    return serving.recent_trend(board.metrics(board.now - timedelta(minutes=5)), board.now)
 
 
 def low_oee_lines(spark, sf_dir):
-    plant = Plant(spark, sf_dir)
-    return rollups.low_oee_lines(plant.metrics, plant.now)
+    board = Board(spark, sf_dir)
+    return rollups.low_oee_lines(board.metrics(board.now - timedelta(hours=1)), board.now)
 
 
 def alerts_by_severity(spark, sf_dir):
@@ -382,6 +412,19 @@ def _decoded(table: str, columns: list[str], tag: str) -> Query:
     return query
 
 
+def decode_rejects(spark, sf_dir):
+    """Messages that enter no window, by line and reason; some are sent without their time, some with a broken one."""
+    tag = F.col("event_id")
+    stamp = F.when(tag % 11 == 0, None).when(tag % 17 == 0, "yesterday").otherwise(iso_time(F.col("ts")))
+    whole = F.to_json(F.struct(stamp.alias("timestamp"), "line_id", "units_produced"))
+    sent = Plant(spark, sf_dir).line_events.select(
+        F.when(tag % 13 == 0, F.substring(whole, 1, 20)).otherwise(whole).alias("payload")
+    )
+    line = F.coalesce(F.get_json_object("payload", "$.line_id"), F.lit("-"))
+    found = feeds.rejects(sent, "line_events")
+    return found.groupBy(line.alias("line_id"), "reason").agg(F.count(F.lit(1)).alias("messages"))
+
+
 # --- metric tables, alerts and the archive -----------------------------------
 
 
@@ -647,6 +690,37 @@ def stream_precursors(spark, sf_dir):
     return tables.read_alerts(spark, f"{path}/table").drop("id", "created_at", "alert_date", "run", "batch")
 
 
+def _finished(spark, sf_dir, start, view, label):
+    """Runs a job over the whole feed and closes it an hour after its newest event."""
+    use_utc(spark)
+    path = scratch_path(spark, label)
+    newest = Plant(spark, sf_dir).line_events.agg(F.unix_micros(F.max("ts"))).first()[0] or 0
+    at = datetime(1970, 1, 1) + timedelta(microseconds=newest, hours=1)
+
+    def again():
+        rows = view(_event_stream(spark, sf_dir))
+        return start(rows, f"{path}/table", f"{path}/checkpoint", heartbeat=f"{path}/beats", once=True)
+
+    jobs.finish(again, spark, f"{path}/beats", at)
+    return f"{path}/table"
+
+
+def stream_oee_finished(spark, sf_dir):
+    """All windows of a feed that has ended."""
+    path = _finished(spark, sf_dir, jobs.run_oee, plant_views.line_events, "finish-oee")
+    return tables.read_table(spark, path, schemas.OEE_METRICS).drop(tables.HOUR)
+
+
+def stream_cpk_finished(spark, sf_dir):
+    path = _finished(spark, sf_dir, jobs.run_cpk, plant_views.quality_metrics, "finish-cpk")
+    return tables.read_table(spark, path, schemas.QUALITY_STATS).drop(tables.HOUR)
+
+
+def stream_precursors_finished(spark, sf_dir):
+    path = _finished(spark, sf_dir, jobs.run_alerts, plant_views.equipment_status, "finish-alerts")
+    return tables.read_alerts(spark, path).drop("id", "created_at", "alert_date", "run", "batch")
+
+
 def stream_archive(spark, sf_dir):
     use_utc(spark)
     path = scratch_path(spark, "stream-archive")
@@ -709,6 +783,7 @@ _NAMED: tuple[Query, ...] = (
     ingest_latency,
     sensor_trend,
     cycle_scan,
+    decode_rejects,
     upsert_oee_metrics,
     upsert_quality_stats,
     append_alerts,
@@ -735,6 +810,9 @@ _NAMED: tuple[Query, ...] = (
     stream_oee,
     stream_cpk,
     stream_precursors,
+    stream_oee_finished,
+    stream_cpk_finished,
+    stream_precursors_finished,
     stream_archive,
 )
 

@@ -74,7 +74,9 @@ def decode(
     read turns a number written as a string into null. Unreadable messages are
     skipped. Under the observation ``counts``, by default named
     ``decode_<table>``, the query reports how many messages were read, how many
-    were skipped and in how many a field did not fit its type.
+    were skipped, in how many a field did not fit its type, and how many have
+    no event time at all: those stay, but belong to no window. ``rejects``
+    gives the messages that were skipped or lack a time.
     """
     contract = schemas.EVENT_TABLES[table]
     text = T.StructType(all_text(contract).fields + [T.StructField(_BROKEN, T.StringType())])
@@ -99,12 +101,31 @@ def decode(
             F.count(F.lit(1)).alias("records"),
             F.count(F.when(F.col("broken"), 1)).alias("malformed"),
             F.count(F.when(~F.col("broken") & any_of(lost), 1)).alias("misfits"),
+            F.count(F.when(~F.col("broken") & F.col("r.timestamp").isNull(), 1)).alias("timeless"),
         )
         .filter(~F.col("broken"))
         .drop("r", "broken")
     )
 
 
+def rejects(messages: DataFrame, table: str, *, payload: str = "payload") -> DataFrame:
+    """Messages that enter no window, as they came, with the reason: malformed, or without a usable time."""
+    text = T.StructType(
+        all_text(schemas.EVENT_TABLES[table]).fields + [T.StructField(_BROKEN, T.StringType())]
+    )
+    read = F.from_json(F.col(payload), text, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN})
+    reason = (
+        F.when(F.col("r").isNull() | F.col(f"r.{_BROKEN}").isNotNull(), "malformed")
+        .when(F.col("r.timestamp").isNull(), "no time")
+        .when(parse_time(F.col("r.timestamp")).isNull(), "unreadable time")
+    )
+    return (
+        messages.select(F.col(payload).alias("payload"), read.alias("r"))
+        .select("payload", reason.alias("reason"))
+        .filter(F.col("reason").isNotNull())
+    )
+
+
 def _computing(kind: T.DataType) -> T.DataType:
     """Measurements are computed with at full width; only the archive stores them as floats."""
     return T.DoubleType() if isinstance(kind, T.FloatType) else kind

@@ -9,27 +9,72 @@ with ``once=True`` processes what is there and stops.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millwright import schemas
 from millwright.operators.capability import rolling_cpk
 from millwright.operators.oee import oee_by_window
-from millwright.sinks import archive, tables
+from millwright.sinks import archive, folders, tables
+from millwright.sources.feeds import file_feed
 from millwright.streaming.precursor_state import precursor_stream
 
 DELAY = f"{schemas.WATERMARK_S} seconds"
 
 
+# marks the rows that only move the watermark
+_BEAT = "_heartbeat"
+
+
+def with_heartbeat(events: DataFrame, folder: str | None) -> DataFrame:
+    """Events together with the heartbeats of a folder, which carry nothing but a time.
+
+    A feed that has ended or gone quiet moves no watermark, so its last windows
+    would stay open. ``beat`` closes them.
+    """
+    if folder is None:
+        return events
+    folders.make(events.sparkSession, folder)
+    beats = file_feed(events.sparkSession, folder, "ts timestamp").withColumn(_BEAT, F.lit(True))
+    return events.withColumn(_BEAT, F.lit(False)).unionByName(beats, allowMissingColumns=True)
+
+
+def beat(spark: SparkSession, folder: str, at: datetime) -> None:
+    """Says that the time is ``at``: windows that end more than the delay before it will be closed."""
+    spark.createDataFrame([(at,)], "ts timestamp").coalesce(1).write.mode("append").parquet(folder)
+
+
+def finish(start: Callable[[], StreamingQuery], spark: SparkSession, folder: str, at: datetime) -> None:
+    """Runs a job over a finished feed to its end, last windows included.
+
+    ``start`` starts the job with ``once`` and the heartbeat folder; it is
+    called twice, on one checkpoint.
+    """
+    start().awaitTermination()
+    beat(spark, folder, at)
+    start().awaitTermination()
+
+
+def _watermarked(events: DataFrame, delay: str) -> DataFrame:
+    rows = events.withWatermark("ts", delay)
+    if _BEAT not in events.columns:
+        return rows
+    # the term on the event time, never true, keeps the filter above the watermark
+    never = F.col("ts") < F.lit("0001-01-01 00:00:00").cast("timestamp")
+    return rows.filter(~F.col(_BEAT) | never).drop(_BEAT)
+
+
 def oee_stream(events: DataFrame, *, delay: str = DELAY, **options) -> DataFrame:
     """Windows of a line event stream, each emitted once, when the watermark passes its end."""
-    return oee_by_window(events.withWatermark("ts", delay), **options)
+    return oee_by_window(_watermarked(events, delay), **options)
 
 
 def cpk_stream(batches: DataFrame, *, delay: str = DELAY, **options) -> DataFrame:
     """Sliding windows of a quality stream, panes first, in append mode."""
-    return rolling_cpk(batches.withWatermark("ts", delay), **options)
+    return rolling_cpk(_watermarked(batches, delay), **options)
 
 
 def run(
@@ -67,27 +112,33 @@ def run(
     return writer.foreachBatch(write).start()
 
 
-def run_oee(events: DataFrame, table: str, checkpoint: str, **options) -> StreamingQuery:
+def run_oee(
+    events: DataFrame, table: str, checkpoint: str, *, heartbeat: str | None = None, **options
+) -> StreamingQuery:
     return run(
-        oee_stream(events),
+        oee_stream(with_heartbeat(events, heartbeat)),
         lambda batch, run, n: tables.upsert_oee_metrics(table, batch, batch=n),
         checkpoint,
         **options,
     )
 
 
-def run_cpk(batches: DataFrame, table: str, checkpoint: str, **options) -> StreamingQuery:
+def run_cpk(
+    batches: DataFrame, table: str, checkpoint: str, *, heartbeat: str | None = None, **options
+) -> StreamingQuery:
     return run(
-        cpk_stream(batches),
+        cpk_stream(with_heartbeat(batches, heartbeat)),
         lambda batch, run, n: tables.upsert_quality_stats(table, batch, batch=n),
         checkpoint,
         **options,
     )
 
 
-def run_alerts(status: DataFrame, table: str, checkpoint: str, **options) -> StreamingQuery:
+def run_alerts(
+    status: DataFrame, table: str, checkpoint: str, *, heartbeat: str | None = None, **options
+) -> StreamingQuery:
     return run(
-        precursor_stream(status),
+        precursor_stream(with_heartbeat(status, heartbeat)),
         lambda batch, run, n: tables.append_alerts(table, batch, batch=n, run=run),
         checkpoint,
         **options,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from millwright.plans.check_sql import statements
 from millwright.plans.register import registered
-from millwright.sources.feeds import decode, normalize, text_feed, with_defaults
+from millwright.sources.feeds import decode, normalize, rejects, text_feed, with_defaults
 
 
 def decoded(spark, table, *payloads):
@@ -47,7 +47,9 @@ def test_skipped_messages_and_misfits_are_counted(spark):
     messages = spark.createDataFrame([(p,) for p in payloads], "payload string")
     counts = Observation()
     assert len(decode(messages, "line_events", counts=counts).collect()) == 3
-    assert counts.get == {"records": 4, "malformed": 1, "misfits": 2}
+    assert counts.get == {"records": 4, "malformed": 1, "misfits": 2, "timeless": 2}
+    reasons = [(r.payload, r.reason) for r in rejects(messages, "line_events").collect()]
+    assert reasons == list(zip(payloads, ["malformed", "no time", "no time", "unreadable time"]))
 
 
 def test_booleans_and_measurements(spark):
