@@ -165,12 +165,20 @@ def invalid_fault_codes(status: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("events"))
     )
     codes = schemas.fault_code_table(status.sparkSession)
-    covered = codes.select("downtime_reason").distinct()
-    listed = reported.join(codes, ["downtime_reason", "fault_code"], "left_anti")
-    fallback = reported.filter(F.col("fault_code") == schemas.DEFAULT_FAULT_CODE).join(
-        covered, "downtime_reason", "left_anti"
+    listed = codes.select("downtime_reason", "fault_code").distinct().withColumn("listed", F.lit(True))
+    covered = codes.select("downtime_reason").distinct().withColumn("covered", F.lit(True))
+    # the default code goes with every reason that has no codes of its own
+    fallback = (
+        (F.col("fault_code") == schemas.DEFAULT_FAULT_CODE)
+        & F.col("downtime_reason").isNotNull()
+        & F.col("covered").isNull()
+    )
+    return (
+        reported.join(listed, ["downtime_reason", "fault_code"], "left")
+        .join(covered, "downtime_reason", "left")
+        .filter(F.col("listed").isNull() & ~fallback)
+        .select("downtime_reason", "fault_code", "events")
     )
-    return listed.join(fallback, ["downtime_reason", "fault_code"], "left_anti")
 
 
 def domain_violations(events: DataFrame, table: str) -> DataFrame:

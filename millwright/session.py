@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -41,6 +43,7 @@ def shared_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir`` is authoritative. Only a local-mode session
     without that setting falls back to a temporary folder; on a cluster a
     machine-local folder would lose data with its machine, so that is refused.
+    The temporary folder goes when the driver ends.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -48,6 +51,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="millwright-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
