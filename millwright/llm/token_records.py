@@ -17,8 +17,11 @@ equal ids are ordered by their text; equal rows are written as often as they
 occur. An empty table gives an empty result; further columns are ignored.
 """
 
+import json
 import os
+import re
 import struct
+import sys
 import zlib
 from collections.abc import Iterator
 
@@ -32,9 +35,12 @@ from millwright.session import scratch_path
 
 #: text bytes that one file should hold; a reader takes a file at a time
 FILE_BYTES = 16 << 20
-#: distinct words a task remembers, and the longest it does
+#: distinct words, and stems of words, that a worker remembers; and how many stems are encoded together
 KNOWN_WORDS = 300_000
-KNOWN_BYTES = 64
+TOGETHER = 512
+# Letters whose lower case is one letter everywhere, and marks that never belong to the letters before them.
+LETTERS = "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)"
+MARKS = r"([^A-Za-z0-9'\u0080-\U0010ffff]*)"
 _MASK_DELTA = 0xA282EAD8
 _HEAD, _HEAD_BYTES = "<QI", 12
 _BODY, _BODY_BYTES = "<BqI", 13
@@ -75,12 +81,15 @@ def frames(content: bytes, width: int) -> Iterator[tuple[int, int, int | None, n
 
 
 class WordEncoder:
-    """Token ids of texts, encoding each distinct word once.
+    """Token ids of texts, encoding distinct words only.
 
     The tokenizer replaces white space by single spaces and never joins across
     it, so a text's ids are those of its words one after the other. Words are
     cut at ASCII white space only; other spaces stay inside and are left to
-    the tokenizer.
+    the tokenizer. It also lower-cases, and splits letters from marks; so a
+    word of letters with marks behind it has the ids of its letters in lower
+    case, then those of the marks. Such letters are encoded many at a time and
+    told apart by the tokens that end a word.
     """
 
     def __init__(self, definition: str, width: int):
@@ -88,27 +97,74 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.kind = f"<u{width}"
-        self.known: dict[bytes, bytes] = {}
+        self.width = width
+        suffix = json.loads(definition)["model"].get("end_of_word_suffix")
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.ends[[number for token, number in vocabulary.items() if token.endswith(suffix)]] = True
+        self.letters = re.compile(LETTERS + MARKS) if suffix else re.compile("(?!)()()")
+        self.words: dict[bytes, bytes] = {}
+        self.stems: dict[str, bytes] = {}
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         split = [text.split() for text in texts]
-        new = set().union(*split).difference(self.known)
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known.clear()
-            new = set().union(*split)
-        order = list(new)
-        for at in range(0, len(order), 4096):
-            run = order[at : at + 4096]
-            found = self.tokenizer.encode_batch([word.decode() for word in run], add_special_tokens=False)
-            for word, one in zip(run, found):
-                self.known[word] = np.array(one.ids, self.kind).tobytes()
-        known = self.known
-        out = [b"".join([known[word] for word in words]) for words in split]
-        for word in [word for word in new if len(word) > KNOWN_BYTES]:
-            del known[word]
+        distinct = set().union(*split)
+        fresh = self._encoded(distinct.difference(self.words))
+        if len(self.words) + len(fresh) <= KNOWN_WORDS:
+            self.words.update(fresh)
+            table = self.words
+        else:  # the first words of a task are mostly the frequent ones: those stay
+            known = self.words
+            table = fresh | {word: known[word] for word in distinct if word in known}
+        return [b"".join([table[word] for word in words]) for words in split]
+
+    def _encoded(self, words: set[bytes]) -> dict[bytes, bytes]:
+        parts, other = {}, []
+        for word in words:
+            found = self.letters.fullmatch(word.decode())
+            if found:
+                parts[word] = found[1].lower(), found[2]
+            else:
+                other.append(word)
+        stems = self._stems({stem for stem, _ in parts.values()})
+        marks = list({mark for _, mark in parts.values()})
+        marked = dict(zip(marks, self._each(marks)))
+        out = {word: stems[stem] + marked[mark] for word, (stem, mark) in parts.items()}
+        out.update(zip(other, self._each([word.decode() for word in other])))
         return out
 
+    def _each(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(one.ids, f"<u{self.width}").tobytes() for one in found]
+
+    def _stems(self, stems: set[str]) -> dict[str, bytes]:
+        known = self.stems
+        new = list(stems.difference(known))
+        out = {}
+        for at in range(0, len(new), TOGETHER):
+            run = new[at : at + TOGETHER]
+            ids = np.array(self.tokenizer.encode(" ".join(run), add_special_tokens=False).ids, f"<u{self.width}")
+            stops = ((np.flatnonzero(self.ends[ids]) + 1) * self.width).tolist()
+            if len(stops) != len(run):
+                raise ValueError("a word of letters is not one word to the tokenizer")
+            data = ids.tobytes()
+            out.update((word, data[a:b]) for word, a, b in zip(run, [0, *stops], stops))
+        if len(known) + len(out) <= KNOWN_WORDS:
+            known.update(out)
+            return known
+        return out | {stem: known[stem] for stem in stems if stem in known}
+
+
+def worker_encoder(definition: str, width: int) -> WordEncoder:
+    """The encoder of this Python worker, kept from task to task."""
+    held = sys.__dict__.setdefault("_millwright_encoders", {})
+    key = (zlib.crc32(definition.encode()), len(definition), width)
+    if key not in held:
+        held.clear()
+        held[key] = WordEncoder(definition, width)
+    return held[key]
+
 
 def id_width(definition: str, end_id: int) -> int:
     from tokenizers import Tokenizer
@@ -131,7 +187,7 @@ def write_records(
     sorted_rows = rows.repartitionByRange(files, *keys).sortWithinPartitions(*keys, F.xxhash64("text"), "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(definition, width)
+        encoder = worker_encoder(definition, width)
         for batch in batches:
             ids = [one + end for one in encoder.ids(batch.column(1).to_pylist())]
             records = [frame(doc, one, len(one) // width) for doc, one in zip(batch.column(0).to_pylist(), ids)]
