@@ -3,14 +3,16 @@
 A text's features are the words that occur in it and their beginnings of
 four to six bytes, as sparse marks. One weight per feature is shared by all
 ordered thresholds: P(grade <= k) = logistic(threshold_k - weights . marks).
-The result is the expected grade. An L1 penalty leaves few features, so a
+The result is the expected grade. Weights are not negative, so harmless words
+cannot make up for an insult, and an L1 penalty leaves few of them, so a
 neutral word weighs nothing however long the text is.
 
 Labels say toxic or not; toxic training texts are graded by how many
 indicative features they hold, up to the median (grade 1) or above (grade 2).
 Training uses at most ``SAMPLE`` labelled rows per class, drawn by the hash
 of their id and weighted back to the size of their class; all other steps
-cover all rows.
+cover all rows. The same rows choose the probability of any toxicity from
+which a text is rejected, by the best F-measure.
 
 Null and empty texts have no features. Labels that are null are ignored; if
 the labels of one id differ, the highest counts. With labels of one class
@@ -18,7 +20,7 @@ only, or none, every severity is 0. Repeated rows are scored alike; an empty
 table gives an empty result; further columns are ignored.
 """
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -34,8 +36,8 @@ LEAST_TEXTS = 4
 LEAST_CHI2 = 12.0
 FEATURES = 20_000
 GRADES = 3
-PENALTY = 0.0005
-ROUNDS = 600
+PENALTY = 0.0001
+ROUNDS = 2000
 BEGINNINGS = (4, 5, 6)
 
 # lower case, and a space for every ASCII character that is no letter or digit
@@ -83,25 +85,26 @@ def with_marks(docs: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Model:
-    """Feature hashes in order, their weights, and the thresholds between grades."""
+    """Feature hashes in order, their weights, the thresholds between grades, and the P(grade > 0) that rejects."""
 
     features: np.ndarray
     weights: np.ndarray
     thresholds: np.ndarray
+    reject_at: float
 
     def above(self, scores: np.ndarray) -> np.ndarray:
         """P(grade > k) for each score and threshold."""
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - scores[:, None], -60, 60)))
 
 
-NOTHING = Model(np.zeros(0, np.uint64), np.zeros(0), np.full(GRADES - 1, 60.0))
+NOTHING = Model(np.zeros(0, np.uint64), np.zeros(0), np.full(GRADES - 1, 60.0), 0.5)
 
 
 def fit_ordinal(
     row: np.ndarray, column: np.ndarray, grade: np.ndarray, share: np.ndarray, width: int,
     grades: int = GRADES, penalty: float = PENALTY, rounds: int = ROUNDS,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and thresholds of the cumulative-link model on marks (row, column).
+    """Weights, zero or more, and thresholds of the cumulative-link model on marks (row, column).
 
     Accelerated proximal gradient; ``share`` weights the rows and sums to 1.
     Thresholds are kept in order by fitting their gaps.
@@ -109,8 +112,10 @@ def fit_ordinal(
     size = len(grade)
     weights, thresholds = np.zeros(width), np.linspace(1.0, 2.0, grades - 1)
     last, point, pace = weights.copy(), weights.copy(), 1.0
-    per_row = np.bincount(row, minlength=size)
-    step = 4.0 / max(1.0, float((share * per_row).sum()) * 4)
+    # a row's curvature is at most a half, shared among its marks and its threshold
+    held = share * (np.bincount(row, minlength=size) + 1)
+    step = 2.0 / np.maximum(np.bincount(column, held[row], width), 1e-9)
+    step_of_thresholds = 2.0 / float(held.sum())
     for _ in range(rounds):
         score = np.bincount(row, point[column], size)
         edges = np.concatenate([[-60.0], thresholds, [60.0]])
@@ -125,14 +130,25 @@ def fit_ordinal(
         by_threshold = np.bincount(grade, -share * slope_high / chance, grades)[: grades - 1]
         by_threshold = by_threshold + np.bincount(grade, share * slope_low / chance, grades)[1:]
         moved = point - step * np.bincount(column, by_score[row], width)
-        weights = np.sign(moved) * np.maximum(np.abs(moved) - step * penalty, 0)
-        thresholds = np.maximum.accumulate(thresholds - by_threshold + np.arange(grades - 1) * 1e-6)
+        weights = np.maximum(moved - step * penalty, 0)
+        thresholds = np.maximum.accumulate(thresholds - step_of_thresholds * by_threshold + np.arange(grades - 1) * 1e-6)
         faster = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
         point = weights + (pace - 1) / faster * (weights - last)
         last, pace = weights, faster
     return weights, thresholds
 
 
+def best_cut(scores: np.ndarray, toxic: np.ndarray, share: np.ndarray) -> float:
+    """The score that tells toxic from clean rows with the best F-measure, halfway to the next scores."""
+    order = np.argsort(-scores, kind="stable")
+    ranked, caught = scores[order], np.cumsum((share * toxic)[order])
+    f_measure = 2 * caught / (np.cumsum(share[order]) + (share * toxic).sum())
+    # a cut lies between two different scores
+    f_measure[:-1][ranked[1:] == ranked[:-1]] = -1
+    at = int(np.argmax(f_measure))
+    return float((ranked[at] + ranked[min(at + 1, len(ranked) - 1)]) / 2)
+
+
 def sample_labels(labels: DataFrame, size: int = SAMPLE) -> DataFrame:
     """At most ``size`` ids per class, with the number of rows each stands for."""
     known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
@@ -192,12 +208,14 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     grade = np.where(toxic, np.where(hits > np.median(hits[toxic]), 2, 1), 0)
     share = np.where(toxic, sizes[True][1] / n_toxic, sizes[False][1] / n_clean).astype(float)
     weights, thresholds = fit_ordinal(row, column, grade, share / share.sum(), len(features))
+    scores = np.bincount(row, weights[column], len(pairs))
     used = weights != 0
-    return Model(features[used], weights[used], thresholds)
+    model = Model(features[used], weights[used], thresholds, 0.5)
+    return replace(model, reject_at=float(model.above(np.array([best_cut(scores, toxic, share)]))[0, 0]))
 
 
 def severity(model: Model, text_col: str | Column = "text") -> Column:
-    """A struct (severity, grade, p_toxic): the expected grade, the likeliest one, and P(grade > 0)."""
+    """A struct (severity, grade, p_toxic, rejected): the expected grade, the likeliest one, P(grade > 0), the verdict."""
 
     def prepare():
         def work(texts: list[bytes]) -> dict:
@@ -215,22 +233,21 @@ def severity(model: Model, text_col: str | Column = "text") -> Column:
                 "severity": np.round(above.sum(axis=1), 4),
                 "grade": np.argmax(steps[:, :-1] - steps[:, 1:], axis=1),
                 "p_toxic": np.round(above[:, 0], 4),
+                "rejected": above[:, 0] > model.reject_at,
             }
 
         return work
 
-    return text_struct(prepare, "severity double, grade int, p_toxic double")(text_col)
+    return text_struct(prepare, "severity double, grade int, p_toxic double, rejected boolean")(text_col)
 
 
-def report(docs: DataFrame, labels: DataFrame, reject_at: float = 0.5) -> DataFrame:
+def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per row: expected severity, likeliest grade, and whether it is rejected as toxic."""
-    model = train(docs, labels)
-    scored = docs.select("doc_id", severity(model).alias("s"))
-    return scored.select("doc_id", "s.severity", "s.grade", (F.col("s.p_toxic") >= reject_at).alias("rejected"))
+    scored = docs.select("doc_id", severity(train(docs, labels)).alias("s"))
+    return scored.select("doc_id", "s.severity", "s.grade", "s.rejected")
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame, reject_at: float = 0.5) -> DataFrame:
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows not rejected, with the columns they came with."""
-    model = train(docs, labels)
-    scored = docs.withColumn("_severity", severity(model))
-    return scored.filter(F.col("_severity.p_toxic") < reject_at).drop("_severity")
+    scored = docs.withColumn("_severity", severity(train(docs, labels)))
+    return scored.filter(~F.col("_severity.rejected")).drop("_severity")
