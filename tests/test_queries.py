@@ -15,35 +15,9 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import compare as checker  # noqa: E402
 
-import __spark_entry__ as entry  # noqa: E402
+from millwright.plans import register  # noqa: E402
 
-NAMES = [
-    "oee_by_window",
-    "oee_by_hour_window",
-    "rolling_cpk",
-    "fault_precursors",
-    "oee_hourly_rollup",
-    "mtbf_by_line",
-    "current_oee",
-    "active_alerts",
-    "current_cpk",
-    "worst_windows",
-    "oee_trend",
-    "last_three_shifts",
-    "batch_quality_mismatches",
-    "fault_rate_by_context",
-    "status_intervals",
-    "six_big_losses",
-    "xbar_chart",
-    "ingest_latency",
-    "sensor_trend",
-    "upsert_oee_metrics",
-    "archive_added_column",
-    "decode_line_events",
-    "decode_equipment_status",
-    "stream_cpk",
-    "stream_precursors",
-]
+NAMES = list(register.registered())
 
 
 @pytest.fixture(scope="module")
