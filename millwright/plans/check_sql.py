@@ -222,7 +222,7 @@ _HOURLY_ROWS = (
 _HOURS = "3600000000"
 _FINE = """(SELECT us, event_id, line_id, spec_upper, spec_lower,
        measured_mean + (event_id % 9973) / 1e7 AS measured_mean,
-       measured_stddev / 1024 + (event_id % 9973) / 1e8 AS measured_stddev FROM quality_metrics)"""
+       measured_stddev / 100 + (event_id % 9973) / 1e9 AS measured_stddev FROM quality_metrics)"""
 _SNAPSHOT = "CASE WHEN us < 1704931200000000 THEN 1 WHEN us < 1705795200000000 THEN 2 ELSE 3 END"
 _ARCHIVED = (
     f"SELECT CAST(event_id AS VARCHAR) AS event_id, {_ts('us')} AS ts, line_id, event_type, "

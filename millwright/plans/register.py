@@ -143,13 +143,13 @@ def rolling_cpk(spark, sf_dir):
 
 
 def rolling_cpk_fine(spark, sf_dir):
-    """Capability over readings with seven decimals and spreads of a few thousandths."""
+    """Capability over readings with seven decimals and small spreads with nine."""
     plant = Plant(spark, sf_dir)
     steps = F.col("event_id") % 9973
     fine = plant.quality_metrics.withColumns(
         {
             "measured_mean": F.col("measured_mean") + steps / 10000000,
-            "measured_stddev": F.col("measured_stddev") / 1024 + steps / 100000000,
+            "measured_stddev": F.col("measured_stddev") / 100 + steps / 1000000000,
         }
     )
     return capability.rolling_cpk(fine)
