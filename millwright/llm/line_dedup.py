@@ -110,19 +110,43 @@ def frequent_words(counts: DataFrame, limit: int = KNOWN_WORDS) -> tuple[np.ndar
     return word[order], rarity[order]
 
 
+def coded(words: np.ndarray, known: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each word's place by rarity, 0 for a rare one, and its code: the place, or the hash of a rare word."""
+    if not len(known):
+        return np.zeros(len(words), np.int64), words
+    spot = np.searchsorted(known, words)
+    spot[spot == len(known)] = 0
+    rank = np.where(known[spot] == words, place[spot], 0)
+    return rank, np.where(rank > 0, rank.astype(np.uint64), words)
+
+
+def packed(rank: np.ndarray, code: np.ndarray) -> bytes:
+    """A set as bytes: how many rare words, their hashes, then three bytes for each other word."""
+    rare, often = code[rank == 0], rank[rank > 0].astype("<u4")
+    return np.array([len(rare)], "<u4").tobytes() + rare.tobytes() + often.view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    """The codes of a packed set, in order."""
+    n = int(np.frombuffer(data, "<u4", 1)[0])
+    often = np.frombuffer(data, np.uint8, offset=4 + 8 * n).reshape(-1, 3).astype(np.uint64)
+    often = often[:, 0] | often[:, 1] << np.uint64(8) | often[:, 2] << np.uint64(16)
+    return np.sort(np.concatenate([np.frombuffer(data, np.uint64, n, 4), often]))
+
+
 def _up(number: Column | np.ndarray, by: int):
     """The quotient rounded up."""
     return F.ceil(number / F.lit(by)) if isinstance(number, Column) else -(-number // by)
 
 
-def _described(texts: DataFrame, words: np.ndarray, rarity: np.ndarray, bits: np.ndarray, percent: int, id_type: str) -> DataFrame:
+def _described(texts: DataFrame, known_words: tuple[np.ndarray, np.ndarray], bits: np.ndarray, percent: int, id_type: str) -> DataFrame:
     """One row per line with words, and one with a null line per text.
 
     The rarity-ordered prefix comes with the first line of a class in a task;
     words that stand in one line only are left out of it, not of the places.
     """
     spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast((words.tobytes(), rarity.tobytes(), bits.tobytes()))
+    shared = spark.sparkContext.broadcast((*(a.tobytes() for a in known_words), bits.tobytes()))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, place, twice = (np.frombuffer(b, t) for b, t in zip(shared.value, (np.uint64, np.int64, np.uint8)))
@@ -133,18 +157,15 @@ def _described(texts: DataFrame, words: np.ndarray, rarity: np.ndarray, bits: np
             for part in arrays.parts(texts):
                 found = word_sets(part)
                 size, first, word = found["size"], found["first"], found["word"]
-                spot = np.searchsorted(known, word)
-                spot[spot == len(known)] = 0
-                rank = np.where(known[spot] == word, place[spot], 0) if len(known) else np.zeros(len(word), np.int64)
+                rank, code = coded(word, known, place)
                 line = np.repeat(np.arange(len(size)), size)
                 # equal ranks stay in the order of their hashes
                 order = np.argsort(line * (KNOWN_WORDS * 2) + rank, kind="stable")
-                ordered = word[order]
                 lengths = size - _up(percent * size, 100) + 1
                 classes = _signed(found["class"])
                 prefixes: list[list | None] = []
-                single = ~in_filter(twice, _signed(ordered))
-                values = _signed(ordered)
+                single = ~in_filter(twice, _signed(word[order]))
+                values = _signed(code[order])
                 for name, start, length in zip(classes.tolist(), first.tolist(), lengths.tolist()):
                     if name in described:
                         prefixes.append(None)
@@ -180,42 +201,51 @@ def _described(texts: DataFrame, words: np.ndarray, rarity: np.ndarray, bits: np
     return texts.mapInArrow(work, LINES.format(id=f"doc_id {id_type}"))
 
 
-def candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of classes that pass all filters, with one word they share."""
-    words = classes.select("class", "size", "parity", F.posexplode("prefix").alias("pos", "word")).filter("word is not null")
-    short = F.col("size") - _up(2 * percent * F.col("size"), 100 + percent) + 1
-    small = words.filter(F.col("pos") < short).select(
-        "word", F.col("class").alias("a"), F.col("size").alias("size_a"), F.col("parity").alias("parity_a"), F.col("pos").alias("pos_a")
-    )
-    large = words.select(
-        F.col("word").alias("word_b"), F.col("class").alias("b"), F.col("size").alias("size_b"), F.col("parity").alias("parity_b"), F.col("pos").alias("pos_b")
+def candidates(lines: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes that pass all filters, with one word they share.
+
+    One shuffle by word serves both sides of the join, and removes what several
+    tasks said of one class. The positional filter keeps the smaller set to
+    its shorter prefix.
+    """
+    words = (
+        lines.filter("prefix is not null")
+        .select("class", "size", "parity", F.posexplode("prefix").alias("pos", "word"))
+        .filter("word is not null")
+        .repartition("word")
+        .groupBy("word", "class")
+        .agg(*[F.min(c).alias(c) for c in ("size", "parity", "pos")])
     )
-    both = F.col("size_a") + F.col("size_b")
+    a, b = (lambda name: F.col(f"a.{name}")), (lambda name: F.col(f"b.{name}"))
+    both = a("size") + b("size")
     overlap = _up(percent * both, 100 + percent)
     fits = (
-        ((F.col("size_a") < F.col("size_b")) | ((F.col("size_a") == F.col("size_b")) & (F.col("a") < F.col("b"))))
-        & (100 * F.col("size_a") >= percent * F.col("size_b"))
-        & (F.least(F.col("size_a") - F.col("pos_a"), F.col("size_b") - F.col("pos_b")) >= overlap)
-        & (F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b"))) <= both - 2 * overlap)
+        ((a("size") < b("size")) | ((a("size") == b("size")) & (a("class") < b("class"))))
+        & (100 * a("size") >= percent * b("size"))
+        & (F.least(a("size") - a("pos"), b("size") - b("pos")) >= overlap)
+        & (F.bit_count(a("parity").bitwiseXOR(b("parity"))) <= both - 2 * overlap)
     )
-    pairs = small.join(large, (F.col("word") == F.col("word_b")) & fits)
-    return pairs.groupBy("a", "b").agg(F.min("word").alias("word"))
+    pairs = words.alias("a").join(words.alias("b"), (a("word") == b("word")) & fits)
+    return pairs.groupBy(a("class").alias("a"), b("class").alias("b")).agg(F.min(a("word")).alias("word"))
 
 
-def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(class, words) of the wanted classes, read again from the texts; words in order, 8 bytes each."""
-    shared = texts.sparkSession.sparkContext.broadcast(bit_filter(wanted, "class").tobytes())
+def _sets(texts: DataFrame, wanted: DataFrame, known_words: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(class, words) of the wanted classes, read again from the texts; the words packed."""
+    shared = texts.sparkSession.sparkContext.broadcast(
+        (*(a.tobytes() for a in known_words), bit_filter(wanted, "class").tobytes())
+    )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(shared.value, np.uint8)
+        known, place, bits = (np.frombuffer(b, t) for b, t in zip(shared.value, (np.uint64, np.int64, np.uint8)))
         for batch in batches:
             for part in arrays.parts(batch.column(0).to_pylist()):
                 found = word_sets(part)
                 classes, index = np.unique(_signed(found["class"]), return_index=True)
                 hit = in_filter(bits, classes) if len(classes) else np.zeros(0, bool)
                 classes, index = classes[hit], index[hit]
-                first, size, word = found["first"][index], found["size"][index], found["word"]
-                cut = [word[a : a + n].tobytes() for a, n in zip(first.tolist(), size.tolist())]
+                cut = []
+                for first, size in zip(found["first"][index].tolist(), found["size"][index].tolist()):
+                    cut.append(packed(*coded(found["word"][first : first + size], known, place)))
                 yield pa.RecordBatch.from_arrays([pa.array(classes), pa.array(cut, pa.binary())], ["class", "words"])
 
     return texts.mapInArrow(work, "class long, words binary").dropDuplicates(["class"])
@@ -230,7 +260,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def verify(pairs: pa.Table, sets: pa.Table) -> pa.Table:
         words = {
-            name: np.frombuffer(data, np.uint64)
+            name: unpacked(data)
             for name, data in zip(sets.column("class").to_pylist(), sets.column("words").to_pylist())
         }
         kept = []
@@ -252,19 +282,14 @@ def line_links(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     bounded_batches(docs.sparkSession)
     texts = docs.select(utf8(text_col).alias("bytes"))
     counts = stored(word_counts(texts), "word-counts")
-    words, rarity = frequent_words(counts)
+    known_words = frequent_words(counts)
     bits = bit_filter(counts.filter("n > 1"), "word")
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), utf8(text_col).alias("bytes"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    lines = stored(_described(rows, words, rarity, bits, percent, id_type), "lines")
-    classes = (
-        lines.filter("prefix is not null")
-        .select("class", "size", "parity", "prefix")
-        .dropDuplicates(["class"])
-    )
-    pairs = stored(candidates(classes, percent), "line-pairs")
+    lines = stored(_described(rows, known_words, bits, percent, id_type), "lines")
+    pairs = stored(candidates(lines, percent), "line-pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    links = stored(verified(pairs, stored(_sets(texts, ends), "line-sets"), percent), "line-links")
+    links = stored(verified(pairs, _sets(texts, ends, known_words), percent), "line-links")
     return lines, links
 
 
