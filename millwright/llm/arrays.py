@@ -10,7 +10,7 @@ from functools import cache
 import numpy as np
 
 #: bytes worked on at a time; a longer text comes alone
-PART_BYTES = 1 << 20
+PART_BYTES = 1 << 19
 _WHITE = np.zeros(256, bool)
 _WHITE[[32, 9, 10, 11, 12, 13]] = True
 _BASE = 0x9E3779B97F4A7C15

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millwright.session import scratch_path
 
 #: texts handed to Python at a time, in bytes; one longer text comes alone
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 #: bits of the filters sent to tasks; a full filter lets everything pass and only costs time
 FILTER_BITS = 1 << 25
 _BITMAP = 1 << 15

@@ -168,7 +168,8 @@ def doubled(rows: DataFrame, names: list[str]) -> DataFrame:
     for name in [None, *names]:
         pair = ["rank", name] if name else ["rank"]
         shared = rows.groupBy(*pair).agg(F.count("*").alias("_n")).filter("_n > 1").drop("_n")
-        rows = rows.join(shared, pair, "left_semi")
+        # stored, so that both sides of the join are plain shuffles, which can be split where one rank is large
+        rows = rows.join(stored(shared, "shared-ranks"), pair, "left_semi")
         if name:
             rows = rows.withColumn("rank", F.xxhash64(*pair)).drop(name)
     return rows
