@@ -3,7 +3,7 @@ from __future__ import annotations
 import statistics
 
 import pytest
-from conftest import at, batch, batch_frame
+from support import at, batch, batch_frame
 
 from millwright.operators.capability import rolling_cpk
 

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import json
 
-from conftest import at
+from support import at
 
 from millwright import cli, schemas
 from millwright.sinks import tables

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import json
 
-from conftest import cycle, line_frame
+from support import cycle, line_frame
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import at, cycle, fault, line_frame, status, status_frame
+from support import at, cycle, fault, line_frame, status, status_frame
 
 from millwright.operators.enrich import repair_against_expected
 from millwright.operators.intervals import repair_time_by_line, status_intervals

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import cycle, line_frame
+from support import cycle, line_frame
 
 from millwright.operators.oee import oee_against_target, oee_by_window
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import at, fault, status, status_frame
+from support import at, fault, status, status_frame
 
 from millwright.operators.precursors import fault_precursors
 

@@ -9,7 +9,7 @@ import os
 import sys
 
 import pytest
-from conftest import DATA
+from support import DATA
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 

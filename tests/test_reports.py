@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 import pytest
-from conftest import at, batch, batch_frame, cycle, fault, line_frame, status, status_frame
+from support import at, batch, batch_frame, cycle, fault, line_frame, status, status_frame
 from pyspark.sql import functions as F
 
 from millwright import schemas

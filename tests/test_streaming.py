@@ -5,7 +5,7 @@ import random
 
 import pyarrow.parquet as parquet
 import pytest
-from conftest import (
+from support import (
     LINE_LAYOUT,
     QUALITY_LAYOUT,
     STATUS_LAYOUT,
