@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwright.llm import (
-    chat_format, decontaminate, line_dedup, mixing, quality_rules, secret_scan, simhash, suffix_dedup, token_records, toxicity,
+    chat_format, decontaminate, exact_dedup, line_dedup, mixing, quality_rules, secret_scan, simhash, suffix_dedup, token_records, toxicity,
 )
 
 END_ID = 2
@@ -71,6 +71,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.judged(table(spark, sf_dir, "documents"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()]
     return {f.__name__: f for f in sorted(found, key=lambda f: int(f.__name__[2:].split("_")[0]))}
@@ -101,6 +105,22 @@ FROM turns
 GROUP BY conv_id
 """
 
+SQL["op13_exact_dedup"] = r"""
+WITH plain AS (
+    SELECT doc_id, length(coalesce(text, '')) AS chars,
+        regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS plain
+    FROM documents
+)
+SELECT
+    doc_id,
+    first_value(doc_id) OVER (same ORDER BY chars DESC, doc_id) AS keep_id,
+    count(*) OVER same AS group_size,
+    row_number() OVER (same ORDER BY chars DESC, doc_id) = 1 AS kept,
+    sha256(plain) AS text_sha256
+FROM plain
+WINDOW same AS (PARTITION BY plain)
+"""
+
 
 def statements() -> dict[str, str]:
     return dict(SQL)
