@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwright.llm import (
-    chat_format, decontaminate, exact_dedup, line_dedup, mixing, quality_rules, secret_scan, simhash, suffix_dedup, token_records, toxicity,
+    chat_format, collocations, decontaminate, exact_dedup, line_dedup, mixing, quality_rules, secret_scan, simhash, suffix_dedup, token_records, toxicity,
 )
 
 END_ID = 2
@@ -71,6 +71,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.report(table(spark, sf_dir, "documents"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.judged(table(spark, sf_dir, "documents"))
 
@@ -105,6 +109,47 @@ FROM turns
 GROUP BY conv_id
 """
 
+SQL["op11_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]'
+    )) AS piece
+    FROM documents
+),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+totals AS (SELECT lang, sum(len(words))::BIGINT AS n FROM lists GROUP BY lang),
+sizes AS (SELECT lang, words, unnest(range(1, 6)) AS size FROM lists),
+starts AS (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS i FROM sizes),
+counts AS (
+    SELECT lang, size, array_to_string(words[i : i + size - 1], ' ') AS phrase, count(*) AS f
+    FROM starts GROUP BY ALL HAVING count(*) >= 100
+),
+cuts AS (
+    SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS words, unnest(range(1, size)) AS k
+    FROM counts WHERE size > 1
+),
+scores AS (
+    SELECT c.lang, c.size, c.phrase, c.a, c.k, x.f AS l, y.f AS r, t.n,
+        ((1000::HUGEINT * c.a * t.n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+    FROM cuts c
+    JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.words[1 : c.k], ' ')
+    JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.words[c.k + 1 :], ' ')
+    JOIN totals t ON t.lang = c.lang
+),
+weakest AS (
+    SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+),
+kept AS (
+    SELECT * FROM weakest w WHERE NOT EXISTS (
+        SELECT 1 FROM counts o
+        WHERE o.lang = w.lang AND o.size > w.size AND o.f >= w.a
+            AND contains(' ' || o.phrase || ' ', ' ' || w.phrase || ' ')
+    )
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= 2000
+"""
+
 SQL["op13_exact_dedup"] = r"""
 WITH plain AS (
     SELECT doc_id, length(coalesce(text, '')) AS chars,

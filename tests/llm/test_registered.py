@@ -9,7 +9,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered_once():
     names = [n for n in entry.queries() if n.startswith("op") and n[2].isdigit()]
-    assert [int(n[2:].split("_")[0]) for n in names] == [*range(1, 11), 13]
+    assert [int(n[2:].split("_")[0]) for n in names] == [*range(1, 12), 13]
     assert "pipeline" in entry.queries()
 
 
