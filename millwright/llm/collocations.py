@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millwright.llm.arrays import mixed
-from millwright.llm.common import bit_filter, bounded_batches, in_filter, stored, utf8
+from millwright.llm.common import FILTER_BITS, bit_filter, bounded_batches, in_filter, stored, utf8
 
 LONGEST = 5
 #: a phrase needs so many occurrences
@@ -78,14 +78,14 @@ def prefix(salt: str, lang: str) -> str:
 class Codes(dict):
     """Words to their hashes; a word that the filter does not hold ends a phrase."""
 
-    def __init__(self, salt: str, lang: str, bits: np.ndarray):
+    def __init__(self, salt: str, lang: str, bits: bytes):
         self.start, self.bits = prefix(salt, lang).encode(), bits
         self[b""], self[b"\n"] = _NOTHING, _END
 
     def __missing__(self, word: bytes) -> int:
         code = xxhash.xxh64_intdigest(self.start + word, 42)
-        signed = np.array([code], np.uint64).view(np.int64)
-        code = code if in_filter(self.bits, signed)[0] else _END
+        slot = code % FILTER_BITS  # as in ``in_filter``, for one word
+        code = code if self.bits[slot >> 3] >> (slot & 7) & 1 else _END
         if len(self) < KNOWN_WORDS:
             self[word] = code
         return code
@@ -133,9 +133,10 @@ def collapsed(words: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """Pointers in the order of their parts, equal ones as one with a weight."""
     if not words.shape[1]:
         return words, part, _EMPTY
-    order = np.lexsort((leading(words), part))
+    room = np.uint64(int(part.max()).bit_length())
+    order = np.argsort(part.astype(np.uint64) << (np.uint64(64) - room) | leading(words) >> room if room else leading(words))
     words, part = words[:, order], part[order]
-    # equal pointers stand together unless a hash collides, which only leaves them apart
+    # equal pointers stand together unless their hashes meet others, which only leaves them apart
     new = np.ones(len(part), bool)
     new[1:] = (part[1:] != part[:-1]) | (words[:, 1:] != words[:, :-1]).any(axis=0)
     first = np.flatnonzero(new)
@@ -250,7 +251,8 @@ def _sorted(texts: DataFrame, salt: str, known: np.ndarray, parts: int, least: i
             yield from _blocks(-d, cut, leading(cut), parts)
 
     def collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, *filters = (np.frombuffer(b, np.uint8) for b in shared.value)
+        bits, *filters = shared.value
+        filters = [np.frombuffer(f, np.uint8) for f in filters]
         tables: dict[str, Codes] = {}
         waiting, n = [], 0
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwright.llm import (
-    chat_format, collocations, decontaminate, exact_dedup, line_dedup, mixing, quality_rules, secret_scan, simhash, suffix_dedup, token_records, toxicity,
+    chat_format, collocations, decontaminate, exact_dedup, hard_negatives, line_dedup, mixing, quality_rules, secret_scan, simhash, suffix_dedup, token_records, toxicity,
 )
 
 END_ID = 2
@@ -75,6 +75,12 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.report(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some rows carry a wrong label, and every hundredth id is an anchor."""
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, noisy)
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.judged(table(spark, sf_dir, "documents"))
 
@@ -150,6 +156,33 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 FROM kept QUALIFY rank <= 2000
 """
 
+SQL["op12_hard_negatives"] = r"""
+WITH vectors AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+),
+scores AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS alike,
+        list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id
+    WHERE a.vec_id % 100 = 0
+),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id,
+    row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p
+JOIN scores s ON s.anchor_id = p.anchor_id AND NOT alike
+    AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
 SQL["op13_exact_dedup"] = r"""
 WITH plain AS (
     SELECT doc_id, length(coalesce(text, '')) AS chars,
