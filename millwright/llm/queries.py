@@ -159,10 +159,10 @@ FROM kept QUALIFY rank <= 2000
 SQL["op12_hard_negatives"] = r"""
 WITH vectors AS (
     SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-        list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
     FROM embeddings
     WHERE label IS NOT NULL AND embedding IS NOT NULL
-        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ),
 scores AS (
     SELECT a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS alike,
