@@ -154,7 +154,8 @@ _DERIVED = {
     "stats": _capability("quality_metrics", _fine_mean),
     "alerts": """
 SELECT us, equipment_id, line_id, 'THERMAL_FAULT_PRECURSOR' AS alert_type, 'HIGH' AS severity,
-       before_temperature AS temperature_c, fault_code, event_id, fault_code < 'E-200' AS acknowledged
+       before_temperature AS temperature_c, fault_code, event_id,
+       fault_code < 'E-200' AND us // 60000000 % 5 <> 0 AS acknowledged
 FROM (SELECT *, lag(status) OVER w AS before_status, lag(us) OVER w AS before_us,
              lag(coalesce(temperature_c, 0e0)) OVER w AS before_temperature
       FROM equipment_status
@@ -547,6 +548,7 @@ UNION ALL SELECT 'quality_metrics', 2, count(*) FROM quality_metrics WHERE us >=
             _METRIC_ROWS + f"({_oee('line_events', 3_600_000_000)}) WHERE time_us >= 1706054400000000"
         ),
         "hourly_rollup_table": _dense(_HOURLY_ROWS),
+        "oee_refresh_changed": _dense(_HOURLY_ROWS),
         "archive_tables": _calendar(
             """SELECT 'line_events' AS "table", 3 AS snapshots, count(*) AS "rows" FROM line_events
 UNION ALL SELECT 'equipment_status', 3, count(*) FROM equipment_status
@@ -600,6 +602,9 @@ FROM quality_metrics WHERE us >= 1704931200000000 GROUP BY 1"""
         "stream_oee_finished": _dense(_METRIC_ROWS + "metrics"),
         "stream_cpk_finished": _dense(_STAT_ROWS),
         "stream_precursors_finished": _dense(_ALERT_ROWS),
+        "stream_oee_deduplicated": _dense(_METRIC_ROWS + "metrics"),
+        "stream_cpk_deduplicated": _dense(_STAT_ROWS),
+        "stream_precursors_deduplicated": _dense(_ALERT_ROWS),
         "stream_archive": _dense(
             """SELECT 'line_events' AS "table", 1 AS snapshots, count(*) AS "rows" FROM line_events
 UNION ALL SELECT 'equipment_status', 1, count(*) FROM equipment_status

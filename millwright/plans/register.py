@@ -72,17 +72,26 @@ class Plant:
 
     @property
     def alerts(self) -> DataFrame:
-        """Alerts, of which those with mechanical fault codes have been acknowledged."""
-        found = precursors.fault_precursors(self.equipment_status)
-        return found.withColumn("acknowledged", F.col("fault_code") < "E-200")
+        return precursors.fault_precursors(self.equipment_status)
 
 
 def _calendar(spark: SparkSession, sf_dir: str) -> Plant:
     return Plant(spark, sf_dir, pace=1)
 
 
+def _acknowledge_some(spark: SparkSession, path: str) -> None:
+    """Operators take note of mechanical and electrical faults, then open those of every fifth minute again."""
+    raised = tables.read_alerts(spark, path).filter(F.col("fault_code") < "E-200")
+    for entry, minutes, kept in (("again", 9, F.minute("timestamp") % 5 == 0), ("first", 5, F.lit(True))):
+        said = raised.filter(kept).select(
+            "id", "timestamp", F.lit(entry == "first").alias("acknowledged"),
+            F.timestamp_add("MINUTE", F.lit(minutes), "timestamp").alias("said_at"), F.lit("operator").alias("said_by"),
+        )
+        tables.acknowledge(path, said, entry=entry)
+
+
 class Board:
-    """The stored metric tables that dashboards read, filled once per session and data folder."""
+    """The stored metric tables and alerts that dashboards read, filled once per session and data folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, pace: int = plant_views.DENSE):
         self.spark = use_utc(spark)
@@ -95,6 +104,8 @@ class Board:
             tables.upsert_hourly(
                 f"{root}/hourly", rollups.oee_hourly(tables.read_table(spark, f"{root}/oee", schemas.OEE_METRICS)), batch=0
             )
+            tables.append_alerts(f"{root}/alerts", plant.alerts, batch=0, run="r")
+            _acknowledge_some(spark, f"{root}/alerts")
             newest = plant.line_events.agg(F.unix_micros(F.max("ts"))).first()[0]
             _BOARDS[key] = (root, datetime(1970, 1, 1) + timedelta(microseconds=newest or 0))
         self.root, self.now = _BOARDS[key]
@@ -108,6 +119,18 @@ class Board:
     def hourly(self) -> DataFrame:
         return tables.read_hourly(self.spark, f"{self.root}/hourly")
 
+    def newest_metrics(self) -> DataFrame:
+        return tables.newest_of_lines(self.spark, f"{self.root}/oee", schemas.OEE_METRICS)
+
+    def newest_stats(self) -> DataFrame:
+        return tables.newest_hour(self.spark, f"{self.root}/quality", schemas.QUALITY_STATS)
+
+    def worst_metrics(self, k: int) -> DataFrame:
+        return tables.smallest(self.spark, f"{self.root}/oee", schemas.OEE_METRICS, "oee", k)
+
+    def alerts(self, since: datetime | None = None) -> DataFrame:
+        return tables.read_alerts(self.spark, f"{self.root}/alerts", since)
+
 
 def _plain(df: DataFrame) -> DataFrame:
     """Instants as zone-free timestamps and decimals as doubles, for comparison elsewhere."""
@@ -156,7 +179,7 @@ def rolling_cpk_fine(spark, sf_dir):
 
 
 def fault_precursors(spark, sf_dir):
-    return Plant(spark, sf_dir).alerts.drop("acknowledged")
+    return Plant(spark, sf_dir).alerts
 
 
 def oee_against_target(spark, sf_dir):
@@ -180,37 +203,37 @@ def daily_oee(spark, sf_dir):
 
 
 def alerts_per_hour(spark, sf_dir):
-    return serving.hourly_alerts(Plant(spark, sf_dir).alerts)
+    return serving.hourly_alerts(Board(spark, sf_dir).alerts())
 
 
 def alerts_last_day(spark, sf_dir):
-    plant = Plant(spark, sf_dir)
-    return serving.alert_count(plant.alerts, plant.now)
+    board = Board(spark, sf_dir)
+    return serving.alert_count(board.alerts(board.now - timedelta(days=1)), board.now)
 
 
 def alerts_by_line(spark, sf_dir):
-    plant = Plant(spark, sf_dir)
-    return rollups.alerts_by_line(plant.alerts, plant.now)
+    board = Board(spark, sf_dir)
+    return rollups.alerts_by_line(board.alerts(board.now - timedelta(days=1)), board.now)
 
 
 def open_alert_count(spark, sf_dir):
-    return serving.open_alert_count(Plant(spark, sf_dir).alerts)
+    return serving.open_alert_count(Board(spark, sf_dir).alerts())
 
 
 def mtbf_by_line(spark, sf_dir):
-    plant = Plant(spark, sf_dir)
-    return rollups.failure_gaps(plant.alerts, plant.now)
+    board = Board(spark, sf_dir)
+    return rollups.failure_gaps(board.alerts(board.now - timedelta(days=7)), board.now)
 
 
 # --- dashboard panels --------------------------------------------------------
 
 
 def current_oee(spark, sf_dir):
-    return serving.current_oee(Board(spark, sf_dir).metrics())
+    return serving.current_oee(Board(spark, sf_dir).newest_metrics())
 
 
 def current_oee_class(spark, sf_dir):
-    return serving.current_oee_class(Board(spark, sf_dir).metrics())
+    return serving.current_oee_class(Board(spark, sf_dir).newest_metrics())
 
 
 def _rate_trend(value: str) -> Query:
@@ -235,11 +258,11 @@ def oee_trend_wide(spark, sf_dir):
 
 
 def active_alerts(spark, sf_dir):
-    return serving.active_alerts(Plant(spark, sf_dir).alerts)
+    return serving.active_alerts(Board(spark, sf_dir).alerts())
 
 
 def current_cpk(spark, sf_dir):
-    return serving.current_cpk(Board(spark, sf_dir).stats())
+    return serving.current_cpk(Board(spark, sf_dir).newest_stats())
 
 
 def hourly_oee_trend(spark, sf_dir):
@@ -247,7 +270,7 @@ def hourly_oee_trend(spark, sf_dir):
 
 
 def worst_windows(spark, sf_dir):
-    return serving.worst_windows(Board(spark, sf_dir).metrics())
+    return serving.worst_windows(Board(spark, sf_dir).worst_metrics(20))
 
 
 def recent_oee_trend(spark, sf_dir):
@@ -261,7 +284,7 @@ def low_oee_lines(spark, sf_dir):
 
 
 def alerts_by_severity(spark, sf_dir):
-    return serving.alerts_by_severity(Plant(spark, sf_dir).alerts)
+    return serving.alerts_by_severity(Board(spark, sf_dir).alerts())
 
 
 # --- shifts, statuses and quality on the full calendar -----------------------
@@ -500,6 +523,18 @@ def hourly_rollup_table(spark, sf_dir):
     return tables.read_hourly(spark, path)
 
 
+def oee_refresh_changed(spark, sf_dir):
+    """A rollup brought up to date twice: after a first load, and after rows for old hours came late."""
+    plant = Plant(spark, sf_dir)
+    root = scratch_path(plant.spark, "oee-changed")
+    later = datetime(2100, 1, 1)
+    late = F.minute("time") % 7 == 0
+    for batch, part in enumerate((plant.metrics.filter(~late), plant.metrics.filter(late))):
+        tables.upsert_oee_metrics(f"{root}/oee", part, batch=batch)
+        tables.refresh_changed(plant.spark, f"{root}/oee", f"{root}/hourly", later, batch=batch)
+    return tables.read_hourly(plant.spark, f"{root}/hourly")
+
+
 def _archive(spark: SparkSession, sf_dir: str) -> str:
     """An archive of the three event tables, ten days per snapshot."""
     key = (spark.sparkContext.applicationId, sf_dir)
@@ -721,6 +756,46 @@ def stream_precursors_finished(spark, sf_dir):
     return tables.read_alerts(spark, path).drop("id", "created_at", "alert_date", "run", "batch")
 
 
+def _replayed(start, view, label: str) -> Callable[[SparkSession, str], str]:
+    """Runs a job over a feed that delivers every event, then every third one again, and closes it."""
+
+    def run(spark, sf_dir):
+        plant = Plant(spark, sf_dir)
+        path = scratch_path(spark, label)
+        # the second delivery holds repetitions within the delay and ones that are far too late
+        for number, part in enumerate((plant.events, plant.events.filter(F.col("event_id") % 3 == 0))):
+            part.unionByName(part.filter(F.col("event_id") % 2 == 0)).coalesce(1).write.parquet(f"{path}/in/part={number}")
+        at = Board(spark, sf_dir).now + timedelta(hours=1)
+
+        def again():
+            feed = feeds.file_feed(
+                spark, f"{path}/in", plant_views.EVENT_LOG, recursiveFileLookup="true", maxFilesPerTrigger="1"
+            )
+            return start(
+                view(feed), f"{path}/table", f"{path}/checkpoint", heartbeat=f"{path}/beats", distinct=True, once=True
+            )
+
+        jobs.finish(again, spark, f"{path}/beats", at)
+        return f"{path}/table"
+
+    return run
+
+
+def stream_oee_deduplicated(spark, sf_dir):
+    path = _replayed(jobs.run_oee, plant_views.line_events, "distinct-oee")(spark, sf_dir)
+    return tables.read_table(spark, path, schemas.OEE_METRICS).drop(tables.HOUR)
+
+
+def stream_cpk_deduplicated(spark, sf_dir):
+    path = _replayed(jobs.run_cpk, plant_views.quality_metrics, "distinct-cpk")(spark, sf_dir)
+    return tables.read_table(spark, path, schemas.QUALITY_STATS).drop(tables.HOUR)
+
+
+def stream_precursors_deduplicated(spark, sf_dir):
+    path = _replayed(jobs.run_alerts, plant_views.equipment_status, "distinct-alerts")(spark, sf_dir)
+    return tables.read_alerts(spark, path).drop("id", "created_at", "alert_date", "run", "batch")
+
+
 def stream_archive(spark, sf_dir):
     use_utc(spark)
     path = scratch_path(spark, "stream-archive")
@@ -795,6 +870,7 @@ _NAMED: tuple[Query, ...] = (
     archive_first_rows,
     hot_retention,
     hourly_rollup_table,
+    oee_refresh_changed,
     archive_tables,
     archive_snapshots,
     archive_scan,
@@ -813,6 +889,9 @@ _NAMED: tuple[Query, ...] = (
     stream_oee_finished,
     stream_cpk_finished,
     stream_precursors_finished,
+    stream_oee_deduplicated,
+    stream_cpk_deduplicated,
+    stream_precursors_deduplicated,
     stream_archive,
 )
 

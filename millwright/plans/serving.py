@@ -59,9 +59,10 @@ def recent_trend(metrics: DataFrame, as_of, last: str = "5 MINUTES") -> DataFram
 
 
 def active_alerts(alerts: DataFrame, limit: int = 50) -> DataFrame:
+    # a machine has one alert at a moment
     return (
         alerts.filter(~F.col("acknowledged"))
-        .orderBy(F.col("timestamp").desc(), "equipment_id", "event_id")
+        .orderBy(F.col("timestamp").desc(), "equipment_id")
         .limit(limit)
         .select(
             F.col("timestamp").alias("Time"),

@@ -6,6 +6,13 @@ first written to a staging folder of its own and only then published into the
 table. A driver that dies while publishing leaves that copy behind, and the
 next upsert, whosever it is, publishes it before it reads the table. So no
 copy is ever published over rows that were not in the table when it was made.
+
+Beside a table lie a summary of each hour, one row per line, by which readers
+that want the newest or the smallest rows choose the hours to open, and, for
+the table that has a rollup, one empty file per published change of an hour,
+by which the rollup knows what to compute again. Both are written before the staged copy goes, so a lost driver
+leaves neither behind the table. Readers see the hours of one publication
+appear one after the other.
 """
 
 from __future__ import annotations
@@ -19,7 +26,7 @@ from pyspark.sql import types as T
 
 from millwright import schemas
 from millwright.functions.clock import in_utc, instant
-from millwright.operators.rollups import refreshed_hours
+from millwright.operators.rollups import oee_hourly, refreshed_hours
 from millwright.sinks import folders
 
 HOUR = "hour"
@@ -164,11 +171,101 @@ def read_between(
     return in_hours(_read_hours(spark, path, layout, present), start, end)
 
 
+def _numbers(layout: T.StructType) -> list[str]:
+    return [f.name for f in layout.fields if isinstance(f.dataType, T.NumericType)]
+
+
+def _summary(layout: T.StructType) -> T.StructType:
+    kinds = {f.name: f.dataType for f in layout.fields}
+    bounds = [T.StructField(f"{c}_{end}", kinds[c]) for c in _numbers(layout) for end in ("low", "high")]
+    missing = [T.StructField(f"{c}_missing", T.LongType()) for c in _numbers(layout)]
+    return T.StructType(
+        [T.StructField("line_id", T.StringType()), T.StructField("rows", T.LongType())]
+        + [T.StructField(end, T.TimestampType()) for end in ("first", "last")]
+        + bounds + missing + [T.StructField(HOUR, T.StringType())]
+    )
+
+
+def summarized(rows: DataFrame, layout: T.StructType) -> DataFrame:
+    """Per hour and line: how many rows, their times, and the range of every figure."""
+    figures = []
+    for c in _numbers(layout):
+        figures += [F.min(c).alias(f"{c}_low"), F.max(c).alias(f"{c}_high"), (F.count(F.lit(1)) - F.count(c)).alias(f"{c}_missing")]
+    found = rows.groupBy(HOUR, "line_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("time").alias("first"), F.max("time").alias("last"), *figures
+    )
+    return found.select(*_summary(layout).fieldNames())
+
+
+def read_summary(spark: SparkSession, path: str, layout: T.StructType) -> DataFrame:
+    """The summaries of the hours that the table still holds."""
+    there = set(folders.partition_values(spark, path, HOUR))
+    present = [h for h in folders.partition_values(spark, f"{path}__summary", HOUR) if h in there]
+    if not present:
+        return spark.createDataFrame([], _summary(layout))
+    reader = spark.read.schema(_summary(layout)).option("basePath", f"{path}__summary")
+    return reader.parquet(*[f"{path}__summary/{HOUR}={h}" for h in present])
+
+
+def newest_of_lines(spark: SparkSession, path: str, layout: T.StructType) -> DataFrame:
+    """The hours that hold the newest row of some line; no other hour is opened.
+
+    A line's older hours cannot matter, so that a query for newest rows may
+    read this in place of the table.
+    """
+    tops = read_summary(spark, path, layout).groupBy("line_id").agg(F.max(HOUR).alias(HOUR))
+    # one folder name per line at most
+    return _read_hours(spark, path, layout, sorted({row[HOUR] for row in tops.select(HOUR).distinct().collect()}))
+
+
+def newest_hour(spark: SparkSession, path: str, layout: T.StructType) -> DataFrame:
+    """The last hour of the table, which holds its newest time."""
+    present = folders.partition_values(spark, path, HOUR)
+    return _read_hours(spark, path, layout, present[-1:])
+
+
+def smallest(
+    spark: SparkSession, path: str, layout: T.StructType, column: str, k: int,
+    start: datetime | None = None, end: datetime | None = None,
+) -> DataFrame:
+    """Hours that hold the ``k`` smallest values of a time range, nulls first, and all that tie with them.
+
+    Hours are opened by rising lower bound, twice as many in each step, until
+    the next bound lies above the worst value kept. The driver holds one row per
+    hour of the table.
+    """
+    low, high = (None if t is None else in_utc(t).strftime("%Y-%m-%d-%H") for t in (start, end))
+    within = read_summary(spark, path, layout)
+    if low is not None:
+        within = within.filter(F.col(HOUR) >= low)
+    if high is not None:
+        within = within.filter(F.col(HOUR) <= high)
+    bounds = (
+        within.groupBy(HOUR)
+        .agg(F.min(f"{column}_low").alias("low"), F.sum(f"{column}_missing").alias("missing"))
+        .orderBy((F.col("missing") == 0), "low", HOUR)
+        .collect()
+    )
+    opened = 1
+    while True:
+        rows = in_hours(_read_hours(spark, path, layout, sorted(b[HOUR] for b in bounds[:opened])), start, end)
+        if opened >= len(bounds):
+            return rows
+        kept = rows.select(column).orderBy(F.asc_nulls_first(column)).limit(k)
+        held, worst = kept.agg(F.count(F.lit(1)), F.max(column)).first()
+        # a full list of nulls has no worst value, and no further hour without nulls can matter
+        following = bounds[opened]
+        if held >= k and not following["missing"] and (worst is None or following["low"] > worst):
+            return rows
+        opened *= 2
+
+
 def publish(spark: SparkSession, staged: str, path: str, layout: T.StructType) -> None:
     """Replaces the table's hour partitions that the staged copy contains."""
     columns = [f.name for f in layout.fields] + [HOUR]
     rows = spark.read.schema(_stored(layout)).parquet(staged).select(*columns)
-    tasks = min(len(_hours(rows)), spark.sparkContext.defaultParallelism)
+    hours = _hours(rows)
+    tasks = min(len(hours), spark.sparkContext.defaultParallelism)
     (
         rows.repartition(max(tasks, 1), HOUR)
         .sortWithinPartitions(HOUR, "line_id", "time")
@@ -177,9 +274,36 @@ def publish(spark: SparkSession, staged: str, path: str, layout: T.StructType) -
         .partitionBy(HOUR)
         .parquet(path)
     )
+    (
+        summarized(rows, layout)
+        .repartition(max(tasks, 1), HOUR)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(HOUR)
+        .parquet(f"{path}__summary")
+    )
+    if folders.exists(spark, f"{path}__changed"):
+        for hour in hours:
+            folders.touch(spark, f"{path}__changed/{hour}.{uuid.uuid4().hex}")
+
+
+def changed_hours(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Hours changed since they were last settled, with the entries that say so."""
+    entries: dict[str, list[str]] = {}
+    for name in folders.names(spark, f"{path}__changed"):
+        entries.setdefault(name.split(".")[0], []).append(name)
+    return entries
+
+
+def settle(spark: SparkSession, path: str, entries: list[str]) -> None:
+    """Takes back entries that have been acted on; later ones for the same hours stay."""
+    for name in entries:
+        folders.drop(spark, f"{path}__changed/{name}")
 
 
 def upsert_oee_metrics(path: str, updates: DataFrame, *, batch: str | int) -> None:
+    """Windows of effectiveness; changed hours are noted for the rollup."""
+    folders.make(updates.sparkSession, f"{path}__changed")
     upsert(path, updates, schemas.OEE_METRICS, batch=batch)
 
 
@@ -208,6 +332,22 @@ def refresh_hourly(
     upsert_hourly(hourly_path, refreshed_hours(recent, as_of), batch=batch)
 
 
+def refresh_changed(spark: SparkSession, metrics_path: str, hourly_path: str, as_of: datetime, *, batch: str | int) -> list[str]:
+    """Recomputes every complete hour that has changed since its rollup, however old it is.
+
+    The entries are taken back once the rollup is stored, so a refresh that
+    is lost on the way is made again. Returns the hours.
+    """
+    complete = in_utc(as_of).strftime("%Y-%m-%d-%H")
+    due = {hour: names for hour, names in changed_hours(spark, metrics_path).items() if hour < complete}
+    present = sorted(set(due).intersection(folders.partition_values(spark, metrics_path, HOUR)))
+    if present:
+        rows = _read_hours(spark, metrics_path, schemas.OEE_METRICS, present)
+        upsert_hourly(hourly_path, oee_hourly(rows), batch=batch)
+    settle(spark, metrics_path, [name for names in due.values() for name in names])
+    return present
+
+
 def alert_rows(found: DataFrame) -> DataFrame:
     """Alerts in the table's layout, with its defaults filled in.
 
@@ -248,24 +388,63 @@ def append_alerts(path: str, found: DataFrame, *, batch: int, run: str) -> None:
     )
 
 
-def read_alerts(spark: SparkSession, path: str, since: datetime | None = None) -> DataFrame:
-    """The alert table, optionally from a moment on; earlier days are not read."""
-    layout = T.StructType(
-        schemas.ALERTS.fields
-        + [
-            T.StructField("alert_date", T.DateType()),
-            T.StructField("run", T.StringType()),
-            T.StructField("batch", T.LongType()),
-        ]
+ACKNOWLEDGEMENTS = T.StructType(
+    [
+        T.StructField("id", T.LongType()),
+        T.StructField("acknowledged", T.BooleanType()),
+        T.StructField("said_at", T.TimestampType()),
+        T.StructField("said_by", T.StringType()),
+    ]
+)
+
+
+def acknowledge(path: str, said: DataFrame, *, entry: str) -> None:
+    """Adds what operators said of alerts to the log beside the alert table.
+
+    ``said`` has the alert's id and timestamp, and ``acknowledged`` (false opens
+    it again), ``said_at`` and ``said_by``. Nothing in the log is ever changed;
+    a repeated ``entry`` replaces its own rows only. The log is kept by the
+    alerts' days, so that merging opens the same days as reading does.
+    """
+    (
+        said.withColumns({"alert_date": F.to_date("timestamp"), "entry": F.lit(entry)})
+        .select(*ACKNOWLEDGEMENTS.fieldNames(), "alert_date", "entry")
+        .hint("rebalance", "alert_date")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("alert_date", "entry")
+        .parquet(f"{path}__acknowledged")
     )
-    if not folders.has_data(spark, path):
+
+
+def _of_days(spark: SparkSession, path: str, layout: T.StructType, since: datetime | None) -> DataFrame:
+    """A table by day; of its folders only those from a day on are opened."""
+    first = "" if since is None else in_utc(since).strftime("%Y-%m-%d")
+    days = [d for d in folders.partition_values(spark, path, "alert_date") if d >= first]
+    if not days:
         return spark.createDataFrame([], layout)
-    alerts = spark.read.schema(layout).parquet(path)
-    if since is None:
-        return alerts
-    return alerts.filter(
-        (F.col("alert_date") >= F.to_date(instant(since))) & (F.col("timestamp") >= instant(since))
+    return spark.read.schema(layout).option("basePath", path).parquet(*[f"{path}/alert_date={d}" for d in days])
+
+
+def read_alerts(spark: SparkSession, path: str, since: datetime | None = None) -> DataFrame:
+    """The alert table, optionally from a moment on, as acknowledged by now; earlier days are not opened.
+
+    Of several entries on an alert the last one holds; of the same moment, the
+    one of the greater name, then the one that acknowledges.
+    """
+    by_day = [T.StructField("alert_date", T.DateType())]
+    run = [T.StructField("run", T.StringType()), T.StructField("batch", T.LongType())]
+    alerts = _of_days(spark, path, T.StructType(schemas.ALERTS.fields + by_day + run), since)
+    entry = [T.StructField("entry", T.StringType())]
+    log = _of_days(spark, f"{path}__acknowledged", T.StructType(ACKNOWLEDGEMENTS.fields + by_day + entry), since)
+    last = log.groupBy("alert_date", "id").agg(F.max(F.struct("said_at", "said_by", "acknowledged")).alias("said"))
+    columns = alerts.columns
+    merged = alerts.join(last, ["alert_date", "id"], "left").withColumn(
+        "acknowledged", F.coalesce("said.acknowledged", "acknowledged")
     )
+    if since is not None:
+        merged = merged.filter(F.col("timestamp") >= instant(since))
+    return merged.select(*columns)
 
 
 def apply_retention(
@@ -286,4 +465,5 @@ def apply_retention(
     expired = [v for v in folders.partition_values(spark, path, column) if v < cutoff]
     for value in expired:
         folders.drop(spark, f"{path}/{column}={value}")
+        folders.drop(spark, f"{path}__summary/{column}={value}")
     return expired

@@ -179,3 +179,19 @@ def with_defaults(events: DataFrame, table: str) -> DataFrame:
             if name in events.columns
         }
     )
+
+
+def once_each(events: DataFrame) -> DataFrame:
+    """A watermarked stream without repeated deliveries.
+
+    Producers deliver at least once, so an event may come again. Events of one
+    ``event_id`` count once; events without an id count once if they agree in
+    every column. An id is remembered until the watermark has passed its event,
+    which bounds the state to the events of the delay; a repetition that comes
+    later is too late for every job.
+    """
+    whole = F.sha2(F.to_json(F.struct(*events.columns)), 256)
+    keyed = events.withColumns(
+        {"_id": F.col("event_id").cast("string"), "_same": F.when(F.col("event_id").isNull(), whole)}
+    )
+    return keyed.dropDuplicatesWithinWatermark(["_id", "_same"]).drop("_id", "_same")

@@ -19,7 +19,7 @@ from millwright import schemas
 from millwright.operators.capability import rolling_cpk
 from millwright.operators.oee import oee_by_window
 from millwright.sinks import archive, folders, tables
-from millwright.sources.feeds import file_feed
+from millwright.sources.feeds import file_feed, once_each
 from millwright.streaming.precursor_state import precursor_stream
 
 DELAY = f"{schemas.WATERMARK_S} seconds"
@@ -58,8 +58,10 @@ def finish(start: Callable[[], StreamingQuery], spark: SparkSession, folder: str
     start().awaitTermination()
 
 
-def _watermarked(events: DataFrame, delay: str) -> DataFrame:
+def _watermarked(events: DataFrame, delay: str, distinct: bool) -> DataFrame:
     rows = events.withWatermark("ts", delay)
+    if distinct:
+        rows = once_each(rows)
     if _BEAT not in events.columns:
         return rows
     # the term on the event time, never true, keeps the filter above the watermark
@@ -67,14 +69,14 @@ def _watermarked(events: DataFrame, delay: str) -> DataFrame:
     return rows.filter(~F.col(_BEAT) | never).drop(_BEAT)
 
 
-def oee_stream(events: DataFrame, *, delay: str = DELAY, **options) -> DataFrame:
+def oee_stream(events: DataFrame, *, delay: str = DELAY, distinct: bool = False, **options) -> DataFrame:
     """Windows of a line event stream, each emitted once, when the watermark passes its end."""
-    return oee_by_window(_watermarked(events, delay), **options)
+    return oee_by_window(_watermarked(events, delay, distinct), **options)
 
 
-def cpk_stream(batches: DataFrame, *, delay: str = DELAY, **options) -> DataFrame:
+def cpk_stream(batches: DataFrame, *, delay: str = DELAY, distinct: bool = False, **options) -> DataFrame:
     """Sliding windows of a quality stream, panes first, in append mode."""
-    return rolling_cpk(_watermarked(batches, delay), **options)
+    return rolling_cpk(_watermarked(batches, delay, distinct), **options)
 
 
 def run(
@@ -113,10 +115,10 @@ def run(
 
 
 def run_oee(
-    events: DataFrame, table: str, checkpoint: str, *, heartbeat: str | None = None, **options
+    events: DataFrame, table: str, checkpoint: str, *, heartbeat: str | None = None, distinct: bool = False, **options
 ) -> StreamingQuery:
     return run(
-        oee_stream(with_heartbeat(events, heartbeat)),
+        oee_stream(with_heartbeat(events, heartbeat), distinct=distinct),
         lambda batch, run, n: tables.upsert_oee_metrics(table, batch, batch=n),
         checkpoint,
         **options,
@@ -124,10 +126,10 @@ def run_oee(
 
 
 def run_cpk(
-    batches: DataFrame, table: str, checkpoint: str, *, heartbeat: str | None = None, **options
+    batches: DataFrame, table: str, checkpoint: str, *, heartbeat: str | None = None, distinct: bool = False, **options
 ) -> StreamingQuery:
     return run(
-        cpk_stream(with_heartbeat(batches, heartbeat)),
+        cpk_stream(with_heartbeat(batches, heartbeat), distinct=distinct),
         lambda batch, run, n: tables.upsert_quality_stats(table, batch, batch=n),
         checkpoint,
         **options,
@@ -135,10 +137,10 @@ def run_cpk(
 
 
 def run_alerts(
-    status: DataFrame, table: str, checkpoint: str, *, heartbeat: str | None = None, **options
+    status: DataFrame, table: str, checkpoint: str, *, heartbeat: str | None = None, distinct: bool = False, **options
 ) -> StreamingQuery:
     return run(
-        precursor_stream(with_heartbeat(status, heartbeat)),
+        precursor_stream(with_heartbeat(status, heartbeat), distinct=distinct),
         lambda batch, run, n: tables.append_alerts(table, batch, batch=n, run=run),
         checkpoint,
         **options,

@@ -23,6 +23,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from millwright import schemas
 from millwright.operators.precursors import SLOT_S, alert_columns, in_slots, signal_rows
+from millwright.sources.feeds import once_each
 
 _ALERTS = (
     "us bigint, equipment_id string, line_id string, temperature_c double, "
@@ -124,6 +125,7 @@ def precursor_stream(
     within_s: int = schemas.PRECURSOR_WINDOW_S,
     slot_s: int = SLOT_S,
     delay: str = f"{schemas.WATERMARK_S} seconds",
+    distinct: bool = False,
 ) -> DataFrame:
     """Alerts of a status stream, in the columns of the batch operator.
 
@@ -132,8 +134,9 @@ def precursor_stream(
     filter below the watermark; a term on the event time, never true, keeps it
     above.
     """
+    readings = status.withWatermark("ts", delay)
     rows = signal_rows(
-        status.withWatermark("ts", delay),
+        once_each(readings) if distinct else readings,
         high_temperature=high_temperature,
         high_vibration=high_vibration,
         or_else=F.col("ts") < F.lit("0001-01-01 00:00:00").cast("timestamp"),
