@@ -404,6 +404,10 @@ FROM (SELECT status, isodow({_ts('us')}) = 1 AND us // {_HOURS} % 24 < 9 AS cold
         "status_intervals": _calendar(
             f"""SELECT equipment_id, line_id, status, {_ts('start_us')} AS started, {_ts('end_us')} AS ended,
        (end_us - start_us) / 1e6 AS seconds FROM intervals"""
+        ),
+        "stream_status_intervals": _calendar(
+            f"""SELECT equipment_id, line_id, status, {_ts('start_us')} AS started, {_ts('end_us')} AS ended,
+       (end_us - start_us) / 1e6 AS seconds FROM intervals WHERE end_us IS NOT NULL"""
         ),
         "mttr_by_line": _calendar(
             f"""SELECT line_id, count(*) AS repairs,

@@ -725,15 +725,15 @@ def stream_precursors(spark, sf_dir):
     return tables.read_alerts(spark, f"{path}/table").drop("id", "created_at", "alert_date", "run", "batch")
 
 
-def _finished(spark, sf_dir, start, view, label):
+def _finished(spark, sf_dir, start, view, label, pace=plant_views.DENSE):
     """Runs a job over the whole feed and closes it an hour after its newest event."""
     use_utc(spark)
     path = scratch_path(spark, label)
-    newest = Plant(spark, sf_dir).line_events.agg(F.unix_micros(F.max("ts"))).first()[0] or 0
+    newest = Plant(spark, sf_dir, pace).line_events.agg(F.unix_micros(F.max("ts"))).first()[0] or 0
     at = datetime(1970, 1, 1) + timedelta(microseconds=newest, hours=1)
 
     def again():
-        rows = view(_event_stream(spark, sf_dir))
+        rows = view(_event_stream(spark, sf_dir), pace)
         return start(rows, f"{path}/table", f"{path}/checkpoint", heartbeat=f"{path}/beats", once=True)
 
     jobs.finish(again, spark, f"{path}/beats", at)
@@ -756,6 +756,12 @@ def stream_precursors_finished(spark, sf_dir):
     return tables.read_alerts(spark, path).drop("id", "created_at", "alert_date", "run", "batch")
 
 
+def stream_status_intervals(spark, sf_dir):
+    """Finished intervals of a whole month, from a stream."""
+    path = _finished(spark, sf_dir, jobs.run_intervals, plant_views.equipment_status, "finish-intervals", pace=1)
+    return spark.read.parquet(path).drop("run", "batch")
+
+
 def _replayed(start, view, label: str) -> Callable[[SparkSession, str], str]:
     """Runs a job over a feed that delivers every event, then every third one again, and closes it."""
 
@@ -889,6 +895,7 @@ _NAMED: tuple[Query, ...] = (
     stream_oee_finished,
     stream_cpk_finished,
     stream_precursors_finished,
+    stream_status_intervals,
     stream_oee_deduplicated,
     stream_cpk_deduplicated,
     stream_precursors_deduplicated,

@@ -14,6 +14,8 @@ from millwright import schemas
 from millwright.functions.coerce import all_text, any_of, coerce, iso_time, parse_time
 
 _BROKEN = "_broken_record"
+# marks the rows that only move the watermark
+BEAT = "_heartbeat"
 
 
 def topic_feed(

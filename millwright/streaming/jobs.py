@@ -19,16 +19,12 @@ from millwright import schemas
 from millwright.operators.capability import rolling_cpk
 from millwright.operators.oee import oee_by_window
 from millwright.sinks import archive, folders, tables
-from millwright.sources.feeds import file_feed, once_each
-from millwright.streaming.precursor_state import precursor_stream
+from millwright.sources.feeds import BEAT, file_feed, once_each
+from millwright.streaming.ordered_state import interval_stream, precursor_stream
 
 DELAY = f"{schemas.WATERMARK_S} seconds"
 
 
-# marks the rows that only move the watermark
-_BEAT = "_heartbeat"
-
-
 def with_heartbeat(events: DataFrame, folder: str | None) -> DataFrame:
     """Events together with the heartbeats of a folder, which carry nothing but a time.
 
@@ -38,8 +34,8 @@ def with_heartbeat(events: DataFrame, folder: str | None) -> DataFrame:
     if folder is None:
         return events
     folders.make(events.sparkSession, folder)
-    beats = file_feed(events.sparkSession, folder, "ts timestamp").withColumn(_BEAT, F.lit(True))
-    return events.withColumn(_BEAT, F.lit(False)).unionByName(beats, allowMissingColumns=True)
+    beats = file_feed(events.sparkSession, folder, "ts timestamp").withColumn(BEAT, F.lit(True))
+    return events.withColumn(BEAT, F.lit(False)).unionByName(beats, allowMissingColumns=True)
 
 
 def beat(spark: SparkSession, folder: str, at: datetime) -> None:
@@ -62,11 +58,11 @@ def _watermarked(events: DataFrame, delay: str, distinct: bool) -> DataFrame:
     rows = events.withWatermark("ts", delay)
     if distinct:
         rows = once_each(rows)
-    if _BEAT not in events.columns:
+    if BEAT not in events.columns:
         return rows
     # the term on the event time, never true, keeps the filter above the watermark
     never = F.col("ts") < F.lit("0001-01-01 00:00:00").cast("timestamp")
-    return rows.filter(~F.col(_BEAT) | never).drop(_BEAT)
+    return rows.filter(~F.col(BEAT) | never).drop(BEAT)
 
 
 def oee_stream(events: DataFrame, *, delay: str = DELAY, distinct: bool = False, **options) -> DataFrame:
@@ -147,6 +143,19 @@ def run_alerts(
     )
 
 
+def run_intervals(
+    status: DataFrame, path: str, checkpoint: str, *, heartbeat: str | None = None, distinct: bool = False, **options
+) -> StreamingQuery:
+    """Appends finished status intervals; a repeated batch replaces its own earlier rows only."""
+
+    def write(batch: DataFrame, run: str, n: int) -> None:
+        named = batch.withColumns({"run": F.lit(run), "batch": F.lit(n).cast("bigint")})
+        writer = named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("run", "batch").parquet(path)
+
+    return run(interval_stream(with_heartbeat(status, heartbeat), distinct=distinct), write, checkpoint, **options)
+
+
 def run_archive(
     events: DataFrame,
     root: str,

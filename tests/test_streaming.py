@@ -21,10 +21,11 @@ from support import (
 from millwright import schemas
 from millwright.operators.capability import rolling_cpk
 from millwright.operators.oee import oee_by_window
+from millwright.operators.intervals import status_intervals
 from millwright.operators.precursors import fault_precursors
 from millwright.sinks import archive, tables
 from millwright.sources.feeds import file_feed
-from millwright.streaming import jobs
+from millwright.streaming import jobs, ordered_state
 
 
 def arrivals(folder, frames):
@@ -169,3 +170,60 @@ def test_archive_stream_makes_one_snapshot_per_batch(spark, tmp_path):
     log = archive.snapshots(spark, f"{path}/archive", "line_events").orderBy("snapshot_id").collect()
     assert [(r.snapshot_id, r.added_records) for r in log] == [(0, 5), (1, 5), (2, 5)]
     assert archive.scan(spark, f"{path}/archive", "line_events", as_of_snapshot=1).count() == 10
+
+
+def test_interval_stream_equals_batch_for_shuffled_input(spark, tmp_path):
+    rng = random.Random(9)
+    rows = [
+        status(
+            i * 4 + rng.random() * 30,
+            event_id=f"{i:05d}",
+            equipment_id=rng.choice(["M1", "M1", "M1", "M2", None]),
+            status=rng.choice(["RUNNING", "RUNNING", "IDLE", "FAULT", None]),
+        )
+        for i in range(500)
+    ]
+    files = [*in_parts(rows, 7), [status(90_000, equipment_id="M9")], [status(90_001, equipment_id="M9")]]
+    folder = arrivals(f"{tmp_path}/in", [status_frame(spark, f) for f in files])
+    got = collect(ordered_state.interval_stream(stream(spark, folder, STATUS_LAYOUT)), str(tmp_path))
+    want = status_intervals(status_frame(spark, rows)).filter("ended is not null")
+    assert sorted(got.select(*want.columns).collect()) == sorted(want.collect()) and want.count() > 100
+
+
+def test_an_open_interval_outlives_a_restart(spark, tmp_path):
+    path = str(tmp_path)
+    parts = [[status(0, status="IDLE"), status(5, status="IDLE")], [status(400, status="IDLE")], [status(7200, status="FAULT")], [status(90_000)]]
+    for n in range(len(parts)):
+        arrivals(f"{path}/in", [status_frame(spark, p) for p in parts[: n + 1]])
+        feed = stream(spark, f"{path}/in", STATUS_LAYOUT)
+        jobs.run_intervals(feed, f"{path}/table", f"{path}/checkpoint", once=True).awaitTermination()
+    found = spark.read.parquet(f"{path}/table").orderBy("started").collect()
+    assert [(r.status, r.seconds) for r in found] == [("IDLE", 7200.0)]
+
+
+def test_an_arming_reading_is_forgotten_by_timer(spark, tmp_path):
+    """The memory of a machine's slot goes when no fault can follow any more; rows that wait stay."""
+    path = str(tmp_path)
+    hot = [status(0, temperature_c=95.0), status(700, equipment_id="M2", temperature_c=95.0)]
+    arrivals(f"{path}/in", [status_frame(spark, hot), status_frame(spark, [status(1, equipment_id="M3")])])
+    feed = stream(spark, f"{path}/in", STATUS_LAYOUT)
+
+    def run():
+        jobs.run_alerts(feed, f"{path}/table", f"{path}/checkpoint", once=True).awaitTermination()
+
+    def states(name):
+        reader = spark.read.format("statestore").option("path", f"{path}/checkpoint").option("stateVarName", name)
+        reader = reader.option("flattenCollectionTypes", "true") if name == "waiting" else reader
+        return {row["key"]["equipment_id"] for row in reader.load().select("key").collect()}
+
+    run()
+    assert states("waiting") == {"M2"} and states("memory") == set()
+    arrivals(f"{path}/in", [status_frame(spark, [])] * 2 + [status_frame(spark, [status(740, equipment_id="M2")])])
+    arrivals(f"{path}/more", [status_frame(spark, [status(760)])])
+    os.rename(f"{path}/more/part-000.parquet", f"{path}/in/part-003.parquet")
+    run()
+    assert states("waiting") == set() and states("memory") == {"M2"}
+    arrivals(f"{path}/more", [status_frame(spark, [status(900)])])
+    os.rename(f"{path}/more/part-000.parquet", f"{path}/in/part-004.parquet")
+    run()
+    assert states("memory") == set()
