@@ -15,6 +15,10 @@ from millwright.functions.numeric import exact_mean, fine_mean, round_metric, sh
 
 
 
+#: size of the latency sketches: ranks within half a percent
+SKETCH_K = 1024
+
+
 def oee_hourly(metrics: DataFrame) -> DataFrame:
     return (
         metrics.groupBy(F.date_trunc("HOUR", "time").alias("bucket"), "line_id")
@@ -170,6 +174,32 @@ def ingest_latency(events: DataFrame) -> DataFrame:
     )
 
 
+def latency_sketches(events: DataFrame, k: int = SKETCH_K) -> DataFrame:
+    """Per hour and line: a quantile sketch of the arrival delays in milliseconds, and how many there are.
+
+    A sketch has a bounded size whatever the number and spread of the delays,
+    is combined on the map side, and can be stored and merged later. A rank
+    taken from it is off by about 2.3 / k^0.9 at most, with 99 % confidence.
+    """
+    delay = F.expr("(unix_micros(ingested_at) - unix_micros(ts)) div 1000").cast("double")
+    return events.groupBy(F.date_trunc("HOUR", "ts").alias("bucket"), "line_id").agg(
+        F.kll_sketch_agg_double(delay, F.lit(k)).alias("sketch"), F.count(delay).alias("events")
+    )
+
+
+def latency_from_sketches(sketches: DataFrame, *by: str) -> DataFrame:
+    """Median, 95th and 99th percentile of all merged sketches, or of each group's."""
+    merged = sketches.groupBy(*by).agg(F.kll_merge_agg_double("sketch").alias("sketch"), F.sum("events").alias("events"))
+    return merged.select(
+        *by,
+        *[
+            F.kll_sketch_get_quantile_double("sketch", F.lit(p)).alias(name)
+            for name, p in (("p50_ms", 0.5), ("p95_ms", 0.95), ("p99_ms", 0.99))
+        ],
+        "events",
+    )
+
+
 def sensor_trend(status: DataFrame, window: str = "1 minute") -> DataFrame:
     """Average and peak sensor readings per machine and minute."""
     return (

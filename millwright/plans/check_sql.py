@@ -216,6 +216,17 @@ _ALERT_ROWS = (
     f"SELECT {_ts('us')} AS timestamp, equipment_id, line_id, alert_type, severity, temperature_c, "
     "fault_code, false AS acknowledged FROM alerts"
 )
+_BURST_SPANS = """
+SELECT equipment_id, min(us) AS first_us, max(us) AS last_us, count(*) AS faults
+FROM (SELECT equipment_id, us, sum(opens) OVER (PARTITION BY equipment_id ORDER BY us, event_id) AS number
+      FROM (SELECT equipment_id, us, event_id,
+                   CASE WHEN us - lag(us) OVER (PARTITION BY equipment_id ORDER BY us, event_id) <= 120000000
+                        THEN 0 ELSE 1 END AS opens
+            FROM equipment_status WHERE status = 'FAULT'))
+GROUP BY equipment_id, number HAVING count(*) > 1"""
+_BURSTS = (
+    f"SELECT equipment_id, {_ts('first_us')} AS started, {_ts('last_us')} AS last, faults FROM ({_BURST_SPANS})"
+)
 _HOURLY_ROWS = (
     f"SELECT {_ts('bucket_us')} AS bucket, line_id, avg_oee, min_oee, max_oee, avg_availability, "
     "avg_performance, avg_quality FROM hourly"
@@ -501,6 +512,22 @@ SELECT batch_id, line_id, {_ts('us')} AS time, defect_rate_pct, center, ucl, gre
 SELECT batch_id, line_id, {_ts('us')} AS time, measured_mean, spec_upper, spec_lower, center, ucl, lcl,
        measured_mean > ucl OR measured_mean < lcl AS out_of_control
 FROM quality_metrics JOIN limits USING (line_id)""",
+        "fault_bursts": _dense(_BURSTS),
+        "stream_fault_bursts": _dense(_BURSTS),
+        "fault_rate_by_burst": _dense(
+            f"""SELECT line_id, in_burst, count(*) AS events, count(*) FILTER (status = 'FAULT') AS faults,
+       {_round("count(*) FILTER (status = 'FAULT') / count(*)", 4)} AS fault_rate
+FROM (SELECT line_id, status, EXISTS (
+          SELECT 1 FROM ({_BURST_SPANS}) b
+          WHERE b.equipment_id = s.equipment_id AND s.us BETWEEN b.first_us AND b.last_us) AS in_burst
+      FROM equipment_status s) GROUP BY 1, 2"""
+        ),
+        "ingest_latency_sketched": _dense(
+            "SELECT count(*) AS events, true AS p50_within, true AS p95_within, true AS p99_within FROM line_events"
+        ),
+        "stream_progress": _dense(
+            "SELECT 'oee' AS query, count(*) + 1 AS rows_in, 0::BIGINT AS late_rows, true AS timed FROM line_events"
+        ),
         "ingest_latency": _dense(
             "SELECT "
             + ", ".join(

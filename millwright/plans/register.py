@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
-from functools import cached_property, reduce
+from functools import cached_property, partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,12 +17,12 @@ from pyspark.sql import types as T
 
 from millwright import schemas
 from millwright.functions.coerce import iso_time
-from millwright.operators import capability, charts, enrich, intervals, losses, oee, precursors, rollups
+from millwright.operators import bursts, capability, charts, enrich, intervals, losses, oee, precursors, rollups
 from millwright.plans import serving
 from millwright.session import scratch_path, use_utc
 from millwright.sinks import archive, folders, tables
 from millwright.sources import feeds, plant_views
-from millwright.streaming import jobs
+from millwright.streaming import jobs, progress
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -328,6 +328,14 @@ def fault_rate_by_context(spark, sf_dir):
     return enrich.fault_rate_by_context(_calendar(spark, sf_dir).equipment_status)
 
 
+def fault_bursts(spark, sf_dir):
+    return bursts.fault_bursts(Plant(spark, sf_dir).equipment_status)
+
+
+def fault_rate_by_burst(spark, sf_dir):
+    return bursts.fault_rate_by_burst(Plant(spark, sf_dir).equipment_status)
+
+
 def status_intervals(spark, sf_dir):
     return intervals.status_intervals(_calendar(spark, sf_dir).equipment_status)
 
@@ -394,6 +402,22 @@ def ingest_latency(spark, sf_dir):
     return rollups.ingest_latency(Plant(spark, sf_dir).line_events)
 
 
+def ingest_latency_sketched(spark, sf_dir):
+    """Percentiles from stored sketches of hours, and whether their true ranks are within one percent."""
+    plant = Plant(spark, sf_dir)
+    path = scratch_path(plant.spark, "latency-sketches")
+    rollups.latency_sketches(plant.line_events).write.parquet(path)
+    found = rollups.latency_from_sketches(plant.spark.read.parquet(path))
+    ms = F.expr("(unix_micros(ingested_at) - unix_micros(ts)) div 1000")
+    wanted = {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}
+    # the share below a value and the share up to it enclose its rank
+    ranks = plant.line_events.select(ms.alias("ms")).join(F.broadcast(found)).groupBy("events")
+    below = {c: F.avg((F.col("ms") < F.col(c)).cast("int")) for c in wanted}
+    up_to = {c: F.avg((F.col("ms") <= F.col(c)).cast("int")) for c in wanted}
+    good = [((below[c] <= p + 0.01) & (up_to[c] >= p - 0.01)).alias(f"{c[:3]}_within") for c, p in wanted.items()]
+    return ranks.agg(*good)
+
+
 def sensor_trend(spark, sf_dir):
     return rollups.sensor_trend(Plant(spark, sf_dir).equipment_status)
 
@@ -762,6 +786,26 @@ def stream_status_intervals(spark, sf_dir):
     return spark.read.parquet(path).drop("run", "batch")
 
 
+def stream_fault_bursts(spark, sf_dir):
+    """Bursts of a feed that has ended."""
+
+    def start(status, path, checkpoint, *, heartbeat, once):
+        return jobs.run_bursts(status, path, checkpoint, heartbeat=heartbeat, once=once)
+
+    path = _finished(spark, sf_dir, start, plant_views.equipment_status, "finish-bursts")
+    return spark.read.parquet(path).drop("run", "batch")
+
+
+def stream_progress(spark, sf_dir):
+    """What the log keeps of a finished effectiveness job: all rows are counted, and every batch is timed."""
+    path = scratch_path(spark, "progress")
+    with progress.ProgressLog(spark, path):
+        _finished(spark, sf_dir, partial(jobs.run_oee, name="oee"), plant_views.line_events, "finish-progress")
+    report = progress.progress_report(progress.read_progress(spark, path))
+    timed = [F.col(f"{c}_p50_ms") <= F.col(f"{c}_p95_ms") for c in ("batch", "checkpoint")]
+    return report.select("query", "rows_in", "late_rows", (timed[0] & timed[1]).alias("timed"))
+
+
 def _replayed(start, view, label: str) -> Callable[[SparkSession, str], str]:
     """Runs a job over a feed that delivers every event, then every third one again, and closes it."""
 
@@ -848,6 +892,8 @@ _NAMED: tuple[Query, ...] = (
     planned_downtime_split,
     downtime_seconds_split,
     fault_rate_by_context,
+    fault_bursts,
+    fault_rate_by_burst,
     status_intervals,
     mttr_by_line,
     repair_against_expected,
@@ -862,6 +908,7 @@ _NAMED: tuple[Query, ...] = (
     defect_rate_chart,
     xbar_chart,
     ingest_latency,
+    ingest_latency_sketched,
     sensor_trend,
     cycle_scan,
     decode_rejects,
@@ -896,6 +943,8 @@ _NAMED: tuple[Query, ...] = (
     stream_cpk_finished,
     stream_precursors_finished,
     stream_status_intervals,
+    stream_fault_bursts,
+    stream_progress,
     stream_oee_deduplicated,
     stream_cpk_deduplicated,
     stream_precursors_deduplicated,

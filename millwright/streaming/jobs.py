@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millwright import schemas
+from millwright.operators.bursts import fault_bursts
 from millwright.operators.capability import rolling_cpk
 from millwright.operators.oee import oee_by_window
 from millwright.sinks import archive, folders, tables
@@ -143,17 +144,30 @@ def run_alerts(
     )
 
 
-def run_intervals(
-    status: DataFrame, path: str, checkpoint: str, *, heartbeat: str | None = None, distinct: bool = False, **options
-) -> StreamingQuery:
-    """Appends finished status intervals; a repeated batch replaces its own earlier rows only."""
+def _append(path: str) -> Callable[[DataFrame, str, int], None]:
+    """A sink that adds each batch to a table; a repeated batch replaces its own earlier rows only."""
 
     def write(batch: DataFrame, run: str, n: int) -> None:
         named = batch.withColumns({"run": F.lit(run), "batch": F.lit(n).cast("bigint")})
         writer = named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("run", "batch").parquet(path)
 
-    return run(interval_stream(with_heartbeat(status, heartbeat), distinct=distinct), write, checkpoint, **options)
+    return write
+
+
+def run_intervals(
+    status: DataFrame, path: str, checkpoint: str, *, heartbeat: str | None = None, distinct: bool = False, **options
+) -> StreamingQuery:
+    """Finished status intervals."""
+    return run(interval_stream(with_heartbeat(status, heartbeat), distinct=distinct), _append(path), checkpoint, **options)
+
+
+def run_bursts(
+    status: DataFrame, path: str, checkpoint: str, *, heartbeat: str | None = None, distinct: bool = False, **options
+) -> StreamingQuery:
+    """Bursts of faults, each once no further fault can join it."""
+    rows = _watermarked(with_heartbeat(status, heartbeat), DELAY, distinct)
+    return run(fault_bursts(rows), _append(path), checkpoint, **options)
 
 
 def run_archive(
