@@ -11,6 +11,7 @@ replaces its own files, and an id that was claimed is never given to another.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -271,16 +272,43 @@ def list_tables(spark: SparkSession, root: str) -> DataFrame:
     return listed
 
 
+def _retentions(root: str, table: str) -> str:
+    return f"{root}/{table}/retentions"
+
+
+def _finish_retentions(spark: SparkSession, root: str, table: str) -> list[str]:
+    """Drops what an interrupted retention has already taken off the log; one that logged nothing is forgotten."""
+    dropped = []
+    done = {batch for run, batch in _entries(spark, root, table) if run == "retention"}
+    for name in folders.names(spark, _retentions(root, table)):
+        cutoff = name.split("~")[0]
+        if name in done:
+            data = _data(root, table)
+            for day in folders.partition_values(spark, data, "event_date"):
+                if day < cutoff:
+                    folders.drop(spark, f"{data}/event_date={day}")
+                    dropped.append(day)
+        folders.drop(spark, f"{_retentions(root, table)}/{name}")
+    return dropped
+
+
 def apply_archive_retention(
     spark: SparkSession, root: str, table: str, as_of: datetime, days: int = schemas.ARCHIVE_RETENTION_DAYS
 ) -> list[str]:
-    """Drops the days that lie wholly before ``as_of - days``; the log gets an entry with the rows removed."""
+    """Drops the days that lie wholly before ``as_of - days``; the log gets an entry with the rows removed.
+
+    The entry is logged before the first folder goes, under the name of a
+    marker that is taken back after the last one. A driver that dies in
+    between leaves the marker, and the next retention drops the rest without
+    counting it again. The rows are counted from what readers can see.
+    """
+    dropped = _finish_retentions(spark, root, table)
     cutoff = (in_utc(as_of) - timedelta(days=days)).strftime("%Y-%m-%d")
-    before = scan(spark, root, table, where=F.col("event_date") < F.lit(cutoff).cast("date")).count()
-    dropped = tables.apply_retention(
-        spark, _data(root, table), as_of, days, column="event_date", fmt="%Y-%m-%d"
-    )
-    if before:
-        taken = [*_entries(spark, root, table).values(), *_named(folders.names(spark, _claims(root, table))).values()]
-        _commit(spark, root, table, 1 + max(taken, default=-1), cutoff, "retention", "delete", -before)
-    return dropped
+    if not any(day < cutoff for day in folders.partition_values(spark, _data(root, table), "event_date")):
+        return dropped
+    name = f"{cutoff}~{uuid.uuid4().hex}"
+    folders.touch(spark, f"{_retentions(root, table)}/{name}")
+    gone = scan(spark, root, table, where=F.col("event_date") < F.lit(cutoff).cast("date")).count()
+    taken = [*_entries(spark, root, table).values(), *_named(folders.names(spark, _claims(root, table))).values()]
+    _commit(spark, root, table, 1 + max(taken, default=-1), name, "retention", "delete", -gone)
+    return dropped + _finish_retentions(spark, root, table)

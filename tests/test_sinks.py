@@ -328,3 +328,24 @@ def test_rows_without_a_line_or_time_are_kept(spark, tmp_path):
     archive.append_snapshot(root, "line_events", line_frame(spark, rows), 0, run="t")
     found = archive.scan(spark, root, "line_events").collect()
     assert sorted(r.line_id for r in found) == ["LINE-A", "UNKNOWN", "UNKNOWN"]
+
+
+@pytest.mark.parametrize("step", ["scan", "_commit", "drop"])
+def test_an_interrupted_archive_retention_counts_its_rows_once(spark, tmp_path, monkeypatch, step):
+    root = str(tmp_path)
+    day = 86_400
+    rows = [batch(n * day, event_id=f"{n}-{k}") for n in range(6) for k in range(2)]
+    archive.append_snapshot(root, "quality_metrics", batch_frame(spark, rows), 0, run="r")
+
+    def lost(*_, **__):
+        raise RuntimeError("the driver is gone")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(folders if step == "drop" else archive, step, lost)
+        with pytest.raises(RuntimeError):
+            archive.apply_archive_retention(spark, root, "quality_metrics", at(3 * day), 1)
+    archive.apply_archive_retention(spark, root, "quality_metrics", at(4 * day), 1)
+    listed = {r.table: r.rows for r in archive.list_tables(spark, root).collect()}
+    assert listed["quality_metrics"] == archive.scan(spark, root, "quality_metrics").count() == 6
+    assert folders.names(spark, f"{root}/quality_metrics/retentions") == []
+    assert archive.apply_archive_retention(spark, root, "quality_metrics", at(4 * day), 1) == []
