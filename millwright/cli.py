@@ -6,6 +6,7 @@
     python -m millwright.cli archive ROOT --table T --as-of-snapshot 3
     python -m millwright.cli archive ROOT --oee
     python -m millwright.cli job oee --servers HOST:9092 --out PATH --checkpoint PATH
+    python -m millwright.cli job alerts --folder DIR --growing --distinct --progress PATH --out PATH --checkpoint PATH
     python -m millwright.cli refresh --metrics PATH --hourly PATH          hourly rollup, run it every half hour
     python -m millwright.cli retention --metrics PATH --archive ROOT       drop what is past its time
     python -m millwright.cli dashboard current --metrics PATH              panels over the stored tables
@@ -16,6 +17,7 @@ Submit with spark-submit to run on a cluster.
 from __future__ import annotations
 
 import argparse
+from contextlib import nullcontext
 from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,10 +27,17 @@ from millwright.operators.rollups import production_quality
 from millwright.plans import serving
 from millwright.session import build_session
 from millwright.sinks import archive, tables
-from millwright.sources import feeds
+from millwright.sources import feeds, message_log
 from millwright.streaming import jobs
+from millwright.streaming.progress import ProgressLog
 
-_JOB_TOPICS = {"oee": "line-events", "cpk": "quality-metrics", "alerts": "equipment-status"}
+_JOB_TOPICS = {
+    "oee": "line-events",
+    "cpk": "quality-metrics",
+    "alerts": "equipment-status",
+    "intervals": "equipment-status",
+    "bursts": "equipment-status",
+}
 
 
 def archive_query(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
@@ -61,6 +70,8 @@ def start_job(spark: SparkSession, options: argparse.Namespace):
         messages = (
             feeds.topic_feed(spark, topic, options.servers, **limits)
             if options.servers
+            else message_log.message_feed(spark, f"{options.folder}/{topic}")
+            if options.growing
             else feeds.text_feed(spark, f"{options.folder}/{topic}", **limits)
         )
         return feeds.decode(messages, table)
@@ -75,14 +86,17 @@ def start_job(spark: SparkSession, options: argparse.Namespace):
         ]
     topic = _JOB_TOPICS[options.name]
     rows = feeds.with_defaults(events(topic), schemas.TOPICS[topic][0])
-    start = {"oee": jobs.run_oee, "cpk": jobs.run_cpk, "alerts": jobs.run_alerts}[options.name]
-    return [start(rows, options.out, options.checkpoint, once=options.once)]
+    start = {
+        "oee": jobs.run_oee, "cpk": jobs.run_cpk, "alerts": jobs.run_alerts, "intervals": jobs.run_intervals, "bursts": jobs.run_bursts,
+    }[options.name]
+    return [start(rows, options.out, options.checkpoint, distinct=options.distinct, name=options.name, once=options.once)]
 
 
 def refresh(spark: SparkSession, options: argparse.Namespace) -> None:
     """One run of the scheduled rollup over the stored windows."""
     as_of = options.as_of
-    tables.refresh_hourly(spark, options.metrics, options.hourly, as_of, batch=f"{as_of:%Y%m%d%H%M%S}")
+    run = tables.refresh_changed if options.changed else tables.refresh_hourly
+    run(spark, options.metrics, options.hourly, as_of, batch=f"{as_of:%Y%m%d%H%M%S}")
 
 
 def retention(spark: SparkSession, options: argparse.Namespace) -> list[str]:
@@ -133,12 +147,16 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--out", required=True)
     job.add_argument("--checkpoint", required=True)
     job.add_argument("--once", action="store_true", help="process what is there, then stop")
+    job.add_argument("--distinct", action="store_true", help="count repeated deliveries of an event once")
+    job.add_argument("--progress", help="folder for the table of what the queries report of themselves")
+    job.add_argument("--growing", action="store_true", help="the folder holds append-only files: read them by offset")
     job.add_argument("--at-most", type=int, help="messages, or files, per micro-batch: bounds a backlog")
 
     now = datetime.now(UTC).replace(tzinfo=None)
     rollup = commands.add_parser("refresh", help="refresh the hourly rollup")
     rollup.add_argument("--metrics", required=True)
     rollup.add_argument("--hourly", required=True)
+    rollup.add_argument("--changed", action="store_true", help="all hours that have changed, not only the last three")
     expiry = commands.add_parser("retention", help="drop data past its time")
     expiry.add_argument("--metrics")
     expiry.add_argument("--archive")
@@ -170,8 +188,10 @@ def main(arguments: list[str] | None = None) -> None:
     elif options.command == "dashboard":
         dashboard(spark, options).show(1000, truncate=False)
     else:
-        for query in start_job(spark, options):
-            query.awaitTermination()
+        log = ProgressLog(spark, options.progress) if options.progress else nullcontext()
+        with log:
+            for query in start_job(spark, options):
+                query.awaitTermination()
 
 
 if __name__ == "__main__":

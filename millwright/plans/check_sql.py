@@ -327,7 +327,7 @@ FROM metrics QUALIFY row_number() OVER (PARTITION BY line_id ORDER BY time_us DE
                 f"max(CASE WHEN line_id = '{x}' THEN oee * 100 END) AS \"{x}\""
                 for x in ("LINE-A", "LINE-B", "LINE-C")
             )
-            + " FROM metrics GROUP BY 1"
+            + f" FROM metrics, now WHERE time_us BETWEEN now.us - 2 * {_HOURS} AND now.us GROUP BY 1"
         ),
         "active_alerts": _dense(
             f"""SELECT {_ts('us')} AS "Time", equipment_id AS "Equipment", line_id AS "Line",
@@ -636,6 +636,7 @@ FROM quality_metrics WHERE us >= 1704931200000000 GROUP BY 1"""
         "stream_oee_deduplicated": _dense(_METRIC_ROWS + "metrics"),
         "stream_cpk_deduplicated": _dense(_STAT_ROWS),
         "stream_precursors_deduplicated": _dense(_ALERT_ROWS),
+        "stream_topic_oee": _dense(_METRIC_ROWS + "metrics"),
         "stream_archive": _dense(
             """SELECT 'line_events' AS "table", 1 AS snapshots, count(*) AS "rows" FROM line_events
 UNION ALL SELECT 'equipment_status', 1, count(*) FROM equipment_status
@@ -666,5 +667,8 @@ UNION ALL SELECT 'quality_metrics', 1, count(*) FROM quality_metrics"""
             f"WHERE time_us BETWEEN now.us - 3 * {_HOURS} AND now.us"
         )
     for value in ("rolling_cpk", "rolling_mean", "rolling_stddev"):
-        found[f"{value}_trend"] = _dense(f"SELECT {_ts('time_us')} AS time, line_id, {value} FROM stats")
+        found[f"{value}_trend"] = _dense(
+            f"SELECT {_ts('time_us')} AS time, line_id, {value} FROM stats, now "
+            f"WHERE time_us BETWEEN now.us - 2 * {_HOURS} AND now.us"
+        )
     return found

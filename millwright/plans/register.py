@@ -21,7 +21,7 @@ from millwright.operators import bursts, capability, charts, enrich, intervals,
 from millwright.plans import serving
 from millwright.session import scratch_path, use_utc
 from millwright.sinks import archive, folders, tables
-from millwright.sources import feeds, plant_views
+from millwright.sources import feeds, message_log, plant_views
 from millwright.streaming import jobs, progress
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -247,13 +247,17 @@ def _rate_trend(value: str) -> Query:
 
 def _stat_trend(value: str) -> Query:
     def query(spark, sf_dir):
-        return serving.trend(Board(spark, sf_dir).stats(), value)
+        board = Board(spark, sf_dir)
+        start = board.now - timedelta(hours=2)
+        return serving.trend(board.stats(start, board.now), value, start=start, end=board.now)
 
     return query
 
 
 def oee_trend_wide(spark, sf_dir):
-    series = serving.trend(Board(spark, sf_dir).metrics(), "oee", factor=100)
+    board = Board(spark, sf_dir)
+    start = board.now - timedelta(hours=2)
+    series = serving.trend(board.metrics(start, board.now), "oee", factor=100, start=start, end=board.now)
     return serving.wide(series, "oee", [line[0] for line in schemas.LINES])
 
 
@@ -806,6 +810,28 @@ def stream_progress(spark, sf_dir):
     return report.select("query", "rows_in", "late_rows", (timed[0] & timed[1]).alias("timed"))
 
 
+def stream_topic_oee(spark, sf_dir):
+    """Windows of events that arrive as JSON messages of a topic, in two deliveries."""
+    plant = Plant(spark, sf_dir)
+    path = scratch_path(spark, "topic")
+    columns = ["event_id", "line_id", "event_type", "units_produced", "units_rejected", "downtime_s", "ideal_cycle_time_ms"]
+    sent = plant.line_events.select(
+        F.to_json(F.struct(iso_time(F.col("ts")).alias("timestamp"), *columns)).alias("value"), "ts"
+    )
+    newest = Board(spark, sf_dir).now
+    half = newest - timedelta(hours=1)
+    for number, part in enumerate((sent.filter(F.col("ts") < F.lit(half)), sent.filter(F.col("ts") >= F.lit(half)))):
+        part.select("value").write.text(f"{path}/topic/delivery={number}")
+
+        def again():
+            messages = feeds.with_defaults(feeds.decode(message_log.message_feed(spark, f"{path}/topic"), "line_events"), "line_events")
+            return jobs.run_oee(messages, f"{path}/table", f"{path}/checkpoint", heartbeat=f"{path}/beats", once=True)
+
+        again().awaitTermination()
+    jobs.finish(again, spark, f"{path}/beats", newest + timedelta(hours=1), one_batch_runs=True)
+    return tables.read_table(spark, f"{path}/table", schemas.OEE_METRICS).drop(tables.HOUR)
+
+
 def _replayed(start, view, label: str) -> Callable[[SparkSession, str], str]:
     """Runs a job over a feed that delivers every event, then every third one again, and closes it."""
 
@@ -944,6 +970,7 @@ _NAMED: tuple[Query, ...] = (
     stream_precursors_finished,
     stream_status_intervals,
     stream_fault_bursts,
+    stream_topic_oee,
     stream_progress,
     stream_oee_deduplicated,
     stream_cpk_deduplicated,
