@@ -24,6 +24,7 @@ import struct
 import sys
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ KNOWN_WORDS = 300_000
 TOGETHER = 512
 # Letters whose lower case is one letter everywhere, and marks that never belong to the letters before them.
 LETTERS = "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)"
-MARKS = r"([^A-Za-z0-9'\u0080-\U0010ffff]*)"
+MARKS = r"([^A-Za-z0-9'\n\u0080-\U0010ffff]*)"
 _MASK_DELTA = 0xA282EAD8
 _HEAD, _HEAD_BYTES = "<QI", 12
 _BODY, _BODY_BYTES = "<BqI", 13
@@ -80,6 +81,16 @@ def frames(content: bytes, width: int) -> Iterator[tuple[int, int, int | None, n
         at += whole
 
 
+class Known(dict):
+    """Words to their token ids; a word without an entry is noted, and stands for itself until it is encoded."""
+
+    def __init__(self):
+        self.fresh: dict[bytes, list[bytes]] = {}
+
+    def __missing__(self, word: bytes) -> list[bytes]:
+        return self.fresh.setdefault(word, [])
+
+
 class WordEncoder:
     """Token ids of texts, encoding distinct words only.
 
@@ -103,48 +114,52 @@ class WordEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         if suffix:
             self.ends[[number for token, number in vocabulary.items() if token.endswith(suffix)]] = True
-        self.letters = re.compile(LETTERS + MARKS) if suffix else re.compile("(?!)()()")
-        self.words: dict[bytes, bytes] = {}
+        # a line is letters and marks, or else one word whatever it holds
+        self.parts = re.compile(f"^(?:{LETTERS}{MARKS}|(.+))$" if suffix else "^(?:(?!)()()|(.+))$", re.M)
+        self.words = Known()
         self.stems: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        split = [text.split() for text in texts]
-        distinct = set().union(*split)
-        fresh = self._encoded(distinct.difference(self.words))
-        if len(self.words) + len(fresh) <= KNOWN_WORDS:
-            self.words.update(fresh)
-            table = self.words
-        else:  # the first words of a task are mostly the frequent ones: those stay
-            known = self.words
-            table = fresh | {word: known[word] for word in distinct if word in known}
-        return [b"".join([table[word] for word in words]) for words in split]
-
-    def _encoded(self, words: set[bytes]) -> dict[bytes, bytes]:
-        parts, other = {}, []
-        for word in words:
-            found = self.letters.fullmatch(word.decode())
-            if found:
-                parts[word] = found[1].lower(), found[2]
-            else:
-                other.append(word)
-        stems = self._stems({stem for stem, _ in parts.values()})
-        marks = list({mark for _, mark in parts.values()})
-        marked = dict(zip(marks, self._each(marks)))
-        out = {word: stems[stem] + marked[mark] for word, (stem, mark) in parts.items()}
-        out.update(zip(other, self._each([word.decode() for word in other])))
-        return out
+        words = self.words
+        found = [list(map(words.__getitem__, text.split())) for text in texts]
+        fresh, words.fresh = words.fresh, {}
+        if not fresh:
+            return [b"".join(one) for one in found]
+        encoded = self._encoded(list(fresh))
+        for slot, ids in zip(fresh.values(), encoded):
+            slot.append(ids)
+        # the first words of a task are mostly the frequent ones: those stay
+        words.update(zip(islice(fresh, KNOWN_WORDS - len(words)), encoded))
+        return [b"".join([x if type(x) is bytes else x[0] for x in one]) for one in found]
+
+    def _encoded(self, words: list[bytes]) -> list[bytes]:
+        parts = self.parts.findall(b"\n".join(words).decode())
+        stems, marks, others = zip(*parts)
+        stems = "\n".join(stems).lower().split("\n")
+        self._learn_marks(set(marks))
+        stem, mark = self._stems(stems), self.marks
+        alone = iter(self._each([word for word in others if word]))
+        return [next(alone) if other else stem[s] + mark[m] for s, m, other in zip(stems, marks, others)]
 
     def _each(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, f"<u{self.width}").tobytes() for one in found]
 
-    def _stems(self, stems: set[str]) -> dict[str, bytes]:
+    def _learn_marks(self, marks: set[str]) -> None:
+        if len(self.marks) > KNOWN_WORDS:
+            self.marks = {"": b""}
+        new = list(marks.difference(self.marks))
+        self.marks.update(zip(new, self._each(new)))
+
+    def _stems(self, stems: list[str]) -> dict[str, bytes]:
         known = self.stems
-        new = list(stems.difference(known))
+        new = list(set(stems).difference(known, ("",)))
         out = {}
-        for at in range(0, len(new), TOGETHER):
-            run = new[at : at + TOGETHER]
-            ids = np.array(self.tokenizer.encode(" ".join(run), add_special_tokens=False).ids, f"<u{self.width}")
+        runs = [new[at : at + TOGETHER] for at in range(0, len(new), TOGETHER)]
+        found = self.tokenizer.encode_batch_fast([" ".join(run) for run in runs], add_special_tokens=False)
+        for run, one in zip(runs, found):
+            ids = np.array(one.ids, f"<u{self.width}")
             stops = ((np.flatnonzero(self.ends[ids]) + 1) * self.width).tolist()
             if len(stops) != len(run):
                 raise ValueError("a word of letters is not one word to the tokenizer")
