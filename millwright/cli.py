@@ -9,6 +9,7 @@
     python -m millwright.cli job alerts --folder DIR --growing --distinct --progress PATH --out PATH --checkpoint PATH
     python -m millwright.cli refresh --metrics PATH --hourly PATH          hourly rollup, run it every half hour
     python -m millwright.cli retention --metrics PATH --archive ROOT       drop what is past its time
+    python -m millwright.cli compact --archive ROOT                        rewrite finished days, run it daily
     python -m millwright.cli dashboard current --metrics PATH              panels over the stored tables
 
 Submit with spark-submit to run on a cluster.
@@ -26,7 +27,7 @@ from millwright import schemas
 from millwright.operators.rollups import production_quality
 from millwright.plans import serving
 from millwright.session import build_session
-from millwright.sinks import archive, tables
+from millwright.sinks import archive, compaction, tables
 from millwright.sources import feeds, message_log
 from millwright.streaming import jobs
 from millwright.streaming.progress import ProgressLog
@@ -110,6 +111,16 @@ def retention(spark: SparkSession, options: argparse.Namespace) -> list[str]:
     return dropped
 
 
+def compact(spark: SparkSession, options: argparse.Namespace) -> list[str]:
+    """Compacts the finished days of the archive; returns the days that had something to take in."""
+    before = options.as_of - timedelta(hours=options.wait_hours)
+    return [
+        f"{table} {day}"
+        for table in schemas.EVENT_TABLES
+        for day in compaction.compact_days(spark, options.archive, table, before)
+    ]
+
+
 def dashboard(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
     """A panel over the stored windows; only the hours it shows are opened."""
     start = options.as_of - timedelta(hours=options.hours)
@@ -160,11 +171,14 @@ def parser() -> argparse.ArgumentParser:
     expiry = commands.add_parser("retention", help="drop data past its time")
     expiry.add_argument("--metrics")
     expiry.add_argument("--archive")
+    tidy = commands.add_parser("compact", help="rewrite finished days of the archive as sorted files")
+    tidy.add_argument("--archive", required=True)
+    tidy.add_argument("--wait-hours", type=float, default=1.0, help="leave a day alone for so long after its end")
     panel = commands.add_parser("dashboard", help="show a panel")
     panel.add_argument("panel", choices=["current", "trend", "worst", "daily"])
     panel.add_argument("--metrics", required=True)
     panel.add_argument("--hours", type=float, default=3.0)
-    for command in (rollup, expiry, panel):
+    for command in (rollup, expiry, tidy, panel):
         command.add_argument("--as-of", type=_moment, default=now, help="UTC, by default now")
     return top
 
@@ -185,6 +199,8 @@ def main(arguments: list[str] | None = None) -> None:
         refresh(spark, options)
     elif options.command == "retention":
         print("\n".join(retention(spark, options)))
+    elif options.command == "compact":
+        print("\n".join(compact(spark, options)))
     elif options.command == "dashboard":
         dashboard(spark, options).show(1000, truncate=False)
     else:

@@ -243,6 +243,9 @@ _ARCHIVED = (
 )
 
 
+_BY_MINUTE = _ARCHIVED.replace(_SNAPSHOT, "us // 60000000 % 3 + 1")
+
+
 def _decoded(table: str, columns: str, tag: str) -> str:
     return _dense(
         f"""SELECT CAST(event_id AS VARCHAR) AS event_id, {_ts('us')} AS ts,
@@ -575,6 +578,12 @@ UNION ALL SELECT 'equipment_status', 1, count(*) FROM equipment_status
 UNION ALL SELECT 'quality_metrics', 2, count(*) FROM quality_metrics WHERE us >= 1704931200000000"""
         ),
         "archive_first_rows": _calendar('SELECT least(100, count(*)) AS "rows" FROM line_events'),
+        "archive_compacted": _calendar(f"SELECT n AS as_of, a.* FROM ({_BY_MINUTE}) a, unnest([2, 3]) AS t(n) WHERE snapshot_id <= n"),
+        "archive_compacted_twice": _calendar(_BY_MINUTE),
+        "archive_point_lookup": _calendar(
+            _BY_MINUTE.replace("SELECT", "SELECT work_unit_id,", 1)
+            + " WHERE us < 1705795199000001 AND work_unit_id = 'WU-01'"
+        ),
         "hot_retention": _calendar(
             _METRIC_ROWS + f"({_oee('line_events', 3_600_000_000)}) WHERE time_us >= 1706054400000000"
         ),

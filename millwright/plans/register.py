@@ -20,7 +20,7 @@ from millwright.functions.coerce import iso_time
 from millwright.operators import bursts, capability, charts, enrich, intervals, losses, oee, precursors, rollups
 from millwright.plans import serving
 from millwright.session import scratch_path, use_utc
-from millwright.sinks import archive, folders, tables
+from millwright.sinks import archive, compaction, folders, tables
 from millwright.sources import feeds, message_log, plant_views
 from millwright.streaming import jobs, progress
 
@@ -710,6 +710,43 @@ def archive_tables_after_retention(spark, sf_dir):
     return archive.list_tables(spark, root)
 
 
+def _compacted(spark: SparkSession, sf_dir: str) -> str:
+    """Line events of a month: two snapshots compacted up to a day, then late rows for all days."""
+    plant = _calendar(spark, sf_dir)
+    root = scratch_path(spark, "archive-compacted")
+    for number in range(3):
+        if number == 2:
+            compaction.compact_days(spark, root, "line_events", datetime(2024, 1, 21))
+        part = plant.line_events.filter(F.minute("ts") % 3 == number)
+        archive.append_snapshot(root, "line_events", part, number + 1, run="r")
+    return root
+
+
+def archive_compacted(spark, sf_dir):
+    """Snapshots stay apart in compacted days, and late rows for such days are found."""
+    root = _compacted(spark, sf_dir)
+    parts = [
+        archive.scan(spark, root, "line_events", as_of_snapshot=n).select(F.lit(n).alias("as_of"), *_SHOWN) for n in (2, 3)
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def archive_compacted_twice(spark, sf_dir):
+    """The same rows after the late ones were taken into the compacted days."""
+    root = _compacted(spark, sf_dir)
+    compaction.compact_days(spark, root, "line_events", datetime(2024, 1, 26))
+    return archive.scan(spark, root, "line_events").select(*_SHOWN)
+
+
+def archive_point_lookup(spark, sf_dir):
+    """One work unit's rows of compacted days: sorted files with statistics and Bloom filters skip the others."""
+    root = _compacted(spark, sf_dir)
+    rows = archive.scan(
+        spark, root, "line_events", until=datetime(2024, 1, 20, 23, 59, 59), where=F.col("work_unit_id") == "WU-01"
+    )
+    return rows.select("work_unit_id", *_SHOWN)
+
+
 def archive_first_rows(spark, sf_dir):
     """A limited scan: as many rows as asked for, all of them of the table."""
     rows = archive.scan(spark, _archive(spark, sf_dir), "line_events", limit=100)
@@ -947,6 +984,9 @@ _NAMED: tuple[Query, ...] = (
     archive_gap,
     archive_tables_after_retention,
     archive_first_rows,
+    archive_compacted,
+    archive_compacted_twice,
+    archive_point_lookup,
     hot_retention,
     hourly_rollup_table,
     oee_refresh_changed,

@@ -166,6 +166,16 @@ def ensure_tables(spark: SparkSession, root: str) -> list[str]:
     return created
 
 
+def packed_path(root: str, table: str) -> str:
+    return f"{root}/{table}/packed"
+
+
+def packed_through(spark: SparkSession, root: str, table: str, day: str) -> int | None:
+    """The last snapshot whose rows of a day are in the day's compacted copy, if there is one."""
+    copies = folders.partition_values(spark, f"{packed_path(root, table)}/event_date={day}", "through")
+    return max(map(int, copies), default=None)
+
+
 def read_data(
     spark: SparkSession,
     root: str,
@@ -174,20 +184,38 @@ def read_data(
     days: tuple[str | None, str | None] = (None, None),
     extra: T.StructType | None = None,
 ) -> DataFrame:
-    """All files of a table, committed or not; with ``days`` only the folders of those are opened."""
-    layout, path = stored_layout(table, extra), _data(root, table)
+    """All files of a table, committed or not; with ``days`` only the folders of those are opened.
+
+    A compacted day is read from its newest copy, and its snapshot folders
+    count only from the first snapshot that is not in the copy.
+    """
+    layout, path, packed = stored_layout(table, extra), _data(root, table), packed_path(root, table)
     low, high = days
-    if low is None and high is None:
-        found = [path] if folders.has_data(spark, path) else []
-    else:
-        found = [
-            f"{path}/event_date={day}"
-            for day in folders.partition_values(spark, path, "event_date")
-            if (low is None or day >= low) and (high is None or day <= high)
-        ]
-    if not found:
-        return spark.createDataFrame([], layout)
-    return spark.read.schema(layout).option("basePath", path).parquet(*found)
+
+    def among(folder: str) -> list[str]:
+        named = folders.partition_values(spark, folder, "event_date")
+        return [day for day in named if (low is None or day >= low) and (high is None or day <= high)]
+
+    loose = among(path)
+    copies = {day: packed_through(spark, root, table, day) for day in among(packed)}
+    copies = {day: last for day, last in copies.items() if last is not None}
+    whole = low is None and high is None
+    found = ([path] if loose else []) if whole else [f"{path}/event_date={day}" for day in loose]
+    rows = spark.createDataFrame([], layout)
+    if found:
+        rows = spark.read.schema(layout).option("basePath", path).parquet(*found)
+        for day in set(loose) & set(copies):
+            rows = rows.filter(
+                F.coalesce(F.col("event_date") != F.lit(day).cast("date"), F.lit(True))
+                | (F.col("snapshot_id") > copies[day])
+            )
+    if copies:
+        old = spark.read.schema(layout).option("basePath", packed).parquet(
+            *[f"{packed}/event_date={day}/through={last}" for day, last in copies.items()]
+        )
+        old = old.select(*layout.fieldNames())
+        rows = rows.unionByName(old) if found else old
+    return rows
 
 
 def snapshots(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -209,7 +237,15 @@ def committed(spark: SparkSession, root: str, table: str, as_of: datetime | None
     return sorted(row[0] for row in log.select("snapshot_id").toLocalIterator())
 
 
-def _in_ranges(column: Column, ids: list[int]) -> Column:
+def settled(spark: SparkSession, root: str, table: str) -> int:
+    """The last committed snapshot before the first one that is claimed and not in the log; -1 if there is none."""
+    done = _entries(spark, root, table)
+    claims = _named(folders.names(spark, _claims(root, table)))
+    still_open = [number for key, number in claims.items() if key not in done]
+    return max((n for n in done.values() if n < min(still_open, default=n + 1)), default=-1)
+
+
+def in_ranges(column: Column, ids: list[int]) -> Column:
     """Membership as a few ranges: literals, so that partitions are pruned by them."""
     ranges: list[list[int]] = []
     for number in ids:
@@ -248,7 +284,7 @@ def scan(
             raise ValueError(f"{table} has no snapshot {as_of_snapshot}")
         ids = [number for number in ids if number <= as_of_snapshot]
     days = tuple(None if t is None else in_utc(t).strftime("%Y-%m-%d") for t in (since, until))
-    rows = read_data(spark, root, table, days=days, extra=extra).filter(_in_ranges(F.col("snapshot_id"), ids))
+    rows = read_data(spark, root, table, days=days, extra=extra).filter(in_ranges(F.col("snapshot_id"), ids))
     for moment, inside in ((since, lambda c, m: c >= m), (until, lambda c, m: c <= m)):
         if moment is not None:
             rows = rows.filter(
@@ -276,6 +312,12 @@ def _retentions(root: str, table: str) -> str:
     return f"{root}/{table}/retentions"
 
 
+def _days(spark: SparkSession, root: str, table: str) -> list[str]:
+    """Days with rows, compacted or not."""
+    paths = (_data(root, table), packed_path(root, table))
+    return sorted({day for path in paths for day in folders.partition_values(spark, path, "event_date")})
+
+
 def _finish_retentions(spark: SparkSession, root: str, table: str) -> list[str]:
     """Drops what an interrupted retention has already taken off the log; one that logged nothing is forgotten."""
     dropped = []
@@ -283,10 +325,10 @@ def _finish_retentions(spark: SparkSession, root: str, table: str) -> list[str]:
     for name in folders.names(spark, _retentions(root, table)):
         cutoff = name.split("~")[0]
         if name in done:
-            data = _data(root, table)
-            for day in folders.partition_values(spark, data, "event_date"):
+            for day in _days(spark, root, table):
                 if day < cutoff:
-                    folders.drop(spark, f"{data}/event_date={day}")
+                    for path in (_data(root, table), packed_path(root, table)):
+                        folders.drop(spark, f"{path}/event_date={day}")
                     dropped.append(day)
         folders.drop(spark, f"{_retentions(root, table)}/{name}")
     return dropped
@@ -304,7 +346,7 @@ def apply_archive_retention(
     """
     dropped = _finish_retentions(spark, root, table)
     cutoff = (in_utc(as_of) - timedelta(days=days)).strftime("%Y-%m-%d")
-    if not any(day < cutoff for day in folders.partition_values(spark, _data(root, table), "event_date")):
+    if not any(day < cutoff for day in _days(spark, root, table)):
         return dropped
     name = f"{cutoff}~{uuid.uuid4().hex}"
     folders.touch(spark, f"{_retentions(root, table)}/{name}")
