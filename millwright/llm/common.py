@@ -47,6 +47,13 @@ def text_struct(prepare: Callable[[], Work], layout: str) -> Callable[[str | Col
     return lambda column: apply(utf8(column))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or with a number if a column of ``df`` has it."""
+    taken = {column.lower() for column in df.columns}
+    names = (name if n == 0 else f"{name}_{n}" for n in range(len(taken) + 1))
+    return next(found for found in names if found.lower() not in taken)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

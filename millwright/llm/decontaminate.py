@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwright.llm.common import bounded_batches, text_struct
+from millwright.llm.common import bounded_batches, fresh, text_struct
 
 WINDOW = 10
 #: normalised benchmark bytes that one automaton may hold; more are searched in further passes
@@ -127,7 +127,7 @@ def contamination(
     ]
     if len(parts) == 1:
         return docs.withColumn(into, parts[0])
-    names = [f"{into}_{uid}" for uid in range(len(parts))]
+    names = [fresh(docs, f"{into}_{uid}") for uid in range(len(parts))]
     wide = docs
     for name, part in zip(names, parts):
         wide = wide.withColumn(name, part)
@@ -177,7 +177,7 @@ def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` in which no benchmark passage occurs, with the columns they came with."""
-    mark = "_benchmark_hits"
+    mark = fresh(docs, "_benchmark_hits")
     found = contamination(docs, benchmark, into=mark, **options)
     return found.filter(F.size(F.col(f"{mark}.words")) == 0).drop(mark)
 

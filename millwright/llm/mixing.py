@@ -20,25 +20,28 @@ from math import gcd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millwright.llm.common import stored
+from millwright.llm.common import fresh, stored
 
 BLOCK = 64
 SEED = 17
 #: rows that one sorting task should number
 SLICE_ROWS = 20_000
-#: streams times slots of a period: the most rows the schedule can have
-MOST_SLOTS = 100_000
+#: slots that one job schedules
+SLOTS = 1_000
+#: rows of a schedule that is sent to every task; a longer one is joined by a shuffle
+SENT_SLOTS = 100_000
 POOL = ""
 
 
 def period(spark: SparkSession, weights: list[int]) -> list[int]:
     """The stream of each slot of one period, earliest deadline first among the released blocks.
 
-    Equal deadlines go to the stream listed first.
+    Equal deadlines go to the stream listed first. One job takes a run of
+    slots and hands on how many blocks of each stream are done.
     """
     total = sum(weights)
     streams = F.sequence(F.lit(0), F.lit(len(weights) - 1))
-    shares = F.array(*[F.lit(n) for n in weights])
+    shares = F.array(*[F.lit(n).cast("long") for n in weights])
 
     def due(done: Column, at: Column):
         def of(stream: Column) -> Column:
@@ -53,11 +56,15 @@ def period(spark: SparkSession, weights: list[int]) -> list[int]:
         done = F.transform(state["done"], lambda n, i: n + F.when(i == chosen, 1).otherwise(0))
         return F.struct(done.alias("done"), F.concat(state["taken"], F.array(chosen)).alias("taken"))
 
-    start = F.struct(
-        F.array_repeat(F.lit(0), len(weights)).alias("done"), F.array().cast("array<int>").alias("taken")
-    )
-    table = F.aggregate(F.sequence(F.lit(0), F.lit(total - 1)), start, step, lambda state: state["taken"])
-    return spark.range(1).select(table.alias("taken")).first()["taken"]
+    order, done = [], [0] * len(weights)
+    for first in range(0, total, SLOTS):
+        start = F.struct(
+            F.array(*[F.lit(n).cast("long") for n in done]).alias("done"), F.array().cast("array<int>").alias("taken")
+        )
+        run = F.sequence(F.lit(first).cast("long"), F.lit(min(total, first + SLOTS) - 1).cast("long"))
+        row = spark.range(1).select(F.aggregate(run, start, step).alias("state")).first()["state"]
+        order, done = order + row["taken"], row["done"]
+    return order
 
 
 def schedule(spark: SparkSession, blocks: dict[str, int], weights: dict[str, int]) -> tuple[list, list]:
@@ -97,18 +104,24 @@ def mixed(
 ) -> DataFrame:
     """``docs`` with ``stream``, ``block``, ``slot`` and ``place`` (the row's place in its block).
 
+    A column of ``docs`` keeps its values; where it has one of these names, the
+    mixture's column gets a number (``slot_1``).
+
     Ordering by (slot, place) is the mixture. Numbering a stream's rows needs
     no single task: rows fall into slices by their draw, slices are numbered
     side by side, and only the counts per slice are summed up in order.
     """
     if any(not isinstance(n, int) or n < 1 for n in [*weights.values(), pool]):
         raise ValueError("weights are positive integers")
-    if (len(weights) + 1) * (sum(weights.values()) + pool) > MOST_SLOTS:
-        raise ValueError(f"streams times total weight may be {MOST_SLOTS} at most")
     spark = docs.sparkSession
-    named = F.col(source_col).isin(list(weights)) if weights else F.lit(False)
-    draw = F.xxhash64(F.lit(seed), "doc_id", "text")
-    rows = docs.withColumns({"stream": F.when(named, F.col(source_col)).otherwise(F.lit(POOL)), "_draw": draw})
+    own = {name: f"_c{n}" for n, name in enumerate(docs.columns)}
+    result = [F.col(kept).alias(name) for name, kept in own.items()]
+    result += [F.col(name).alias(fresh(docs, name)) for name in ("stream", "block", "slot", "place")]
+    docs = docs.toDF(*own.values())
+    source, doc_id, text = own[source_col], own["doc_id"], own["text"]
+    named = F.col(source).isin(list(weights)) if weights else F.lit(False)
+    draw = F.xxhash64(F.lit(seed), doc_id, text)
+    rows = docs.withColumns({"stream": F.when(named, F.col(source)).otherwise(F.lit(POOL)), "_draw": draw})
     totals = rows.groupBy("stream").agg(F.count("*").alias("n"))
     # at most one row per weight and the pool
     counts = {r["stream"]: r["n"] for r in totals.collect()}
@@ -119,7 +132,7 @@ def mixed(
     begins = stored(
         sizes.select("stream", "_slice", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_begin")), "mixing-slices"
     )
-    inside = Window.partitionBy("stream", "_slice").orderBy("_draw", "doc_id")
+    inside = Window.partitionBy("stream", "_slice").orderBy("_draw", doc_id)
     numbered = (
         rows.withColumn("_number", F.row_number().over(inside) - 1)
         .join(begins, ["stream", "_slice"])
@@ -127,21 +140,21 @@ def mixed(
     )
     phases, slots = schedule(spark, {s: -(-n // block) for s, n in counts.items()}, {**weights, POOL: pool})
     if not phases:
-        return numbered.select(
-            *docs.columns, "stream", *(F.lit(None).cast("long").alias(c) for c in ("block", "slot", "place"))
-        )
-    # no more rows than MOST_SLOTS
+        none = {name: F.lit(None).cast("long") for name in ("block", "slot", "place")}
+        return numbered.withColumns(none).select(*result)
     phase = spark.createDataFrame(phases, "_phase int, stream string, _first long, _last long, _start long, _share int, _period int")
     slot = spark.createDataFrame(slots, "_phase int, stream string, _turn int, _at int")
+    # a phase has a row per stream
+    sent = F.broadcast(slot) if len(slots) <= SENT_SLOTS else slot
     turn = F.col("block") - F.col("_first")
     return (
         numbered.withColumns({"block": F.floor(F.col("_number") / block), "place": F.col("_number") % block})
         .join(F.broadcast(phase), "stream")
         .filter(F.col("block").between(F.col("_first"), F.col("_last")))
         .withColumn("_turn", (turn % F.col("_share")).cast("int"))
-        .join(F.broadcast(slot), ["_phase", "stream", "_turn"])
+        .join(sent, ["_phase", "stream", "_turn"])
         .withColumn("slot", F.col("_start") + F.floor(turn / F.col("_share")) * F.col("_period") + F.col("_at"))
-        .select(*docs.columns, "stream", "block", "slot", "place")
+        .select(*result)
     )
 
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwright.llm.common import bounded_batches, stored, text_struct
+from millwright.llm.common import bounded_batches, fresh, stored, text_struct
 from millwright.llm.components import components
 
 SHINGLE = 3
@@ -254,6 +254,7 @@ def first_of_each(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     linked = codes.join(member, "code", "left").withColumn("component", F.coalesce("component", "code"))
     kept = linked.groupBy("component").agg(F.min("first").alias("first")).select("first.doc_id", "first._mark")
     kept = kept.select(F.col("doc_id").alias("_id"), F.col("_mark").alias("_kept"))
-    marked = docs.withColumn("_mark", mark)
-    same = marked["doc_id"].eqNullSafe(kept["_id"]) & (marked["_mark"] == kept["_kept"])
-    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_mark"]).select(*docs.columns)
+    own = fresh(docs, "_mark")
+    marked = docs.withColumn(own, mark)
+    same = marked["doc_id"].eqNullSafe(kept["_id"]) & (marked[own] == kept["_kept"])
+    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", own]).select(*docs.columns)

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millwright.llm import arrays
-from millwright.llm.common import bounded_batches, stored, text_struct
+from millwright.llm.common import bounded_batches, fresh, stored, text_struct
 
 #: labelled rows per class that training may use
 SAMPLE = 4_000
@@ -249,5 +249,6 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows not rejected, with the columns they came with."""
-    scored = docs.withColumn("_severity", severity(train(docs, labels)))
-    return scored.filter(~F.col("_severity.rejected")).drop("_severity")
+    mark = fresh(docs, "_severity")
+    scored = docs.withColumn(mark, severity(train(docs, labels)))
+    return scored.filter(~F.col(f"{mark}.rejected")).drop(mark)
