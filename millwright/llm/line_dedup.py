@@ -11,7 +11,14 @@ in their first few (prefix filter). The smaller of two sets needs an even
 shorter prefix. A shared word's places bound the overlap (positional filter),
 the sizes must fit (length filter), and so must the words' parities in a
 64-bit map, whose difference never exceeds that of the sets. What remains is
-verified on the whole sets.
+verified on the whole sets, and counts under the first word that both share,
+so under one word only.
+
+A class goes with its set to the parts in which the words of its prefix fall.
+A part gives one row per class: how many links it found, and the earliest
+class among them; pairs never leave it. The classes of a frequent word are cut
+into blocks, and every two blocks meet in a part of their own, so no task
+holds all of them.
 
 The most frequent words are ordered by their counts over all lines, in a
 table of bounded size; all others are rarer than those, and any fixed order
@@ -28,8 +35,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millwright.llm import arrays
 from millwright.llm.common import bit_filter, bounded_batches, in_filter, stored, utf8
@@ -37,12 +46,18 @@ from millwright.llm.common import bit_filter, bounded_batches, in_filter, stored
 PERCENT = 80
 #: frequent words whose counts every task knows
 KNOWN_WORDS = 1 << 19
-#: pairs that one verifying task should take
-PAIRS = 50_000
+#: pairs compared at a time
+PAIRS = 1 << 18
+#: words of sets compared at a time
+WORDS = 1 << 20
+#: words of prefixes that one part should take
+PART_WORDS = 40_000
+#: classes that one block of a frequent word should take
+BLOCK = 16_384
 #: classes a task remembers to have described
 DESCRIBED = 500_000
 
-LINES = "row long, {id}, line int, class long, size int, parity long, prefix array<long>"
+LINES = "row long, {id}, line int, class long, prefix array<long>, words binary"
 
 
 def word_sets(texts: list[bytes]) -> dict[str, np.ndarray]:
@@ -64,13 +79,9 @@ def word_sets(texts: list[bytes]) -> dict[str, np.ndarray]:
     text = np.searchsorted(begins, line_starts[used], "right") - 1
     number = used - np.searchsorted(line_starts, begins[text], "left")
     size = np.diff(np.concatenate([first, [len(line)]]))
-    if len(first):
-        parity = np.bitwise_xor.reduceat(np.uint64(1) << (word & np.uint64(63)), first)
-        total = np.add.reduceat(arrays.mixed(word + np.uint64(1)), first)
-    else:
-        parity = total = np.zeros(0, np.uint64)
+    total = np.add.reduceat(arrays.mixed(word + np.uint64(1)), first) if len(first) else np.zeros(0, np.uint64)
     return {
-        "text": text, "number": number, "first": first, "size": size, "parity": parity,
+        "text": text, "number": number, "first": first, "size": size,
         "class": arrays.mixed(total + size.astype(np.uint64)), "word": word,
     }
 
@@ -120,30 +131,92 @@ def coded(words: np.ndarray, known: np.ndarray, place: np.ndarray) -> tuple[np.n
     return rank, np.where(rank > 0, rank.astype(np.uint64), words)
 
 
-def packed(rank: np.ndarray, code: np.ndarray) -> bytes:
-    """A set as bytes: how many rare words, their hashes, then three bytes for each other word."""
-    rare, often = code[rank == 0], rank[rank > 0].astype("<u4")
-    return np.array([len(rare)], "<u4").tobytes() + rare.tobytes() + often.view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
-
+def within(counts: np.ndarray) -> np.ndarray:
+    """0, 1, ... up to each count, one after the other."""
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
 
-def unpacked(data: bytes) -> np.ndarray:
-    """The codes of a packed set, in order."""
-    n = int(np.frombuffer(data, "<u4", 1)[0])
-    often = np.frombuffer(data, np.uint8, offset=4 + 8 * n).reshape(-1, 3).astype(np.uint64)
-    often = often[:, 0] | often[:, 1] << np.uint64(8) | often[:, 2] << np.uint64(16)
-    return np.sort(np.concatenate([np.frombuffer(data, np.uint64, n, 4), often]))
 
+def packed(size: np.ndarray, rank: np.ndarray, code: np.ndarray) -> pa.BinaryArray:
+    """Sets as bytes: how many rare words, their hashes, then three bytes for each other word.
 
-def _up(number: Column | np.ndarray, by: int):
-    """The quotient rounded up."""
-    return F.ceil(number / F.lit(by)) if isinstance(number, Column) else -(-number // by)
+    The words of the sets follow each other, each set's in order of rarity.
+    """
+    rare = rank == 0
+    owner = np.repeat(np.arange(len(size)), size)
+    width = np.where(rare, 8, 3)
+    n_rare = np.bincount(owner[rare], minlength=len(size))
+    begin = np.concatenate([[0], np.cumsum(4 + 8 * n_rare + 3 * (size - n_rare))])
+    spot = np.cumsum(width) - width + 4 * (owner + 1)
+    data = np.zeros(begin[-1], np.uint8)
+    data[begin[:-1, None] + np.arange(4)] = n_rare.astype("<u4").view(np.uint8).reshape(-1, 4)
+    data[spot[rare][:, None] + np.arange(8)] = np.ascontiguousarray(code[rare]).view(np.uint8).reshape(-1, 8)
+    data[spot[~rare][:, None] + np.arange(3)] = rank[~rare].astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]
+    buffers = [None, pa.py_buffer(begin.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())]
+    return pa.Array.from_buffers(pa.binary(), len(size), buffers)
+
+
+class Sets:
+    """Packed sets, unpacked together: numbers stand for words, in order of rarity."""
+
+    def __init__(self, column: pa.BinaryArray):
+        offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+        data = np.frombuffer(column.buffers()[2], np.uint8)
+        start = offsets[:-1]
+        n_rare = data[start[:, None] + np.arange(4)].view("<u4").ravel().astype(np.int64)
+        n_often = (np.diff(offsets) - 4 - 8 * n_rare) // 3
+        at = np.repeat(start + 4, n_rare) + 8 * within(n_rare)
+        rare = data[at[:, None] + np.arange(8)].view(np.uint64).ravel()
+        at = np.repeat(start + 4 + 8 * n_rare, n_often) + 3 * within(n_often)
+        often = data[at[:, None] + np.arange(3)].astype(np.int64) @ np.array([1, 1 << 8, 1 << 16])
+        self.rare, rare = np.unique(rare, return_inverse=True)
+        self.often, often = np.unique(often, return_inverse=True)
+        #: how many different words there are
+        self.n = len(self.rare) + len(self.often)
+        self.size = n_rare + n_often
+        self.begin = np.cumsum(self.size) - self.size
+        self.word = np.empty(int(self.size.sum()), np.int64)
+        self.word[np.repeat(self.begin, n_rare) + within(n_rare)] = rare
+        self.word[np.repeat(self.begin + n_rare, n_often) + within(n_often)] = often + len(self.rare)
+        self.parity = np.bitwise_xor.reduceat(np.uint64(1) << (arrays.mixed(self.word.astype(np.uint64)) & np.uint64(63)), self.begin)
+
+    def number(self, code: np.ndarray) -> np.ndarray:
+        """The numbers of words given by their codes."""
+        code = code.view(np.uint64)
+        often = code <= KNOWN_WORDS
+        return np.where(often, len(self.rare) + np.searchsorted(self.often, code.astype(np.int64)), np.searchsorted(self.rare, code))
+
+    def keys(self, sets: np.ndarray) -> np.ndarray:
+        """The words of some sets, each behind its place in the list; ascending."""
+        size = self.size[sets]
+        return np.repeat(np.arange(len(sets)) * self.n, size) + self.word[np.repeat(self.begin[sets], size) + within(size)]
+
+    def shared(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For pairs of sets: how many words they share, and the first of those."""
+        x, y = self.keys(a), self.keys(b)
+        spot = np.searchsorted(y, x)
+        spot[spot == len(y)] = 0
+        hit = y[spot] == x
+        starts = np.cumsum(self.size[a]) - self.size[a]
+        first = np.minimum.reduceat(np.where(hit, x % self.n, self.n), starts)
+        return np.add.reduceat(hit.astype(np.int64), starts), first
+
+
+def runs(weights: np.ndarray, limit: int) -> Iterator[slice]:
+    """The items in runs of at most ``limit`` total weight; a heavier one comes alone."""
+    ends = np.cumsum(weights)
+    at = 0
+    while at < len(ends):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, "right")))
+        yield slice(at, stop)
+        at = stop
 
 
 def _described(texts: DataFrame, known_words: tuple[np.ndarray, np.ndarray], bits: np.ndarray, percent: int, id_type: str) -> DataFrame:
     """One row per line with words, and one with a null line per text.
 
-    The rarity-ordered prefix comes with the first line of a class in a task;
-    words that stand in one line only are left out of it, not of the places.
+    The set and its rarity-ordered prefix come with the first line of a class
+    in a task; words that stand in one line only are left out of the prefix.
     """
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast((*(a.tobytes() for a in known_words), bits.tobytes()))
@@ -156,129 +229,164 @@ def _described(texts: DataFrame, known_words: tuple[np.ndarray, np.ndarray], bit
             at = 0
             for part in arrays.parts(texts):
                 found = word_sets(part)
-                size, first, word = found["size"], found["first"], found["word"]
+                classes = _signed(found["class"])
+                names, heads = np.unique(classes, return_index=True)
+                new = np.fromiter((name not in described for name in names.tolist()), bool, len(names))
+                if len(described) > DESCRIBED:
+                    described.clear()
+                described.update(names[new].tolist())
+                heads = np.sort(heads[new])
+                size = found["size"][heads]
+                word = found["word"][np.repeat(found["first"][heads], size) + within(size)]
                 rank, code = coded(word, known, place)
-                line = np.repeat(np.arange(len(size)), size)
                 # equal ranks stay in the order of their hashes
-                order = np.argsort(line * (KNOWN_WORDS * 2) + rank, kind="stable")
-                lengths = size - _up(percent * size, 100) + 1
-                classes = _signed(found["class"])
-                prefixes: list[list | None] = []
-                single = ~in_filter(twice, _signed(word[order]))
-                values = _signed(code[order])
-                for name, start, length in zip(classes.tolist(), first.tolist(), lengths.tolist()):
-                    if name in described:
-                        prefixes.append(None)
-                        continue
-                    if len(described) >= DESCRIBED:
-                        described.clear()
-                    described.add(name)
-                    stop = start + length
-                    prefixes.append([None if s else w for w, s in zip(values[start:stop].tolist(), single[start:stop].tolist())])
-                owner = found["text"] + at
-                every = np.concatenate([owner, np.arange(at, at + len(part))])
-                none = np.zeros(len(part), bool)
-                has = np.concatenate([np.ones(len(owner), bool), none])
-                pad = np.zeros(len(part), np.int64)
+                order = np.argsort(np.repeat(np.arange(len(heads)), size) * (KNOWN_WORDS * 2) + rank, kind="stable")
+                rank, code = rank[order], code[order]
+                leading = within(size) < np.repeat(size + (-percent * size // 100) + 1, size)
+                leading &= in_filter(twice, _signed(word[order]))
+                ends = np.concatenate([[0], np.cumsum(leading)])[np.concatenate([[0], np.cumsum(size)])]
+                prefixes = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(_signed(code[leading])))
+                n, more = len(classes), len(part)
+                every = np.concatenate([found["text"], np.arange(more)]) + at
+                none = np.arange(n + more) >= n
+                pick = np.full(n + more, -1)
+                pick[heads] = np.arange(len(heads))
+                take = pa.array(pick, mask=pick < 0)
 
                 def column(values: np.ndarray, kind: pa.DataType) -> pa.Array:
-                    return pa.array(np.concatenate([values, pad]), kind, mask=~has)
+                    return pa.array(np.concatenate([values, np.zeros(more, np.int64)]), kind, mask=none)
 
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(rows[every]),
-                        batch.column(1).take(pa.array(every)),
-                        column(found["number"], pa.int32()),
-                        column(classes, pa.int64()),
-                        column(size, pa.int32()),
-                        column(_signed(found["parity"]), pa.int64()),
-                        pa.array(prefixes + [None] * len(part), pa.list_(pa.int64())),
+                        pa.array(rows[every]), batch.column(1).take(pa.array(every)), column(found["number"], pa.int32()),
+                        column(classes, pa.int64()), prefixes.take(take), packed(size, rank, code).take(take),
                     ],
-                    ["row", "doc_id", "line", "class", "size", "parity", "prefix"],
+                    ["row", "doc_id", "line", "class", "prefix", "words"],
                 )
-                at += len(part)
+                at += more
 
     return texts.mapInArrow(work, LINES.format(id=f"doc_id {id_type}"))
 
 
-def candidates(lines: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of classes that pass all filters, with one word they share.
+def frequent_leads(classes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(word, blocks) of the words that lead more than one block of classes; at most KNOWN_WORDS, the most frequent."""
+    counts = classes.select(F.explode("prefix").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    found = counts.filter(F.col("n") > BLOCK).orderBy(F.desc("n"), "word").limit(KNOWN_WORDS).orderBy("word").toPandas()
+    return found["word"].to_numpy(np.int64), -(-found["n"].to_numpy(np.int64) // BLOCK)
 
-    One shuffle by word serves both sides of the join, and removes what several
-    tasks said of one class. The positional filter keeps the smaller set to
-    its shorter prefix.
-    """
-    words = (
-        lines.filter("prefix is not null")
-        .select("class", "size", "parity", F.posexplode("prefix").alias("pos", "word"))
-        .filter("word is not null")
-        .repartition("word")
-        .groupBy("word", "class")
-        .agg(*[F.min(c).alias(c) for c in ("size", "parity", "pos")])
-    )
-    a, b = (lambda name: F.col(f"a.{name}")), (lambda name: F.col(f"b.{name}"))
-    both = a("size") + b("size")
-    overlap = _up(percent * both, 100 + percent)
-    fits = (
-        ((a("size") < b("size")) | ((a("size") == b("size")) & (a("class") < b("class"))))
-        & (100 * a("size") >= percent * b("size"))
-        & (F.least(a("size") - a("pos"), b("size") - b("pos")) >= overlap)
-        & (F.bit_count(a("parity").bitwiseXOR(b("parity"))) <= both - 2 * overlap)
-    )
-    pairs = words.alias("a").join(words.alias("b"), (a("word") == b("word")) & fits)
-    return pairs.groupBy(a("class").alias("a"), b("class").alias("b")).agg(F.min(a("word")).alias("word"))
 
+def routed(classes: DataFrame, parts: int) -> DataFrame:
+    """Each class once in every part where a word of its prefix falls, with those words and their cells.
 
-def _sets(texts: DataFrame, wanted: DataFrame, known_words: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(class, words) of the wanted classes, read again from the texts; the words packed."""
-    shared = texts.sparkSession.sparkContext.broadcast(
-        (*(a.tobytes() for a in known_words), bit_filter(wanted, "class").tobytes())
-    )
+    A cell names the two blocks that meet, and whether the class is of the first.
+    """
+    words, blocks = frequent_leads(classes)
+    shared = classes.sparkSession.sparkContext.broadcast((words.tobytes(), blocks.tobytes()))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, place, bits = (np.frombuffer(b, t) for b, t in zip(shared.value, (np.uint64, np.int64, np.uint8)))
+        frequent, blocks = (np.frombuffer(b, np.int64) for b in shared.value)
         for batch in batches:
-            for part in arrays.parts(batch.column(0).to_pylist()):
-                found = word_sets(part)
-                classes, index = np.unique(_signed(found["class"]), return_index=True)
-                hit = in_filter(bits, classes) if len(classes) else np.zeros(0, bool)
-                classes, index = classes[hit], index[hit]
-                cut = []
-                for first, size in zip(found["first"][index].tolist(), found["size"][index].tolist()):
-                    cut.append(packed(*coded(found["word"][first : first + size], known, place)))
-                yield pa.RecordBatch.from_arrays([pa.array(classes), pa.array(cut, pa.binary())], ["class", "words"])
-
-    return texts.mapInArrow(work, "class long, words binary").dropDuplicates(["class"])
-
-
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that match. A set travels once per group of shared words, not once per pair."""
-    groups = max(1, -(-pairs.count() // PAIRS))
-    placed = pairs.select(F.pmod(F.xxhash64("word"), F.lit(groups)).alias("part"), "a", "b")
-    ends = placed.select(F.col("part").alias("of"), F.explode(F.array("a", "b")).alias("class")).distinct()
-    held = ends.join(sets, "class").select("of", "class", "words")
-
-    def verify(pairs: pa.Table, sets: pa.Table) -> pa.Table:
-        words = {
-            name: unpacked(data)
-            for name, data in zip(sets.column("class").to_pylist(), sets.column("words").to_pylist())
-        }
-        kept = []
-        for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist()):
-            x, y = words[a], words[b]
-            spot = np.searchsorted(y, x)
-            spot[spot == len(y)] = 0
-            common = int((y[spot] == x).sum())
-            if 100 * common >= percent * (len(x) + len(y) - common):
-                kept.append((a, b))
-        a, b = zip(*kept) if kept else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return placed.groupBy("part").cogroup(held.groupBy("of")).applyInArrow(verify, "a long, b long")
+            prefix = batch.column("prefix")
+            owner = np.repeat(np.arange(len(prefix)), prefix.value_lengths().to_numpy())
+            word = prefix.flatten().to_numpy()
+            n = np.ones(len(word), np.int64)
+            if len(frequent):
+                spot = np.searchsorted(frequent, word)
+                spot[spot == len(frequent)] = 0
+                n = np.where(frequent[spot] == word, blocks[spot], 1)
+            own = batch.column("class").to_numpy()[owner].view(np.uint64) % n.astype(np.uint64)
+            owner, word, own, other = np.repeat(owner, n), np.repeat(word, n), np.repeat(own.astype(np.int64), n), within(n)
+            low, high = np.minimum(own, other), np.maximum(own, other)
+            meeting = low << 31 | high
+            cell = meeting << 1 | (own == low)
+            part = (arrays.mixed(arrays.mixed(word.view(np.uint64)) + meeting.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+            order = np.lexsort((part, owner))
+            owner, part = owner[order], part[order]
+            head = np.ones(len(owner), bool)
+            head[1:] = (owner[1:] != owner[:-1]) | (part[1:] != part[:-1])
+            heads = np.flatnonzero(head)
+            ends = pa.array(np.concatenate([heads, [len(owner)]]), pa.int32())
+            take = pa.array(owner[heads])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(part[heads]), *(batch.column(c).take(take) for c in ("class", "first", "words")),
+                    pa.ListArray.from_arrays(ends, pa.array(word[order])), pa.ListArray.from_arrays(ends, pa.array(cell[order])),
+                ],
+                ["part", "class", "first", "words", "leads", "cells"],
+            )
+
+    layout = T.StructType().add("part", "long")
+    for name in ("class", "first", "words"):
+        layout.add(classes.schema[name])
+    return classes.mapInArrow(work, layout.add("leads", T.ArrayType(T.LongType())).add("cells", T.ArrayType(T.LongType())))
+
+
+def matches(sets: Sets, owner: np.ndarray, word: np.ndarray, cell: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of sets that match, each once; every entry names a set, a word of its prefix and a cell."""
+    order = np.lexsort((sets.size[owner], cell >> 1, word))
+    owner, word, cell = owner[order], word[order], cell[order]
+    met, first_block = cell >> 1, (cell & 1).astype(bool)
+    across = (met >> 31) != (met & ((1 << 31) - 1))
+    number = sets.number(word)
+    size = sets.size[owner]
+    place = np.searchsorted(sets.keys(np.arange(len(sets.size))), owner * sets.n + number) - sets.begin[owner]
+    new = np.ones(len(owner), bool)
+    new[1:] = (word[1:] != word[:-1]) | (met[1:] != met[:-1])
+    group = np.cumsum(new)
+    widest = int(size.max()) + 2
+    # partners come later in the group and are at most so much larger
+    stop = np.searchsorted(group * widest + size, group * widest + np.minimum(100 * size // percent, widest - 1), "right")
+    partners = stop - np.arange(len(owner)) - 1
+    for run in runs(partners, PAIRS):
+        i = np.repeat(np.arange(run.start, run.stop), partners[run])
+        j = i + 1 + within(partners[run])
+        both = size[i] + size[j]
+        overlap = -(-percent * both // (100 + percent))
+        a, b = owner[i], owner[j]
+        fits = np.minimum(size[i] - place[i], size[j] - place[j]) >= overlap
+        fits &= np.bitwise_count(sets.parity[a] ^ sets.parity[b]) <= both - 2 * overlap
+        fits &= ~across[i] | (first_block[i] != first_block[j])
+        a, b, both, lead = a[fits], b[fits], both[fits], number[i[fits]]
+        for few in runs(both, WORDS):
+            common, first = sets.shared(a[few], b[few])
+            good = (first == lead[few]) & (100 * common >= percent * (both[few] - common))
+            yield a[few][good], b[few][good]
+
+
+def linked(classes: DataFrame, percent: int) -> DataFrame:
+    """(class, n_links, met): how many other classes match, and the earliest place of any of them."""
+    total = classes.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    parts = max(1, -(-total // PART_WORDS))
+    layout = T.StructType().add("class", "long").add("n_links", "long").add("met", classes.schema["first"].dataType)
+
+    def link(part: pa.Table) -> pa.Table:
+        part = part.combine_chunks()
+        sets = Sets(part.column("words").chunk(0))
+        leads, cells = part.column("leads").chunk(0), part.column("cells").chunk(0)
+        owner = np.repeat(np.arange(part.num_rows), leads.value_lengths().to_numpy())
+        places = part.select(["first"])
+        while any(pa.types.is_struct(kind) for kind in places.schema.types):
+            places = places.flatten()
+        places = places.rename_columns([str(n) for n in range(places.num_columns)])
+        by_place = pc.sort_indices(places, [(name, "ascending") for name in places.column_names], null_placement="at_start").to_numpy()
+        turn = np.empty(len(by_place), np.int64)
+        turn[by_place] = np.arange(len(by_place))
+        n = np.zeros(len(turn), np.int64)
+        earliest = np.full(len(turn), len(turn))
+        for a, b in matches(sets, owner, leads.flatten().to_numpy(), cells.flatten().to_numpy(), percent):
+            for x, y in ((a, b), (b, a)):
+                n += np.bincount(x, minlength=len(n))
+                np.minimum.at(earliest, x, turn[y])
+        hit = np.flatnonzero(n)
+        met = part.column("first").take(pa.array(by_place[earliest[hit]]))
+        return pa.table({"class": part.column("class").take(pa.array(hit)), "n_links": pa.array(n[hit]), "met": met})
+
+    found = routed(classes, parts).groupBy("part").applyInArrow(link, layout)
+    return found.groupBy("class").agg(F.sum("n_links").alias("n_links"), F.min("met").alias("met"))
 
 
 def line_links(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(lines, links): every line with its class, and all matching pairs of classes."""
+    """(lines, classes): every line with its class and place, and every class with its first place and its links."""
     bounded_batches(docs.sparkSession)
     texts = docs.select(utf8(text_col).alias("bytes"))
     counts = stored(word_counts(texts), "word-counts")
@@ -287,27 +395,32 @@ def line_links(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), utf8(text_col).alias("bytes"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     lines = stored(_described(rows, known_words, bits, percent, id_type), "lines")
-    pairs = stored(candidates(lines, percent), "line-pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    links = stored(verified(pairs, _sets(texts, ends, known_words), percent), "line-links")
-    return lines, links
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line")
+    # only heads carry a set, and a class has one in each task that met it
+    classes = stored(
+        lines.filter("line is not null").groupBy("class").agg(
+            F.min(place).alias("first"), *[F.first(c, ignorenulls=True).alias(c) for c in ("prefix", "words")]
+        ),
+        "line-classes",
+    )
+    links = linked(classes.filter(F.size("prefix") > 0), percent)
+    found = classes.select("class", "first").join(links, "class", "left")
+    return lines.select("row", "doc_id", "line", "class", place.alias("place")), found
 
 
 def judged(docs: DataFrame, percent: int = PERCENT, **columns) -> DataFrame:
     """Every line with words, and a null line per row: (row, doc_id, line, class, n_links, removed)."""
-    lines, links = line_links(docs, percent, **columns)
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line").alias("place")
-    placed = lines.select("row", "doc_id", "line", "class", place)
-    firsts = placed.filter("line is not null").groupBy("class").agg(F.min("place").alias("first"))
-    ways = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    met = ways.join(firsts, ways["b"] == firsts["class"]).groupBy("a").agg(F.min("first").alias("met"), F.count("*").alias("n_links"))
-    verdict = firsts.join(met, firsts["class"] == met["a"], "left").select(
+    lines, classes = line_links(docs, percent, **columns)
+    verdict = classes.select(
         "class", F.least("first", F.coalesce("met", "first")).alias("first"), F.coalesce("n_links", F.lit(0)).alias("n_links")
     )
-    return placed.join(verdict, "class", "left").select(
-        "row", "doc_id", "line", "class", F.coalesce("n_links", F.lit(0)).alias("n_links"),
-        F.coalesce(F.col("first") < F.col("place"), F.lit(False)).alias("removed"),
+    found = lines.filter("line is not null").join(verdict, "class").select(
+        "row", "doc_id", "line", "class", "n_links", (F.col("first") < F.col("place")).alias("removed")
+    )
+    rest = lines.filter("line is null").select(
+        "row", "doc_id", "line", "class", F.lit(0).cast("long").alias("n_links"), F.lit(False).alias("removed")
     )
+    return found.unionByName(rest)
 
 
 def report(docs: DataFrame, percent: int = PERCENT, **columns) -> DataFrame:

@@ -74,3 +74,39 @@ def test_rarest_words_come_first(spark):
     for limit, want in ((10, {4: 1, 5: 2, 3: 3, 1: 4}), (3, {3: 1, 1: 2}), (0, {})):
         words, rarity = line_dedup.frequent_words(counts, limit)
         assert dict(zip(words.tolist(), rarity.tolist())) == want
+
+
+def like_lines(n):
+    """A large group of lines that are nearly all alike, one line longer than the others, and copies."""
+    base = [f"b{i}" for i in range(20)]
+    rows = [(i, " ".join(base[: i % 20] + [f"x{i}"] + base[i % 20 + 1 :])) for i in range(n)]
+    return [*rows, (n, " ".join(f"y{i}" for i in range(3_000))), (n + 1, rows[3][1].upper()), (n + 2, rows[3][1])]
+
+
+@pytest.mark.parametrize("block,part,words", [(4, 1 << 20, 1 << 20), (7, 5, 30), (1 << 14, 50, 1)])
+def test_blocks_and_parts_change_no_result(documents, monkeypatch, block, part, words):
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
+    monkeypatch.setattr(line_dedup, "PART_WORDS", part)
+    monkeypatch.setattr(line_dedup, "WORDS", words)
+    rows = like_lines(40) + random_rows(block, 30)
+    got = Counter((r.doc_id, r.n_lines, r.n_links, r.removed_lines) for r in line_dedup.report(documents(*rows)).collect())
+    assert got == brute(rows)
+
+
+def test_a_group_of_like_lines_gives_one_row_a_class(documents, spark):
+    rows = like_lines(60)
+    _, classes = line_dedup.line_links(documents(*rows))
+    assert classes.count() == 61  # two rows repeat the fourth
+    assert sum(r.n_links or 0 for r in classes.collect()) > 60 * 10
+
+
+def test_sets_survive_packing():
+    import numpy as np
+
+    size = np.array([3, 1, 2])
+    rank = np.array([0, 0, 5, 0, 2, 524_288])
+    code = np.array([1 << 63, (1 << 64) - 1, 5, 7 << 40, 2, 524_288], np.uint64)
+    sets = line_dedup.Sets(line_dedup.packed(size, rank, code))
+    assert sets.size.tolist() == [3, 1, 2]
+    assert sets.word.tolist() == [1, 2, 4, 0, 3, 5]
+    assert sets.number(code.view(np.int64)).tolist() == [1, 2, 4, 0, 3, 5]
