@@ -14,8 +14,9 @@ the sizes must fit (length filter), and so must the words' parities in a
 verified on the whole sets, and counts under the first word that both share,
 so under one word only.
 
-A class goes with its set to the parts in which the words of its prefix fall.
-A part gives one row per class: how many links it found, and the earliest
+A class goes to the parts in which the words of its prefix fall, first without
+its set; those that pass the filters with another class there come again with
+it. A part gives one row per class: how many links it found, and the earliest
 class among them; pairs never leave it. The classes of a frequent word are cut
 into blocks, and every two blocks meet in a part of their own, so no task
 holds all of them.
@@ -54,10 +55,37 @@ WORDS = 1 << 20
 PART_WORDS = 40_000
 #: classes that one block of a frequent word should take
 BLOCK = 16_384
+#: words counted before they are passed on
+COUNTED = 1 << 18
+#: bytes of a word that are hashed eight at a time
+SHORT = 64
 #: classes a task remembers to have described
 DESCRIBED = 500_000
 
-LINES = "row long, {id}, line int, class long, prefix array<long>, words binary"
+LINES = "row long, {id}, line int, class long, size int, parity long, prefix array<long>, places array<int>, words binary"
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word, the same wherever it stands; no two words of one length up to eight bytes share one."""
+    size = ends - starts
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    windows = np.lib.stride_tricks.sliding_window_view(padded, 8)
+    found = arrays.mixed(size.astype(np.uint64) + np.uint64(1))
+    some = np.flatnonzero(size <= SHORT)
+    for at in range(0, SHORT, 8):
+        some = some[size[some] > at]
+        if not len(some):
+            break
+        run = windows[starts[some] + at].view(np.uint64).ravel()
+        spare = np.maximum(8 * (at + 8 - size[some]), 0).astype(np.uint64)
+        found[some] = arrays.mixed(found[some] ^ (run << spare >> spare)) + np.uint64(1)
+    long = np.flatnonzero(size > SHORT)
+    if len(long):
+        length = size[long]
+        held = data[np.repeat(starts[long], length) + within(length)]
+        stops = np.cumsum(length)
+        found[long] = arrays.span_hashes(held, stops - length, stops)
+    return found
 
 
 def word_sets(texts: list[bytes]) -> dict[str, np.ndarray]:
@@ -66,8 +94,15 @@ def word_sets(texts: list[bytes]) -> dict[str, np.ndarray]:
     starts, ends = arrays.word_spans(data)
     line_starts = np.concatenate([[0], np.flatnonzero(data == 10)[:-1] + 1])
     line = np.searchsorted(line_starts, starts, "right") - 1
-    word = arrays.span_hashes(data, starts, ends)
-    order = np.lexsort((word, line))
+    word = word_hashes(data, starts, ends)
+    # one key for line and the leading bits of the word; where that does not tell words apart, both in full
+    spare = np.uint64(max(1, len(line_starts).bit_length()))
+    key = line.astype(np.uint64) << (np.uint64(64) - spare) | word >> spare
+    order = np.argsort(key)
+    key = key[order]
+    same = key[1:] == key[:-1]
+    if (word[order][1:][same] != word[order][:-1][same]).any():
+        order = np.lexsort((word, line))
     line, word = line[order], word[order]
     new = np.ones(len(line), bool)
     new[1:] = (line[1:] != line[:-1]) | (word[1:] != word[:-1])
@@ -79,9 +114,13 @@ def word_sets(texts: list[bytes]) -> dict[str, np.ndarray]:
     text = np.searchsorted(begins, line_starts[used], "right") - 1
     number = used - np.searchsorted(line_starts, begins[text], "left")
     size = np.diff(np.concatenate([first, [len(line)]]))
-    total = np.add.reduceat(arrays.mixed(word + np.uint64(1)), first) if len(first) else np.zeros(0, np.uint64)
+    if len(first):
+        parity = np.bitwise_xor.reduceat(np.uint64(1) << (word & np.uint64(63)), first)
+        total = np.add.reduceat(arrays.mixed(word + np.uint64(1)), first)
+    else:
+        parity = total = np.zeros(0, np.uint64)
     return {
-        "text": text, "number": number, "first": first, "size": size,
+        "text": text, "number": number, "first": first, "size": size, "parity": parity,
         "class": arrays.mixed(total + size.astype(np.uint64)), "word": word,
     }
 
@@ -91,13 +130,19 @@ def _signed(values: np.ndarray) -> np.ndarray:
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
-    """(word, n): in how many lines each word stands; combined per batch before the shuffle."""
+    """(word, n): in how many lines each word stands; combined per task before the shuffle."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        word, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in batches:
-            found = [word_sets(part)["word"] for part in arrays.parts(batch.column(0).to_pylist())]
-            word, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(_signed(word)), pa.array(n.astype(np.int64))], ["word", "n"])
+            for part in arrays.parts(batch.column(0).to_pylist()):
+                more, times = np.unique(word_sets(part)["word"], return_counts=True)
+                word, spot = np.unique(np.concatenate([word, more]), return_inverse=True)
+                n = np.bincount(spot, np.concatenate([n, times]), len(word)).astype(np.int64)
+                if len(word) > COUNTED:
+                    yield pa.RecordBatch.from_arrays([pa.array(_signed(word)), pa.array(n)], ["word", "n"])
+                    word, n = word[:0], n[:0]
+        yield pa.RecordBatch.from_arrays([pa.array(_signed(word)), pa.array(n)], ["word", "n"])
 
     return texts.mapInArrow(work, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -178,7 +223,6 @@ class Sets:
         self.word = np.empty(int(self.size.sum()), np.int64)
         self.word[np.repeat(self.begin, n_rare) + within(n_rare)] = rare
         self.word[np.repeat(self.begin + n_rare, n_often) + within(n_often)] = often + len(self.rare)
-        self.parity = np.bitwise_xor.reduceat(np.uint64(1) << (arrays.mixed(self.word.astype(np.uint64)) & np.uint64(63)), self.begin)
 
     def number(self, code: np.ndarray) -> np.ndarray:
         """The numbers of words given by their codes."""
@@ -202,6 +246,15 @@ class Sets:
         return np.add.reduceat(hit.astype(np.int64), starts), first
 
 
+def by_rarity(size: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The order of each set's words by rank; equal ranks stay in the order of their hashes."""
+    key = np.repeat(np.arange(len(size)), size) * (KNOWN_WORDS * 2) + rank
+    bits = len(key).bit_length()
+    if len(size).bit_length() + (KNOWN_WORDS * 2).bit_length() + bits > 63:
+        return np.argsort(key, kind="stable")
+    return np.sort(key << bits | np.arange(len(key))) & ((1 << bits) - 1)
+
+
 def runs(weights: np.ndarray, limit: int) -> Iterator[slice]:
     """The items in runs of at most ``limit`` total weight; a heavier one comes alone."""
     ends = np.cumsum(weights)
@@ -222,7 +275,7 @@ def _described(texts: DataFrame, known_words: tuple[np.ndarray, np.ndarray], bit
     shared = spark.sparkContext.broadcast((*(a.tobytes() for a in known_words), bits.tobytes()))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, place, twice = (np.frombuffer(b, t) for b, t in zip(shared.value, (np.uint64, np.int64, np.uint8)))
+        known, rarity, twice = (np.frombuffer(b, t) for b, t in zip(shared.value, (np.uint64, np.int64, np.uint8)))
         described: set[int] = set()
         for batch in batches:
             rows, texts = batch.column(0).to_numpy(), batch.column(2).to_pylist()
@@ -238,14 +291,15 @@ def _described(texts: DataFrame, known_words: tuple[np.ndarray, np.ndarray], bit
                 heads = np.sort(heads[new])
                 size = found["size"][heads]
                 word = found["word"][np.repeat(found["first"][heads], size) + within(size)]
-                rank, code = coded(word, known, place)
-                # equal ranks stay in the order of their hashes
-                order = np.argsort(np.repeat(np.arange(len(heads)), size) * (KNOWN_WORDS * 2) + rank, kind="stable")
+                rank, code = coded(word, known, rarity)
+                order = by_rarity(size, rank)
                 rank, code = rank[order], code[order]
-                leading = within(size) < np.repeat(size + (-percent * size // 100) + 1, size)
-                leading &= in_filter(twice, _signed(word[order]))
-                ends = np.concatenate([[0], np.cumsum(leading)])[np.concatenate([[0], np.cumsum(size)])]
-                prefixes = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(_signed(code[leading])))
+                place = within(size)
+                leading = np.flatnonzero(place < np.repeat(size + (-percent * size // 100) + 1, size))
+                leading = leading[in_filter(twice, _signed(word[order[leading]]))]
+                ends = pa.array(np.searchsorted(leading, np.concatenate([[0], np.cumsum(size)])), pa.int32())
+                prefixes = pa.ListArray.from_arrays(ends, pa.array(_signed(code[leading])))
+                places = pa.ListArray.from_arrays(ends, pa.array(place[leading], pa.int32()))
                 n, more = len(classes), len(part)
                 every = np.concatenate([found["text"], np.arange(more)]) + at
                 none = np.arange(n + more) >= n
@@ -259,111 +313,128 @@ def _described(texts: DataFrame, known_words: tuple[np.ndarray, np.ndarray], bit
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(rows[every]), batch.column(1).take(pa.array(every)), column(found["number"], pa.int32()),
-                        column(classes, pa.int64()), prefixes.take(take), packed(size, rank, code).take(take),
+                        column(classes, pa.int64()), column(found["size"], pa.int32()), column(_signed(found["parity"]), pa.int64()),
+                        prefixes.take(take), places.take(take), packed(size, rank, code).take(take),
                     ],
-                    ["row", "doc_id", "line", "class", "prefix", "words"],
+                    ["row", "doc_id", "line", "class", "size", "parity", "prefix", "places", "words"],
                 )
                 at += more
 
     return texts.mapInArrow(work, LINES.format(id=f"doc_id {id_type}"))
 
 
-def frequent_leads(classes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def frequent_leads(heads: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(word, blocks) of the words that lead more than one block of classes; at most KNOWN_WORDS, the most frequent."""
-    counts = classes.select(F.explode("prefix").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    counts = heads.select(F.explode("prefix").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     found = counts.filter(F.col("n") > BLOCK).orderBy(F.desc("n"), "word").limit(KNOWN_WORDS).orderBy("word").toPandas()
     return found["word"].to_numpy(np.int64), -(-found["n"].to_numpy(np.int64) // BLOCK)
 
 
-def routed(classes: DataFrame, parts: int) -> DataFrame:
-    """Each class once in every part where a word of its prefix falls, with those words and their cells.
+def leads(heads: DataFrame, parts: int) -> DataFrame:
+    """One row per word of a prefix: its part, cell and place, and the class with its size and parity.
 
     A cell names the two blocks that meet, and whether the class is of the first.
     """
-    words, blocks = frequent_leads(classes)
-    shared = classes.sparkSession.sparkContext.broadcast((words.tobytes(), blocks.tobytes()))
+    words, blocks = frequent_leads(heads)
+    shared = heads.sparkSession.sparkContext.broadcast((words.tobytes(), blocks.tobytes()))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, blocks = (np.frombuffer(b, np.int64) for b in shared.value)
         for batch in batches:
             prefix = batch.column("prefix")
             owner = np.repeat(np.arange(len(prefix)), prefix.value_lengths().to_numpy())
-            word = prefix.flatten().to_numpy()
+            word, place = prefix.flatten().to_numpy(), batch.column("places").flatten().to_numpy()
             n = np.ones(len(word), np.int64)
             if len(frequent):
                 spot = np.searchsorted(frequent, word)
                 spot[spot == len(frequent)] = 0
                 n = np.where(frequent[spot] == word, blocks[spot], 1)
             own = batch.column("class").to_numpy()[owner].view(np.uint64) % n.astype(np.uint64)
-            owner, word, own, other = np.repeat(owner, n), np.repeat(word, n), np.repeat(own.astype(np.int64), n), within(n)
+            owner, word, place, own, other = np.repeat(owner, n), np.repeat(word, n), np.repeat(place, n), np.repeat(own.astype(np.int64), n), within(n)
             low, high = np.minimum(own, other), np.maximum(own, other)
             meeting = low << 31 | high
-            cell = meeting << 1 | (own == low)
-            part = (arrays.mixed(arrays.mixed(word.view(np.uint64)) + meeting.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
-            order = np.lexsort((part, owner))
-            owner, part = owner[order], part[order]
-            head = np.ones(len(owner), bool)
-            head[1:] = (owner[1:] != owner[:-1]) | (part[1:] != part[:-1])
-            heads = np.flatnonzero(head)
-            ends = pa.array(np.concatenate([heads, [len(owner)]]), pa.int32())
-            take = pa.array(owner[heads])
+            part = arrays.mixed(arrays.mixed(word.view(np.uint64)) + meeting.astype(np.uint64)) % np.uint64(parts)
+            take = pa.array(owner)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(part[heads]), *(batch.column(c).take(take) for c in ("class", "first", "words")),
-                    pa.ListArray.from_arrays(ends, pa.array(word[order])), pa.ListArray.from_arrays(ends, pa.array(cell[order])),
-                ],
-                ["part", "class", "first", "words", "leads", "cells"],
+                [pa.array(part.astype(np.int32)), pa.array(word), pa.array(meeting << 1 | (own == low)), pa.array(place), *(batch.column(c).take(take) for c in ("class", "size", "parity"))],
+                ["part", "word", "cell", "place", "class", "size", "parity"],
             )
 
-    layout = T.StructType().add("part", "long")
-    for name in ("class", "first", "words"):
-        layout.add(classes.schema[name])
-    return classes.mapInArrow(work, layout.add("leads", T.ArrayType(T.LongType())).add("cells", T.ArrayType(T.LongType())))
-
-
-def matches(sets: Sets, owner: np.ndarray, word: np.ndarray, cell: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of sets that match, each once; every entry names a set, a word of its prefix and a cell."""
-    order = np.lexsort((sets.size[owner], cell >> 1, word))
-    owner, word, cell = owner[order], word[order], cell[order]
-    met, first_block = cell >> 1, (cell & 1).astype(bool)
-    across = (met >> 31) != (met & ((1 << 31) - 1))
-    number = sets.number(word)
-    size = sets.size[owner]
-    place = np.searchsorted(sets.keys(np.arange(len(sets.size))), owner * sets.n + number) - sets.begin[owner]
-    new = np.ones(len(owner), bool)
-    new[1:] = (word[1:] != word[:-1]) | (met[1:] != met[:-1])
-    group = np.cumsum(new)
-    widest = int(size.max()) + 2
-    # partners come later in the group and are at most so much larger
-    stop = np.searchsorted(group * widest + size, group * widest + np.minimum(100 * size // percent, widest - 1), "right")
-    partners = stop - np.arange(len(owner)) - 1
-    for run in runs(partners, PAIRS):
-        i = np.repeat(np.arange(run.start, run.stop), partners[run])
-        j = i + 1 + within(partners[run])
-        both = size[i] + size[j]
-        overlap = -(-percent * both // (100 + percent))
-        a, b = owner[i], owner[j]
-        fits = np.minimum(size[i] - place[i], size[j] - place[j]) >= overlap
-        fits &= np.bitwise_count(sets.parity[a] ^ sets.parity[b]) <= both - 2 * overlap
-        fits &= ~across[i] | (first_block[i] != first_block[j])
-        a, b, both, lead = a[fits], b[fits], both[fits], number[i[fits]]
-        for few in runs(both, WORDS):
-            common, first = sets.shared(a[few], b[few])
-            good = (first == lead[few]) & (100 * common >= percent * (both[few] - common))
-            yield a[few][good], b[few][good]
-
-
-def linked(classes: DataFrame, percent: int) -> DataFrame:
+    return heads.mapInArrow(work, "part int, word long, cell long, place int, class long, size int, parity long")
+
+
+class Entries:
+    """Rows that stand for a word of a class's prefix in a cell, sorted so that partners come later in a group."""
+
+    def __init__(self, word: np.ndarray, cell: np.ndarray, size: np.ndarray, name: np.ndarray):
+        order = np.lexsort((name, size, cell >> 1, word))
+        w, c, n = word[order], cell[order], name[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (w[1:] != w[:-1]) | (c[1:] != c[:-1]) | (n[1:] != n[:-1])
+        #: which rows are kept, in order; one class may come from several tasks
+        self.order = order[new]
+        self.word, self.cell, self.size = word[self.order], cell[self.order], size[self.order].astype(np.int64)
+        self.meeting, self.first_block = self.cell >> 1, (self.cell & 1).astype(bool)
+        self.across = (self.meeting >> 31) != (self.meeting & ((1 << 31) - 1))
+
+    def pairs(self, percent: int, place: np.ndarray, parity: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places (i, j) in the sorted list that pass the length, positional and parity filters."""
+        place, parity = place[self.order], parity[self.order].view(np.uint64)
+        new = np.ones(len(self.word), bool)
+        new[1:] = (self.word[1:] != self.word[:-1]) | (self.meeting[1:] != self.meeting[:-1])
+        group = np.cumsum(new)
+        widest = int(self.size.max()) + 2
+        # a partner is at most so much larger
+        stop = np.searchsorted(group * widest + self.size, group * widest + np.minimum(100 * self.size // percent, widest - 1), "right")
+        partners = stop - np.arange(len(stop)) - 1
+        for run in runs(partners, PAIRS):
+            i = np.repeat(np.arange(run.start, run.stop), partners[run])
+            j = i + 1 + within(partners[run])
+            both = self.size[i] + self.size[j]
+            overlap = -(-percent * both // (100 + percent))
+            fits = np.minimum(self.size[i] - place[i], self.size[j] - place[j]) >= overlap
+            fits &= np.bitwise_count(parity[i] ^ parity[j]) <= both - 2 * overlap
+            fits &= ~self.across[i] | (self.first_block[i] != self.first_block[j])
+            yield i[fits], j[fits]
+
+
+FOUND = ("class", "word", "cell", "place", "parity")
+
+
+def candidates(heads: DataFrame, parts: int, percent: int) -> DataFrame:
+    """The rows of ``leads`` that pass all filters with another class of their word and cell."""
+
+    def narrow(part: pa.Table) -> pa.Table:
+        column = {name: part.column(name).to_numpy() for name in part.column_names}
+        entries = Entries(column["word"], column["cell"], column["size"], column["class"])
+        some = np.zeros(len(entries.order), bool)
+        for i, j in entries.pairs(percent, column["place"], column["parity"]):
+            some[i] = some[j] = True
+        return part.select(["part", *FOUND]).take(pa.array(entries.order[some]))
+
+    layout = "part int, class long, word long, cell long, place int, parity long"
+    return leads(heads, parts).groupBy("part").applyInArrow(narrow, layout)
+
+
+def linked(heads: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
     """(class, n_links, met): how many other classes match, and the earliest place of any of them."""
-    total = classes.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    total = heads.agg(F.sum(F.size("prefix"))).first()[0] or 0
     parts = max(1, -(-total // PART_WORDS))
-    layout = T.StructType().add("class", "long").add("n_links", "long").add("met", classes.schema["first"].dataType)
+    found = stored(candidates(heads, parts, percent), "line-candidates")
+    shared = heads.sparkSession.sparkContext.broadcast(bit_filter(found, "class").tobytes())
+    layout = T.StructType().add("class", "long").add("n_links", "long").add("met", firsts.schema["first"].dataType)
+
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            yield batch.filter(pa.array(in_filter(bits, batch.column(0).to_numpy())))
 
     def link(part: pa.Table) -> pa.Table:
         part = part.combine_chunks()
         sets = Sets(part.column("words").chunk(0))
-        leads, cells = part.column("leads").chunk(0), part.column("cells").chunk(0)
-        owner = np.repeat(np.arange(part.num_rows), leads.value_lengths().to_numpy())
+        lists = [part.column(name).chunk(0) for name in FOUND[1:]]
+        owner = np.repeat(np.arange(part.num_rows), lists[0].value_lengths().to_numpy())
+        word, cell, place, parity = (values.flatten().to_numpy() for values in lists)
         places = part.select(["first"])
         while any(pa.types.is_struct(kind) for kind in places.schema.types):
             places = places.flatten()
@@ -373,16 +444,28 @@ def linked(classes: DataFrame, percent: int) -> DataFrame:
         turn[by_place] = np.arange(len(by_place))
         n = np.zeros(len(turn), np.int64)
         earliest = np.full(len(turn), len(turn))
-        for a, b in matches(sets, owner, leads.flatten().to_numpy(), cells.flatten().to_numpy(), percent):
-            for x, y in ((a, b), (b, a)):
-                n += np.bincount(x, minlength=len(n))
-                np.minimum.at(earliest, x, turn[y])
+        entries = Entries(word, cell, sets.size[owner], owner)
+        number = sets.number(entries.word)
+        for i, j in entries.pairs(percent, place, parity):
+            a, b = owner[entries.order[i]], owner[entries.order[j]]
+            both = sets.size[a] + sets.size[b]
+            for few in runs(both, WORDS):
+                common, first = sets.shared(a[few], b[few])
+                good = (first == number[i[few]]) & (100 * common >= percent * (both[few] - common))
+                for x, y in ((a[few][good], b[few][good]), (b[few][good], a[few][good])):
+                    n += np.bincount(x, minlength=len(n))
+                    np.minimum.at(earliest, x, turn[y])
         hit = np.flatnonzero(n)
         met = part.column("first").take(pa.array(by_place[earliest[hit]]))
         return pa.table({"class": part.column("class").take(pa.array(hit)), "n_links": pa.array(n[hit]), "met": met})
 
-    found = routed(classes, parts).groupBy("part").applyInArrow(link, layout)
-    return found.groupBy("class").agg(F.sum("n_links").alias("n_links"), F.min("met").alias("met"))
+    # a class that comes from several tasks has one set
+    sets = heads.select("class", "words").mapInArrow(wanted, "class long, words binary").dropDuplicates(["class"])
+    grouped = found.groupBy("part", "class").agg(F.collect_list(F.struct(*FOUND[1:])).alias("found"))
+    held = grouped.join(sets, "class").join(firsts, "class")
+    rows = held.select("part", "class", "first", "words", *[F.col(f"found.{name}").alias(name) for name in FOUND[1:]])
+    links = rows.groupBy("part").applyInArrow(link, layout)
+    return links.groupBy("class").agg(F.sum("n_links").alias("n_links"), F.min("met").alias("met"))
 
 
 def line_links(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -396,15 +479,10 @@ def line_links(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     id_type = rows.schema["doc_id"].dataType.simpleString()
     lines = stored(_described(rows, known_words, bits, percent, id_type), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line")
-    # only heads carry a set, and a class has one in each task that met it
-    classes = stored(
-        lines.filter("line is not null").groupBy("class").agg(
-            F.min(place).alias("first"), *[F.first(c, ignorenulls=True).alias(c) for c in ("prefix", "words")]
-        ),
-        "line-classes",
-    )
-    links = linked(classes.filter(F.size("prefix") > 0), percent)
-    found = classes.select("class", "first").join(links, "class", "left")
+    firsts = lines.filter("line is not null").groupBy("class").agg(F.min(place).alias("first"))
+    # every task that met a class has described it
+    links = linked(lines.filter("words is not null and size(prefix) > 0"), firsts, percent)
+    found = firsts.join(links, "class", "left")
     return lines.select("row", "doc_id", "line", "class", place.alias("place")), found
 
 

@@ -1,9 +1,10 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
-from millwright.llm import line_dedup
+from millwright.llm import arrays, line_dedup
 
 
 def brute(rows, percent=80):
@@ -100,9 +101,16 @@ def test_a_group_of_like_lines_gives_one_row_a_class(documents, spark):
     assert sum(r.n_links or 0 for r in classes.collect()) > 60 * 10
 
 
-def test_sets_survive_packing():
-    import numpy as np
+def test_word_hashes_depend_on_the_bytes_alone():
+    words = [b"a", b"a\0", b"a\0\0", b"abcdefgh", b"abcdefghi", b"x" * 64, b"x" * 65, b"y" * 900, "ü".encode()]
+    data, begins = arrays.laid_out(words + words[::-1])
+    starts, ends = arrays.word_spans(data)
+    found = line_dedup.word_hashes(data, starts, ends).tolist()
+    assert found[: len(words)] == found[len(words) :][::-1]
+    assert len(set(found)) == len(words)
+
 
+def test_sets_survive_packing():
     size = np.array([3, 1, 2])
     rank = np.array([0, 0, 5, 0, 2, 524_288])
     code = np.array([1 << 63, (1 << 64) - 1, 5, 7 << 40, 2, 524_288], np.uint64)
