@@ -12,7 +12,7 @@ shorter prefix. A shared word's places bound the overlap (positional filter),
 the sizes must fit (length filter), and so must the words' parities in a
 64-bit map, whose difference never exceeds that of the sets. What remains is
 verified on the whole sets, and counts under the first word that both share,
-so under one word only.
+so under one word only; sets that agree in the word before go on at once.
 
 A class goes to the parts in which the words of its prefix fall, first without
 its set; those that pass the filters with another class there come again with
@@ -55,6 +55,8 @@ WORDS = 1 << 20
 PART_WORDS = 40_000
 #: classes that one block of a frequent word should take
 BLOCK = 16_384
+#: words of prefixes that a task gathers before it passes them on
+GATHERED = 1 << 19
 #: words counted before they are passed on
 COUNTED = 1 << 18
 #: bytes of a word that are hashed eight at a time
@@ -62,7 +64,7 @@ SHORT = 64
 #: classes a task remembers to have described
 DESCRIBED = 500_000
 
-LINES = "row long, {id}, line int, class long, size int, parity long, prefix array<long>, places array<int>, words binary"
+LINES = "row long, {id}, line int, class long, size int, parity long, prefix array<long>, before array<long>, places array<int>, words binary"
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -300,6 +302,8 @@ def _described(texts: DataFrame, known_words: tuple[np.ndarray, np.ndarray], bit
                 ends = pa.array(np.searchsorted(leading, np.concatenate([[0], np.cumsum(size)])), pa.int32())
                 prefixes = pa.ListArray.from_arrays(ends, pa.array(_signed(code[leading])))
                 places = pa.ListArray.from_arrays(ends, pa.array(place[leading], pa.int32()))
+                ahead = np.where(place[leading] > 0, _signed(code)[leading - 1], 0)
+                before = pa.ListArray.from_arrays(ends, pa.array(ahead))
                 n, more = len(classes), len(part)
                 every = np.concatenate([found["text"], np.arange(more)]) + at
                 none = np.arange(n + more) >= n
@@ -314,9 +318,9 @@ def _described(texts: DataFrame, known_words: tuple[np.ndarray, np.ndarray], bit
                     [
                         pa.array(rows[every]), batch.column(1).take(pa.array(every)), column(found["number"], pa.int32()),
                         column(classes, pa.int64()), column(found["size"], pa.int32()), column(_signed(found["parity"]), pa.int64()),
-                        prefixes.take(take), places.take(take), packed(size, rank, code).take(take),
+                        prefixes.take(take), before.take(take), places.take(take), packed(size, rank, code).take(take),
                     ],
-                    ["row", "doc_id", "line", "class", "size", "parity", "prefix", "places", "words"],
+                    ["row", "doc_id", "line", "class", "size", "parity", "prefix", "before", "places", "words"],
                 )
                 at += more
 
@@ -330,8 +334,31 @@ def frequent_leads(heads: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return found["word"].to_numpy(np.int64), -(-found["n"].to_numpy(np.int64) // BLOCK)
 
 
+#: what a row of a prefix's word says
+LEAD = {
+    "class": np.int64, "word": np.int64, "before": np.int64, "cell": np.int64, "parity": np.uint32, "size": np.int32, "place": np.int32,
+}
+
+
+def blobs(key: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, list[bytes]]:
+    """Rows of one key as one blob, the first bytes of all values first; so equal bytes stand together."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    raw = np.concatenate([np.ascontiguousarray(c).view(np.uint8).reshape(len(key), c.itemsize) for c in columns], axis=1)[order]
+    edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])) if len(key) else np.zeros(1, np.int64)
+    return key[edges[:-1]], [raw[i:j].T.tobytes() for i, j in zip(edges[:-1].tolist(), edges[1:].tolist())]
+
+
+def columns_of(found: list[bytes], kinds: list[type]) -> list[np.ndarray]:
+    """The columns of all rows in some blobs."""
+    widths = [np.dtype(kind).itemsize for kind in kinds]
+    raw = np.concatenate([np.frombuffer(blob, np.uint8).reshape(sum(widths), -1).T for blob in found])
+    ends = np.cumsum(widths)
+    return [np.ascontiguousarray(raw[:, end - width : end]).view(kind).ravel() for end, width, kind in zip(ends, widths, kinds)]
+
+
 def leads(heads: DataFrame, parts: int) -> DataFrame:
-    """One row per word of a prefix: its part, cell and place, and the class with its size and parity.
+    """(part, rows): for every word of a prefix its cell, place and the word before, and the class with its size and parity.
 
     A cell names the two blocks that meet, and whether the class is of the first.
     """
@@ -340,27 +367,41 @@ def leads(heads: DataFrame, parts: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, blocks = (np.frombuffer(b, np.int64) for b in shared.value)
+        held: list[list[np.ndarray]] = []
+
+        def gathered() -> pa.RecordBatch:
+            part, *columns = (np.concatenate(values) for values in zip(*held))
+            key, rows = blobs(part, columns)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(key, pa.int32()), pa.array(rows, pa.binary())], ["part", "rows"])
+
         for batch in batches:
             prefix = batch.column("prefix")
             owner = np.repeat(np.arange(len(prefix)), prefix.value_lengths().to_numpy())
-            word, place = prefix.flatten().to_numpy(), batch.column("places").flatten().to_numpy()
+            word = prefix.flatten().to_numpy()
             n = np.ones(len(word), np.int64)
             if len(frequent):
                 spot = np.searchsorted(frequent, word)
                 spot[spot == len(frequent)] = 0
                 n = np.where(frequent[spot] == word, blocks[spot], 1)
             own = batch.column("class").to_numpy()[owner].view(np.uint64) % n.astype(np.uint64)
-            owner, word, place, own, other = np.repeat(owner, n), np.repeat(word, n), np.repeat(place, n), np.repeat(own.astype(np.int64), n), within(n)
+            own, other = np.repeat(own.astype(np.int64), n), within(n)
             low, high = np.minimum(own, other), np.maximum(own, other)
             meeting = low << 31 | high
-            part = arrays.mixed(arrays.mixed(word.view(np.uint64)) + meeting.astype(np.uint64)) % np.uint64(parts)
-            take = pa.array(owner)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part.astype(np.int32)), pa.array(word), pa.array(meeting << 1 | (own == low)), pa.array(place), *(batch.column(c).take(take) for c in ("class", "size", "parity"))],
-                ["part", "word", "cell", "place", "class", "size", "parity"],
+            owner, word, before, place = (
+                np.repeat(c, n) for c in (owner, word, *(batch.column(c).flatten().to_numpy() for c in ("before", "places")))
             )
+            part = arrays.mixed(arrays.mixed(word.view(np.uint64)) + meeting.astype(np.uint64)) % np.uint64(parts)
+            name, parity, size = (batch.column(c).to_numpy()[owner] for c in ("class", "parity", "size"))
+            # half the bits say which of them differ, still never more than the sets do
+            half = (parity ^ parity >> 32).astype(np.uint32)
+            held.append([part.astype(np.int32), name, word, before, meeting << 1 | (own == low), half, size.astype(np.int32), place.astype(np.int32)])
+            if sum(len(columns[0]) for columns in held) > GATHERED:
+                yield gathered()
+        if held:
+            yield gathered()
 
-    return heads.mapInArrow(work, "part int, word long, cell long, place int, class long, size int, parity long")
+    return heads.mapInArrow(work, "part int, rows binary")
 
 
 class Entries:
@@ -377,9 +418,12 @@ class Entries:
         self.meeting, self.first_block = self.cell >> 1, (self.cell & 1).astype(bool)
         self.across = (self.meeting >> 31) != (self.meeting & ((1 << 31) - 1))
 
-    def pairs(self, percent: int, place: np.ndarray, parity: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Places (i, j) in the sorted list that pass the length, positional and parity filters."""
-        place, parity = place[self.order], parity[self.order].view(np.uint64)
+    def pairs(self, percent: int, place: np.ndarray, before: np.ndarray, parity: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places (i, j) in the sorted list that pass the length, positional and parity filters.
+
+        Sets that share the word before this one have met there.
+        """
+        place, before, parity = place[self.order], before[self.order], parity[self.order]
         new = np.ones(len(self.word), bool)
         new[1:] = (self.word[1:] != self.word[:-1]) | (self.meeting[1:] != self.meeting[:-1])
         group = np.cumsum(new)
@@ -394,26 +438,30 @@ class Entries:
             overlap = -(-percent * both // (100 + percent))
             fits = np.minimum(self.size[i] - place[i], self.size[j] - place[j]) >= overlap
             fits &= np.bitwise_count(parity[i] ^ parity[j]) <= both - 2 * overlap
+            fits &= (before[i] != before[j]) | (before[i] == 0)
             fits &= ~self.across[i] | (self.first_block[i] != self.first_block[j])
             yield i[fits], j[fits]
 
 
-FOUND = ("class", "word", "cell", "place", "parity")
+#: what a candidate tells of each word under which it found another
+FOUND = {name: LEAD[name] for name in ("word", "before", "cell", "place", "parity")}
 
 
 def candidates(heads: DataFrame, parts: int, percent: int) -> DataFrame:
-    """The rows of ``leads`` that pass all filters with another class of their word and cell."""
+    """(part, class, found): the rows of ``leads`` that pass all filters with another class of their word and cell."""
 
     def narrow(part: pa.Table) -> pa.Table:
-        column = {name: part.column(name).to_numpy() for name in part.column_names}
+        column = dict(zip(LEAD, columns_of(part.column("rows").to_pylist(), list(LEAD.values()))))
         entries = Entries(column["word"], column["cell"], column["size"], column["class"])
         some = np.zeros(len(entries.order), bool)
-        for i, j in entries.pairs(percent, column["place"], column["parity"]):
+        for i, j in entries.pairs(percent, column["place"], column["before"], column["parity"]):
             some[i] = some[j] = True
-        return part.select(["part", *FOUND]).take(pa.array(entries.order[some]))
+        kept = entries.order[some]
+        names, found = blobs(column["class"][kept], [column[name][kept] for name in FOUND])
+        number = part.column("part")[0].as_py()
+        return pa.table({"part": pa.array([number] * len(names), pa.int32()), "class": pa.array(names, pa.int64()), "found": pa.array(found, pa.binary())})
 
-    layout = "part int, class long, word long, cell long, place int, parity long"
-    return leads(heads, parts).groupBy("part").applyInArrow(narrow, layout)
+    return leads(heads, parts).groupBy("part").applyInArrow(narrow, "part int, class long, found binary")
 
 
 def linked(heads: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
@@ -432,9 +480,10 @@ def linked(heads: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
     def link(part: pa.Table) -> pa.Table:
         part = part.combine_chunks()
         sets = Sets(part.column("words").chunk(0))
-        lists = [part.column(name).chunk(0) for name in FOUND[1:]]
-        owner = np.repeat(np.arange(part.num_rows), lists[0].value_lengths().to_numpy())
-        word, cell, place, parity = (values.flatten().to_numpy() for values in lists)
+        found = part.column("found").to_pylist()
+        width = sum(np.dtype(kind).itemsize for kind in FOUND.values())
+        owner = np.repeat(np.arange(part.num_rows), [len(rows) // width for rows in found])
+        word, before, cell, place, parity = columns_of(found, list(FOUND.values()))
         places = part.select(["first"])
         while any(pa.types.is_struct(kind) for kind in places.schema.types):
             places = places.flatten()
@@ -446,7 +495,7 @@ def linked(heads: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
         earliest = np.full(len(turn), len(turn))
         entries = Entries(word, cell, sets.size[owner], owner)
         number = sets.number(entries.word)
-        for i, j in entries.pairs(percent, place, parity):
+        for i, j in entries.pairs(percent, place, before, parity):
             a, b = owner[entries.order[i]], owner[entries.order[j]]
             both = sets.size[a] + sets.size[b]
             for few in runs(both, WORDS):
@@ -461,9 +510,7 @@ def linked(heads: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
 
     # a class that comes from several tasks has one set
     sets = heads.select("class", "words").mapInArrow(wanted, "class long, words binary").dropDuplicates(["class"])
-    grouped = found.groupBy("part", "class").agg(F.collect_list(F.struct(*FOUND[1:])).alias("found"))
-    held = grouped.join(sets, "class").join(firsts, "class")
-    rows = held.select("part", "class", "first", "words", *[F.col(f"found.{name}").alias(name) for name in FOUND[1:]])
+    rows = found.join(sets, "class").join(firsts, "class")
     links = rows.groupBy("part").applyInArrow(link, layout)
     return links.groupBy("class").agg(F.sum("n_links").alias("n_links"), F.min("met").alias("met"))
 

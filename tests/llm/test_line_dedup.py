@@ -89,6 +89,7 @@ def test_blocks_and_parts_change_no_result(documents, monkeypatch, block, part,
     monkeypatch.setattr(line_dedup, "BLOCK", block)
     monkeypatch.setattr(line_dedup, "PART_WORDS", part)
     monkeypatch.setattr(line_dedup, "WORDS", words)
+    monkeypatch.setattr(line_dedup, "GATHERED", part)
     rows = like_lines(40) + random_rows(block, 30)
     got = Counter((r.doc_id, r.n_lines, r.n_links, r.removed_lines) for r in line_dedup.report(documents(*rows)).collect())
     assert got == brute(rows)
@@ -118,3 +119,11 @@ def test_sets_survive_packing():
     assert sets.size.tolist() == [3, 1, 2]
     assert sets.word.tolist() == [1, 2, 4, 0, 3, 5]
     assert sets.number(code.view(np.int64)).tolist() == [1, 2, 4, 0, 3, 5]
+
+
+def test_rows_survive_blobs():
+    key, a, b = np.array([3, 1, 3]), np.array([-1, 2, 5]), np.array([7, 8, 9], np.uint32)
+    keys, found = line_dedup.blobs(key, [a, b])
+    assert keys.tolist() == [1, 3]
+    assert [c.tolist() for c in line_dedup.columns_of(found, [np.int64, np.uint32])] == [[2, -1, 5], [8, 7, 9]]
+    assert line_dedup.blobs(key[:0], [a[:0], b[:0]])[1] == []
