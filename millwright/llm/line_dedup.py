@@ -58,7 +58,7 @@ BLOCK = 16_384
 #: words of prefixes that a task gathers before it passes them on
 GATHERED = 1 << 19
 #: words counted before they are passed on
-COUNTED = 1 << 18
+COUNTED = 1 << 20
 #: bytes of a word that are hashed eight at a time
 SHORT = 64
 #: classes a task remembers to have described
@@ -135,16 +135,20 @@ def word_counts(texts: DataFrame) -> DataFrame:
     """(word, n): in how many lines each word stands; combined per task before the shuffle."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        held: list[np.ndarray] = []
+
+        def counted() -> pa.RecordBatch:
+            word, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(_signed(word)), pa.array(n.astype(np.int64))], ["word", "n"])
+
         for batch in batches:
             for part in arrays.parts(batch.column(0).to_pylist()):
-                more, times = np.unique(word_sets(part)["word"], return_counts=True)
-                word, spot = np.unique(np.concatenate([word, more]), return_inverse=True)
-                n = np.bincount(spot, np.concatenate([n, times]), len(word)).astype(np.int64)
-                if len(word) > COUNTED:
-                    yield pa.RecordBatch.from_arrays([pa.array(_signed(word)), pa.array(n)], ["word", "n"])
-                    word, n = word[:0], n[:0]
-        yield pa.RecordBatch.from_arrays([pa.array(_signed(word)), pa.array(n)], ["word", "n"])
+                held.append(word_sets(part)["word"])
+                if sum(map(len, held)) > COUNTED:
+                    yield counted()
+        if held:
+            yield counted()
 
     return texts.mapInArrow(work, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -336,7 +340,7 @@ def frequent_leads(heads: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 #: what a row of a prefix's word says
 LEAD = {
-    "class": np.int64, "word": np.int64, "before": np.int64, "cell": np.int64, "parity": np.uint32, "size": np.int32, "place": np.int32,
+    "class": np.int64, "word": np.int64, "before": np.int64, "cell": np.int64, "parity": np.uint64, "size": np.int32, "place": np.int32,
 }
 
 
@@ -393,9 +397,7 @@ def leads(heads: DataFrame, parts: int) -> DataFrame:
             )
             part = arrays.mixed(arrays.mixed(word.view(np.uint64)) + meeting.astype(np.uint64)) % np.uint64(parts)
             name, parity, size = (batch.column(c).to_numpy()[owner] for c in ("class", "parity", "size"))
-            # half the bits say which of them differ, still never more than the sets do
-            half = (parity ^ parity >> 32).astype(np.uint32)
-            held.append([part.astype(np.int32), name, word, before, meeting << 1 | (own == low), half, size.astype(np.int32), place.astype(np.int32)])
+            held.append([part.astype(np.int32), name, word, before, meeting << 1 | (own == low), parity, size.astype(np.int32), place.astype(np.int32)])
             if sum(len(columns[0]) for columns in held) > GATHERED:
                 yield gathered()
         if held:
