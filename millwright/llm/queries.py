@@ -115,6 +115,37 @@ FROM turns
 GROUP BY conv_id
 """
 
+SQL["op6_decontaminate"] = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'
+    ) AS words
+    FROM documents
+),
+items AS (
+    SELECT coalesce(item_id::VARCHAR, 'null') AS item, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'
+    ) AS words
+    FROM benchmark
+),
+item_starts AS (
+    SELECT item, words, least(len(words), 10) AS size, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i
+    FROM items WHERE len(words) > 0
+),
+patterns AS (SELECT DISTINCT item, size, array_to_string(words[i : i + size - 1], ' ') AS run FROM item_starts),
+sizes AS (SELECT d, words, unnest((SELECT list(DISTINCT size) FROM patterns)) AS size FROM texts),
+starts AS (SELECT d, words, size, unnest(range(1, len(words) - size + 2)) AS i FROM sizes),
+windows AS (SELECT d, size, i, array_to_string(words[i : i + size - 1], ' ') AS run FROM starts),
+found AS (SELECT d, i, size, item FROM windows JOIN patterns USING (size, run)),
+covered AS (SELECT DISTINCT d, unnest(range(i, i + size)) AS word FROM found),
+hits AS (SELECT d, count(*) AS n_hit FROM covered GROUP BY d),
+owners AS (SELECT d, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT d, item FROM found) GROUP BY d)
+SELECT
+    doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM texts LEFT JOIN hits USING (d) LEFT JOIN owners USING (d)
+"""
+
 SQL["op11_collocations"] = r"""
 WITH pieces AS (
     SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
