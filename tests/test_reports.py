@@ -1,7 +1,8 @@
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
+import pyarrow.parquet as parquet
 import pytest
 from support import at, batch, batch_frame, cycle, fault, line_frame, status, status_frame
 from pyspark.sql import functions as F
@@ -10,7 +11,8 @@ from millwright import schemas
 from millwright.functions.clock import in_changeover, in_cold_start, shift_of, shift_start
 from millwright.functions.numeric import band, oee_class, round_metric
 from millwright.operators import bounded, charts, enrich, rollups
-from millwright.plans import serving
+from millwright.plans import register, serving
+from millwright.sources import plant_views
 
 AS_OF = datetime(2024, 3, 15, 9, 0)
 
@@ -196,3 +198,16 @@ def test_shift_reports(spark):
     assert enrich.last_shifts(by_shift, 2).count() == 2
     passed = charts.shift_yield(batch_frame(spark, [batch(0), batch(-3 * 3600)]), AS_OF).collect()
     assert [(r.line_id, r["shift"], r.yield_pct) for r in passed] == [("LINE-A", "MORNING", 97.5)]
+
+
+def test_the_wide_trend_shows_every_window_of_the_table(spark, tmp_path):
+    """Also those more than two hours before the newest event."""
+    begin = datetime(2024, 1, 1)
+    days = [begin + timedelta(days=d) for d in (0, 10, 29)]
+    rows = [(i, ts, 0, "click", 5.0, '{"k": 1}') for i, ts in enumerate(days)]
+    events = spark.createDataFrame(rows, plant_views.EVENT_LOG)
+    parquet.write_table(events.toArrow(), f"{tmp_path}/events.parquet")
+    got = register.oee_trend_wide(spark, str(tmp_path)).orderBy("time").collect()
+    dense = [begin + timedelta(minutes=1 + d * 24 * 60 // 240) for d in (0, 10, 29)]
+    assert [r.time.replace(tzinfo=None) for r in got] == dense
+    assert all(r["LINE-A"] is not None and r["LINE-B"] is None for r in got)
