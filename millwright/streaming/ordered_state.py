@@ -1,13 +1,17 @@
 """Keyed operators that see each key's rows in event-time order.
 
 Micro-batches deliver rows in no particular order. ``InOrder`` keeps them in
-list state and wakes by an event-time timer when the watermark has passed the
-earliest; then it hands the due ones, in order, to the operator's ``step``
-together with the operator's memory, one typed value per key. The operator
-says how long its memory matters; a timer clears it after that.
-
-Both states are typed columns in RocksDB, so a key costs its own rows and no
-more, and a restarted query goes on from its checkpoint.
+map state, cut into slots of event time, and wakes by an event-time timer when
+the watermark has passed the earliest; then it hands the due ones, in order,
+to the operator's ``step`` together with the operator's memory, one typed value
+per key. The operator says how long its memory matters; a timer clears it after
+that.
+
+A slot's rows are sorted alone, rows arrive and results leave in frames of
+bounded size, so a worker holds one slot of one key at a time, however many
+rows a micro-batch brings. All states are typed columns in RocksDB, so a key
+costs its own rows and no more, and a restarted query goes on from its
+checkpoint.
 """
 
 from __future__ import annotations
@@ -16,6 +20,8 @@ import sys
 from collections.abc import Iterator
 from typing import Any
 
+import numpy as np
+import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -33,6 +39,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _DELAY = f"{schemas.WATERMARK_S} seconds"
 _ORDER = "us bigint, event_key bigint, event_id string"
+#: width of a slot of waiting rows; rows dealt to slots together; results handed on together
+WAIT_US = 3_600_000_000
+DEALT_ROWS = 50_000
+OUT_ROWS = 5_000
 
 
 class InOrder(StatefulProcessor):
@@ -47,9 +57,14 @@ class InOrder(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", f"{_ORDER}, {self.columns}")
+        layout = [part.split() for part in f"{_ORDER}, {self.columns}".split(", ")]
+        self.names = [name for name, _ in layout]
+        # a slot's rows come in parts, column by column
+        self.waiting = handle.getMapState(
+            "waiting", "slot bigint, part bigint", ", ".join(f"{name} array<{kind}>" for name, kind in layout)
+        )
+        self.slots = handle.getMapState("slots", "slot bigint", "parts bigint, first_us bigint")
         self.memory = handle.getValueState("memory", self.memory_layout)
-        self.names = [part.split()[0] for part in f"{_ORDER}, {self.columns}".split(", ")]
 
     def step(self, key: tuple, memory: tuple | None, row: dict) -> tuple[tuple | None, Row | None]:
         """What is remembered after the row, and what it makes known."""
@@ -59,30 +74,51 @@ class InOrder(StatefulProcessor):
         """The last microsecond at which the memory can matter; None: always."""
         return None
 
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        fresh = [tuple(row[name] for name in self.names) for row in rows]
-        if fresh:
-            self.waiting.appendList(fresh)
-            self._wake(min(row[0] for row in fresh))
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        earliest, held, count = None, [], 0
+
+        def deal() -> None:
+            nonlocal earliest, held, count
+            first = self._deal(pd.concat(held, ignore_index=True))
+            earliest = first if earliest is None else min(earliest, first)
+            held, count = [], 0
+
+        for frame in rows:
+            held.append(frame[self.names])
+            count += len(frame)
+            if count >= DEALT_ROWS:
+                deal()
+        if count:
+            deal()
+        if earliest is not None:
+            self._wake(earliest)
         return iter(())
 
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        held = [tuple(row) for row in self.waiting.get()]
-        due = sorted((row for row in held if row[0] < watermark), key=lambda row: row[:3])
+        slots = sorted((first, slot, parts) for (slot,), (parts, first) in self.slots.iterator())
+        due = [one for one in slots if one[0] < watermark]
+        still = [first for first, _, _ in slots[len(due) :]]
         memory = self.memory.get() if self.memory.exists() else None
         memory = None if memory is None else tuple(memory)
-        for row in due:
-            memory, known = self.step(key, memory, dict(zip(self.names, row)))
-            if known is not None:
-                yield known
-        if due:
-            rest = [row for row in held if row[0] >= watermark]
+        found: list[Row] = []
+        for _, slot, parts in due:
+            rows = self._taken(slot, parts)
+            rest = [row for row in rows if row[0] >= watermark]
             if rest:
-                self.waiting.put(rest)
-                self._wake(min(row[0] for row in rest))
-            else:
-                self.waiting.clear()
+                self._keep(slot, 0, list(zip(*rest)))
+                still.append(rest[0][0])
+            for row in rows[: len(rows) - len(rest)]:
+                memory, known = self.step(key, memory, dict(zip(self.names, row)))
+                if known is not None:
+                    found.append(known)
+                if len(found) >= OUT_ROWS:
+                    yield _frame(found)
+                    found = []
+        if found:
+            yield _frame(found)
+        if due and still:
+            self._wake(min(still))
         until = None if memory is None else self.matters_until(memory)
         if memory is None or (until is not None and until < watermark):
             self.memory.clear()
@@ -91,11 +127,43 @@ class InOrder(StatefulProcessor):
             if until is not None:
                 self._wake(until)
 
+    def _deal(self, rows: pd.DataFrame) -> int:
+        """Adds the rows to the waiting ones of their slots; the earliest microsecond among them."""
+        if rows["us"].isna().any():
+            raise ValueError("a row without an event time has no place in the order")
+        slot = rows["us"].to_numpy() // WAIT_US
+        order = np.argsort(slot, kind="stable")
+        edges = np.flatnonzero(np.diff(slot[order])) + 1
+        columns = [rows[name].to_numpy()[order] for name in self.names]
+        for a, b in zip([0, *edges], [*edges, len(order)]):
+            at = (int(slot[order[a]]),)
+            parts, first = self.slots.getValue(at) or (0, None)
+            low = int(columns[0][a:b].min())
+            self._keep(at[0], parts, [column[a:b].tolist() for column in columns], low if first is None else min(first, low))
+        return int(columns[0].min())
+
+    def _keep(self, slot: int, part: int, columns: list, first: int | None = None) -> None:
+        self.waiting.updateValue((slot, part), tuple(list(column) for column in columns))
+        self.slots.updateValue((slot,), (part + 1, columns[0][0] if first is None else first))
+
+    def _taken(self, slot: int, parts: int) -> list[tuple]:
+        """The waiting rows of a slot in order, which wait no longer."""
+        rows: list[tuple] = []
+        for part in range(parts):
+            rows += zip(*self.waiting.getValue((slot, part)))
+            self.waiting.removeKey((slot, part))
+        self.slots.removeKey((slot,))
+        return sorted(rows, key=lambda row: row[:3])
+
     def _wake(self, us: int) -> None:
         """Once the watermark is past the microsecond."""
         self.handle.registerTimer(us // 1000 + 1)
 
 
+def _frame(rows: list[Row]) -> pd.DataFrame:
+    return pd.DataFrame([tuple(row) for row in rows], columns=rows[0].__fields__)
+
+
 class Precursors(InOrder):
     """An alert for each fault whose neighbour before it is an arming reading of the last seconds."""
 
@@ -135,18 +203,19 @@ class Intervals(InOrder):
 
 
 def _order_columns(rows: DataFrame) -> list:
-    """Whole-numbered ids are ordered as numbers, others as text."""
+    """Whole-numbered ids are ordered as numbers, others as text; none comes first."""
     whole = isinstance(rows.schema["event_id"].dataType, T.IntegralType)
+    number = F.coalesce(F.col("event_id").cast("bigint"), F.lit(-(2**63))) if whole else F.lit(0).cast("bigint")
     return [
         F.unix_micros("ts").alias("us"),
-        (F.col("event_id").cast("bigint") if whole else F.lit(0).cast("bigint")).alias("event_key"),
+        number.alias("event_key"),
         F.coalesce(F.col("event_id").cast("string"), F.lit("")).alias("event_id"),
     ]
 
 
 def _applied(rows: DataFrame, keys: list[str], operator: InOrder, layout: str) -> DataFrame:
     rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", _PROVIDER)
-    return rows.groupBy(*keys).transformWithState(operator, layout, "append", "eventTime")
+    return rows.groupBy(*keys).transformWithStateInPandas(operator, layout, "append", "eventTime")
 
 
 def precursor_stream(

@@ -3,6 +3,7 @@ from __future__ import annotations
 import os
 import random
 
+import pandas as pd
 import pyarrow.parquet as parquet
 import pytest
 from support import (
@@ -227,3 +228,90 @@ def test_an_arming_reading_is_forgotten_by_timer(spark, tmp_path):
     os.rename(f"{path}/more/part-000.parquet", f"{path}/in/part-004.parquet")
     run()
     assert states("memory") == set()
+
+
+class Kept:
+    """A state variable, as the operator sees it."""
+
+    def __init__(self):
+        self.values = {}
+
+    def getValue(self, key):
+        return self.values.get(key)
+
+    def updateValue(self, key, value):
+        self.values[key] = value
+
+    def removeKey(self, key):
+        del self.values[key]
+
+    def iterator(self):
+        return iter(list(self.values.items()))
+
+    def exists(self):
+        return None in self.values
+
+    def get(self):
+        return self.values[None]
+
+    def update(self, value):
+        self.values[None] = value
+
+    def clear(self):
+        self.values.pop(None, None)
+
+
+class Handle:
+    def __init__(self):
+        self.kept, self.timers = {}, []
+
+    def getMapState(self, name, key, value):
+        return self.kept.setdefault(name, Kept())
+
+    def getValueState(self, name, layout):
+        return self.kept.setdefault(name, Kept())
+
+    def registerTimer(self, ms):
+        self.timers.append(ms)
+
+
+class Clock:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def test_a_large_batch_of_one_machine_is_held_by_the_slot(monkeypatch):
+    """Rows come and go in frames of bounded size, and one slot is taken from the state at a time."""
+    monkeypatch.setattr(ordered_state, "DEALT_ROWS", 500)
+    monkeypatch.setattr(ordered_state, "OUT_ROWS", 100)
+    hours, each = 40, 60
+    rng = random.Random(4)
+    rows = [(h * 3_600_000_000 + i * 60_000_000, h * each + i, "", "L", "ab"[i % 2]) for h in range(hours) for i in range(each)]
+    rng.shuffle(rows)
+    names = ["us", "event_key", "event_id", "line_id", "status"]
+    machine, handle = ordered_state.Intervals(), Handle()
+    machine.init(handle)
+    read = []
+
+    def frames():
+        for at in range(0, len(rows), 100):
+            read.append(sum(len(part[0]) for part in handle.kept["waiting"].values.values()))
+            yield pd.DataFrame(rows[at : at + 100], columns=names)
+
+    assert list(machine.handleInputRows(("M",), frames(), Clock(0))) == []
+    # what was read before is in the state by then, but for the rows dealt together
+    assert all(at * 100 - held <= 500 for at, held in enumerate(read))
+    most, take = [], machine._taken
+    monkeypatch.setattr(machine, "_taken", lambda *slot: most.append(len(found := take(*slot))) or found)
+    out = list(machine.handleExpiredTimer(("M",), Clock(10 * 3_600_000 + 90_000), None))
+    assert max(most) == each and max(len(frame) for frame in out) == 100
+    # ten whole hours and the first two rows of the next
+    assert sum(len(frame) for frame in out) == 10 * each + 1
+    out += list(machine.handleExpiredTimer(("M",), Clock(hours * 3_600_000), None))
+    found = pd.concat(out)
+    assert len(found) == hours * each - 1 and list(found.ended_us - found.started_us) == [60_000_000] * len(found)
+    assert handle.kept["waiting"].values == {} and handle.kept["slots"].values == {}
+    assert handle.timers == [1, 10 * 3_600_000 + 120_000 + 1]
