@@ -24,10 +24,10 @@ import struct
 import sys
 import zlib
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,12 +36,17 @@ from millwright.session import scratch_path
 
 #: text bytes that one file should hold; a reader takes a file at a time
 FILE_BYTES = 16 << 20
-#: distinct words, and stems of words, that a worker remembers; and how many stems are encoded together
-KNOWN_WORDS = 300_000
+#: distinct pieces of words that a worker remembers; and how many are encoded together
+KNOWN_WORDS = 450_000
 TOGETHER = 512
-# Letters whose lower case is one letter everywhere, and marks that never belong to the letters before them.
-LETTERS = "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)"
+# Letters whose lower case is one letter everywhere, marks that never belong to the letters before them, and how
+# a tokenizer splits words, as it is written there and for plain words.
+_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+LETTERS = f"([{_LETTER}]*)"
 MARKS = r"([^A-Za-z0-9'\n\u0080-\U0010ffff]*)"
+PLAIN = rf"[\x00-\x09\x0b-\x7f{_LETTER}]"
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^{_LETTER}0-9]+").findall
 _MASK_DELTA = 0xA282EAD8
 _HEAD, _HEAD_BYTES = "<QI", 12
 _BODY, _BODY_BYTES = "<BqI", 13
@@ -81,26 +86,40 @@ def frames(content: bytes, width: int) -> Iterator[tuple[int, int, int | None, n
         at += whole
 
 
-class Known(dict):
-    """Words to their token ids; a word without an entry is noted, and stands for itself until it is encoded."""
-
-    def __init__(self):
-        self.fresh: dict[bytes, list[bytes]] = {}
-
-    def __missing__(self, word: bytes) -> list[bytes]:
-        return self.fresh.setdefault(word, [])
+def _byte_letters() -> dict[int, str]:
+    """The letter by which byte-level vocabularies spell each byte."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [byte for byte in range(256) if byte not in shown]
+    return {byte: chr(byte) for byte in shown} | {byte: chr(256 + n) for n, byte in enumerate(hidden)}
+
+
+def _splits_plainly(definition: dict) -> bool:
+    """Whether the tokenizer treats plain words as ``WordEncoder`` does by itself: lower case, ``SPLIT``, bytes as letters."""
+    normal, before = definition.get("normalizer") or {}, definition.get("pre_tokenizer") or {}
+    steps = [step.get("type") for step in normal.get("normalizers", [])]
+    spaces = [step for step in normal.get("normalizers", []) if step.get("type") == "Replace"]
+    split = {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True}
+    spelled = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
+    chain = [{k: v for k, v in step.items() if k != "trim_offsets"} for step in before.get("pretokenizers", [])]
+    hidden = re.compile(LETTERS + MARKS)
+    return (
+        steps == ["NFC", "Replace", "Lowercase"]
+        and spaces[0].get("pattern") == {"Regex": r"\s+"}
+        and chain == [split, spelled]
+        and not any(hidden.fullmatch(token["content"]) for token in definition.get("added_tokens") or [])
+    )
 
 
 class WordEncoder:
-    """Token ids of texts, encoding distinct words only.
+    """Token ids of texts, encoding the distinct words of a batch only.
 
     The tokenizer replaces white space by single spaces and never joins across
     it, so a text's ids are those of its words one after the other. Words are
     cut at ASCII white space only; other spaces stay inside and are left to
-    the tokenizer. It also lower-cases, and splits letters from marks; so a
-    word of letters with marks behind it has the ids of its letters in lower
-    case, then those of the marks. Such letters are encoded many at a time and
-    told apart by the tokens that end a word.
+    the tokenizer. Where the tokenizer lower-cases and splits words by
+    ``SPLIT``, words of ASCII and Latin letters are split here in the same way,
+    and its model encodes each distinct piece; a word has the ids of its
+    pieces. All other words go through the whole tokenizer.
     """
 
     def __init__(self, definition: str, width: int):
@@ -109,66 +128,69 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.width = width
-        suffix = json.loads(definition)["model"].get("end_of_word_suffix")
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        if suffix:
-            self.ends[[number for token, number in vocabulary.items() if token.endswith(suffix)]] = True
-        # a line is letters and marks, or else one word whatever it holds
-        self.parts = re.compile(f"^(?:{LETTERS}{MARKS}|(.+))$" if suffix else "^(?:(?!)()()|(.+))$", re.M)
-        self.words = Known()
-        self.stems: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {"": b""}
+        told = json.loads(definition)
+        # a line is letters and marks, or other plain characters, or else one word whatever it holds
+        plainly = f"{LETTERS}{MARKS}|({PLAIN}+)|(.+)" if _splits_plainly(told) else "()()()(.*)"
+        self.parts = re.compile(f"^(?:{plainly})$", re.M)
+        self.added = re.compile("|".join(re.escape(token["content"]) for token in told.get("added_tokens") or []) or "(?!)")
+        self.spelling = _byte_letters()
+        self.pieces: dict[str, bytes] = {"": b""}
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        words = self.words
-        found = [list(map(words.__getitem__, text.split())) for text in texts]
-        fresh, words.fresh = words.fresh, {}
-        if not fresh:
-            return [b"".join(one) for one in found]
-        encoded = self._encoded(list(fresh))
-        for slot, ids in zip(fresh.values(), encoded):
-            slot.append(ids)
-        # the first words of a task are mostly the frequent ones: those stay
-        words.update(zip(islice(fresh, KNOWN_WORDS - len(words)), encoded))
-        return [b"".join([x if type(x) is bytes else x[0] for x in one]) for one in found]
-
-    def _encoded(self, words: list[bytes]) -> list[bytes]:
-        parts = self.parts.findall(b"\n".join(words).decode())
-        stems, marks, others = zip(*parts)
+        if not texts:
+            return []
+        lists = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).view(pa.string()))
+        coded = lists.flatten().dictionary_encode()
+        each = self._encoded(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        # words are numbers here, and all their ids are copied in one step
+        sizes = np.fromiter(map(len, each), np.int64, len(each)) // self.width
+        number = coded.indices.to_numpy()
+        counts = sizes[number]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        place = np.repeat((np.cumsum(sizes) - sizes)[number] - ends[:-1], counts) + np.arange(ends[-1])
+        data = np.frombuffer(b"".join(each), f"<u{self.width}")[place].tobytes()
+        edges = (ends[lists.offsets.to_numpy()] * self.width).tolist()
+        return [data[a:b] for a, b in zip(edges, edges[1:])]
+
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        stems, marks, plain, others = zip(*self.parts.findall("\n".join(words)))
         stems = "\n".join(stems).lower().split("\n")
-        self._learn_marks(set(marks))
-        stem, mark = self._stems(stems), self.marks
-        alone = iter(self._each([word for word in others if word]))
-        return [next(alone) if other else stem[s] + mark[m] for s, m, other in zip(stems, marks, others)]
+        pieces, whole = [], []
+        for n, word in enumerate(plain):
+            if word and not self.added.search(word):
+                pieces.append((n, _PIECES(word.lower())))
+            elif word or others[n]:
+                whole.append((n, word or others[n]))
+        known = self._known({*stems, *marks}.union(*(found for _, found in pieces)))
+        out = [known[stem] + known[mark] for stem, mark in zip(stems, marks)]
+        for n, found in pieces:
+            out[n] = b"".join(map(known.__getitem__, found))
+        for (n, _), ids in zip(whole, self._each([word for _, word in whole])):
+            out[n] = ids
+        return out
 
     def _each(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, f"<u{self.width}").tobytes() for one in found]
 
-    def _learn_marks(self, marks: set[str]) -> None:
-        if len(self.marks) > KNOWN_WORDS:
-            self.marks = {"": b""}
-        new = list(marks.difference(self.marks))
-        self.marks.update(zip(new, self._each(new)))
-
-    def _stems(self, stems: list[str]) -> dict[str, bytes]:
-        known = self.stems
-        new = list(set(stems).difference(known, ("",)))
-        out = {}
-        runs = [new[at : at + TOGETHER] for at in range(0, len(new), TOGETHER)]
-        found = self.tokenizer.encode_batch_fast([" ".join(run) for run in runs], add_special_tokens=False)
-        for run, one in zip(runs, found):
-            ids = np.array(one.ids, f"<u{self.width}")
-            stops = ((np.flatnonzero(self.ends[ids]) + 1) * self.width).tolist()
-            if len(stops) != len(run):
-                raise ValueError("a word of letters is not one word to the tokenizer")
-            data = ids.tobytes()
-            out.update((word, data[a:b]) for word, a, b in zip(run, [0, *stops], stops))
+    def _known(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of lower-case pieces, from what is remembered or from the tokenizer's model."""
+        known = self.pieces
+        new = list(pieces.difference(known))
+        out, tokenize = {}, self.tokenizer.model.tokenize
+        for at in range(0, len(new), TOGETHER):
+            run = new[at : at + TOGETHER]
+            tokens = [tokenize(piece if piece.isascii() and piece.isalpha() else self._spelled(piece)) for piece in run]
+            data = np.array([token.id for one in tokens for token in one], f"<u{self.width}").tobytes()
+            stops = (np.cumsum([len(one) for one in tokens], dtype=np.int64) * self.width).tolist()
+            out.update((piece, data[a:b]) for piece, a, b in zip(run, [0, *stops], stops))
         if len(known) + len(out) <= KNOWN_WORDS:
             known.update(out)
             return known
-        return out | {stem: known[stem] for stem in stems if stem in known}
+        return out | {piece: known[piece] for piece in pieces if piece in known}
+
+    def _spelled(self, piece: str) -> str:
+        return piece.encode().decode("latin-1").translate(self.spelling)
 
 
 def worker_encoder(definition: str, width: int) -> WordEncoder:

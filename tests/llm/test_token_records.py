@@ -76,3 +76,33 @@ def test_damage_is_noticed():
         bad[at] ^= 1
         with pytest.raises(ValueError):
             list(token_records.frames(bytes(bad), 2))
+
+
+def test_plain_words_cost_the_tokenizer_nothing(monkeypatch):
+    """Split here, with the same ids; only other words are sent through the whole tokenizer."""
+    with open(PATH, encoding="utf-8") as file:
+        encoder = token_records.WordEncoder(file.read(), 2)
+    sent = []
+    each = encoder._each
+    monkeypatch.setattr(encoder, "_each", lambda words: sent.extend(words) or each(words))
+    marks = "".join(map(chr, [*range(1, 9), *range(14, 32), *range(33, 48), *range(58, 65), *range(91, 97), *range(123, 128)]))
+    texts = [
+        "key=AKIA42xyz 3.14% 'Tis rock'n'roll we'LLs ÀÉÎ'Sß12é x'd' ''ve 'RE're it'sé's <b>Größe</b> 0x1f",
+        " ".join(f"{a}{m}{b}" for m in marks for a in ("", "Ab", "7") for b in ("", "ç", "9", "'s")),
+    ]
+    got = encoder.ids([t.encode() for t in texts])
+    assert [np.frombuffer(i, "<u2").tolist() for i in got] == [plain(t)[:-1] for t in texts] and not sent
+    other = "İstanbul a<|endoftext|>1 1½ µm"
+    assert np.frombuffer(encoder.ids([other.encode()])[0], "<u2").tolist() == plain(other)[:-1]
+    assert sorted(sent) == sorted(other.split())
+
+
+def test_a_tokenizer_of_other_rules_gets_whole_words():
+    from tokenizers import models, normalizers, pre_tokenizers
+
+    vocabulary = {"a": 0, "B": 1, "!": 2, "B!": 3}
+    tokenizer = Tokenizer(models.BPE(vocabulary, [("B", "!")]))
+    tokenizer.normalizer, tokenizer.pre_tokenizer = normalizers.NFC(), pre_tokenizers.WhitespaceSplit()
+    text = "aB! a B!B a\tB !"
+    (got,) = token_records.WordEncoder(tokenizer.to_str(), 2).ids([text.encode()])
+    assert np.frombuffer(got, "<u2").tolist() == tokenizer.encode(text).ids and token_records.WordEncoder(tokenizer.to_str(), 2).ids([]) == []
