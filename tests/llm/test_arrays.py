@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark import cloudpickle
 
-from millwright.llm import arrays, line_dedup, quality_rules
+from millwright.llm import arrays, line_dedup, quality_rules, suffix_dedup
 
 
 def regular(bits):
@@ -65,3 +65,20 @@ def test_task_functions_run_where_the_package_is_missing(tmp_path):
         "assert not any(m.startswith('millwright') and 'llm' not in m for m in sys.modules)\n"
     )
     subprocess.run([sys.executable, "-I", "-c", script, *[str(tmp_path / name) for name in work]], check=True, cwd=tmp_path)
+
+
+def test_sums_over_a_text_are_built_once_for_all_its_hashes(monkeypatch):
+    text = bytes(random.Random(3).choices(range(256), k=3000))
+    data = np.frombuffer(text, np.uint8)
+    starts = np.arange(0, 2000, 7)
+    hasher = arrays.span_hasher(data)
+    for width in (0, 3, 8, 400):
+        assert (hasher(starts, starts + width) == arrays.span_hashes(data, starts, starts + width)).all()
+    mixed_widths = starts + starts % 19
+    assert (hasher(starts, mixed_widths) == arrays.span_hashes(data, starts, mixed_widths)).all()
+    built, sums = [], arrays._sums
+    monkeypatch.setattr(arrays, "_sums", lambda *given: built.append(1) or sums(*given))
+    found = suffix_dedup.sampled([text], 400)
+    assert len(built) == 2 and len(found["run"]) == len(found["next_2"]) > 0
+    again = suffix_dedup.sampled([text], 400, ranked=False)
+    assert all((again[c] == found[c]).all() for c in ("text", "at", "strings", "before", "run"))
