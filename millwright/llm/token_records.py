@@ -24,6 +24,7 @@ import struct
 import sys
 import zlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,8 @@ from millwright.session import scratch_path
 
 #: text bytes that one file should hold; a reader takes a file at a time
 FILE_BYTES = 16 << 20
-#: distinct pieces of words that a worker remembers; and how many are encoded together
-KNOWN_WORDS = 450_000
+#: distinct pieces of words that a worker remembers (about 25 bytes each); and how many are encoded together
+KNOWN_WORDS = 700_000
 TOGETHER = 512
 # Letters whose lower case is one letter everywhere, marks that never belong to the letters before them, and how
 # a tokenizer splits words, as it is written there and for plain words.
@@ -110,6 +111,27 @@ def _splits_plainly(definition: dict) -> bool:
     )
 
 
+class PieceMemory:
+    """Pieces and their ids, end to end in two Arrow arrays; as Python objects they take several times the memory."""
+
+    def __init__(self):
+        self.pieces = pa.array([""], pa.string())
+        self.ids = pa.array([b""], pa.binary())
+
+    def split(self, pieces: list[str]) -> tuple[dict[str, bytes], list[str]]:
+        """The ids of the pieces that are remembered, and the other pieces."""
+        place = pc.index_in(pa.array(pieces, pa.string()), value_set=self.pieces).fill_null(-1).to_numpy()
+        held = place >= 0
+        ids = self.ids.take(pa.array(place[held])).to_numpy(zero_copy_only=False)
+        return dict(zip(compress(pieces, held.tolist()), ids.tolist())), list(compress(pieces, (~held).tolist()))
+
+    def add(self, pieces: list[str], ids: list[bytes]) -> None:
+        """Remember further pieces, if there is room for all of them."""
+        if pieces and len(self.pieces) + len(pieces) <= KNOWN_WORDS:
+            self.pieces = pa.concat_arrays([self.pieces, pa.array(pieces, pa.string())])
+            self.ids = pa.concat_arrays([self.ids, pa.array(ids, pa.binary())])
+
+
 class WordEncoder:
     """Token ids of texts, encoding the distinct words of a batch only.
 
@@ -134,7 +156,7 @@ class WordEncoder:
         self.parts = re.compile(f"^(?:{plainly})$", re.M)
         self.added = re.compile("|".join(re.escape(token["content"]) for token in told.get("added_tokens") or []) or "(?!)")
         self.spelling = _byte_letters()
-        self.pieces: dict[str, bytes] = {"": b""}
+        self.memory = PieceMemory()
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         if not texts:
@@ -147,7 +169,8 @@ class WordEncoder:
         number = coded.indices.to_numpy()
         counts = sizes[number]
         ends = np.concatenate([[0], np.cumsum(counts)])
-        place = np.repeat((np.cumsum(sizes) - sizes)[number] - ends[:-1], counts) + np.arange(ends[-1])
+        place = np.arange(ends[-1])
+        place += np.repeat((np.cumsum(sizes) - sizes)[number] - ends[:-1], counts)
         data = np.frombuffer(b"".join(each), f"<u{self.width}")[place].tobytes()
         edges = (ends[lists.offsets.to_numpy()] * self.width).tolist()
         return [data[a:b] for a, b in zip(edges, edges[1:])]
@@ -175,19 +198,16 @@ class WordEncoder:
 
     def _known(self, pieces: set[str]) -> dict[str, bytes]:
         """Ids of lower-case pieces, from what is remembered or from the tokenizer's model."""
-        known = self.pieces
-        new = list(pieces.difference(known))
-        out, tokenize = {}, self.tokenizer.model.tokenize
+        known, new = self.memory.split(list(pieces))
+        tokenize = self.tokenizer.model.tokenize
         for at in range(0, len(new), TOGETHER):
             run = new[at : at + TOGETHER]
             tokens = [tokenize(piece if piece.isascii() and piece.isalpha() else self._spelled(piece)) for piece in run]
             data = np.array([token.id for one in tokens for token in one], f"<u{self.width}").tobytes()
             stops = (np.cumsum([len(one) for one in tokens], dtype=np.int64) * self.width).tolist()
-            out.update((piece, data[a:b]) for piece, a, b in zip(run, [0, *stops], stops))
-        if len(known) + len(out) <= KNOWN_WORDS:
-            known.update(out)
-            return known
-        return out | {piece: known[piece] for piece in pieces if piece in known}
+            known.update((piece, data[a:b]) for piece, a, b in zip(run, [0, *stops], stops))
+        self.memory.add(new, [known[piece] for piece in new])
+        return known
 
     def _spelled(self, piece: str) -> str:
         return piece.encode().decode("latin-1").translate(self.spelling)
@@ -227,6 +247,8 @@ def write_records(
         encoder = worker_encoder(definition, width)
         for batch in batches:
             ids = [one + end for one in encoder.ids(batch.column(1).to_pylist())]
+            # Arrow's allocator keeps what a batch needed, beside the JVM's memory, unless asked
+            pa.default_memory_pool().release_unused()
             records = [frame(doc, one, len(one) // width) for doc, one in zip(batch.column(0).to_pylist(), ids)]
             yield pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], ["record"])
 

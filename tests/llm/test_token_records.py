@@ -1,3 +1,5 @@
+import gc
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -106,3 +108,24 @@ def test_a_tokenizer_of_other_rules_gets_whole_words():
     text = "aB! a B!B a\tB !"
     (got,) = token_records.WordEncoder(tokenizer.to_str(), 2).ids([text.encode()])
     assert np.frombuffer(got, "<u2").tolist() == tokenizer.encode(text).ids and token_records.WordEncoder(tokenizer.to_str(), 2).ids([]) == []
+
+
+def test_remembered_pieces_are_no_python_objects():
+    with open(PATH, encoding="utf-8") as file:
+        encoder = token_records.WordEncoder(file.read(), 2)
+    letters = "abcdefghij"
+    words = ["".join(letters[int(digit)] for digit in f"{n:05d}") for n in range(40_000)]
+    texts = [" ".join(words[at : at + 5000]) for at in range(0, 40_000, 5000)]
+    encoder.ids([b"warm up"])
+    gc.collect()
+    tracemalloc.start()
+    for text in texts:
+        encoder.ids([text.encode()])
+    gc.collect()
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    memory = encoder.memory
+    assert len(memory.pieces) > 40_000
+    # 40,000 strings with their ids would take over 5 MB
+    assert held < 1_000_000 and memory.pieces.nbytes + memory.ids.nbytes < 40 * len(memory.pieces)
+    assert np.frombuffer(encoder.ids([texts[3].encode()])[0], "<u2").tolist() == plain(texts[3])[:-1]
