@@ -10,7 +10,8 @@ Words are ordered by rarity, the rarest first; so matching sets share a word
 in their first few (prefix filter). The smaller of two sets needs an even
 shorter prefix. A shared word's places bound the overlap (positional filter),
 the sizes must fit (length filter), and so must the words' parities in a
-64-bit map, whose difference never exceeds that of the sets. What remains is
+map of 64 bits or, for larger sets, up to 256, whose difference never exceeds
+that of the sets; a wider map folds to a narrower one. What remains is
 verified on the whole sets, and counts under the first word that both share,
 so under one word only; sets that agree in the word before go on at once.
 
@@ -21,8 +22,8 @@ class among them; pairs never leave it. The classes of a frequent word are cut
 into blocks, and every two blocks meet in a part of their own, so no task
 holds all of them.
 
-The most frequent words are ordered by their counts over all lines, in a
-table of bounded size; all others are rarer than those, and any fixed order
+The most frequent words are ordered by how often they occur, in a table of
+bounded size; all others are rarer than those, and any fixed order
 will do among them. Words and classes are told apart by 64-bit hashes.
 
 Nulls, empty texts and lines without words have nothing to match and nothing
@@ -58,13 +59,16 @@ BLOCK = 16_384
 #: words of prefixes that a task gathers before it passes them on
 GATHERED = 1 << 19
 #: words counted before they are passed on
-COUNTED = 1 << 20
+COUNTED = 1 << 22
 #: bytes of a word that are hashed eight at a time
 SHORT = 64
 #: classes a task remembers to have described
 DESCRIBED = 500_000
 
-LINES = "row long, {id}, line int, class long, size int, parity long, prefix array<long>, before array<long>, places array<int>, words binary"
+#: sets of more words than the first have parity maps of 128 bits, of more than the second, 256
+WIDE = (72, 160)
+
+LINES = "row long, {id}, line int, class long, size int, places binary, often array<long>, words binary"
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -116,13 +120,9 @@ def word_sets(texts: list[bytes]) -> dict[str, np.ndarray]:
     text = np.searchsorted(begins, line_starts[used], "right") - 1
     number = used - np.searchsorted(line_starts, begins[text], "left")
     size = np.diff(np.concatenate([first, [len(line)]]))
-    if len(first):
-        parity = np.bitwise_xor.reduceat(np.uint64(1) << (word & np.uint64(63)), first)
-        total = np.add.reduceat(arrays.mixed(word + np.uint64(1)), first)
-    else:
-        parity = total = np.zeros(0, np.uint64)
+    total = np.add.reduceat(arrays.mixed(word + np.uint64(1)), first) if len(first) else np.zeros(0, np.uint64)
     return {
-        "text": text, "number": number, "first": first, "size": size, "parity": parity,
+        "text": text, "number": number, "first": first, "size": size,
         "class": arrays.mixed(total + size.astype(np.uint64)), "word": word,
     }
 
@@ -131,26 +131,62 @@ def _signed(values: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(values).astype(np.uint64).view(np.int64)
 
 
+def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys in order, and the sum of each one's values."""
+    order = np.argsort(keys)
+    keys, values = keys[order], values[order]
+    heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[heads], np.add.reduceat(values, heads) if len(heads) else values
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
-    """(word, n): in how many lines each word stands; combined per task before the shuffle."""
+    """(word, n): how often each word occurs that occurs more than once.
+
+    A task sends the words of one range of hashes as one blob, as steps from
+    word to word. There are as many ranges as tasks that read texts.
+    """
+    parts = max(1, texts.rdd.getNumPartitions())
+    borders = np.array([(at << 64) // parts for at in range(1, parts)], np.uint64)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def counted() -> pa.RecordBatch:
-            word, n = np.unique(np.concatenate(held), return_counts=True)
+        def count() -> None:
+            words = np.sort(np.concatenate(held))
+            heads = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]])) if len(words) else np.zeros(0, np.int64)
+            waiting.append((words[heads], np.diff(np.append(heads, len(words)))))
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(_signed(word)), pa.array(n.astype(np.int64))], ["word", "n"])
+
+        def counted() -> pa.RecordBatch:
+            word, n = summed(*(np.concatenate(c) for c in zip(*waiting)))
+            waiting.clear()
+            part = np.searchsorted(borders, word, "right")
+            step = np.diff(word, prepend=np.uint64(0))
+            new = np.diff(part, prepend=-1) != 0
+            step[new] = word[new]
+            key, rows = blobs(part, [step, n.astype(np.int64)])
+            return pa.RecordBatch.from_arrays([pa.array(key, pa.int32()), pa.array(rows, pa.binary())], ["part", "rows"])
 
         for batch in batches:
             for part in arrays.parts(batch.column(0).to_pylist()):
-                held.append(word_sets(part)["word"])
-                if sum(map(len, held)) > COUNTED:
-                    yield counted()
+                data, _ = arrays.laid_out([text.lower() for text in part])
+                held.append(word_hashes(data, *arrays.word_spans(data)))
+                if sum(map(len, held)) > COUNTED // 4:
+                    count()
+                    if sum(len(word) for word, _ in waiting) > COUNTED:
+                        yield counted()
         if held:
+            count()
+        if waiting:
             yield counted()
 
-    return texts.mapInArrow(work, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    def total(part: pa.Table) -> pa.Table:
+        found = [columns_of([rows], [np.uint64, np.int64]) for rows in part.column("rows").to_pylist()]
+        word, n = summed(np.concatenate([np.cumsum(step, dtype=np.uint64) for step, _ in found]), np.concatenate([n for _, n in found]))
+        return pa.table({"word": pa.array(_signed(word[n > 1])), "n": pa.array(n[n > 1])})
+
+    return texts.mapInArrow(work, "part int, rows binary").groupBy("part").applyInArrow(total, "word long, n long")
 
 
 def frequent_words(counts: DataFrame, limit: int = KNOWN_WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -172,14 +208,28 @@ def frequent_words(counts: DataFrame, limit: int = KNOWN_WORDS) -> tuple[np.ndar
     return word[order], rarity[order]
 
 
-def coded(words: np.ndarray, known: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each word's place by rarity, 0 for a rare one, and its code: the place, or the hash of a rare word."""
-    if not len(known):
-        return np.zeros(len(words), np.int64), words
-    spot = np.searchsorted(known, words)
-    spot[spot == len(known)] = 0
-    rank = np.where(known[spot] == words, place[spot], 0)
-    return rank, np.where(rank > 0, rank.astype(np.uint64), words)
+class Coder:
+    """Gives words their places by rarity, from a table by the leading bits of the hashes."""
+
+    def __init__(self, known: np.ndarray, place: np.ndarray):
+        bits = len(known).bit_length() + 1
+        self.spare = np.uint64(64 - bits)
+        # no hash is left without a word to be compared with
+        self.known, self.place = np.append(known, np.uint64(0)), np.append(place, 0).astype(np.int32)
+        self.start = np.searchsorted(known >> self.spare, np.arange(1 << bits).astype(np.uint64)).astype(np.int32)
+        self.stop = len(known)
+
+    def __call__(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each word's place by rarity, 0 for a rare one, and its code: the place, or the hash of a rare word."""
+        spot = self.start[words >> self.spare]
+        here = self.known[spot]
+        behind = np.flatnonzero((here < words) & (spot < self.stop))
+        while len(behind):
+            spot[behind] += 1
+            here[behind] = self.known[spot[behind]]
+            behind = behind[(here[behind] < words[behind]) & (spot[behind] < self.stop)]
+        rank = np.where((here == words) & (spot < self.stop), self.place[spot], 0).astype(np.int64)
+        return rank, np.where(rank > 0, rank.astype(np.uint64), words)
 
 
 def within(counts: np.ndarray) -> np.ndarray:
@@ -207,28 +257,59 @@ def packed(size: np.ndarray, rank: np.ndarray, code: np.ndarray) -> pa.BinaryArr
     return pa.Array.from_buffers(pa.binary(), len(size), buffers)
 
 
+def unpacked(column: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Packed sets: how many words each has, how many of them are rare, and the codes of all."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(column.buffers()[2], np.uint8)
+    start = offsets[:-1]
+    n_rare = data[start[:, None] + np.arange(4)].view("<u4").ravel().astype(np.int64)
+    n_often = (np.diff(offsets) - 4 - 8 * n_rare) // 3
+    size = n_rare + n_often
+    begin = np.cumsum(size) - size
+    code = np.empty(int(size.sum()), np.uint64)
+    at = np.repeat(start + 4, n_rare) + 8 * within(n_rare)
+    code[np.repeat(begin, n_rare) + within(n_rare)] = data[at[:, None] + np.arange(8)].view(np.uint64).ravel()
+    at = np.repeat(start + 4 + 8 * n_rare, n_often) + 3 * within(n_often)
+    low, mid, high = (data[at + n].astype(np.uint64) for n in range(3))
+    code[np.repeat(begin + n_rare, n_often) + within(n_often)] = low | mid << np.uint64(8) | high << np.uint64(16)
+    return size, n_rare, code
+
+
+def parity_maps(code: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For sets of words, each from its first on: four times 64 bits, each word turning one bit over."""
+    spot = arrays.mixed(code + np.uint64(1))
+    bit, lane = np.uint64(1) << (spot & np.uint64(63)), spot >> np.uint64(6) & np.uint64(3)
+    maps = np.zeros((len(first), 4), np.uint64)
+    if len(first):
+        for n in range(4):
+            maps[:, n] = np.bitwise_xor.reduceat(np.where(lane == n, bit, np.uint64(0)), first)
+    return maps
+
+
+def lanes_of(size: np.ndarray) -> np.ndarray:
+    """How many times 64 bits the parity maps of sets have."""
+    return np.where(size > WIDE[1], 4, np.where(size > WIDE[0], 2, 1))
+
+
+def folded(maps: np.ndarray, lanes: int) -> np.ndarray:
+    """Wide maps as narrower ones; words that differ in no bit there may differ in the wide ones, not the other way."""
+    return np.bitwise_xor.reduce(maps.reshape(len(maps), maps.shape[1] // lanes, lanes), axis=1)
+
+
 class Sets:
     """Packed sets, unpacked together: numbers stand for words, in order of rarity."""
 
     def __init__(self, column: pa.BinaryArray):
-        offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
-        data = np.frombuffer(column.buffers()[2], np.uint8)
-        start = offsets[:-1]
-        n_rare = data[start[:, None] + np.arange(4)].view("<u4").ravel().astype(np.int64)
-        n_often = (np.diff(offsets) - 4 - 8 * n_rare) // 3
-        at = np.repeat(start + 4, n_rare) + 8 * within(n_rare)
-        rare = data[at[:, None] + np.arange(8)].view(np.uint64).ravel()
-        at = np.repeat(start + 4 + 8 * n_rare, n_often) + 3 * within(n_often)
-        often = data[at[:, None] + np.arange(3)].astype(np.int64) @ np.array([1, 1 << 8, 1 << 16])
-        self.rare, rare = np.unique(rare, return_inverse=True)
-        self.often, often = np.unique(often, return_inverse=True)
+        self.size, n_rare, code = unpacked(column)
+        self.begin = np.cumsum(self.size) - self.size
+        rare = within(self.size) < np.repeat(n_rare, self.size)
+        self.rare, low = np.unique(code[rare], return_inverse=True)
+        self.often, high = np.unique(code[~rare].astype(np.int64), return_inverse=True)
         #: how many different words there are
         self.n = len(self.rare) + len(self.often)
-        self.size = n_rare + n_often
-        self.begin = np.cumsum(self.size) - self.size
-        self.word = np.empty(int(self.size.sum()), np.int64)
-        self.word[np.repeat(self.begin, n_rare) + within(n_rare)] = rare
-        self.word[np.repeat(self.begin + n_rare, n_often) + within(n_often)] = often + len(self.rare)
+        self.word = np.empty(len(code), np.int64)
+        self.word[rare] = low
+        self.word[~rare] = high + len(self.rare)
 
     def number(self, code: np.ndarray) -> np.ndarray:
         """The numbers of words given by their codes."""
@@ -236,6 +317,11 @@ class Sets:
         often = code <= KNOWN_WORDS
         return np.where(often, len(self.rare) + np.searchsorted(self.often, code.astype(np.int64)), np.searchsorted(self.rare, code))
 
+    def parity(self) -> np.ndarray:
+        """The parity maps of all sets."""
+        codes = np.concatenate([self.rare, self.often.astype(np.uint64)])
+        return parity_maps(codes[self.word], self.begin)
+
     def keys(self, sets: np.ndarray) -> np.ndarray:
         """The words of some sets, each behind its place in the list; ascending."""
         size = self.size[sets]
@@ -271,17 +357,21 @@ def runs(weights: np.ndarray, limit: int) -> Iterator[slice]:
         at = stop
 
 
-def _described(texts: DataFrame, known_words: tuple[np.ndarray, np.ndarray], bits: np.ndarray, percent: int, id_type: str) -> DataFrame:
+def _described(
+    texts: DataFrame, known_words: tuple[np.ndarray, np.ndarray], often: int, bits: np.ndarray, percent: int, id_type: str
+) -> DataFrame:
     """One row per line with words, and one with a null line per text.
 
-    The set and its rarity-ordered prefix come with the first line of a class
-    in a task; words that stand in one line only are left out of the prefix.
+    The set, in order of rarity, and the places of its prefix come with the
+    first line of a class in a task; words that occur once only are left out
+    of the prefix. Its words from place ``often`` by rarity on are named, too.
     """
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast((*(a.tobytes() for a in known_words), bits.tobytes()))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, rarity, twice = (np.frombuffer(b, t) for b, t in zip(shared.value, (np.uint64, np.int64, np.uint8)))
+        coded = Coder(known, rarity)
         described: set[int] = set()
         for batch in batches:
             rows, texts = batch.column(0).to_numpy(), batch.column(2).to_pylist()
@@ -297,17 +387,18 @@ def _described(texts: DataFrame, known_words: tuple[np.ndarray, np.ndarray], bit
                 heads = np.sort(heads[new])
                 size = found["size"][heads]
                 word = found["word"][np.repeat(found["first"][heads], size) + within(size)]
-                rank, code = coded(word, known, rarity)
+                rank, code = coded(word)
                 order = by_rarity(size, rank)
                 rank, code = rank[order], code[order]
                 place = within(size)
                 leading = np.flatnonzero(place < np.repeat(size + (-percent * size // 100) + 1, size))
                 leading = leading[in_filter(twice, _signed(word[order[leading]]))]
-                ends = pa.array(np.searchsorted(leading, np.concatenate([[0], np.cumsum(size)])), pa.int32())
-                prefixes = pa.ListArray.from_arrays(ends, pa.array(_signed(code[leading])))
-                places = pa.ListArray.from_arrays(ends, pa.array(place[leading], pa.int32()))
-                ahead = np.where(place[leading] > 0, _signed(code)[leading - 1], 0)
-                before = pa.ListArray.from_arrays(ends, pa.array(ahead))
+                ends = np.searchsorted(leading, np.concatenate([[0], np.cumsum(size)]))
+                buffers = [None, pa.py_buffer((4 * ends).astype(np.int32).tobytes()), pa.py_buffer(place[leading].astype("<u4").tobytes())]
+                places = pa.Array.from_buffers(pa.binary(), len(size), buffers)
+                named = leading[rank[leading] >= often]
+                ends = pa.array(np.searchsorted(named, np.concatenate([[0], np.cumsum(size)])), pa.int32())
+                named = pa.ListArray.from_arrays(ends, pa.array(_signed(code[named])))
                 n, more = len(classes), len(part)
                 every = np.concatenate([found["text"], np.arange(more)]) + at
                 none = np.arange(n + more) >= n
@@ -321,26 +412,31 @@ def _described(texts: DataFrame, known_words: tuple[np.ndarray, np.ndarray], bit
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(rows[every]), batch.column(1).take(pa.array(every)), column(found["number"], pa.int32()),
-                        column(classes, pa.int64()), column(found["size"], pa.int32()), column(_signed(found["parity"]), pa.int64()),
-                        prefixes.take(take), before.take(take), places.take(take), packed(size, rank, code).take(take),
+                        column(classes, pa.int64()), column(found["size"], pa.int32()),
+                        places.take(take), named.take(take), packed(size, rank, code).take(take),
                     ],
-                    ["row", "doc_id", "line", "class", "size", "parity", "prefix", "before", "places", "words"],
+                    ["row", "doc_id", "line", "class", "size", "places", "often", "words"],
                 )
                 at += more
 
     return texts.mapInArrow(work, LINES.format(id=f"doc_id {id_type}"))
 
 
+def least_often(counts: DataFrame, known: int) -> int:
+    """From which place by rarity on words may lead more than one block of classes; from 0 on, if others than known ones may."""
+    return max(0, known + 1 - counts.filter(F.col("n") > BLOCK).count())
+
+
 def frequent_leads(heads: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(word, blocks) of the words that lead more than one block of classes; at most KNOWN_WORDS, the most frequent."""
-    counts = heads.select(F.explode("prefix").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    """(code, blocks) of the words that lead more than one block of classes; at most KNOWN_WORDS, the most frequent."""
+    counts = heads.select(F.explode("often").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     found = counts.filter(F.col("n") > BLOCK).orderBy(F.desc("n"), "word").limit(KNOWN_WORDS).orderBy("word").toPandas()
     return found["word"].to_numpy(np.int64), -(-found["n"].to_numpy(np.int64) // BLOCK)
 
 
-#: what a row of a prefix's word says
+#: what a row of a prefix's word says, before its parity map: the class, parts of the hashes of the word and of the word before
 LEAD = {
-    "class": np.int64, "word": np.int64, "before": np.int64, "cell": np.int64, "parity": np.uint64, "size": np.int32, "place": np.int32,
+    "class": np.int64, "word": np.uint32, "before": np.uint32, "before2": np.uint16, "cell": np.int64, "size": np.int32, "place": np.int32,
 }
 
 
@@ -362,48 +458,62 @@ def columns_of(found: list[bytes], kinds: list[type]) -> list[np.ndarray]:
 
 
 def leads(heads: DataFrame, parts: int) -> DataFrame:
-    """(part, rows): for every word of a prefix its cell, place and the word before, and the class with its size and parity.
+    """(part, lanes, rows): for every word of a prefix its cell, place and the word before, and the class with its size and parity map.
 
-    A cell names the two blocks that meet, and whether the class is of the first.
+    A cell names the two blocks that meet, and whether the class is of the
+    first. Words are cut to what tells those of a part apart; where that
+    fails, more classes pass than need to.
     """
     words, blocks = frequent_leads(heads)
     shared = heads.sparkSession.sparkContext.broadcast((words.tobytes(), blocks.tobytes()))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, blocks = (np.frombuffer(b, np.int64) for b in shared.value)
-        held: list[list[np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
 
         def gathered() -> pa.RecordBatch:
-            part, *columns = (np.concatenate(values) for values in zip(*held))
-            key, rows = blobs(part, columns)
+            part, lanes, maps, *columns = (np.concatenate(values) for values in zip(*held))
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(key, pa.int32()), pa.array(rows, pa.binary())], ["part", "rows"])
+            keys, wide, rows = [], [], []
+            for n in (1, 2, 4):
+                some = lanes == n
+                key, found = blobs(part[some], [*(c[some] for c in columns), *folded(maps[some], n).T])
+                keys, wide, rows = [*keys, *key.tolist()], [*wide, *[n] * len(key)], [*rows, *found]
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(wide, pa.int32()), pa.array(rows, pa.binary())], ["part", "lanes", "rows"])
 
         for batch in batches:
-            prefix = batch.column("prefix")
-            owner = np.repeat(np.arange(len(prefix)), prefix.value_lengths().to_numpy())
-            word = prefix.flatten().to_numpy()
+            length, _, code = unpacked(batch.column("words"))
+            first = np.cumsum(length) - length
+            maps = parity_maps(code, first)
+            places = batch.column("places")
+            count = pc.binary_length(places).to_numpy() // 4
+            owner, place = np.repeat(np.arange(len(count)), count), np.frombuffer(b"".join(places.to_pylist()), "<u4").astype(np.int64)
+            at = first[owner] + place
+            word = code[at]
+            # 0 where there is none; the parts sent tell two words apart like a hash of 47 bits
+            before = np.where(place > 0, arrays.mixed(code[at - 1] + np.uint64(1)) | np.uint64(1), np.uint64(0))
             n = np.ones(len(word), np.int64)
             if len(frequent):
-                spot = np.searchsorted(frequent, word)
+                spot = np.searchsorted(frequent, word.view(np.int64))
                 spot[spot == len(frequent)] = 0
-                n = np.where(frequent[spot] == word, blocks[spot], 1)
+                n = np.where(frequent[spot] == word.view(np.int64), blocks[spot], 1)
             own = batch.column("class").to_numpy()[owner].view(np.uint64) % n.astype(np.uint64)
             own, other = np.repeat(own.astype(np.int64), n), within(n)
             low, high = np.minimum(own, other), np.maximum(own, other)
             meeting = low << 31 | high
-            owner, word, before, place = (
-                np.repeat(c, n) for c in (owner, word, *(batch.column(c).flatten().to_numpy() for c in ("before", "places")))
-            )
-            part = arrays.mixed(arrays.mixed(word.view(np.uint64)) + meeting.astype(np.uint64)) % np.uint64(parts)
-            name, parity, size = (batch.column(c).to_numpy()[owner] for c in ("class", "parity", "size"))
-            held.append([part.astype(np.int32), name, word, before, meeting << 1 | (own == low), parity, size.astype(np.int32), place.astype(np.int32)])
+            owner, word, before, place = (np.repeat(c, n) for c in (owner, arrays.mixed(word), before, place))
+            part = arrays.mixed(word + meeting.astype(np.uint64)) % np.uint64(parts)
+            name, size = (batch.column(c).to_numpy()[owner] for c in ("class", "size"))
+            held.append((
+                part.astype(np.int32), lanes_of(size), maps[owner], name, word.astype(np.uint32), before.astype(np.uint32),
+                (before >> np.uint64(32)).astype(np.uint16), meeting << 1 | (own == low), size.astype(np.int32), place.astype(np.int32),
+            ))
             if sum(len(columns[0]) for columns in held) > GATHERED:
                 yield gathered()
         if held:
             yield gathered()
 
-    return heads.mapInArrow(work, "part int, rows binary")
+    return heads.select("class", "size", "places", "words").mapInArrow(work, "part int, lanes int, rows binary")
 
 
 class Entries:
@@ -420,12 +530,13 @@ class Entries:
         self.meeting, self.first_block = self.cell >> 1, (self.cell & 1).astype(bool)
         self.across = (self.meeting >> 31) != (self.meeting & ((1 << 31) - 1))
 
-    def pairs(self, percent: int, place: np.ndarray, before: np.ndarray, parity: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def pairs(self, percent: int, place: np.ndarray, before: np.ndarray, maps: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Places (i, j) in the sorted list that pass the length, positional and parity filters.
 
         Sets that share the word before this one have met there.
         """
-        place, before, parity = place[self.order], before[self.order], parity[self.order]
+        place, before, maps = place[self.order], before[self.order], maps[self.order]
+        parity, lanes = folded(maps, 1).ravel(), lanes_of(self.size)
         new = np.ones(len(self.word), bool)
         new[1:] = (self.word[1:] != self.word[:-1]) | (self.meeting[1:] != self.meeting[:-1])
         group = np.cumsum(new)
@@ -442,21 +553,38 @@ class Entries:
             fits &= np.bitwise_count(parity[i] ^ parity[j]) <= both - 2 * overlap
             fits &= (before[i] != before[j]) | (before[i] == 0)
             fits &= ~self.across[i] | (self.first_block[i] != self.first_block[j])
-            yield i[fits], j[fits]
+            i, j, apart = i[fits], j[fits], (both - 2 * overlap)[fits]
+            width = np.minimum(lanes[i], lanes[j])
+            good = width == 1
+            for n in (2, 4):
+                some = np.flatnonzero(width == n)
+                differing = np.bitwise_count(folded(maps[i[some]] ^ maps[j[some]], n)).sum(axis=1, dtype=np.int64)
+                good[some] = differing <= apart[some]
+            yield i[good], j[good]
 
 
 #: what a candidate tells of each word under which it found another
-FOUND = {name: LEAD[name] for name in ("word", "before", "cell", "place", "parity")}
+FOUND = {name: LEAD[name] for name in ("cell", "place")}
 
 
 def candidates(heads: DataFrame, parts: int, percent: int) -> DataFrame:
     """(part, class, found): the rows of ``leads`` that pass all filters with another class of their word and cell."""
 
     def narrow(part: pa.Table) -> pa.Table:
-        column = dict(zip(LEAD, columns_of(part.column("rows").to_pylist(), list(LEAD.values()))))
+        held = []
+        for n in (1, 2, 4):
+            rows = part.filter(pc.equal(part.column("lanes"), n)).column("rows").to_pylist()
+            if rows:
+                columns = columns_of(rows, [*LEAD.values(), *[np.uint64] * n])
+                maps = np.zeros((len(columns[0]), 4), np.uint64)
+                maps[:, :n] = np.stack(columns[len(LEAD) :], axis=1)
+                held.append([*columns[: len(LEAD)], maps])
+        *columns, maps = (np.concatenate(values) for values in zip(*held))
+        column = dict(zip(LEAD, columns))
+        before = column["before"] | column["before2"].astype(np.uint64) << np.uint64(32)
         entries = Entries(column["word"], column["cell"], column["size"], column["class"])
         some = np.zeros(len(entries.order), bool)
-        for i, j in entries.pairs(percent, column["place"], column["before"], column["parity"]):
+        for i, j in entries.pairs(percent, column["place"], before, maps):
             some[i] = some[j] = True
         kept = entries.order[some]
         names, found = blobs(column["class"][kept], [column[name][kept] for name in FOUND])
@@ -468,8 +596,8 @@ def candidates(heads: DataFrame, parts: int, percent: int) -> DataFrame:
 
 def linked(heads: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
     """(class, n_links, met): how many other classes match, and the earliest place of any of them."""
-    total = heads.agg(F.sum(F.size("prefix"))).first()[0] or 0
-    parts = max(1, -(-total // PART_WORDS))
+    total = heads.agg(F.sum(F.octet_length("places"))).first()[0] or 0
+    parts = max(1, -(-total // (4 * PART_WORDS)))
     found = stored(candidates(heads, parts, percent), "line-candidates")
     shared = heads.sparkSession.sparkContext.broadcast(bit_filter(found, "class").tobytes())
     layout = T.StructType().add("class", "long").add("n_links", "long").add("met", firsts.schema["first"].dataType)
@@ -485,7 +613,9 @@ def linked(heads: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
         found = part.column("found").to_pylist()
         width = sum(np.dtype(kind).itemsize for kind in FOUND.values())
         owner = np.repeat(np.arange(part.num_rows), [len(rows) // width for rows in found])
-        word, before, cell, place, parity = columns_of(found, list(FOUND.values()))
+        cell, place = columns_of(found, list(FOUND.values()))
+        at = sets.begin[owner] + place
+        before = np.where(place > 0, sets.word[at - 1] + 1, 0)
         places = part.select(["first"])
         while any(pa.types.is_struct(kind) for kind in places.schema.types):
             places = places.flatten()
@@ -495,14 +625,13 @@ def linked(heads: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
         turn[by_place] = np.arange(len(by_place))
         n = np.zeros(len(turn), np.int64)
         earliest = np.full(len(turn), len(turn))
-        entries = Entries(word, cell, sets.size[owner], owner)
-        number = sets.number(entries.word)
-        for i, j in entries.pairs(percent, place, before, parity):
+        entries = Entries(sets.word[at], cell, sets.size[owner], owner)
+        for i, j in entries.pairs(percent, place, before, sets.parity()[owner]):
             a, b = owner[entries.order[i]], owner[entries.order[j]]
             both = sets.size[a] + sets.size[b]
             for few in runs(both, WORDS):
                 common, first = sets.shared(a[few], b[few])
-                good = (first == number[i[few]]) & (100 * common >= percent * (both[few] - common))
+                good = (first == entries.word[i[few]]) & (100 * common >= percent * (both[few] - common))
                 for x, y in ((a[few][good], b[few][good]), (b[few][good], a[few][good])):
                     n += np.bincount(x, minlength=len(n))
                     np.minimum.at(earliest, x, turn[y])
@@ -526,11 +655,11 @@ def line_links(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     bits = bit_filter(counts.filter("n > 1"), "word")
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), utf8(text_col).alias("bytes"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    lines = stored(_described(rows, known_words, bits, percent, id_type), "lines")
+    lines = stored(_described(rows, known_words, least_often(counts, len(known_words[0])), bits, percent, id_type), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line")
     firsts = lines.filter("line is not null").groupBy("class").agg(F.min(place).alias("first"))
     # every task that met a class has described it
-    links = linked(lines.filter("words is not null and size(prefix) > 0"), firsts, percent)
+    links = linked(lines.filter("words is not null and octet_length(places) > 0"), firsts, percent)
     found = firsts.join(links, "class", "left")
     return lines.select("row", "doc_id", "line", "class", place.alias("place")), found
 

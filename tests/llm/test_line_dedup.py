@@ -127,3 +127,69 @@ def test_rows_survive_blobs():
     assert keys.tolist() == [1, 3]
     assert [c.tolist() for c in line_dedup.columns_of(found, [np.int64, np.uint32])] == [[2, -1, 5], [8, 7, 9]]
     assert line_dedup.blobs(key[:0], [a[:0], b[:0]])[1] == []
+
+
+def test_long_lines_without_a_match_are_no_candidates(documents, monkeypatch):
+    kept, stored = {}, line_dedup.stored
+
+    def keep(df, label):
+        kept[label] = stored(df, label)
+        return kept[label]
+
+    monkeypatch.setattr(line_dedup, "stored", keep)
+    draw = random.Random(5)
+    words = [f"w{i}" for i in range(2_000)]
+    rows = [(i, " ".join(draw.sample(words, 130 + i % 90))) for i in range(200)]
+    got = Counter((r.doc_id, r.n_lines, r.n_links, r.removed_lines) for r in line_dedup.report(documents(*rows)).collect())
+    assert got == brute(rows)
+    assert kept["line-candidates"].count() < 20
+
+
+def test_wide_maps_fold_and_never_differ_more_than_their_sets():
+    draw = random.Random(8)
+    sets = [sorted(draw.sample(range(1, 400), draw.choice([3, 71, 72, 73, 160, 161, 300]))) for _ in range(60)]
+    size = np.array([len(s) for s in sets])
+    maps = line_dedup.parity_maps(np.concatenate([np.array(s, np.uint64) for s in sets]), np.cumsum(size) - size)
+    lanes = line_dedup.lanes_of(size)
+    assert {(n, k) for n, k in zip(size.tolist(), lanes.tolist())} >= {(72, 1), (73, 2), (160, 2), (161, 4)}
+    for i in range(len(sets)):
+        for j in range(i):
+            n = min(lanes[i], lanes[j])
+            differ = np.bitwise_count(line_dedup.folded(maps[[i]] ^ maps[[j]], n)).sum()
+            assert differ <= len(set(sets[i]) ^ set(sets[j]))
+
+
+def test_coder_knows_all_known_words_and_no_others():
+    draw = np.random.default_rng(3)
+    close = np.arange(50, dtype=np.uint64)
+    known = np.unique(np.concatenate([draw.integers(0, 1 << 64, 300, np.uint64), close, close + (np.uint64(1) << np.uint64(63)), ~close]))
+    place = draw.permutation(len(known)) + 1
+    words = np.concatenate([known, known + np.uint64(1), known - np.uint64(1), draw.integers(0, 1 << 64, 300, np.uint64)])
+    want = dict(zip(known.tolist(), place.tolist()))
+    rank, code = line_dedup.Coder(known, place)(words)
+    assert rank.tolist() == [want.get(word, 0) for word in words.tolist()]
+    assert code.tolist() == [want.get(word, word) for word in words.tolist()]
+    assert line_dedup.Coder(known[:0], place[:0])(words)[0].sum() == 0
+
+
+@pytest.mark.parametrize("counted", [8, 1 << 22])
+def test_word_counts_are_whole(spark, monkeypatch, counted):
+    monkeypatch.setattr(line_dedup, "COUNTED", counted)
+    texts = [f"a b{i % 7} c{i} a\nÜ{i % 3} A" for i in range(60)] + ["", "only"]
+    want = Counter(word for text in texts for word in text.encode().lower().split())
+    df = spark.createDataFrame([(text.encode(),) for text in texts], "bytes binary").repartition(5)
+    assert sorted(r.n for r in line_dedup.word_counts(df).collect()) == sorted(n for n in want.values() if n > 1)
+
+
+def test_words_of_many_classes_are_cut_into_blocks_known_or_not(documents, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BLOCK", 4)
+    found, leads = [], line_dedup.frequent_leads
+    monkeypatch.setattr(line_dedup, "frequent_leads", lambda heads: found.append(leads(heads)) or found[-1])
+    lines = [f"lead z{i} z{j}" for i in range(8) for j in range(i)] + [" ".join(f"z{i}" for i in range(8))] * 40
+    rows = list(enumerate(lines))
+    for known in (1 << 19, 0):
+        monkeypatch.setattr(line_dedup.frequent_words, "__defaults__", (known,))
+        got = Counter((r.doc_id, r.n_lines, r.n_links, r.removed_lines) for r in line_dedup.report(documents(*rows)).collect())
+        assert got == brute(rows)
+    assert found[0][1].tolist() == [7]
+    assert len(found[1][1]) > 0
