@@ -276,13 +276,23 @@ def unpacked(column: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def parity_maps(code: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """For sets of words, each from its first on: four times 64 bits, each word turning one bit over."""
+    """For sets of words, each from its first on: four times 64 bits, each word turning one bit over.
+
+    The maps of small sets are folded, all in the first 64 bits.
+    """
     spot = arrays.mixed(code + np.uint64(1))
-    bit, lane = np.uint64(1) << (spot & np.uint64(63)), spot >> np.uint64(6) & np.uint64(3)
+    bit = np.uint64(1) << (spot & np.uint64(63))
     maps = np.zeros((len(first), 4), np.uint64)
     if len(first):
-        for n in range(4):
-            maps[:, n] = np.bitwise_xor.reduceat(np.where(lane == n, bit, np.uint64(0)), first)
+        maps[:, 0] = np.bitwise_xor.reduceat(bit, first)
+        size = np.diff(np.append(first, len(code)))
+        large = np.flatnonzero(lanes_of(size) > 1)
+        if len(large):
+            size = size[large]
+            words = np.repeat(first[large], size) + within(size)
+            bit, lane = bit[words], spot[words] >> np.uint64(6) & np.uint64(3)
+            for n in range(4):
+                maps[large, n] = np.bitwise_xor.reduceat(np.where(lane == n, bit, np.uint64(0)), np.cumsum(size) - size)
     return maps
 
 
@@ -469,16 +479,16 @@ def leads(heads: DataFrame, parts: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, blocks = (np.frombuffer(b, np.int64) for b in shared.value)
-        held: list[tuple[np.ndarray, ...]] = []
+        held: dict[int, list[tuple[np.ndarray, ...]]] = {1: [], 2: [], 4: []}
 
         def gathered() -> pa.RecordBatch:
-            part, lanes, maps, *columns = (np.concatenate(values) for values in zip(*held))
-            held.clear()
             keys, wide, rows = [], [], []
-            for n in (1, 2, 4):
-                some = lanes == n
-                key, found = blobs(part[some], [*(c[some] for c in columns), *folded(maps[some], n).T])
-                keys, wide, rows = [*keys, *key.tolist()], [*wide, *[n] * len(key)], [*rows, *found]
+            for n, batches in held.items():
+                if batches:
+                    part, *columns = (np.concatenate(values) for values in zip(*batches))
+                    batches.clear()
+                    key, found = blobs(part, columns)
+                    keys, wide, rows = [*keys, *key.tolist()], [*wide, *[n] * len(key)], [*rows, *found]
             return pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(wide, pa.int32()), pa.array(rows, pa.binary())], ["part", "lanes", "rows"])
 
         for batch in batches:
@@ -504,13 +514,17 @@ def leads(heads: DataFrame, parts: int) -> DataFrame:
             owner, word, before, place = (np.repeat(c, n) for c in (owner, arrays.mixed(word), before, place))
             part = arrays.mixed(word + meeting.astype(np.uint64)) % np.uint64(parts)
             name, size = (batch.column(c).to_numpy()[owner] for c in ("class", "size"))
-            held.append((
-                part.astype(np.int32), lanes_of(size), maps[owner], name, word.astype(np.uint32), before.astype(np.uint32),
-                (before >> np.uint64(32)).astype(np.uint16), meeting << 1 | (own == low), size.astype(np.int32), place.astype(np.int32),
-            ))
-            if sum(len(columns[0]) for columns in held) > GATHERED:
+            columns = [
+                part.astype(np.int32), name, word.astype(np.uint32), before.astype(np.uint32), (before >> np.uint64(32)).astype(np.uint16),
+                meeting << 1 | (own == low), size.astype(np.int32), place.astype(np.int32),
+            ]
+            lanes = lanes_of(size)
+            for n, rows in held.items():
+                some = np.flatnonzero(lanes == n)
+                rows.append((*(c[some] for c in columns), *folded(maps[owner[some]], n).T))
+            if sum(len(columns[0]) for rows in held.values() for columns in rows) > GATHERED:
                 yield gathered()
-        if held:
+        if held[1]:
             yield gathered()
 
     return heads.select("class", "size", "places", "words").mapInArrow(work, "part int, lanes int, rows binary")
@@ -544,16 +558,18 @@ class Entries:
         # a partner is at most so much larger
         stop = np.searchsorted(group * widest + self.size, group * widest + np.minimum(100 * self.size // percent, widest - 1), "right")
         partners = stop - np.arange(len(stop)) - 1
+        behind = self.size - place
         for run in runs(partners, PAIRS):
             i = np.repeat(np.arange(run.start, run.stop), partners[run])
             j = i + 1 + within(partners[run])
             both = self.size[i] + self.size[j]
             overlap = -(-percent * both // (100 + percent))
-            fits = np.minimum(self.size[i] - place[i], self.size[j] - place[j]) >= overlap
-            fits &= np.bitwise_count(parity[i] ^ parity[j]) <= both - 2 * overlap
-            fits &= (before[i] != before[j]) | (before[i] == 0)
-            fits &= ~self.across[i] | (self.first_block[i] != self.first_block[j])
+            fits = np.flatnonzero(np.minimum(behind[i], behind[j]) >= overlap)
             i, j, apart = i[fits], j[fits], (both - 2 * overlap)[fits]
+            fits = np.bitwise_count(parity[i] ^ parity[j]) <= apart
+            i, j, apart = i[fits], j[fits], apart[fits]
+            fits = ((before[i] != before[j]) | (before[i] == 0)) & (~self.across[i] | (self.first_block[i] != self.first_block[j]))
+            i, j, apart = i[fits], j[fits], apart[fits]
             width = np.minimum(lanes[i], lanes[j])
             good = width == 1
             for n in (2, 4):
